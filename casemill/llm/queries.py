@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from casemill.llm import exact_dedup, mixing, token_output, url_filter, warc
+from casemill.llm import exact_dedup, mixing, near_dedup, token_output, url_filter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
+    "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_mixing": mixing.op3_mixing,
     "op4_token_output": token_output.op4_token_output,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 
-ORACLE_SQL = {"op1_warc": warc.ORACLE, "op3_mixing": mixing.ORACLE, "op6_exact_dedup": exact_dedup.ORACLE, "op10_url_filter": url_filter.ORACLE}
+ORACLE_SQL = {"op1_warc": warc.ORACLE, "op2_near_dedup": near_dedup.ORACLE, "op3_mixing": mixing.ORACLE, "op6_exact_dedup": exact_dedup.ORACLE, "op10_url_filter": url_filter.ORACLE}
