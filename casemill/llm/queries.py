@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from casemill.llm import exact_dedup, mixing, near_dedup, token_output, url_filter, warc
+from casemill.llm import exact_dedup, interpolation, mixing, near_dedup, token_output, url_filter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_mixing": mixing.op3_mixing,
     "op4_token_output": token_output.op4_token_output,
+    "op5_interpolation": interpolation.op5_interpolation,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
 }
