@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casemill.llm import words
-from casemill.llm.shared import materialize, small
+from casemill.llm.shared import materialize, small, with_key, without
 
 #: Words of a window, and the part of an item's windows that makes a document contaminated.
 WIDTH, SHARE = 5, 0.75
@@ -93,7 +93,7 @@ SCHEMA = "id long, uid long, at long, window long, slots array<long>"
 
 
 def windows_of(table: DataFrame, id_col: str, text_col: str, known: np.ndarray | None = None, with_texts: bool = False) -> DataFrame:
-    """A row for each window of each text, or of those in the sorted array `known`; with_texts adds a row for each text, where at is -1."""
+    """A row for each window of each text, or of those in the sorted array `known`; with_texts adds a row for each text, where at is -1 and window the text's hash."""
     shared = None if known is None else table.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,7 +106,7 @@ def windows_of(table: DataFrame, id_col: str, text_col: str, known: np.ndarray |
             number += batch.num_rows
             if with_texts:
                 n = batch.num_rows
-                yield _rows(batch.column("id"), uid, np.arange(n), np.full(n, -1), np.zeros(n, np.uint64), np.zeros((n, WIDTH), np.uint64))
+                yield _rows(batch.column("id"), uid, np.arange(n), np.full(n, -1), batch.column("text_hash").to_numpy().view(np.uint64), np.zeros((n, WIDTH), np.uint64))
             if shared is not None:
                 found = np.searchsorted(shared.value, hashes)
                 keep = np.flatnonzero(shared.value[np.minimum(found, len(shared.value) - 1)] == hashes) if len(shared.value) else np.zeros(0, int)
@@ -114,14 +114,14 @@ def windows_of(table: DataFrame, id_col: str, text_col: str, known: np.ndarray |
             if len(at):
                 yield _rows(batch.column("id"), uid, owner, at, hashes, values)
 
-    return table.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    return table.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")).mapInArrow(run, SCHEMA)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Finds documents that hold a benchmark item, also with other numbers, names or units.
 
     Returns a row for each row of docs: doc_id, contaminated, item_ids (of the items found, ascending), share (the largest
-    part of an item's windows found). An item is found if at least `share` of its windows are. Windows of WIDTH
+    part of an item's windows found), text_hash. An item is found if at least `share` of its windows are. Windows of WIDTH
     words meet by an equi-join on their hashes, as they are and with slots in place of numbers, names and units.
     Of a document and an item, a slot value of the item must stand for one value of the document and the other way
     round: the most frequent pairing counts, and windows that contradict it don't.
@@ -157,12 +157,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, i
     parts = covered.join(small(sizes), F.col("item_id").eqNullSafe(F.col("size_id"))).withColumn("part", F.col("got") / F.col("item_windows"))
     judged = parts.groupBy("uid").agg(F.max("part").alias("share"), F.sort_array(F.collect_set(F.when(F.col("part") >= share, F.col("item_id")))).alias("item_ids"))
     judged = materialize(judged, "judged").withColumnRenamed("uid", "j_uid")
-    texts = found.filter("at = -1").select("id", "uid")
+    texts = found.filter("at = -1").select("id", "uid", F.col("window").alias("text_hash"))
     rows = texts.join(small(judged), F.col("uid") == F.col("j_uid"), "left")
     none = F.array().cast("array<long>")
-    return rows.select(F.col("id").alias("doc_id"), F.coalesce(F.col("share") >= share, F.lit(False)).alias("contaminated"), F.coalesce("item_ids", none).alias("item_ids"), F.coalesce("share", F.lit(0.0)).alias("share"))
+    return rows.select(F.col("id").alias("doc_id"), F.coalesce(F.col("share") >= share, F.lit(False)).alias("contaminated"), F.coalesce("item_ids", none).alias("item_ids"), F.coalesce("share", F.lit(0.0)).alias("share"), "text_hash")
+
+
+def clean_of(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that hold no benchmark item, with all their columns."""
+    found = decontaminate(docs, benchmark, id_col=id_col, text_col=text_col).filter("contaminated").withColumnsRenamed({"doc_id": "key_id", "text_hash": "key_hash"})
+    return without(with_key(docs, id_col, text_col), found).select(*docs.columns)
 
 
 def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    return decontaminate(docs, benchmark)
+    return decontaminate(docs, benchmark).drop("text_hash")

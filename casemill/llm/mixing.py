@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.shared import WORD, materialize, n_partitions, running, small
+from casemill.llm.shared import WORD, materialize, n_partitions, once, running, small, with_key
 
 #: Weights of the sources in order of their names, repeated.
 WEIGHTS = (5, 2, 1)
@@ -65,7 +65,7 @@ def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = M
     mixed each by itself; rows with null ids come first. An empty table gives an empty result. Other columns
     are not read. Running it again gives the same rows.
     """
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("text_hash"))
     slim = slim.withColumn("lot", F.md5(F.col("doc_id").cast("string")))
     # Running sums are by range partitions: a source with a third of the rows takes many tasks.
     placed = materialize(running(slim, [F.col("lot").asc_nulls_first(), F.col("doc_id").asc_nulls_first(), F.col("size")], {"before": "size"}, ("source",)), "placed")
@@ -121,6 +121,17 @@ def in_order(rows: DataFrame) -> DataFrame:
     return rows.repartitionByRange(n_partitions(rows.sparkSession), *order).sortWithinPartitions(*order)
 
 
+def mixed_rows(docs: DataFrame, schedule: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of docs as often as they are taken, range-sorted by position, with all their columns."""
+    mixed = materialize(mix(docs, schedule, MAX_REPEATS, id_col, text_col, source_col), "mixed").withColumnsRenamed({"doc_id": "key_id", "text_hash": "key_hash"})
+    rows = once(with_key(docs, id_col, text_col), mixed)
+    copies = mixed.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    copies = copies.select(F.col("key_id").alias("its_id"), F.col("key_hash").alias("its_hash"), position_of(F.col("copy")).alias("mix_position"))
+    taken = rows.join(small(copies), F.col("key_id").eqNullSafe(F.col("its_id")) & (F.col("key_hash") == F.col("its_hash")))
+    order = [F.col("mix_position"), F.col("key_id").asc_nulls_first()]
+    return taken.repartitionByRange(n_partitions(docs.sparkSession), *order).sortWithinPartitions(*order).select(*docs.columns)
+
+
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     mixed = in_order(mix(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", F.round("position", 6).alias("position"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from casemill.llm import words
 from casemill.llm.components import components
-from casemill.llm.shared import materialize, small
+from casemill.llm.shared import materialize, once, small, with_key, without
 
 #: Words of a shingle, and the links' similarity as a fraction.
 WIDTH, NUMERATOR, DENOMINATOR = 5, 75, 100
@@ -66,7 +66,7 @@ def likely_similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.nda
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: uid (a new number), doc_id, n (shingles), set_key (128 bits, of the set; null if
+    """One row for each row of docs: uid (a new number), doc_id, text_hash, n (shingles), set_key (128 bits, of the set; null if
     it is empty), regs, bands, hashes (the whole set, sorted, as 64-bit numbers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,14 +91,14 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                     regs[i] = r.tobytes()
             offsets = np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))])
             columns = [
-                pa.array(uid + np.arange(len(sets)), pa.int64()), batch.column("doc_id"), pa.array(n), pa.array(keys, pa.binary()), pa.array(regs, pa.binary()),
+                pa.array(uid + np.arange(len(sets)), pa.int64()), batch.column("doc_id"), batch.column("text_hash"), pa.array(n), pa.array(keys, pa.binary()), pa.array(regs, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(bands.reshape(-1).view(np.int64))), pa.array(blobs, pa.binary()),
             ]
             uid += len(sets)
-            yield pa.RecordBatch.from_arrays(columns, names=["uid", "doc_id", "n", "set_key", "regs", "bands", "hashes"])
+            yield pa.RecordBatch.from_arrays(columns, names=["uid", "doc_id", "text_hash", "n", "set_key", "regs", "bands", "hashes"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "uid long, doc_id long, n long, set_key binary, regs binary, bands array<long>, hashes binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    return rows.mapInArrow(run, "uid long, doc_id long, text_hash long, n long, set_key binary, regs binary, bands array<long>, hashes binary")
 
 
 def _with_both(pairs: DataFrame, table: DataFrame, names: list[str]) -> DataFrame:
@@ -144,7 +144,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Components of documents that are linked by similarity.
 
     Returns a row for each row of docs: doc_id, n_shingles, component_id (the smallest doc_id that links reach),
-    kept (doc_id = component_id). Texts are lower-cased in A-Z; a document's set holds its different
+    kept (doc_id = component_id), text_hash. Texts are lower-cased in A-Z; a document's set holds its different
     5-word shingles, or its whole sequence if it has fewer words. Two sets are linked if
     100 * intersection >= 75 * union.
 
@@ -160,7 +160,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Other columns aren't read.
     """
     sketched = materialize(sketch(docs, id_col, text_col), "sketches")
-    slim = sketched.select("uid", "doc_id", "n", "set_key")
+    slim = sketched.select("uid", "doc_id", "text_hash", "n", "set_key")
     several = slim.filter("set_key IS NOT NULL").groupBy("set_key").agg(F.min("uid").alias("first_uid"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     several = materialize(several.select(F.col("set_key").alias("s_key"), "first_uid"), "classes")
     with_class = lambda rows: rows.join(small(several), F.col("set_key") == F.col("s_key"), "left")
@@ -189,17 +189,25 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # A root isn't in the list of nodes: it is known by those that point to it.
     tops = roots.select(F.col("root").alias("top")).distinct()
     rows = rows.join(small(tops), F.col("class") == F.col("top"), "left")
-    rows = rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "class").alias("part"), (F.col("first_uid").isNotNull() | F.col("node").isNotNull() | F.col("top").isNotNull()).alias("grouped"))
+    rows = rows.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("root", "class").alias("part"), (F.col("first_uid").isNotNull() | F.col("node").isNotNull() | F.col("top").isNotNull()).alias("grouped"))
     rows = materialize(rows, "parts")
     least = rows.filter("grouped").groupBy("part").agg(F.min("doc_id").alias("component_id"))
     grouped = rows.filter("grouped").join(least, "part")
     alone = rows.filter("NOT grouped").withColumn("component_id", F.col("doc_id"))
-    out = grouped.select("doc_id", "n_shingles", "component_id").unionByName(alone.select("doc_id", "n_shingles", "component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = grouped.select("doc_id", "n_shingles", "component_id", "text_hash").unionByName(alone.select("doc_id", "n_shingles", "component_id", "text_hash"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs of which one stays for each component, with all their columns; those with an empty set all stay."""
+    found = near_dedup(docs, id_col, text_col).withColumnsRenamed({"doc_id": "key_id", "text_hash": "key_hash"})
+    found = materialize(found.select("key_id", "key_hash", "kept", "n_shingles"), "kept")
+    rows = without(with_key(docs, id_col, text_col), found.filter("NOT kept"))
+    return once(rows, found.filter("kept AND n_shingles > 0")).select(*docs.columns)
 
 
 def op2_near_dedup(spark, sf_dir: str) -> DataFrame:
-    return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash")
 
 
 ORACLE = r"""

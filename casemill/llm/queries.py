@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casemill.llm import decontam, exact_dedup, interpolation, mixing, near_dedup, token_output, toxicity, url_filter, warc
+from casemill.llm import chat_repair, decontam, exact_dedup, interpolation, mixing, near_dedup, token_output, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_interpolation": interpolation.op5_interpolation,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_decontam": decontam.op7_decontam,
+    "op8_chat_repair": chat_repair.op8_chat_repair,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_url_filter": url_filter.op10_url_filter,
 }

@@ -81,3 +81,26 @@ def running(df: DataFrame, order: list[Column], sums: dict[str, str], within: tu
         on = on & F.col(c).eqNullSafe(F.col(f"off_{c}"))
     joined = rows.join(small(offsets), on, "left")
     return joined.select(*df.columns, (F.col("row_no") + F.col("off_n")).alias("row_no"), *((F.col(name) + F.col(f"off_{name}")).alias(name) for name in sums))
+
+
+def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with the columns key_id and key_hash (of the text), which tell rows apart."""
+    return docs.withColumns({"key_id": F.col(id_col).cast("long"), "key_hash": F.xxhash64(text_col)})
+
+
+def _meet(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    keys = small(keys.select(F.col("key_id").alias("its_id"), F.col("key_hash").alias("its_hash")))
+    return docs.join(keys, F.col("key_id").eqNullSafe(F.col("its_id")) & (F.col("key_hash") == F.col("its_hash")), how)
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of with_key() whose key isn't among keys, which may be repeated. Texts are shuffled only if keys are many."""
+    return _meet(docs, materialize(keys.select("key_id", "key_hash").distinct(), "keys"), "left_anti")
+
+
+def once(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of with_key(), each key but once. rows: the keys of all rows; only rows whose key repeats are shuffled."""
+    repeated = materialize(rows.groupBy("key_id", "key_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "keys")
+    if repeated.isEmpty():
+        return docs
+    return _meet(docs, repeated, "left_anti").unionByName(_meet(docs, repeated, "left_semi").dropDuplicates(["key_id", "key_hash"]))

@@ -244,19 +244,21 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     share of toxic labels. Null ids aren't held out. Repeated rows are scored each. An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"own_{c}") for c in keep))
-    schema = ", ".join(["doc_id long", *(f"own_{c} {own.schema[f'own_{c}'].dataType.simpleString()}" for c in keep), "score double"])
+    others = [c for c in keep if c not in (id_col, text_col)]
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"own_{c}") for c in others))
+    back = ["doc_id", *["text"] * (text_col in keep), *(f"own_{c}" for c in others)]
+    schema = ", ".join([*(f"`{c}` {own.schema[c].dataType.simpleString()}" for c in back), "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches, "text"):
             begins, *sequences = tokens(batch.column("text"))
             got = probability(shared.value, features(shared.value, begins, *sequences), np.diff(begins) == 0)
-            columns = ["doc_id", *(f"own_{c}" for c in keep)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(got)], names=[*columns, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in back), pa.array(got)], names=[*back, "score"])
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD_OUT, F.lit(False))
     scored = own.mapInArrow(run, schema)
-    return scored.select("doc_id", *(F.col(f"own_{c}").alias(c) for c in keep if c != id_col), held.alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+    kept = [F.col("text" if c == text_col else f"own_{c}").alias(c) for c in keep if c != id_col]
+    return scored.select("doc_id", *kept, held.alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,12 +27,25 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = SLICE_
             begin = end
 
 
+def compact(texts: pa.Array) -> pa.Array:
+    """The same strings in buffers of their own, null being empty.
+
+    Kernels that change strings misread an array that is a slice of a larger one and was cast.
+    """
+    texts = pc.fill_null(texts, "")
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    data = data.slice(at[0], at[-1] - at[0]) if data is not None else pa.py_buffer(b"")
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(at - at[0]), data)
+
+
 def split(texts: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words [^\\x20\\x09-\\x0D]+ of each text: where each text's begin, their codes, and the different words.
 
     The first array has one more entry than there are texts. Null has no words. With lower, A-Z are lower-cased.
     """
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    texts = compact(texts)
     parts = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     offsets = parts.offsets.to_numpy().astype(np.int64)
     flat = parts.values.slice(offsets[0], offsets[-1] - offsets[0])
