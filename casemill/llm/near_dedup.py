@@ -140,6 +140,29 @@ def verify(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     return materialize(_with_both(candidates, sketched, ["hashes"]).mapInArrow(linked, "a long, b long"), "links")
 
 
+def _bounds(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """What limits the links between the members b of buckets with the class a that all were compared to: a, b, inside, common.
+
+    inside is how many shingles a member shares with a, common how many of its others some other member
+    compared to a has too. Two members share at most the smaller inside plus the smaller common.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("hashes_a"), batch.column("hashes_b"), strict=True):
+                s, t = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                out = t[s[np.minimum(np.searchsorted(s, t), len(s) - 1)] != t].view(np.int64)
+                n = len(out) + 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, a)), pa.array(np.full(n, b)), pa.array(np.full(n, len(t) - len(out))), pa.array(np.append(out, 0)), pa.array(np.arange(n) < n - 1)], names=["a", "b", "inside", "shingle", "other"]
+                )
+
+    rows = materialize(_with_both(materialize(pairs, "pairs"), sketched, ["hashes"]).mapInArrow(run, "a long, b long, inside long, shingle long, other boolean"), "outside")
+    shared = rows.filter("other").groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "shingle")
+    common = rows.filter("other").join(shared, ["a", "shingle"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
+    return materialize(rows.filter("NOT other").select("a", "b", "inside").join(common, ["a", "b"], "left").fillna(0, ["common"]), "bounds")
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Components of documents that are linked by similarity.
 
@@ -149,10 +172,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     100 * intersection >= 75 * union.
 
     Documents with equal sets are a class, of which one row goes on. Classes that share a band fall in a
-    bucket. In each bucket all are compared to its first class; links make components. Then, in buckets where
-    several components are left, the remaining pairs of different components are compared too, so no
-    link between components is missed, and a large group of copies costs one comparison for each, not for
-    each pair. Pairs whose sizes differ too much for a link are left out. Registers are compared first, then the sets.
+    bucket. In each bucket all are compared to the one that meets most others; links make components. Where a bucket
+    still holds several components, the remaining pairs of different components are compared too, except those
+    whose sizes, or whose shares inside and outside of the class that all were compared to, rule a link out. So no link
+    between components is missed, and a large group of copies costs a comparison for each, not for each pair.
+    Registers are compared first, then the sets.
 
     Null and empty texts, and texts of white space, have an empty set: they are linked with nothing. A null doc_id
     can't be the smallest, unless the whole component has none; it is kept if it stands alone. Repeated rows
@@ -167,8 +191,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     firsts = with_class(sketched.select("uid", "n", "set_key", "bands")).filter("set_key IS NOT NULL AND (first_uid IS NULL OR first_uid = uid)")
     banded = firsts.select("uid", "n", F.explode("bands").alias("band"))
-    hubs = banded.groupBy("band").agg(F.min(F.struct("uid", "n")).alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("band", "hub")
-    crowded = materialize(banded.join(hubs, "band").select("band", "uid", "n", F.col("hub.uid").alias("hub"), F.col("hub.n").alias("hub_n")), "buckets")
+    sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    crowded = materialize(banded.join(sizes, "band"), "buckets")
+    # The class that meets most others is the likeliest to be what they are copies of.
+    ranked = crowded.join(crowded.groupBy("uid").agg(F.sum("size").alias("met")), "uid").select("band", "uid", "n", "met")
+    hubs = ranked.groupBy("band").agg(F.max(F.struct("met", (-F.col("uid")).alias("least"), "n")).alias("hub"))
+    crowded = materialize(crowded.join(hubs, "band").select("band", "uid", "n", (-F.col("hub.least")).alias("hub"), F.col("hub.n").alias("hub_n")), "buckets")
 
     near = lambda x, y: DENOMINATOR * F.least(x, y) >= NUMERATOR * F.greatest(x, y)
     first = crowded.filter((F.col("uid") != F.col("hub")) & near(F.col("n"), F.col("hub_n"))).select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct()
@@ -179,8 +207,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     placed = materialize(placed, "placed")
     open_bands = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("band")
     left = materialize(placed.join(small(open_bands), "band", "left_semi").filter("uid <> hub"), "open")
-    other = left.select("band", F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
-    rest = left.join(other, "band").filter((F.col("uid") < F.col("b")) & (F.col("part") != F.col("part_b")) & near(F.col("n"), F.col("n_b"))).select(F.col("uid").alias("a"), "b").distinct()
+    bounds = _bounds(left.select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct(), sketched)
+    left = materialize(left.join(small(bounds), (F.col("hub") == F.col("a")) & (F.col("uid") == F.col("b"))).drop("a", "b"), "open")
+    other = left.select("band", F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"), F.col("inside").alias("inside_b"), F.col("common").alias("common_b"))
+    can = (NUMERATOR + DENOMINATOR) * (F.least("inside", "inside_b") + F.least("common", "common_b")) >= NUMERATOR * (F.col("n") + F.col("n_b"))
+    rest = left.join(other, (left["band"] == other["band"]) & (F.col("uid") < F.col("b")) & (F.col("part") != F.col("part_b")) & near(F.col("n"), F.col("n_b")) & can).select(F.col("uid").alias("a"), "b").distinct()
     more = verify(materialize(rest, "pairs"), sketched)
     roots = components(links.unionByName(more))
 
