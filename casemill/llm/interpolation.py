@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,13 +11,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm import words
-from casemill.llm.shared import materialize, n_partitions
+from casemill.llm import files, words
+from casemill.llm.shared import materialize, n_partitions, new_path, small
 
 #: Documents whose crc32 of the id modulo this is HELD_OUT aren't learnt from.
 FOLDS, HELD_OUT = 5, 1
 #: Bytes of text whose tokens travel together, and keys that one bucket of the count holds on average.
-BATCH_BYTES, BUCKET_KEYS = 12_000_000, 2_000_000
+BATCH_BYTES, BUCKET_KEYS = 6_000_000, 2_000_000
+#: Bytes of a bigram's hash that are sent besides its bucket: of 2,000,000 keys in a bucket, about 4 are taken for another.
+KEY_BYTES = 5
 #: Context frequencies fall in buckets by their power of two.
 BUCKETS = 48
 #: Ratios of the estimates are told apart to this part of a doubling when weights are learnt.
@@ -87,13 +90,14 @@ def encode(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, "batch long, n_tokens long, blob binary")
 
 
-def count(encoded: DataFrame, buckets: int) -> DataFrame:
+def count(encoded: DataFrame, buckets: int, folder: str) -> DataFrame:
     """How often each token and bigram of each batch occurs in the training documents.
 
     A batch sends its different keys, sorted, with their counts, in one row for each bucket of keys; a
-    bucket adds the counts of equal keys and sends the sums back in the same order. So a frequent key is one
-    number of each batch, however often it occurs. Columns: batch, kind (0 tokens, 1 bigrams), bucket, blob,
-    and for tokens the sums n_train and n_seen (different ones) of the bucket, in one row of it only.
+    bucket adds the counts of equal keys and sends the sums back in the same order, where they are written to one file
+    for each batch. So a frequent key is one number of each batch, however often it occurs, and batches themselves
+    aren't shuffled. Columns: batch, path, and n_train and n_seen, whose sums over all rows are the number of training tokens
+    and of different ones.
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,39 +115,62 @@ def count(encoded: DataFrame, buckets: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([number] * len(full)), pa.array([kind] * len(full), pa.int32()), pa.array(full, pa.int32()),
-                            pa.array([_pack(keys[cuts[b] : cuts[b + 1]], _least(counts[cuts[b] : cuts[b + 1]])) for b in full], pa.binary()),
+                            pa.array([_pack(_short(keys[cuts[b] : cuts[b + 1]], kind), _least(counts[cuts[b] : cuts[b + 1]])) for b in full], pa.binary()),
                         ],
                         names=["batch", "kind", "bucket", "blob"],
                     )
 
     def add(table: pa.Table) -> pa.Table:
-        parts = [_unpack(x.as_py()) for x in table.column("blob")]
+        kind = table.column("kind")[0].as_py()
+        parts = [(_long(k, kind), c) for k, c in (_unpack(x.as_py()) for x in table.column("blob"))]
         cuts = np.cumsum([0] + [len(k) for k, _ in parts])
         keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
         sums = np.zeros(len(keys), np.int64)
         np.add.at(sums, at, np.concatenate([c for _, c in parts]).astype(np.int64))
         first = np.arange(len(parts)) == 0
-        tokens = table.column("kind")[0].as_py() == 0
+        tokens = kind == 0
         return pa.table({
             "batch": table.column("batch"), "kind": table.column("kind"), "bucket": table.column("bucket"),
             "blob": pa.array([_pack(_least(sums[at[a:b]])) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
             "n_train": pa.array(np.where(first & tokens, sums.sum(), 0), pa.int64()), "n_seen": pa.array(np.where(first & tokens, (sums > 0).sum(), 0), pa.int64()),
         })
 
+    def keep(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("kind", "bucket", "blob")), strict=True), key=lambda r: r[:2])
+        answers = [np.concatenate([_unpack(r[2])[0] for r in rows if r[0] == kind]) for kind in (0, 1)]
+        with files.open_at(path := files.fresh(folder, ".counts"), "w") as f:
+            f.write(zlib.compress(_pack(*answers), 1))
+        total = lambda c: [sum(table.column(c).to_pylist())]
+        return pa.table({"batch": table.column("batch")[:1], "path": [path], "n_train": total("n_train"), "n_seen": total("n_seen")})
+
     asked = encoded.select("batch", "blob").mapInArrow(ask, "batch long, kind int, bucket int, blob binary")
-    return asked.groupBy("kind", "bucket").applyInArrow(add, "batch long, kind int, bucket int, blob binary, n_train long, n_seen long")
+    added = asked.groupBy("kind", "bucket").applyInArrow(add, "batch long, kind int, bucket int, blob binary, n_train long, n_seen long")
+    return added.groupBy("batch").applyInArrow(keep, "batch long, path string, n_train long, n_seen long")
+
+
+def _short(keys: np.ndarray, kind: int) -> np.ndarray:
+    """Keys of tokens as they are, those of bigrams cut to KEY_BYTES bytes."""
+    return keys if kind == 0 else np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).reshape(-1)
+
 
+def _long(keys: np.ndarray, kind: int) -> np.ndarray:
+    if kind == 0:
+        return keys
+    out = np.zeros((len(keys) // KEY_BYTES, 8), np.uint8)
+    out[:, :KEY_BYTES] = keys.reshape(-1, KEY_BYTES)
+    return out.reshape(-1).view("<u8")
 
-def _estimates(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Of a batch and the answers to it: its arrays, and each token's count, its context's, and its bigram's."""
-    rows = sorted(zip(*(table.column(c).to_pylist() for c in ("kind", "bucket", "blob")), strict=True), key=lambda r: r[:2])
-    arrays = _unpack(next(r[2] for r in rows if r[0] < 0))
+
+def _estimates(blob: bytes, path: str) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Of a batch and the file of its counts: its arrays, and each token's count, its context's, and its bigram's."""
+    with files.open_at(path, "r") as f:
+        tokens, bigrams = _unpack(zlib.decompress(f.read()))
+    arrays = _unpack(blob)
     _, _, _, sizes, codes, hashes = arrays
-    answer = lambda kind: np.concatenate([_unpack(r[2])[0].astype(np.int64) for r in rows if r[0] == kind])
     token = np.empty(len(hashes), np.int64)
-    token[np.argsort(hashes)] = answer(0)
+    token[np.argsort(hashes)] = tokens
     _, at = _keys(codes, sizes, hashes)
-    return arrays, token[codes], token[_contexts(codes, sizes, len(hashes) - 1)], answer(1)[at]
+    return arrays, token[codes], token[_contexts(codes, sizes, len(hashes) - 1)], bigrams[at].astype(np.int64)
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
@@ -151,9 +178,17 @@ def _bucket(context: np.ndarray) -> np.ndarray:
     return np.where(context > 0, np.minimum(BUCKETS - 1, np.frexp(context.astype(np.float64))[1]), 0)
 
 
-def _grouped(encoded: DataFrame, counted: DataFrame, run, schema: str) -> DataFrame:
-    rows = encoded.selectExpr("batch", "-1 AS kind", "0 AS bucket", "blob").unionByName(counted.select("batch", "kind", "bucket", "blob"))
-    return rows.groupBy("batch").applyInArrow(run, schema)
+def _each(encoded: DataFrame, counted: DataFrame, run, schema: str) -> DataFrame:
+    """What run gives, as a table, for each batch and its counts. There is one path for each batch to send along."""
+    paths = counted.select(F.col("batch").alias("its_batch"), "path")
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob, path in zip(batch.column("blob"), batch.column("path").to_pylist(), strict=True):
+                yield from run(*_estimates(blob.as_py(), path)).to_batches()
+                words.give_back()
+
+    return encoded.join(small(paths), F.col("batch") == F.col("its_batch")).select("blob", "path").mapInArrow(apply, schema)
 
 
 def learn_weights(encoded: DataFrame, counted: DataFrame, n_train: int, n_seen: int) -> np.ndarray:
@@ -165,8 +200,8 @@ def learn_weights(encoded: DataFrame, counted: DataFrame, n_train: int, n_seen:
     """
     uniform, far = 1 / (n_seen + 1), 1 << 20
 
-    def cells(table: pa.Table) -> pa.Table:
-        (_, _, held, sizes, _, _), token, context, bigram = _estimates(table)
+    def cells(arrays: list[np.ndarray], token: np.ndarray, context: np.ndarray, bigram: np.ndarray) -> pa.Table:
+        _, _, held, sizes, _, _ = arrays
         use = np.repeat(held == 0, sizes)
         token, context, bigram = token[use] - 1, context[use] - 1, bigram[use] - 1
         step = lambda p: np.where(p > 0, np.round(np.log2(np.maximum(p, 1e-300) / uniform) * STEPS), -far).astype(np.int64)
@@ -174,7 +209,7 @@ def learn_weights(encoded: DataFrame, counted: DataFrame, n_train: int, n_seen:
         found, n = np.unique(key, axis=1, return_counts=True) if key.shape[1] else (key, np.zeros(0, np.int64))
         return pa.table({"bucket": found[0], "two": found[1], "one": found[2], "n": n.astype(np.int64)})
 
-    rows = _grouped(encoded, counted, cells, "bucket long, two long, one long, n long").groupBy("bucket", "two", "one").agg(F.sum("n").alias("n")).toPandas()
+    rows = _each(encoded, counted, cells, "bucket long, two long, one long, n long").groupBy("bucket", "two", "one").agg(F.sum("n").alias("n")).toPandas()
     weights = np.tile([0.0, 0.9, 0.1], (BUCKETS, 1))
     for bucket, cell in rows.groupby("bucket"):
         ratio = lambda c: np.where(cell[c].to_numpy() == -far, 0.0, np.exp2(cell[c].to_numpy() / STEPS))  # noqa: E731, B023
@@ -204,15 +239,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     A null or empty text is its end only. A null id isn't held out. Repeated rows count each. Without training
     documents all counts are 0 and the estimates uniform. An empty table gives an empty result. Other columns aren't read.
     """
-    encoded = materialize(encode(docs, id_col, text_col), "tokens")
+    encoded = materialize(encode(docs, id_col, text_col), "tokens", compression="zstd")
     total = encoded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     buckets = max(n_partitions(docs.sparkSession), -(-total // BUCKET_KEYS))
-    counted = materialize(count(encoded, buckets), "counts")
+    counted = materialize(count(encoded, buckets, new_path(docs.sparkSession, "counts")), "counts")
     n_train, n_seen = counted.agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.coalesce(F.sum("n_seen"), F.lit(0))).first()
     weights = learn_weights(encoded, counted, n_train, n_seen)
 
-    def run(table: pa.Table) -> pa.Table:
-        (ids, null, held, sizes, _, _), token, context, bigram = _estimates(table)
+    def run(arrays: list[np.ndarray], token: np.ndarray, context: np.ndarray, bigram: np.ndarray) -> pa.Table:
+        ids, null, held, sizes, _, _ = arrays
         w = weights[_bucket(context)]
         p = w[:, 0] * bigram / np.maximum(context, 1) + w[:, 1] * token / max(n_train, 1) + w[:, 2] / (n_seen + 1)
         if not n_train:
@@ -224,7 +259,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             "train_tokens": np.full(len(ids), n_train, np.int64), "base_score": np.add.reduceat(base, at), "score": np.add.reduceat(np.log10(p), at),
         })
 
-    return _grouped(encoded, counted, run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return _each(encoded, counted, run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op5_interpolation(spark, sf_dir: str) -> DataFrame:

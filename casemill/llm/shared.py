@@ -30,10 +30,10 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Writes df to shared storage and reads it back: cuts lineage, and survives lost executors."""
     path = new_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that are held as words at one time (a longer single text is taken alone).
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 4_000_000
 
 
 def slices(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -24,9 +24,15 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = SLICE_
             base = ends[begin - 1] if begin else 0
             end = max(begin + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(begin, end - begin)
+            give_back()
             begin = end
 
 
+def give_back() -> None:
+    """Lets the system have what Arrow holds in reserve, before the next slice is taken."""
+    pa.default_memory_pool().release_unused()
+
+
 def compact(texts: pa.Array) -> pa.Array:
     """The same strings in buffers of their own, null being empty.
 
