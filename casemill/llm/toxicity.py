@@ -19,8 +19,8 @@ from casemill.llm.shared import materialize
 #: FIT fit the last step, and the rest give the counts.
 FOLDS, HELD_OUT, FIT = 4, 2, 3
 #: The bound of the sample: at most so many labelled documents of each class and use, and so many bytes of
-#: their texts. It bounds the model, which the tasks hold in memory (about 60 MB).
-SAMPLE_DOCS, SAMPLE_BYTES = 2_500, 12_000_000
+#: their texts. It bounds the model, which the tasks hold in memory (about 25 MB).
+SAMPLE_DOCS, SAMPLE_BYTES = 1_500, 5_000_000
 #: Lengths of the stretches of words whose likeliest is looked for, besides the whole text.
 STRETCHES = (1, 6, 24)
 FEATURES = 3 * (1 + len(STRETCHES))
@@ -79,13 +79,13 @@ def _discounts(counts: np.ndarray) -> np.ndarray:
     return np.array([0.0, *(min(k, max(0.1 * k, k - (k + 1) * y * n[k + 1] / n[k])) for k in (1, 2, 3))])
 
 
-def fit_sides(pairs: pd.DataFrame) -> tuple[Side, Side, Side]:
+def fit_sides(pairs: pa.Table) -> tuple[Side, Side, Side]:
     """Words, pairs and backing off by counted pairs: columns v, w (hashes), ordinary, toxic (counts).
 
     In each class a pair's discounted count is interpolated with the class's discounted continuation count of
     its second word (how many different words it follows), and that with the continuation count of both classes together.
     """
-    v, w = pairs["v"].to_numpy().view(np.uint64), pairs["w"].to_numpy().view(np.uint64)
+    v, w = (pairs[c].to_numpy().view(np.uint64) for c in "vw")
     contexts, v_at = np.unique(v, return_inverse=True)
     vocabulary, w_at = np.unique(w, return_inverse=True)
     shared = (np.bincount(w_at, minlength=len(vocabulary)) + 0.5) / (len(v) + 0.5 * (len(vocabulary) + 1))
@@ -113,10 +113,9 @@ def fit_sides(pairs: pd.DataFrame) -> tuple[Side, Side, Side]:
     return (Side(vocabulary, ratio(word_t, word_o), float(np.log(max(rest_t, 1e-300) / max(rest_o, 1e-300)))), Side(keys[order], ratio(pair_t, pair_o)[order], np.nan), Side(contexts, ratio(back_t, back_o), 0.0))
 
 
-def fit_model(pairs: pd.DataFrame) -> Model:
+def fit_model(pairs: pa.Table) -> Model:
     """The model of counted pairs of words, and of their stems (rows whose column stem is true)."""
-    stems = pairs["stem"].to_numpy()
-    return Model(*fit_sides(pairs[~stems]), fit_sides(pairs[stems])[0])
+    return Model(*fit_sides(pairs.filter(pc.invert(pairs["stem"]))), fit_sides(pairs.filter(pairs["stem"]))[0])
 
 
 def features(model: Model, begins: np.ndarray, hashes: np.ndarray, stems: np.ndarray) -> np.ndarray:
@@ -217,7 +216,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_pandas(both.astype(np.int64).assign(stem=stem), preserve_index=False)
 
     counted = texts.filter("NOT fit").select("text", "toxic").mapInArrow(pairs, "v long, w long, ordinary long, toxic long, stem boolean")
-    model = fit_model(counted.groupBy("stem", "v", "w").agg(F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")).toPandas())
+    model = fit_model(counted.groupBy("stem", "v", "w").agg(F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")).toArrow())
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"x{k}" for k in range(FEATURES)]
 
