@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casemill.functions import scalars
-from casemill.operators import labels, queue, snapshots, tree
+from casemill.functions import people, scalars
+from casemill.operators import citations, html, labels, queue, snapshots, tree
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -514,3 +514,153 @@ def pin_ranges(spark, sf_dir):
     one = F.struct(F.col("l_suppkey").cast("long").alias("a"), F.col("l_linenumber").cast("long").alias("b"))
     two = F.struct(F.col("l_partkey").cast("long").alias("a"), F.lit(None).cast("long").alias("b"))
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.array_join(scalars.pins(F.array(one, two)).cast("array<string>"), ",").alias("pins"))
+
+
+# Documents, citations and people
+
+
+@query()
+def page_layout(spark, sf_dir):
+    """The layout of each page, and whether its numbered paragraphs are complete."""
+    pages = table(spark, sf_dir, "pages")
+    return html.layouts(pages, html.paragraphs(pages, "page_id", "html"), "page_id", "html")
+
+
+@query()
+def page_paragraphs(spark, sf_dir):
+    """The paragraphs of each page."""
+    return html.paragraphs(table(spark, sf_dir, "pages"), "page_id", "html").select("page_id", "pos", "text", "number")
+
+
+def _judgments(spark, sf_dir):
+    """Each conversation as a judgment: users' turns are numbered paragraphs, other turns go on."""
+    turns = table(spark, sf_dir, "conversations").withColumn("n", F.sum(F.when(F.col("role") == "user", 1).otherwise(0)).over(Window.partitionBy("conv_id").orderBy("turn")))
+    words = F.regexp_replace(F.regexp_replace("text", r"[^A-Za-z ]", ""), " +", " ")
+    mark = F.concat(F.lit('<p class="'), F.when(F.col("role") == "user", "Judg-1").otherwise("Judg-2"), F.lit('">'), F.when(F.col("role") == "user", F.concat(F.col("n").cast("string"), F.lit(" "))).otherwise(""), F.lit("X"), F.trim(words))
+    parts = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", mark.alias("m")))).alias("parts"))
+    return parts.select("conv_id", F.concat(F.lit('<div id="judgments">'), F.array_join(F.transform("parts", lambda x: x["m"]), ""), F.lit("</div>")).alias("html"))
+
+
+@query(r"""WITH t AS (SELECT *, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn) AS n, 'X' || trim(regexp_replace(regexp_replace(text, '[^A-Za-z ]', '', 'g'), ' +', ' ', 'g')) AS words FROM conversations)
+SELECT conv_id, n::INT AS ordinal, string_agg(words, chr(10) ORDER BY turn) AS text FROM t WHERE n > 0 GROUP BY 1, 2""")
+def judgment_blocks(spark, sf_dir):
+    """Numbered paragraphs of judgments with what follows each."""
+    return html.blocks(html.paragraphs(_judgments(spark, sf_dir), "conv_id", "html"), "conv_id")
+
+
+def _statutes(spark, sf_dir):
+    """Each region as a statute: nations are sections, their customers' segments subsections."""
+    customers = table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment").distinct()
+    subs = customers.groupBy("c_nationkey").agg(F.array_sort(F.collect_list("c_mktsegment")).alias("segments"))
+    nation = table(spark, sf_dir, "nation").join(subs, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    each = F.array_join(F.transform(F.coalesce("segments", F.array().cast("array<string>")), lambda s, i: F.concat(F.lit('<div class="prov2Txt">('), (i + 1).cast("string"), F.lit(") For "), s, F.lit("</div>"))), "")
+    key = F.col("n_nationkey").cast("string")
+    section = F.concat(F.lit('<div class="prov1" id="pr'), key, F.lit('-"><table><tr><td class="prov1Hdr">Of '), F.col("n_name"), F.lit('</td></tr></table><div class="prov1Txt"><strong>'), key, F.lit('.</strong> Text</div>'), each, F.lit("</div>"))
+    parts = nation.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", section.alias("s")))).alias("parts"))
+    region = table(spark, sf_dir, "region").join(parts, F.col("r_regionkey") == F.col("n_regionkey"))
+    body = F.concat(F.lit('<div class="legis"><div class="front">An Act of '), F.col("r_name"), F.lit('</div><div class="body"><table><tr><td class="part">PART 1 GENERAL</td></tr></table>'), F.array_join(F.transform("parts", lambda x: x["s"]), ""), F.lit("</div></div>"))
+    return region.select(F.col("r_regionkey").cast("long").alias("doc"), body.alias("html"))
+
+
+@query("""WITH s AS (SELECT DISTINCT n_regionkey, n_nationkey, n_name, c_mktsegment FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey),
+u AS (SELECT r_regionkey AS doc, -2 AS a, '' AS b, 'opening' AS kind, NULL AS citation, 1 AS level FROM region UNION ALL SELECT r_regionkey, -1, '', 'part', 'Pt 1', 1 FROM region
+UNION ALL SELECT DISTINCT n_regionkey, n_nationkey, '', 'section', 's ' || n_nationkey, 2 FROM s
+UNION ALL SELECT n_regionkey, n_nationkey, c_mktsegment, 'subsection', 's ' || n_nationkey || '(' || row_number() OVER (PARTITION BY n_nationkey ORDER BY c_mktsegment) || ')', 3 FROM s WHERE c_mktsegment IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY a, b) AS ordinal, max(CASE WHEN kind = 'part' THEN 2 END) OVER (PARTITION BY doc) AS p FROM u)
+SELECT doc::BIGINT AS doc, ordinal::INT AS ordinal, level, kind, citation,
+CASE kind WHEN 'opening' THEN NULL WHEN 'part' THEN NULL WHEN 'section' THEN 2 ELSE max(CASE WHEN kind = 'section' THEN ordinal END) OVER (PARTITION BY doc ORDER BY ordinal) END::INT AS parent_ordinal,
+CASE kind WHEN 'part' THEN count(*) OVER (PARTITION BY doc) - 2 WHEN 'section' THEN count(*) OVER (PARTITION BY doc, a) - 1 ELSE 0 END::INT AS descendant_count FROM o""")
+def provision_tree(spark, sf_dir):
+    """Provision trees of statutes as nested sets."""
+    return html.provisions(_statutes(spark, sf_dir), "doc", "html").select("doc", "ordinal", "level", "kind", "citation", "parent_ordinal", "descendant_count")
+
+
+@query("""SELECT r_regionkey::BIGINT AS doc, count(*)::BIGINT AS expected, count(*)::BIGINT AS extracted, 'complete' AS parse_status FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY 1""")
+def legislation_status(spark, sf_dir):
+    """Expected and extracted provisions."""
+    statutes = _statutes(spark, sf_dir)
+    return html.legislation_status(statutes, html.provisions(statutes, "doc", "html"), "doc", "html").withColumn("expected", F.col("expected").cast("long"))
+
+
+@query("""SELECT p_partkey, p_brand AS term, 'means ' || p_name AS definition FROM part""")
+def definition_rows(spark, sf_dir):
+    """Defined terms of statutes."""
+    cell = F.concat(F.lit('<table><tr><td class="def">“'), F.col("p_brand"), F.lit("” means "), F.col("p_name"), F.lit('<span class="amendNote">[1/2000]</span></td></tr><tr><td class="def">“'), F.col("p_brand"), F.lit("” means another</td></tr></table>"))
+    return html.definitions(table(spark, sf_dir, "part").select("p_partkey", cell.alias("html")), "p_partkey", "html")
+
+
+def _paragraphs(spark, sf_dir):
+    """Each order as a case with a paragraph for each line: the first names a case and an act, others refer back."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    n, key = F.col("l_linenumber").cast("string"), F.col("l_orderkey").cast("string")
+    first = F.concat(F.lit("See Re Alpha [2001] SGHC "), (F.col("l_orderkey") + 1).cast("string"), F.lit(" (“Alpha”) at [1]–[3], and s "), n, F.lit("(2)(a), 13A and 14 of the Sale of Goods Act 1999 (Cap 393) (the “SGA”)."))
+    rest = F.concat(F.lit("As held (at ["), n, F.lit("]), s "), n, F.lit(" applies; see [1999] 2 SLR(R) "), key, F.lit(" and above at [1]. Alpha at [2] agrees."))
+    text = F.when(F.col("l_linenumber") == 1, first).otherwise(rest)
+    return lines.select(F.col("l_orderkey").alias("case_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_linenumber").cast("int").alias("ordinal"), text.alias("content"))
+
+
+@query("""WITH k AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linenumber = 1)
+SELECT l_orderkey AS case_id, 'Alpha' AS short_name, 'Re Alpha [2001] SGHC ' || (l_orderkey + 1) AS expanded, 'case' AS kind FROM k UNION ALL SELECT l_orderkey, 'SGA', 'Sale of Goods Act 1999 (Cap 393)', 'act' FROM k""")
+def aliases(spark, sf_dir):
+    """Short names that cases define."""
+    return citations.extract_aliases(_paragraphs(spark, sf_dir))
+
+
+_SPANS = """WITH p AS (SELECT DISTINCT l_orderkey AS c, l_linenumber AS n FROM lineitem), h AS (SELECT DISTINCT c FROM p WHERE n = 1), q AS (SELECT p.*, h.c IS NOT NULL AS named FROM p LEFT JOIN h USING (c)),
+x AS (
+  SELECT c, n, 1 AS pos, 'case' AS kind, 'Re Alpha' AS name, '[2001] SGHC ' || (c + 1) AS neutral, '1,2,3' AS pins, '' AS provisions FROM q WHERE n = 1
+  UNION ALL SELECT c, n, 2, 'provision', 'Sale of Goods Act 1999', NULL, '', 's ' || n || '(2)(a),s 13A,s 14' FROM q WHERE n = 1
+  UNION ALL SELECT c, n, 1, 'provision', CASE WHEN named THEN 'Sale of Goods Act 1999' END, NULL, '', 's ' || n FROM q WHERE n > 1
+  UNION ALL SELECT c, n, 2, 'case', NULL, NULL, '', '' FROM q WHERE n > 1
+  UNION ALL SELECT c, n, 3, 'self', NULL, NULL, '1', '' FROM q WHERE n > 1
+  UNION ALL SELECT c, n, 4, 'case', 'Alpha', '[2001] SGHC ' || (c + 1), '2', '' FROM q WHERE n > 1 AND named
+  UNION ALL SELECT c, n, 9, 'case', CASE WHEN named THEN 'Alpha' END, CASE WHEN named THEN '[2001] SGHC ' || (c + 1) END, n::VARCHAR, '' FROM q WHERE n > 1
+  UNION ALL SELECT c, n, 10, 'case', NULL, NULL, '2', '' FROM q WHERE n > 1 AND NOT named) """
+
+
+@query(_SPANS + """SELECT c AS case_id, (c * 10 + n)::BIGINT AS paragraph_id, kind, name, neutral, pins, provisions FROM x""")
+def citation_spans(spark, sf_dir):
+    """References of paragraphs, with what bare ones mean."""
+    paragraphs = _paragraphs(spark, sf_dir)
+    spans = citations.extract_spans(paragraphs, citations.extract_aliases(paragraphs))
+    return spans.select("case_id", "paragraph_id", "kind", "name", "neutral", F.array_join(F.col("pins").cast("array<string>"), ",").alias("pins"), F.array_join("provisions", ",").alias("provisions"))
+
+
+@query(_SPANS + """, k AS (SELECT DISTINCT c FROM p), r AS (SELECT x.*, k.c AS t FROM x LEFT JOIN k ON x.kind = 'case' AND x.neutral = '[2001] SGHC ' || k.c),
+y AS (SELECT r.*, m.n AS hit FROM r LEFT JOIN p m ON m.c = CASE WHEN kind = 'self' THEN r.c ELSE t END AND m.n::VARCHAR = r.pins)
+SELECT c AS case_id, (c * 10 + n)::BIGINT AS paragraph_id, kind, pins, CASE WHEN hit IS NULL AND kind = 'case' THEN t END AS target_case, CASE WHEN hit IS NOT NULL THEN CASE WHEN kind = 'self' THEN c ELSE t END * 10 + hit END::BIGINT AS target_paragraph FROM y""")
+def resolved_references(spark, sf_dir):
+    """What references refer to: a case, or a paragraph of one."""
+    paragraphs = _paragraphs(spark, sf_dir)
+    known = citations.extract_aliases(paragraphs)
+    cases = paragraphs.select("case_id").distinct().withColumn("neutral_citation", F.concat(F.lit("[2001] SGHC "), F.col("case_id").cast("string")))
+    done = citations.resolve(citations.extract_spans(paragraphs, known), cases, paragraphs, known)
+    return done.select("case_id", "paragraph_id", "kind", F.array_join(F.col("pins").cast("array<string>"), ",").alias("pins"), "target_case", "target_paragraph")
+
+
+@query("""SELECT c_custkey, 'Person A' || c_custkey AS name, CASE WHEN c_custkey % 2 = 0 THEN 'plaintiff' END AS role FROM customer UNION ALL SELECT c_custkey, 'Company B', CASE WHEN c_custkey % 2 = 0 THEN 'plaintiff' END FROM customer WHERE c_custkey % 2 = 0""")
+def party_rows(spark, sf_dir):
+    """Parties in metadata of two shapes."""
+    person = F.concat(F.lit("Person A"), F.col("c_custkey").cast("string"))
+    both = F.concat(F.lit('{"Parties": {"Party": [{"Role": "plaintiff", "Name": ["'), person, F.lit('", "Company B"]}]}}'))
+    one = F.concat(F.lit('{"Parties": {"Party": "'), person, F.lit('"}}'))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.explode(people.parties(F.when(F.col("c_custkey") % 2 == 0, both).otherwise(one))).alias("p"))
+    return rows.select("c_custkey", "p.name", "p.role")
+
+
+@query("""SELECT c_custkey, unnest(['Ann Lee SC', 'Bob Tan' || chr(65 + (c_custkey % 26)::INT), 'Cy Ong']) AS name, unnest(['appellant', 'appellant', 'first respondent']) AS represents FROM customer""")
+def counsel_rows(spark, sf_dir):
+    """Counsel, and for whom they speak."""
+    line = F.concat(F.lit('{"Counsels": {"Counsel": ["Ann Lee, SC and Bob Tan'), F.char(65 + F.col("c_custkey") % 26), F.lit(' (Lee & Tan LLP) for the appellant. Cy Ong (instructed) for the first respondent.", "The second respondent in person"]}}'))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.explode(people.counsel(line)).alias("c"))
+    return rows.select("c_custkey", "c.name", "c.represents")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'Tay' WHEN c_custkey % 3 = 1 THEN 'Ang Bo' ELSE 'Lim Judge' END AS name, CASE WHEN c_custkey % 3 < 2 THEN CASE WHEN c_custkey % 3 = 0 THEN 'CJ' ELSE 'J' END END AS title,
+'SGHC' AS court, 'High Court' AS court_name FROM customer""")
+def judges_and_courts(spark, sf_dir):
+    """Judges' names and titles, and courts by code."""
+    name = F.when(F.col("c_custkey") % 3 == 0, "Tay  CJ").when(F.col("c_custkey") % 3 == 1, "Ang Bo J").otherwise("Lim Judge")
+    code = scalars.court_code(F.lit(None).cast("string"), F.concat(F.lit("[2001] SGHC "), F.col("c_custkey").cast("string")))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", scalars.judge(name).alias("j"), code.alias("court"))
+    return rows.select("c_custkey", "j.name", "j.title", "court", scalars.court_name(F.col("court")).alias("court_name"))
