@@ -11,7 +11,7 @@ from casemill.llm.shared import WORD, materialize, n_partitions, once, running,
 WEIGHTS = (5, 2, 1)
 #: No document is taken more often than this.
 MAX_REPEATS = 3
-#: Times that a source's missing words are filled by the largest document that still fits.
+#: Times that a source's missing words are filled by the largest document that still fits, before the nearest one is tried.
 FILLS = 2
 #: The integral of piecewise linear weights from the first knot to that with the given number.
 AREA = "aggregate(sequence(1, {last}), cast(0 as double), (s, i) -> s + (knots[i].t - knots[i - 1].t) * (knots[i].w + knots[i - 1].w) / 2)"
@@ -58,7 +58,7 @@ def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = M
 
     A source of size S and target t takes each document t div S times; the rest goes to documents in the order
     of the MD5 of their ids as far as they fit, and what is then missing to the largest that still fit, FILLS
-    times. Documents are taken whole. A document's words stand at a place in its source's demand; the
+    times, and at last to the one that comes nearest, if it comes nearer than none. Documents are taken whole. A document's words stand at a place in its source's demand; the
     schedule's integral is inverted there to give its position.
 
     A null text has size 0 and is taken, at no cost, like others. Null sources are a source. Repeated rows are
@@ -77,11 +77,12 @@ def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = M
     names = targets.select(F.col("source").alias("t_source"), "source_size", "target", "weight", "knots", "areas", "whole", "rest")
     on = F.col("source").eqNullSafe(F.col("t_source"))
     rows = placed.join(small(names), on, "left").drop("t_source").withColumn("more", (F.col("before") + F.col("size") <= F.col("rest")) & (F.col("rest") > 0))
-    for _ in range(FILLS):
+    for turn in range(FILLS + 1):
         taken = rows.groupBy("source").agg(F.coalesce(F.sum(F.when(F.col("more"), F.col("size"))), F.lit(0)).alias("got"), F.max("rest").alias("want"))
         left = materialize(taken.select(F.col("source").alias("l_source"), (F.col("want") - F.col("got")).alias("left")), "left")
-        fits = rows.join(small(left), F.col("source").eqNullSafe(F.col("l_source"))).filter("NOT more AND size > 0 AND size <= left")
-        best = fits.groupBy("l_source").agg(F.max(F.struct("size", (-F.col("row_no")).alias("row"))).alias("fill"))
+        most = F.col("left") if turn < FILLS else 2 * F.col("left") - 1e-6
+        fits = rows.join(small(left), F.col("source").eqNullSafe(F.col("l_source"))).filter(~F.col("more") & (F.col("size") > 0) & (F.col("size") <= most))
+        best = fits.groupBy("l_source").agg(F.max(F.struct(-F.abs(F.col("left") - F.col("size")), (-F.col("row_no")).alias("row"))).alias("fill"))
         best = materialize(best.select(F.col("l_source").alias("f_source"), (-F.col("fill.row")).alias("f_row")), "fill")
         rows = rows.join(small(best), F.col("source").eqNullSafe(F.col("f_source")) & (F.col("row_no") == F.col("f_row")), "left")
         rows = rows.withColumn("more", F.col("more") | F.col("f_row").isNotNull()).drop("f_source", "f_row")
@@ -141,9 +142,9 @@ _FILL = """
 l{n} AS (
   SELECT source, max(rest) - coalesce(sum(CASE WHEN more THEN size END), 0) AS missing FROM m{m} GROUP BY source),
 f{n} AS (
-  SELECT m.source, m.row_no, row_number() OVER (PARTITION BY m.source ORDER BY size DESC, row_no) AS best
+  SELECT m.source, m.row_no, row_number() OVER (PARTITION BY m.source ORDER BY abs(missing - size), row_no) AS best
   FROM m{m} m JOIN l{n} l ON m.source IS NOT DISTINCT FROM l.source
-  WHERE NOT more AND size > 0 AND size <= missing),
+  WHERE NOT more AND size > 0 AND size <= {most}),
 m{n} AS (
   SELECT m.* EXCLUDE (more), m.more OR f.row_no IS NOT NULL AS more
   FROM m{m} m LEFT JOIN f{n} f ON m.source IS NOT DISTINCT FROM f.source AND m.row_no = f.row_no AND f.best = 1)"""
@@ -167,8 +168,8 @@ q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE
 m0 AS (
   SELECT p.*, source_size, target, whole, target - whole * source_size AS rest, before + size <= target - whole * source_size AND target - whole * source_size > 0 AS more
   FROM p JOIN q ON p.source IS NOT DISTINCT FROM q.source),
-""" + ",".join(_FILL.format(n=n, m=n - 1) for n in range(1, FILLS + 1)) + f"""
-, z AS (SELECT *, CASE WHEN target > 0 THEN whole + more::BIGINT ELSE 0 END AS copies FROM m{FILLS})
+""" + ",".join(_FILL.format(n=n, m=n - 1, most="missing" if n <= FILLS else "2 * missing - 1e-6") for n in range(1, FILLS + 2)) + f"""
+, z AS (SELECT *, CASE WHEN target > 0 THEN whole + more::BIGINT ELSE 0 END AS copies FROM m{FILLS + 1})
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies,
        CASE WHEN copies > 0 THEN round(CASE WHEN whole > 0 THEN before::DOUBLE ELSE greatest(0.0, least(before::DOUBLE, rest - size)) END / target, 6) END AS position
 FROM z
