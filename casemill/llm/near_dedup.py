@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casemill.llm import words
@@ -140,27 +140,50 @@ def verify(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     return materialize(_with_both(candidates, sketched, ["hashes"]).mapInArrow(linked, "a long, b long"), "links")
 
 
+#: A code tells apart how many of a set's elements fall into each of CELLS cells, up to two.
+CELLS = 128
+CODES = [f"{part}_{k}" for part in ("in", "out") for k in range(5)]
+
+
+def _code(elements: np.ndarray) -> list[int]:
+    """Two bits for each cell, one for one element at least and one for two, in four numbers; and how many more elements there are.
+
+    Two sets share at most as many elements as their codes share bits, and the smaller number of more elements.
+    """
+    counts = np.bincount((words.mix(elements) >> np.uint64(57)).astype(np.int64), minlength=CELLS)
+    bits = np.packbits(np.concatenate([counts >= 1, counts >= 2])).view(np.int64)
+    return [*bits.tolist(), int(np.maximum(counts - 2, 0).sum())]
+
+
+def _shared(part: str) -> Column:
+    """The bound of what two members share by their codes, whose columns of the second end in _b."""
+    both = sum((F.bit_count(F.col(f"{part}_{k}").bitwiseAND(F.col(f"{part}_{k}_b"))) for k in range(1, 4)), F.bit_count(F.col(f"{part}_0").bitwiseAND(F.col(f"{part}_0_b"))))
+    return both + F.least(f"{part}_4", f"{part}_4_b")
+
+
 def _bounds(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
-    """What limits the links between the members b of buckets with the class a that all were compared to: a, b, inside, common.
+    """What limits the links between the members b of buckets with the class a that all were compared to: a, b, inside, common, CODES.
 
     inside is how many shingles a member shares with a, common how many of its others some other member
-    compared to a has too. Two members share at most the smaller inside plus the smaller common.
+    compared to a has too. Two members share at most the smaller inside plus the smaller common, and what the codes of
+    their shingles inside and outside of a allow.
     """
+    names = ["a", "b", "inside", "shingle", "other", *CODES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("hashes_a"), batch.column("hashes_b"), strict=True):
                 s, t = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                out = t[s[np.minimum(np.searchsorted(s, t), len(s) - 1)] != t].view(np.int64)
-                n = len(out) + 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, a)), pa.array(np.full(n, b)), pa.array(np.full(n, len(t) - len(out))), pa.array(np.append(out, 0)), pa.array(np.arange(n) < n - 1)], names=["a", "b", "inside", "shingle", "other"]
-                )
+                there = s[np.minimum(np.searchsorted(s, t), len(s) - 1)] == t
+                n = int((~there).sum()) + 1
+                codes = [pa.array(np.append(np.zeros(n - 1, np.int64), c)) for c in (*_code(t[there]), *_code(t[~there]))]
+                columns = [pa.array(np.full(n, a)), pa.array(np.full(n, b)), pa.array(np.full(n, there.sum())), pa.array(np.append(t[~there].view(np.int64), 0)), pa.array(np.arange(n) < n - 1)]
+                yield pa.RecordBatch.from_arrays([*columns, *codes], names=names)
 
-    rows = materialize(_with_both(materialize(pairs, "pairs"), sketched, ["hashes"]).mapInArrow(run, "a long, b long, inside long, shingle long, other boolean"), "outside")
+    rows = materialize(_with_both(materialize(pairs, "pairs"), sketched, ["hashes"]).mapInArrow(run, "a long, b long, inside long, shingle long, other boolean, " + ", ".join(f"{c} long" for c in CODES)), "outside")
     shared = rows.filter("other").groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "shingle")
     common = rows.filter("other").join(shared, ["a", "shingle"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
-    return materialize(rows.filter("NOT other").select("a", "b", "inside").join(common, ["a", "b"], "left").fillna(0, ["common"]), "bounds")
+    return materialize(rows.filter("NOT other").select("a", "b", "inside", *CODES).join(common, ["a", "b"], "left").fillna(0, ["common"]), "bounds")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,8 +232,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     left = materialize(placed.join(small(open_bands), "band", "left_semi").filter("uid <> hub"), "open")
     bounds = _bounds(left.select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct(), sketched)
     left = materialize(left.join(small(bounds), (F.col("hub") == F.col("a")) & (F.col("uid") == F.col("b"))).drop("a", "b"), "open")
-    other = left.select("band", F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"), F.col("inside").alias("inside_b"), F.col("common").alias("common_b"))
-    can = (NUMERATOR + DENOMINATOR) * (F.least("inside", "inside_b") + F.least("common", "common_b")) >= NUMERATOR * (F.col("n") + F.col("n_b"))
+    other = left.select("band", F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"), F.col("inside").alias("inside_b"), F.col("common").alias("common_b"), *(F.col(c).alias(f"{c}_b") for c in CODES))
+    most = F.least(F.col("inside"), F.col("inside_b"), _shared("in")) + F.least(F.col("common"), F.col("common_b"), _shared("out"))
+    can = (NUMERATOR + DENOMINATOR) * most >= NUMERATOR * (F.col("n") + F.col("n_b"))
     rest = left.join(other, (left["band"] == other["band"]) & (F.col("uid") < F.col("b")) & (F.col("part") != F.col("part_b")) & near(F.col("n"), F.col("n_b")) & can).select(F.col("uid").alias("a"), "b").distinct()
     more = verify(materialize(rest, "pairs"), sketched)
     roots = components(links.unionByName(more))
