@@ -13,6 +13,9 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Bytes of one Arrow batch while a table is written: tasks hold one on either side of the Python worker's pipe.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+
 #: Rows up to which a table may be broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -32,9 +35,14 @@ def new_path(spark: SparkSession, tag: str) -> str:
 
 def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Writes df to shared storage and reads it back: cuts lineage, and survives lost executors."""
-    path = new_path(df.sparkSession, tag)
-    df.write.parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, new_path(df.sparkSession, tag)
+    before = spark.conf.get(BATCH, None)
+    spark.conf.set(BATCH, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.set(BATCH, before) if before is not None else spark.conf.unset(BATCH)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
