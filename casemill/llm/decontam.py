@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,18 +41,18 @@ def canonical(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first letter, not at the beginning of a sentence.
     """
     begins, codes, different = words.split(texts, lower=False)
-    spelt = different.to_pylist()
-    bare = [w.strip(EDGES) for w in spelt]
-    number = np.zeros(len(spelt), bool)
-    unit, capital, stop = number.copy(), number.copy(), number.copy()
-    for i, (w, b) in enumerate(zip(spelt, bare, strict=True)):
-        if b and (b[0] in "$€£+-" or b[0].isdigit()) and (m := NUMBER.fullmatch(b.lower())):
-            number[i] = m["unit"] is None or m["unit"] in UNITS
-        unit[i] = b.lower() in UNITS
-        capital[i] = b[:1].isupper() and not number[i]
-        stop[i] = w[-1] in ".!?:;" or w[-2:-1] in (".", "!", "?")
-    hashes = words.hashes(pa.array([b.lower() for b in bare], pa.large_string()))
-    full = np.array([bool(b) for b in bare], bool)[codes]
+    bare = pc.ascii_trim(different, characters=EDGES)
+    small = pc.utf8_lower(bare)
+    flags = lambda x: x.to_numpy(zero_copy_only=False).astype(bool)
+    number = flags(pc.match_substring_regex(small, r"^[$€£]?[+-]?\d"))
+    for i in np.flatnonzero(number):
+        m = NUMBER.fullmatch(small[i].as_py())
+        number[i] = m is not None and (m["unit"] is None or m["unit"] in UNITS)
+    unit = flags(pc.is_in(small, value_set=pa.array(UNITS, pa.large_string())))
+    capital = flags(pc.match_substring_regex(bare, r"^\p{Lu}"))
+    stop = flags(pc.match_substring_regex(different, r"[.!?]$|[:;]$|[.!?].$"))
+    hashes = words.hashes(small)
+    full = flags(pc.greater(pc.binary_length(bare), 0))[codes]
     begins = np.concatenate([[0], np.cumsum(full)])[begins]
     codes = codes[full]
     before = np.concatenate([[-1], codes[:-1]])[: len(codes)]
@@ -72,12 +73,16 @@ def template_windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarra
     shaped, _ = words.windows(np.where(slot > 0, _SLOTS[slot], plain), begins, WIDTH)
     owner = np.repeat(np.arange(len(counts)), counts)
     at = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    place = (begins[:-1][owner] + at)[:, None] + np.arange(WIDTH)
-    inside = place < begins[1:][owner][:, None]
+    first = begins[:-1][owner] + at
+    after = np.minimum(first + WIDTH, begins[1:][owner])
+    filled = np.concatenate([[0], np.cumsum(slot > 0)])
+    n_slots = filled[after] - filled[first]
+    template = np.flatnonzero((n_slots > 0) & (after - first - n_slots >= PLAIN))
+    place = first[template][:, None] + np.arange(WIDTH)
+    inside = place < after[template][:, None]
     place = np.minimum(place, max(0, len(plain) - 1))
-    slots = np.where(inside, slot[place], 0) if len(plain) else np.zeros((0, WIDTH), int)
-    template = np.flatnonzero((slots > 0).any(1) & ((inside & (slots == 0)).sum(1) >= PLAIN))
-    values = np.where(slots[template] > 0, words.mix(plain[place[template]] ^ slots[template].astype(np.uint64)), 0).astype(np.uint64)
+    slots = np.where(inside, slot[place], 0)
+    values = np.where(slots > 0, words.mix(plain[place] ^ slots.astype(np.uint64)), 0).astype(np.uint64)
     return (
         np.concatenate([owner, owner[template]]), np.concatenate([at, at[template]]), np.concatenate([exact ^ np.uint64(0x5851F42D4C957F2D), shaped[template]]),
         np.concatenate([np.zeros((len(exact), WIDTH), np.uint64), values]),
