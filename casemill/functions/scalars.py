@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 #: Names of courts by code.
 COURTS = {
-    "SGCA": "Court of Appeal", "SGHC": "High Court", "SGHCF": "High Court (Family Division)", "SGDC": "District Court",
-    "SGMC": "Magistrates' Court", "SGFC": "Family Court", "SGHC(A)": "Appellate Division of the High Court",
+    "SGCA": "Court of Appeal", "SGCA(I)": "Court of Appeal (International)", "SGHC": "General Division of the High Court",
+    "SGHC(A)": "Appellate Division of the High Court", "SGHC(I)": "Singapore International Commercial Court",
+    "SGHCF": "Family Division of the High Court", "SGHCR": "High Court Registrar",
 }
 #: What stands behind a judge's name.
 JUDGE_TITLES = ("J", "IJ", "CJ", "JCA", "JAD", "JC", "SJ", "JA")

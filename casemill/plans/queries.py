@@ -657,7 +657,7 @@ def counsel_rows(spark, sf_dir):
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'Tay' WHEN c_custkey % 3 = 1 THEN 'Ang Bo' ELSE 'Lim Judge' END AS name, CASE WHEN c_custkey % 3 < 2 THEN CASE WHEN c_custkey % 3 = 0 THEN 'CJ' ELSE 'J' END END AS title,
-'SGHC' AS court, 'High Court' AS court_name FROM customer""")
+'SGHC' AS court, 'General Division of the High Court' AS court_name FROM customer""")
 def judges_and_courts(spark, sf_dir):
     """Judges' names and titles, and courts by code."""
     name = F.when(F.col("c_custkey") % 3 == 0, "Tay  CJ").when(F.col("c_custkey") % 3 == 1, "Ang Bo J").otherwise("Lim Judge")
