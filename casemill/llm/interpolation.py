@@ -46,8 +46,15 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def _least(a: np.ndarray) -> np.ndarray:
-    return a.astype(np.uint32 if not len(a) or a.max() < 2**32 else np.uint64)
+def _thin(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts as single bytes, and those of 255 or more by themselves: most are small."""
+    return np.minimum(counts, 255).astype(np.uint8), counts[counts >= 255].astype(np.uint64)
+
+
+def _thick(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    out = low.astype(np.int64)
+    out[low == 255] = high
+    return out
 
 
 def _contexts(codes: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
@@ -115,31 +122,31 @@ def count(encoded: DataFrame, buckets: int, folder: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([number] * len(full)), pa.array([kind] * len(full), pa.int32()), pa.array(full, pa.int32()),
-                            pa.array([_pack(_short(keys[cuts[b] : cuts[b + 1]], kind), _least(counts[cuts[b] : cuts[b + 1]])) for b in full], pa.binary()),
+                            pa.array([_pack(_short(keys[cuts[b] : cuts[b + 1]], kind), *_thin(counts[cuts[b] : cuts[b + 1]])) for b in full], pa.binary()),
                         ],
                         names=["batch", "kind", "bucket", "blob"],
                     )
 
     def add(table: pa.Table) -> pa.Table:
         kind = table.column("kind")[0].as_py()
-        parts = [(_long(k, kind), c) for k, c in (_unpack(x.as_py()) for x in table.column("blob"))]
+        parts = [(_long(k, kind), _thick(*c)) for k, *c in (_unpack(x.as_py()) for x in table.column("blob"))]
         cuts = np.cumsum([0] + [len(k) for k, _ in parts])
         keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
         sums = np.zeros(len(keys), np.int64)
-        np.add.at(sums, at, np.concatenate([c for _, c in parts]).astype(np.int64))
+        np.add.at(sums, at, np.concatenate([c for _, c in parts]))
         first = np.arange(len(parts)) == 0
         tokens = kind == 0
         return pa.table({
             "batch": table.column("batch"), "kind": table.column("kind"), "bucket": table.column("bucket"),
-            "blob": pa.array([_pack(_least(sums[at[a:b]])) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+            "blob": pa.array([_pack(*_thin(sums[at[a:b]])) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
             "n_train": pa.array(np.where(first & tokens, sums.sum(), 0), pa.int64()), "n_seen": pa.array(np.where(first & tokens, (sums > 0).sum(), 0), pa.int64()),
         })
 
     def keep(table: pa.Table) -> pa.Table:
         rows = sorted(zip(*(table.column(c).to_pylist() for c in ("kind", "bucket", "blob")), strict=True), key=lambda r: r[:2])
-        answers = [np.concatenate([_unpack(r[2])[0] for r in rows if r[0] == kind]) for kind in (0, 1)]
+        answers = [np.concatenate([_thick(*_unpack(r[2])) for r in rows if r[0] == kind]) for kind in (0, 1)]
         with files.open_at(path := files.fresh(folder, ".counts"), "w") as f:
-            f.write(zlib.compress(_pack(*answers), 1))
+            f.write(zlib.compress(_pack(*(x for a in answers for x in _thin(a))), 1))
         total = lambda c: [sum(table.column(c).to_pylist())]
         return pa.table({"batch": table.column("batch")[:1], "path": [path], "n_train": total("n_train"), "n_seen": total("n_seen")})
 
@@ -164,13 +171,14 @@ def _long(keys: np.ndarray, kind: int) -> np.ndarray:
 def _estimates(blob: bytes, path: str) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """Of a batch and the file of its counts: its arrays, and each token's count, its context's, and its bigram's."""
     with files.open_at(path, "r") as f:
-        tokens, bigrams = _unpack(zlib.decompress(f.read()))
+        low, high, low_2, high_2 = _unpack(zlib.decompress(f.read()))
+    tokens, bigrams = _thick(low, high), _thick(low_2, high_2)
     arrays = _unpack(blob)
     _, _, _, sizes, codes, hashes = arrays
     token = np.empty(len(hashes), np.int64)
     token[np.argsort(hashes)] = tokens
     _, at = _keys(codes, sizes, hashes)
-    return arrays, token[codes], token[_contexts(codes, sizes, len(hashes) - 1)], bigrams[at].astype(np.int64)
+    return arrays, token[codes], token[_contexts(codes, sizes, len(hashes) - 1)], bigrams[at]
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:

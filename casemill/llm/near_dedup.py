@@ -22,7 +22,7 @@ BANDS, ROWS = 32, 4
 BASE, RATE = 1.001, 20.0
 #: Candidates whose estimated similarity is lower by more than this are dropped: five standard errors of 128 registers.
 SLACK = 0.2
-#: Exchanged per document by joins of full sets at most this many pairs are broadcast as pairs of ids.
+#: Up to this many pairs of ids are broadcast to the sets that they need; more are joined by a shuffle.
 PAIR_ROWS = 1_000_000
 
 _FACTORS = np.random.default_rng(20).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
