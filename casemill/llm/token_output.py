@@ -24,7 +24,7 @@ END = 2
 #: A shard is closed once it holds this many ids; it never splits a document.
 SHARD_IDS = 2_000_000
 #: Words whose ids a Python worker keeps at one time (about 60 bytes each).
-CACHED = 1_500_000
+CACHED = 600_000
 #: Replacement rounds of a shard, rules that one round adds, and how often a pair must occur to become a rule.
 ROUNDS, PER_ROUND, LEAST = 6, 4_096, 24
 MAGIC = b"GRAMMAR1"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casemill.llm import words
-from casemill.llm.shared import materialize
+from casemill.llm.shared import materialize, with_key, without
 
 #: Documents whose crc32 of the id modulo FOLDS is HELD_OUT are never learnt from; of the others those with
 #: FIT fit the last step, and the rest give the counts.
@@ -231,7 +231,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     got = texts.filter(fit).select("text", "toxic").mapInArrow(describe, "toxic int, " + ", ".join(f"{n} double" for n in names)).toPandas()
     total = max(1, n_ordinary + n_toxic)
     fit_weights(model, got[names].to_numpy(float), got["toxic"].to_numpy(), n_ordinary / total, n_toxic / total)
-    shared.unpersist()
+    shared.destroy()
     return model
 
 
@@ -260,6 +260,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return scored.select("doc_id", *kept, held.alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
+def ordinary_of(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that aren't predicted toxic, with all their columns. Texts go to Python, but don't come back."""
+    rows = with_key(docs, id_col, text_col)
+    scored = materialize(score(rows, model, id_col, text_col, keep=("key_id", "key_hash")).select("key_id", "key_hash", "predicted"), "scores")
+    return without(rows, scored.filter("predicted = 1")).select(*docs.columns)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     return score(docs, learn(docs, labels))

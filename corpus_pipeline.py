@@ -11,8 +11,7 @@ from casemill.llm.shared import materialize, new_path
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't predicted toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.score(docs, toxicity.learn(docs, labels), keep=tuple(docs.columns))
-    return scored.filter("predicted = 0").select(*docs.columns)
+    return toxicity.ordinary_of(docs, toxicity.learn(docs, labels))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,7 +71,9 @@ def test_sources_meet_their_targets(steps):
     for r in after:
         got[r.source] += size(r.text)
     assert max(copies.values()) <= 3 and set(copies) <= {r.doc_id for r in before}
-    assert all(abs(got[s] - target[s]) <= 0.1 * target[s] + 50 for s in total)
+    # Documents are whole: a source misses its target by part of one at most.
+    most = {s: max(size(r.text) for r in before if r.source == s) for s in total}
+    assert all(abs(got[s] - target[s]) <= most[s] for s in total)
 
 
 def test_tokens_follow_each_other(steps):
