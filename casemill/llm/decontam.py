@@ -104,6 +104,7 @@ def windows_of(table: DataFrame, id_col: str, text_col: str, known: np.ndarray |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        words.forget()
         number = TaskContext.get().partitionId() << 36
         for batch in words.slices(batches, "text"):
             owner, at, hashes, values = template_windows(batch.column("text"))

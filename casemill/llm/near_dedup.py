@@ -72,6 +72,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        words.forget()
         uid = TaskContext.get().partitionId() << 36
         for batch in words.slices(batches, "text"):
             begins, codes, different = words.split(batch.column("text"), lower=True)

@@ -14,7 +14,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Bytes of one Arrow batch while a table is written: tasks hold one on either side of the Python worker's pipe.
-BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 #: Rows up to which a table may be broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 500_000

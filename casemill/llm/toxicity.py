@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -235,20 +236,21 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, keep: tuple[str, ...] = ()) -> DataFrame:
+def score(docs: DataFrame, model: Model | Broadcast, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, keep: tuple[str, ...] = ()) -> DataFrame:
     """Returns doc_id, held_out, score (0 to 1), predicted (1 if score >= threshold) for each row, and the columns of docs named in `keep`.
 
     Features of a text are length-normalised log-likelihood ratios of both classes: of the whole text and of its
     likeliest stretches, by single words, by pairs and by stems. A null or empty text, and one without words, scores the
     share of toxic labels. Null ids aren't held out. Repeated rows are scored each. An empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model) if isinstance(model, Model) else model
     others = [c for c in keep if c not in (id_col, text_col)]
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"own_{c}") for c in others))
     back = ["doc_id", *["text"] * (text_col in keep), *(f"own_{c}" for c in others)]
     schema = ", ".join([*(f"`{c}` {own.schema[c].dataType.simpleString()}" for c in back), "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.forget()
         for batch in words.slices(batches, "text"):
             begins, *sequences = tokens(batch.column("text"))
             got = probability(shared.value, features(shared.value, begins, *sequences), np.diff(begins) == 0)
@@ -262,8 +264,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def ordinary_of(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that aren't predicted toxic, with all their columns. Texts go to Python, but don't come back."""
-    rows = with_key(docs, id_col, text_col)
-    scored = materialize(score(rows, model, id_col, text_col, keep=("key_id", "key_hash")).select("key_id", "key_hash", "predicted"), "scores")
+    rows, shared = with_key(docs, id_col, text_col), docs.sparkSession.sparkContext.broadcast(model)
+    scored = materialize(score(rows, shared, id_col, text_col, keep=("key_id", "key_hash")).select("key_id", "key_hash", "predicted"), "scores")
+    shared.destroy()
     return without(rows, scored.filter("predicted = 1")).select(*docs.columns)
 
 

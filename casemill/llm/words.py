@@ -32,10 +32,15 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = SLICE_
 def give_back() -> None:
     """Lets the system have what Arrow and the C library hold in reserve, before the next slice is taken."""
     pa.default_memory_pool().release_unused()
-    if trim := per_worker("trim", lambda: getattr(ctypes.CDLL(None), "malloc_trim", None)):
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)
 
 
+def forget() -> None:
+    """Drops what per_worker() keeps: for tasks that need the memory for something else."""
+    sys.__dict__.pop("_casemill_kept", None)
+
+
 def compact(texts: pa.Array) -> pa.Array:
     """The same strings in buffers of their own, null being empty.
 
