@@ -18,6 +18,8 @@ from casemill.llm.shared import materialize, small, with_key, without
 WIDTH, SHARE = 5, 0.75
 #: A window with fewer plain words than this is met only as it is.
 PLAIN = 2
+#: Windows whose shifts against the item's differ by less than half of this (by words added or left out) are also judged together.
+NEAR = 16
 #: Up to this many different benchmark windows (16 MB) are sent to the tasks, which then send matching windows only.
 KNOWN_WINDOWS = 2_000_000
 #: Words that count as a unit behind a number, or joined to one.
@@ -123,14 +125,22 @@ def windows_of(table: DataFrame, id_col: str, text_col: str, known: np.ndarray |
     return table.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")).mapInArrow(run, SCHEMA)
 
 
+def _meet(left: DataFrame, right: DataFrame, how: str, *names: str) -> DataFrame:
+    right = right.select(*(F.col(n).alias(f"r_{n}") for n in names))
+    on = [F.col(n).eqNullSafe(F.col(f"r_{n}")) if n == "item_id" else F.col(n) == F.col(f"r_{n}") for n in names]
+    return left.join(right, on, how)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Finds documents that hold a benchmark item, also with other numbers, names or units.
 
     Returns a row for each row of docs: doc_id, contaminated, item_ids (of the items found, ascending), share (the largest
     part of an item's windows found), text_hash. An item is found if at least `share` of its windows are. Windows of WIDTH
     words meet by an equi-join on their hashes, as they are and with slots in place of numbers, names and units.
-    Of a document and an item, a slot value of the item must stand for one value of the document and the other way
-    round: the most frequent pairing counts, and windows that contradict it don't.
+    Windows met as they are always count. Of those met with slots, at one place of a document, a slot value of the item must
+    stand for one value of the document and the other way round: the most frequent pairing counts, and windows that contradict
+    it don't. Places are windows that are shifted alike against the item's, those whose shifts are close (NEAR), and
+    the document as a whole; the place with most windows decides.
 
     A null or empty text has no windows: such documents are clean, and such items are never found. An item
     with fewer than WIDTH words is found in documents of just those words. Null ids are allowed; items without an id aren't
@@ -145,20 +155,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, i
     found = materialize(windows_of(docs, id_col, text_col, known, with_texts=True), "windows")
 
     sizes = items.groupBy("item_id").agg(F.countDistinct("item_at").alias("item_windows"))
-    hits = found.filter("at >= 0").join(small(items), F.col("window") == F.col("key")).select("uid", "item_id", "at", "item_at", "slots", "item_slots")
+    hits = found.filter("at >= 0").join(small(items), F.col("window") == F.col("key")).select("uid", "item_id", "at", "item_at", "key", "slots", "item_slots")
     hits = materialize(hits, "hits")
-    has = lambda slots: F.exists(slots, lambda x: x != 0)
-    filled = hits.filter(has("item_slots")).select("uid", "item_id", "at", "item_at", F.explode(F.arrays_zip("slots", "item_slots")).alias("s"))
-    filled = materialize(filled.select("uid", "item_id", "at", "item_at", F.col("s.slots").alias("own"), F.col("s.item_slots").alias("its")).filter("its <> 0"), "slots")
-    pairs = filled.groupBy("uid", "item_id", "own", "its").agg(F.count(F.lit(1)).alias("n"))
-    best = lambda of, per: F.max(F.struct("n", of)).over(Window.partitionBy("uid", "item_id", per))[of]
+    has = F.exists("item_slots", lambda x: x != 0)
+    exact = hits.filter(~has).select("uid", "item_id", "item_at").distinct()
+    shift = F.col("at") - F.col("item_at")
+    band = lambda offset: F.floor((shift + offset) / NEAR)
+    places = F.array(F.lit(0).cast("long"), 4 * shift + 1, 4 * band(0) + 2, 4 * band(NEAR // 2) + 3)
+    shaped = hits.filter(has).withColumn("place", F.explode(places))
+    filled = shaped.select("uid", "item_id", "place", "at", "item_at", "key", F.explode(F.arrays_zip("slots", "item_slots")).alias("s"))
+    filled = materialize(filled.select("uid", "item_id", "place", "at", "item_at", "key", F.col("s.slots").alias("own"), F.col("s.item_slots").alias("its")).filter("its <> 0"), "slots")
+    pairs = filled.groupBy("uid", "item_id", "place", "own", "its").agg(F.count(F.lit(1)).alias("n"))
+    best = lambda of, per: F.max(F.struct("n", of)).over(Window.partitionBy("uid", "item_id", "place", per))[of]
     odd = pairs.withColumns({"best_own": best("own", "its"), "best_its": best("its", "own")}).filter("own <> best_own OR its <> best_its")
-    odd = odd.select(F.col("uid").alias("u"), F.col("item_id").alias("i"), F.col("own").alias("o"), F.col("its").alias("t"))
-    bad = filled.join(odd, (F.col("uid") == F.col("u")) & F.col("item_id").eqNullSafe(F.col("i")) & (F.col("own") == F.col("o")) & (F.col("its") == F.col("t")), "left_semi")
-    bad = bad.select(F.col("uid").alias("u"), F.col("item_id").alias("i"), F.col("at").alias("a"), F.col("item_at").alias("b")).distinct()
-    good = hits.join(bad, (F.col("uid") == F.col("u")) & F.col("item_id").eqNullSafe(F.col("i")) & (F.col("at") == F.col("a")) & (F.col("item_at") == F.col("b")), "left_anti")
+    bad = _meet(filled, odd, "left_semi", "uid", "item_id", "place", "own", "its").select("uid", "item_id", "place", "at", "item_at", "key").distinct()
+    good = _meet(shaped, bad, "left_anti", "uid", "item_id", "place", "at", "item_at", "key").select("uid", "item_id", "place", "item_at").distinct()
 
-    covered = good.groupBy("uid", "item_id").agg(F.countDistinct("item_at").alias("got"))
+    # Windows met as they are count wherever they are; to them come those met as templates at the best place.
+    more = _meet(good, exact, "left_anti", "uid", "item_id", "item_at").groupBy("uid", "item_id", "place").agg(F.count(F.lit(1)).alias("n"))
+    covered = exact.groupBy("uid", "item_id").agg(F.count(F.lit(1)).alias("n")).unionByName(more.groupBy("uid", "item_id").agg(F.max("n").alias("n")))
+    covered = covered.groupBy("uid", "item_id").agg(F.sum("n").alias("got"))
     sizes = sizes.select(F.col("item_id").alias("size_id"), "item_windows")
     parts = covered.join(small(sizes), F.col("item_id").eqNullSafe(F.col("size_id"))).withColumn("part", F.col("got") / F.col("item_windows"))
     judged = parts.groupBy("uid").agg(F.max("part").alias("share"), F.sort_array(F.collect_set(F.when(F.col("part") >= share, F.col("item_id")))).alias("item_ids"))

@@ -242,6 +242,15 @@ def test_decontamination(spark):
     assert decontam.decontaminate(df.limit(0), benchmark).collect() == []
 
 
+def test_decontamination_beside_sentences_like_the_items(spark):
+    item = "At noon Tom has 12 pears in his bag and Tom gives 5 of them away so tell us how many pears does Tom have left now"
+    noise = " ".join(f"{w} asked how many pears does Mary have left now." for w in ("He", "She", "They", "We", "You"))
+    other = item.replace("Tom", "Bob").replace("12", "31").replace("5 of", "8 of")
+    df = docs(spark, [f"{item}. {noise}", f"{noise} {other}.", f"{other.replace('so tell', 'so please just tell')}. {noise}", noise])
+    got = {r.doc_id: r for r in decontam.decontaminate(df, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert got[0].share == 1.0 and [got[i].contaminated for i in range(4)] == [True, True, True, False]
+
+
 # 8
 
 
