@@ -251,6 +251,17 @@ def test_decontamination_beside_sentences_like_the_items(spark):
     assert got[0].share == 1.0 and [got[i].contaminated for i in range(4)] == [True, True, True, False]
 
 
+def test_decontamination_of_names_at_sentence_beginnings(spark):
+    item = "Tom has 12 apples in his bag. Tom buys 7 more at the shop. Mary gives him 5 of hers. How many apples does Tom have?"
+    other = item.replace("12", "31").replace("7", "4").replace("5", "9")
+    named = lambda tom, mary: other.replace("Tom", tom).replace("Mary", mary)
+    odd = named("Bob", "Ann").replace("Bob buys", "Carl buys").replace("does Bob", "does Dan")
+    texts = [named("Bob", "Ann"), "We read: " + named("Bob Lee", "Ann Mary Cho") + " Then some more.", "They wrote that " + named("Mary Ann", "Bob"), odd, item.lower(), item]
+    got = {r.doc_id: r for r in decontam.decontaminate(docs(spark, texts), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert [got[i].contaminated for i in range(6)] == [True] * 6 and got[0].share > 0.9 and got[5].share == 1.0
+    assert round(got[3].share * 21) == 18  # the windows that contradict the most frequent pairing don't count
+
+
 # 8
 
 
