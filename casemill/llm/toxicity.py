@@ -19,9 +19,11 @@ from casemill.llm.shared import materialize, with_key, without
 #: Documents whose crc32 of the id modulo FOLDS is HELD_OUT are never learnt from; of the others those with
 #: FIT fit the last step, and the rest give the counts.
 FOLDS, HELD_OUT, FIT = 4, 2, 3
-#: The bound of the sample: at most so many labelled documents of each class and use, and so many bytes of
-#: their texts. It bounds the model, which the tasks hold in memory (about 25 MB).
+#: The bound of the sample: at most so many labelled documents of each class and use, and of each class so many bytes of
+#: their texts give counts. It bounds the model, which the tasks hold in memory (about 25 MB).
 SAMPLE_DOCS, SAMPLE_BYTES = 1_500, 5_000_000
+#: Of a text that is too long for its share of these bytes, stretches of so many words give counts.
+COUNTED = 64
 #: Lengths of the stretches of words whose likeliest is looked for, besides the whole text.
 STRETCHES = (1, 6, 24)
 FEATURES = 3 * (1 + len(STRETCHES))
@@ -176,9 +178,10 @@ def fit_weights(model: Model, x: np.ndarray, y: np.ndarray, ordinary_share: floa
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, int]:
-    """The bounded sample of labelled documents: doc_id, text, toxic, fit; and how many labels of each class there are.
+    """The bounded sample of labelled documents: doc_id, text, toxic, fit, part; and how many labels of each class there are.
 
-    Of each class and use the first by a hash of the id are taken, as many as the bounds allow.
+    Of each class and use the first by a hash of the id are taken, SAMPLE_DOCS at most. part is how much of a text gives
+    counts: all of it, or its share of SAMPLE_BYTES if the class's texts are longer than that together.
     """
     fold = F.crc32(F.col("doc_id").cast("string")) % FOLDS
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -195,10 +198,15 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tu
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
     found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "toxic", "fit")
     found = materialize(found.dropDuplicates(["doc_id"]), "sample")
-    before = Window.partitionBy("toxic", "fit").orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = found.select("doc_id", "toxic", "fit", F.octet_length("text").alias("size")).withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    kept = sizes.filter((F.col("before") == 0) | (F.col("before") + F.col("size") <= SAMPLE_BYTES)).select("doc_id")
-    return found.join(F.broadcast(kept), "doc_id", "left_semi"), counts.get(0, 0), counts.get(1, 0)
+    # Shares are filled up from the shortest text on, so that one long text takes no other's place.
+    group = Window.partitionBy("toxic", "fit")
+    ahead = group.orderBy("size", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = found.select("doc_id", "toxic", "fit", F.greatest(F.lit(1), F.octet_length("text")).cast("long").alias("size"))
+    sizes = sizes.withColumns({"before": F.coalesce(F.sum("size").over(ahead), F.lit(0)), "others": F.count(F.lit(1)).over(group) - F.count(F.lit(1)).over(ahead)})
+    fair = (F.lit(SAMPLE_BYTES) - F.col("before")) / F.col("others")
+    most = F.max(F.when(F.col("size") > fair, fair)).over(group)
+    parts = sizes.select(F.col("doc_id").alias("p_id"), F.when(F.col("fit"), 1.0).otherwise(F.least(F.lit(1.0), F.coalesce(most / F.col("size"), F.lit(1.0)))).alias("part"))
+    return found.join(F.broadcast(parts), F.col("doc_id").eqNullSafe(F.col("p_id"))).drop("p_id"), counts.get(0, 0), counts.get(1, 0)
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -209,14 +217,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches, "text"):
             begins, *sequences = tokens(batch.column("text"))
-            toxic = np.repeat(batch.column("toxic").to_numpy(zero_copy_only=False), np.diff(begins)) == 1
+            n = np.diff(begins)
+            toxic = np.repeat(batch.column("toxic").to_numpy(zero_copy_only=False), n) == 1
+            part = np.repeat(batch.column("part").to_numpy(zero_copy_only=False), n)
+            stretch = (np.arange(len(part)) - np.repeat(begins[:-1], n)) // COUNTED
+            counts = np.ceil((stretch + 1) * part) > np.ceil(stretch * part)  # stretches of the whole text, evenly
             for stem, hashes in zip((False, True), sequences, strict=True):
                 left = np.concatenate([[np.uint64(0)], hashes[:-1]]).astype(np.uint64)[: len(hashes)]
-                left[begins[:-1][np.diff(begins) > 0]] = 0
-                both = pd.DataFrame({"v": left.view(np.int64), "w": hashes.view(np.int64), "ordinary": ~toxic, "toxic": toxic}).groupby(["v", "w"], sort=False, as_index=False).sum()
+                left[begins[:-1][n > 0]] = 0
+                both = pd.DataFrame({"v": left[counts].view(np.int64), "w": hashes[counts].view(np.int64), "ordinary": ~toxic[counts], "toxic": toxic[counts]}).groupby(["v", "w"], sort=False, as_index=False).sum()
                 yield pa.RecordBatch.from_pandas(both.astype(np.int64).assign(stem=stem), preserve_index=False)
 
-    counted = texts.filter("NOT fit").select("text", "toxic").mapInArrow(pairs, "v long, w long, ordinary long, toxic long, stem boolean")
+    counted = texts.filter("NOT fit").select("text", "toxic", "part").mapInArrow(pairs, "v long, w long, ordinary long, toxic long, stem boolean")
     model = fit_model(counted.groupBy("stem", "v", "w").agg(F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")).toArrow())
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"x{k}" for k in range(FEATURES)]
