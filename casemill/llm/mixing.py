@@ -50,7 +50,27 @@ def source_targets(sources: DataFrame, schedule: DataFrame, max_repeats: int = M
     return ranked.select("source", "source_size", "knots", areas.alias("areas"), "weight", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(share).alias("target"))
 
 
-def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = MAX_REPEATS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def _left(rows: DataFrame) -> DataFrame:
+    """How many words each source still wants, and how many it wants beyond its whole passes."""
+    taken = rows.groupBy("source").agg(F.coalesce(F.sum(F.when(F.col("more"), F.col("size"))), F.lit(0)).alias("got"), F.max("rest").alias("want"))
+    return materialize(taken.select(F.col("source").alias("l_source"), (F.col("want") - F.col("got")).alias("left"), "got"), "left")
+
+
+def _filled(rows: DataFrame) -> DataFrame:
+    """Takes documents that aren't taken, in their order and as far as they fit, again and again until none fits any more."""
+    while True:
+        rows = materialize(rows, "mixing")
+        fits = rows.join(small(_left(rows)), F.col("source").eqNullSafe(F.col("l_source"))).filter(~F.col("more") & (F.col("size") > 0) & (F.col("size") <= F.col("left")))
+        fits = materialize(fits.select("source", F.col("row_no").alias("f_row"), "size", "left", "got"), "fits")
+        if fits.isEmpty():
+            return rows
+        placed = running(fits, [F.col("f_row")], {"f_before": "size"}, ("source",)).filter(F.col("f_before") + F.col("size") <= F.col("left"))
+        placed = materialize(placed.select(F.col("source").alias("f_source"), "f_row", (F.col("got") + F.col("f_before")).alias("f_place")), "fill")
+        rows = rows.join(small(placed), F.col("source").eqNullSafe(F.col("f_source")) & (F.col("row_no") == F.col("f_row")), "left")
+        rows = rows.withColumns({"more": F.col("more") | F.col("f_row").isNotNull(), "rest_before": F.coalesce("f_place", "rest_before")}).drop("f_source", "f_row", "f_place")
+
+
+def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = MAX_REPEATS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", fill: bool = True) -> DataFrame:
     """Decides how often each document is taken, and at which time of the training first.
 
     Returns a row for each row of docs: doc_id, source, size (words), source_size, target, copies, taken (size
@@ -58,7 +78,8 @@ def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = M
 
     A source of size S and target t takes each document t div S times; the rest goes to documents in the order
     of the MD5 of their ids as far as they fit, and what is then missing to the largest that still fit, FILLS
-    times, and at last to the one that comes nearest, if it comes nearer than none. Documents are taken whole. A document's words stand at a place in its source's demand; the
+    times, then with `fill` in that order again to all that fit, until none does, and at last to the one that comes nearest, if it comes
+    nearer than none. Documents are taken whole. A document's words stand at a place in its source's demand; the
     schedule's integral is inverted there to give its position.
 
     A null text has size 0 and is taken, at no cost, like others. Null sources are a source. Repeated rows are
@@ -77,9 +98,11 @@ def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = M
     names = targets.select(F.col("source").alias("t_source"), "source_size", "target", "weight", "knots", "areas", "whole", "rest")
     on = F.col("source").eqNullSafe(F.col("t_source"))
     rows = placed.join(small(names), on, "left").drop("t_source").withColumn("more", (F.col("before") + F.col("size") <= F.col("rest")) & (F.col("rest") > 0))
+    rows = rows.withColumn("rest_before", F.col("before"))
     for turn in range(FILLS + 1):
-        taken = rows.groupBy("source").agg(F.coalesce(F.sum(F.when(F.col("more"), F.col("size"))), F.lit(0)).alias("got"), F.max("rest").alias("want"))
-        left = materialize(taken.select(F.col("source").alias("l_source"), (F.col("want") - F.col("got")).alias("left")), "left")
+        if turn == FILLS and fill:
+            rows = _filled(rows)
+        left = _left(rows).drop("got")
         most = F.col("left") if turn < FILLS else 2 * F.col("left") - 1e-6
         fits = rows.join(small(left), F.col("source").eqNullSafe(F.col("l_source"))).filter(~F.col("more") & (F.col("size") > 0) & (F.col("size") <= most))
         best = fits.groupBy("l_source").agg(F.max(F.struct(-F.abs(F.col("left") - F.col("size")), (-F.col("row_no")).alias("row"))).alias("fill"))
@@ -99,7 +122,7 @@ def position_of(copy: Column) -> Column:
     weight times x is what is still wanted.
     """
     place = F.when(copy <= F.col("whole"), (copy - 1) * F.col("source_size") + F.col("before"))
-    place = place.otherwise(F.col("whole") * F.col("source_size") + F.greatest(F.lit(0.0), F.least(F.col("before").cast("double"), F.col("rest") - F.col("size"))))
+    place = place.otherwise(F.col("whole") * F.col("source_size") + F.greatest(F.lit(0.0), F.least(F.col("rest_before").cast("double"), F.col("rest") - F.col("size"))))
     want = F.least(F.lit(1.0), place / F.col("target")) * F.col("weight")
     at = F.greatest(F.lit(1), F.least(F.size(F.filter("areas", lambda x: x <= want)), F.size("knots") - 1))
     first, second, still = F.element_at("knots", at), F.element_at("knots", at + 1), F.greatest(F.lit(0.0), want - F.element_at("areas", at))
@@ -134,7 +157,8 @@ def mixed_rows(docs: DataFrame, schedule: DataFrame | None = None, id_col: str =
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
-    mixed = in_order(mix(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    # Its SQL ends after FILLS documents and the nearest one.
+    mixed = in_order(mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), fill=False))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", F.round("position", 6).alias("position"))
 
 

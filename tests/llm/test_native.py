@@ -74,6 +74,18 @@ def test_mixing_meets_targets_and_repeats(spark):
     assert mixing.mix(table(spark, [])).collect() == []
 
 
+def test_mixing_goes_on_behind_a_long_document(spark):
+    lot = lambda i: hashlib.md5(str(i).encode()).hexdigest()
+    ids = sorted(range(601), key=lot)
+    docs = [(i, "w " * (3000 if i == ids[400] else 10), "a") for i in ids] + [(1000 + i, "w " * 10, "b") for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    schedule = spark.createDataFrame([(s, [(0.0, 1.0), (1.0, 1.0)]) for s in "ab"], "source string, knots array<struct<t: double, w: double>>")
+    got = mixing.mix(df, schedule).toPandas()
+    assert got.groupby("source")["taken"].sum().to_dict() == {"a": 6000, "b": 6000}
+    at = got[(got.source == "a") & (got.taken > 0)].position.round(6)
+    assert len(at) == 600 and at.nunique() >= 598 and mixing.mixed_rows(df, schedule).count() == 1200
+
+
 def test_a_falling_weight_comes_early(spark):
     docs = spark.createDataFrame([(i, "w w w", "ab"[i % 2]) for i in range(2000)], "doc_id long, text string, source string")
     schedule = spark.createDataFrame([("a", [(0.0, 2.0), (1.0, 0.0)]), ("b", [(0.0, 0.0), (1.0, 2.0)])], "source string, knots array<struct<t: double, w: double>>")
