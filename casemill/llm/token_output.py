@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,62 +22,86 @@ from casemill.llm.shared import materialize, n_partitions, new_path, running
 END = 2
 #: A shard is closed once it holds this many ids; it never splits a document.
 SHARD_IDS = 2_000_000
-#: Words whose ids a Python worker keeps at one time (about 60 bytes each).
+#: Words whose ids a Python worker keeps at one time (about 150 bytes each).
 CACHED = 600_000
-#: Replacement rounds of a shard, rules that one round adds, and how often a pair must occur to become a rule.
-ROUNDS, PER_ROUND, LEAST = 6, 4_096, 24
-MAGIC = b"GRAMMAR1"
+#: A pair that occurs so often, without overlapping itself, becomes a rule.
+LEAST = 2
+MAGIC = b"GRAMMAR2"
 
 
-def compress(ids: np.ndarray, doc_ends: np.ndarray, first_symbol: int, rounds: int = ROUNDS, per_round: int = PER_ROUND, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+NEVER = np.iinfo(np.int32).max
+
+
+def _grouped(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys (of that many bits), the places of all keys in their order, and how often each key occurs."""
+    low = max(1, len(keys).bit_length())
+    if bits + low < 64:  # keys and places fit into one number, which sorts faster than places by keys
+        keys = keys << low
+        keys |= np.arange(len(keys))
+        keys.sort()
+        order = (keys & ((1 << low) - 1)).astype(np.int32)
+        keys >>= low
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[starts], order, np.diff(np.append(starts, len(keys)))
+
+
+def compress(ids: np.ndarray, doc_ends: np.ndarray, first_symbol: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair: symbols, the places where documents end in them, and rules (left, right) from first_symbol on.
 
-    Each round counts all neighbours within documents and replaces the most frequent pairs by new symbols
-    at once. In one round no symbol is the left of one pair and the right of another, so that no two
-    replacements overlap; what is left over waits for the next round, which also sees the new symbols.
+    Goes on until no pair within a document occurs `least` times. A round ranks all pairs by their numbers and replaces
+    each occurrence that no overlapping one outranks, so the most frequent pair is replaced wherever it is; pairs
+    that lose more than half of their occurrences to others wait. Of a run of equal symbols every other pair counts. Symbols are linked,
+    and a later round looks only at pairs that were frequent enough and at the neighbours of new symbols.
     """
-    seq, last = ids.astype(np.int64), np.zeros(len(ids), bool)
-    last[doc_ends - 1] = True
-    rules: list[tuple[int, int]] = []
-    room = 2**16 - first_symbol if first_symbol < 2**16 - 256 else 2**20
-    for _ in range(rounds):
-        if len(seq) < 2 or len(rules) >= room:
+    n, kind = len(ids), np.int32
+    symbol = np.append(ids, 0).astype(kind)
+    after, before = np.arange(1, n + 2, dtype=kind), np.arange(-1, n, dtype=kind)  # place n is behind the last one, and before the first
+    last, alive, rank = np.zeros(n + 1, bool), np.ones(n + 1, bool), np.full(n + 2, NEVER, kind)
+    last[doc_ends - 1] = last[n] = True
+    alive[n] = False
+    rules, total = [np.zeros((0, 2), np.int64)], first_symbol
+    pairs = np.flatnonzero(~last).astype(kind)
+    while len(pairs):
+        left, right, use, odd = symbol[pairs], symbol[after[pairs]], pairs, pairs[:0]
+        if len(same := np.flatnonzero(left == right)):
+            runs = pairs[same]
+            heads = np.flatnonzero(np.concatenate([[True], after[runs[:-1]] != runs[1:]]))
+            second = (np.arange(len(runs)) - np.repeat(heads, np.diff(np.append(heads, len(runs))))) % 2 == 1
+            counted = np.ones(len(pairs), bool)
+            counted[same[second]] = False
+            use, left, right, odd = pairs[counted], left[counted], right[counted], runs[second]
+        bits = int(total).bit_length()
+        keys, order, counts = _grouped(left.astype(np.int64) << bits | right, 2 * bits)
+        often = counts >= least
+        if not often.any():
             break
-        keys = seq[:-1] << 32 | seq[1:]
-        inside = ~last[:-1] & (seq[:-1] != seq[1:])
-        there = np.sort(keys[inside])
-        if not len(there):
-            break
-        starts = np.flatnonzero(np.concatenate([[True], there[1:] != there[:-1]]))
-        counts = np.diff(np.append(starts, len(there)))
-        often = np.flatnonzero(counts >= least)
-        often = often[np.lexsort((there[starts[often]], -counts[often]))]
-        side: dict[int, int] = {}
-        chosen = []
-        for key in there[starts[often]].tolist():
-            a, b = key >> 32, key & 0xFFFFFFFF
-            if side.get(a, 0) == 0 and side.get(b, 1) == 1:
-                side[a], side[b] = 0, 1
-                chosen.append(key)
-                if len(chosen) == min(per_round, room - len(rules)):
-                    break
-        if not chosen:
-            break
-        new = np.array(sorted(chosen), np.int64)
-        top = int(max(seq.max(), first_symbol + len(rules))) + 1
-        left, right = np.zeros(top, bool), np.zeros(top, bool)
-        left[new >> 32], right[new & 0xFFFFFFFF] = True, True
-        at = np.flatnonzero(inside & left[seq[:-1]] & right[seq[1:]])
-        which = np.minimum(np.searchsorted(new, keys[at]), len(new) - 1)
-        hit = new[which] == keys[at]
-        at, which = at[hit], which[hit]
-        seq[at] = first_symbol + len(rules) + which
-        last[at] = last[at + 1]
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        seq, last = seq[keep], last[keep]
-        rules += [(k >> 32, k & 0xFFFFFFFF) for k in new.tolist()]
-    return seq, np.flatnonzero(last) + 1, np.array(rules, np.int64).reshape(-1, 2)
+        order, keys, counts = order[np.repeat(often, counts)], keys[often], counts[often]
+        by_place, place = np.argsort(-counts, kind="stable"), np.empty(len(keys), kind)
+        place[by_place] = np.arange(len(keys), dtype=kind)
+        rank[use[order]] = np.repeat(place, counts)
+        mine = rank[use]
+        at, chosen = use[mine < NEVER], (mine < rank[before[use]]) & (mine < rank[after[use]])
+        rank[at] = NEVER
+        here, mine = use[chosen], mine[chosen]
+        got = np.bincount(mine, minlength=len(keys))
+        new = (got >= least) & (2 * got >= counts[by_place])
+        here, mine = here[new[mine]], mine[new[mine]]
+        keys = keys[by_place][new]
+        rules.append(np.stack([keys >> bits, keys & ((1 << bits) - 1)], 1))
+        gone = after[here]
+        symbol[here] = (total - 1 + np.cumsum(new))[mine]
+        total += int(new.sum())
+        last[here], alive[gone] = last[gone], False
+        after[here] = after[gone]
+        before[after[here]] = here
+        still = np.zeros(n + 1, bool)
+        for places in (at, odd, here, before[here]):
+            still[places] = True
+        pairs = np.flatnonzero(still & alive & ~last).astype(kind)
+    return symbol[alive].astype(np.int64), np.flatnonzero(last[alive]) + 1, np.concatenate(rules)
 
 
 def expand(seq: np.ndarray, rules: np.ndarray, first_symbol: int) -> np.ndarray:
@@ -94,23 +117,42 @@ def expand(seq: np.ndarray, rules: np.ndarray, first_symbol: int) -> np.ndarray:
     return seq
 
 
+def rule_lengths(rules: np.ndarray, first_symbol: int) -> np.ndarray:
+    """How many ids each rule stands for; a rule's sides come before it."""
+    out: list[int] = []
+    for a, b in (rules - first_symbol).tolist():
+        out.append((out[a] if a >= 0 else 1) + (out[b] if b >= 0 else 1))
+    return np.array(out, np.int64)
+
+
+def in_bits(numbers: np.ndarray, width: int) -> bytes:
+    """Numbers below 2**width, each in so many bits."""
+    return np.packbits(np.unpackbits(numbers.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width], bitorder="little").tobytes()
+
+
+def from_bits(data: bytes, width: int, begin: int, end: int) -> np.ndarray:
+    """The numbers from `begin` to `end` of those that in_bits() gave."""
+    first, stop = begin * width // 8, -(-end * width // 8)
+    bits = np.unpackbits(np.frombuffer(data, np.uint8, stop - first, first), bitorder="little")[begin * width - 8 * first :][: (end - begin) * width]
+    whole = np.zeros((end - begin, 32), np.uint8)
+    whole[:, :width] = bits.reshape(-1, width)
+    return np.packbits(whole, axis=1, bitorder="little").reshape(-1).view("<u4").astype(np.int64)
+
+
 def pack(doc_ids: list[int | None], ids: np.ndarray, doc_ends: np.ndarray, vocabulary: int) -> bytes:
     """A shard: magic, length of the head, head (JSON), arrays, CRC-32 of all that.
 
-    Arrays: document ids and whether they are null, ends of documents in symbols and in ids, rules, the
-    number of ids that each rule stands for, symbols.
+    Arrays: document ids and whether they are null, ends of documents in symbols and in ids, the number of ids that each
+    rule stands for; rules and symbols, each number in as few bits as the largest symbol needs.
     """
     seq, ends, rules = compress(ids, doc_ends, vocabulary)
-    lengths = np.ones(vocabulary + len(rules), np.int64)
-    for k, (a, b) in enumerate(rules.tolist()):
-        lengths[vocabulary + k] = lengths[a] + lengths[b]
-    symbol = "<u2" if vocabulary + len(rules) <= 2**16 else "<u4"
-    arrays = [
-        np.array([x or 0 for x in doc_ids], "<i8"), np.array([x is None for x in doc_ids], "<u1"), ends.astype("<i8"), doc_ends.astype("<i8"),
-        rules.astype("<u4"), lengths[vocabulary:].astype("<u4"), seq.astype(symbol),
+    width = max(1, int(vocabulary + len(rules) - 1).bit_length())
+    parts = [
+        np.array([x or 0 for x in doc_ids], "<i8").tobytes(), np.array([x is None for x in doc_ids], "<u1").tobytes(), ends.astype("<i8").tobytes(), doc_ends.astype("<i8").tobytes(),
+        rule_lengths(rules, vocabulary).astype("<u4").tobytes(), in_bits(rules.reshape(-1), width), in_bits(seq, width),
     ]
-    head = json.dumps({"vocabulary": vocabulary, "docs": len(doc_ids), "rules": len(rules), "symbols": len(seq), "ids": len(ids), "symbol": symbol}).encode()
-    body = MAGIC + struct.pack("<I", len(head)) + head + b"".join(a.tobytes() for a in arrays)
+    head = json.dumps({"vocabulary": vocabulary, "docs": len(doc_ids), "rules": len(rules), "symbols": len(seq), "ids": len(ids), "bits": width}).encode()
+    body = MAGIC + struct.pack("<I", len(head)) + head + b"".join(parts)
     return body + struct.pack("<I", zlib.crc32(body))
 
 
@@ -132,18 +174,34 @@ class Shard:
 
         self.doc_ids, self.null = take("<i8", h["docs"]), take("<u1", h["docs"])
         self.symbol_ends, self.id_ends = take("<i8", h["docs"]), take("<i8", h["docs"])
-        self.rules, self.lengths = take("<u4", 2 * h["rules"]).reshape(-1, 2).astype(np.int64), take("<u4", h["rules"]).astype(np.int64)
-        self.symbols = take(h["symbol"], h["symbols"])
+        self.lengths = take("<u4", h["rules"]).astype(np.int64)
+        self.rules = from_bits(take("<u1", -(-2 * h["rules"] * h["bits"] // 8)), h["bits"], 0, 2 * h["rules"]).reshape(-1, 2)
+        self.symbols = take("<u1", -(-h["symbols"] * h["bits"] // 8))
+
+    def _symbols(self, k: int) -> np.ndarray:
+        return from_bits(self.symbols, self.head["bits"], int(self.symbol_ends[k - 1]) if k else 0, int(self.symbol_ends[k]))
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.head["vocabulary"])
+        """All ids: each rule is expanded once, unless rules nest so deeply that this takes more room than the ids."""
+        seq, first = from_bits(self.symbols, self.head["bits"], 0, self.head["symbols"]), self.head["vocabulary"]
+        if not len(self.rules) or int(self.lengths.sum()) > 4 * self.head["ids"]:
+            return expand(seq, self.rules, first)
+        flat = expand(self.rules.reshape(-1), self.rules, first)
+        high = seq >= first
+        size = np.ones(len(seq), np.int64)
+        size[high] = self.lengths[seq[high] - first]
+        begin = np.cumsum(size) - size
+        out = np.empty(self.head["ids"], np.int64)
+        out[begin[~high]] = seq[~high]
+        out[_runs(begin[high], size[high])] = flat[_runs((np.cumsum(self.lengths) - self.lengths)[seq[high] - first], size[high])]
+        return out
 
     def document(self, k: int) -> np.ndarray:
-        return expand(self.symbols[self.symbol_ends[k - 1] if k else 0 : self.symbol_ends[k]], self.rules, self.head["vocabulary"])
+        return expand(self._symbols(k), self.rules, self.head["vocabulary"])
 
     def some(self, k: int, begin: int, end: int) -> np.ndarray:
         """Ids begin to end of a document; only the symbols that cover them are expanded."""
-        part = self.symbols[self.symbol_ends[k - 1] if k else 0 : self.symbol_ends[k]].astype(np.int64)
+        part = self._symbols(k)
         size = np.ones(len(part), np.int64)
         high = part >= self.head["vocabulary"]
         size[high] = self.lengths[part[high] - self.head["vocabulary"]]
@@ -157,73 +215,83 @@ class Encoder:
     """Encodes texts word by word, each different word once.
 
     The tokenizer drops white space and never joins across it, so this gives the ids of whole texts. A word
-    of plain letters goes to the tokenizer's model directly, and so does one full stop or comma behind it, as
+    of plain letters goes to the tokenizer's model directly. Marks behind such a word are taken as a word of their own, as
     the tokenizer splits there too. All other words go through the whole tokenizer.
     """
 
-    PLAIN = re.compile("[a-zß-öø-ÿ]+")
+    #: Plain letters, then marks but no apostrophe, before which the tokenizer may not split.
+    PARTS = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.model, self.bytes = self.tokenizer.model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.marks = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in ".,"}
+        # Byte-level models spell each byte as a character: printable ones as themselves, the others from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.spelt = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in shown)}
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.flat = pa.array([], pa.large_string()), np.empty(0, np.int32)
-        self.starts = self.sizes = np.empty(0, np.int64)
-
-    def learn(self, missing: list[str]) -> None:
-        plain, found = self.PLAIN.fullmatch, []
-        for w in missing:
-            if plain(w):
-                found.append([t.id for t in self.model.tokenize(w if w.isascii() else self.bytes.pre_tokenize_str(w)[0][0])])
-            else:
-                found.append(self.tokenizer.encode(w, add_special_tokens=False).ids)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))])
-        self.known = pa.concat_arrays([self.known, pa.array(missing, pa.large_string())])
-
-    def look_up(self, different: pa.Array) -> np.ndarray:
+        self.known: dict[str, int] = {}
+        self.flat, self.starts, self.met = np.empty(0, np.int32), np.zeros(1, np.int32), np.empty(0, np.int32)
+
+    def learn(self, missing: list[str], plain: list[bool]) -> None:
+        model, whole, spelt = self.tokenizer.model.tokenize, self.tokenizer.encode, self.spelt
+        found = [
+            [t.id for t in model(w if w.isascii() else w.encode().decode("latin-1").translate(spelt))] if p else whole(w, add_special_tokens=False).ids
+            for w, p in zip(missing, plain, strict=True)
+        ]
+        ends = np.cumsum(np.fromiter(map(len, found), np.int32, len(found)), dtype=np.int32)
+        self.known.update(zip(missing, range(len(self.known), len(self.known) + len(missing)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.flat) + ends])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(ends[-1]))])
+        self.met = np.concatenate([self.met, np.zeros(len(missing), np.int32)])
+
+    def shrink(self) -> None:
+        """Keeps the words that most slices met, CACHED / 2 at most."""
+        kept = np.sort(np.argsort(-self.met, kind="stable")[: CACHED // 2])
+        kept = kept[self.met[kept] > 1]
+        names = list(self.known)
+        self.known = {names[k]: i for i, k in enumerate(kept.tolist())}
+        words_ids = self.ids().take(pa.array(kept))
+        self.flat, self.starts, self.met = words_ids.flatten().to_numpy(), words_ids.offsets.to_numpy(), self.met[kept] // 2
+
+    def ids(self) -> pa.ListArray:
+        """The ids of all known words."""
+        return pa.ListArray.from_arrays(pa.array(self.starts), pa.array(self.flat))
+
+    def look_up(self, different: pa.Array, plain: np.ndarray) -> np.ndarray:
         """Places in the table of known words, to which new ones are added."""
-        if len(self.known) > CACHED:
-            self.forget()
-        at = pc.index_in(different, value_set=self.known)
-        if at.null_count:
-            self.learn(different.filter(pc.is_null(at)).to_pylist())
-            at = pc.index_in(different, value_set=self.known)
-        return at.to_numpy(zero_copy_only=False).astype(np.int64)
+        different = different.to_pylist()
+        at = np.fromiter(map(self.known.get, different, repeat(-1)), np.int64, len(different))
+        if len(new := np.flatnonzero(at < 0)):
+            at[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self.learn([different[k] for k in new.tolist()], plain[new].tolist())
+        self.met[at] += 1
+        return at
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin."""
+        if len(self.known) > CACHED:
+            self.shrink()
         begins, codes, different = words.split(texts, lower=False)
-        # "A word, then one mark" in letters that stay one word without the mark.
-        marked = pc.match_substring_regex(different, "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]$")
-        cores = pc.if_else(marked, pc.utf8_slice_codeunits(different, 0, -1), different)
-        plain = pc.match_substring_regex(cores, "^[A-Za-zÀ-ÖØ-öø-ÿ]+$")
-        cores = pc.if_else(plain, pc.utf8_lower(cores), cores).dictionary_encode()
-        at = self.look_up(cores.dictionary)[cores.indices.to_numpy(zero_copy_only=False)]
-        mark = np.zeros(len(different), np.int64)
-        ends_with = {c: pc.and_(marked, pc.ends_with(different, c)).to_numpy(zero_copy_only=False) for c in self.marks}
-        size = self.sizes[at]
-        for c, ids in self.marks.items():
-            mark[ends_with[c]] = len(ids)
-        # The ids of each different word of this slice, one word after the other.
-        whole = size + mark
-        starts = np.cumsum(whole) - whole
-        flat = np.empty(int(whole.sum()), np.int32)
-        flat[_runs(starts, size)] = self.flat[_runs(self.starts[at], size)]
-        for c, ids in self.marks.items():
-            for k, x in enumerate(ids):
-                flat[(starts + size)[ends_with[c]] + k] = x
-        n = whole[codes]
-        return flat[_runs(starts[codes], n)], np.concatenate([[0], np.cumsum(n)])[begins]
+        parts = pc.extract_regex(different, self.PARTS)
+        plain = pc.is_valid(parts)
+        cores = pc.if_else(plain, pc.utf8_lower(pc.struct_field(parts, "core")), different).dictionary_encode()
+        tails = pc.if_else(plain, pc.struct_field(parts, "tail"), "").dictionary_encode()
+        numpy = lambda x: x.to_numpy(zero_copy_only=False)
+        of_core = np.zeros(len(cores.dictionary), bool)
+        of_core[numpy(cores.indices)] = numpy(plain)
+        at = self.look_up(cores.dictionary, of_core)[numpy(cores.indices)]
+        behind = self.look_up(tails.dictionary, np.zeros(len(tails.dictionary), bool))[numpy(tails.indices)]
+        # Words and what is behind them, one after the other: each text's ids follow from those of its words.
+        both = pa.array(np.stack([at, behind], 1).reshape(-1))
+        each = self.ids().take(both)
+        each = pa.ListArray.from_arrays(pa.array(each.offsets.to_numpy()[::2]), each.flatten())
+        whole = each.take(pa.array(codes))
+        return whole.flatten().to_numpy(), whole.offsets.to_numpy()[begins]
 
 
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

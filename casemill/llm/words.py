@@ -102,7 +102,7 @@ def windows(word_hashes: np.ndarray, begins: np.ndarray, width: int) -> tuple[np
     counts = np.where(n >= width, n - width + 1, (n > 0).astype(np.int64))
     total = len(word_hashes)
     out = np.zeros(total, np.uint64)
-    for k in range(width):  # a position beyond the text is never used below
+    for k in range(min(width, total)):  # a position beyond the text is never used below
         out[: total - k] = mix(out[: total - k] * np.uint64(0x9E3779B97F4A7C15) + word_hashes[k:])
     at = np.repeat(begins[:-1] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
     out = out[at]

@@ -49,6 +49,15 @@ def test_words_of_slices():
         assert got == [WORD.findall((t or "").translate(LOWER)) for t in texts[2:]]
 
 
+@pytest.mark.parametrize("total", range(8))
+def test_windows_of_few_words(total):
+    whole = words.hashes(pa.array([f"w{k}" for k in range(20)], pa.large_string()))
+    found, counts = words.windows(whole[:total], np.array([0, total]), 5)
+    assert counts.tolist() == [max(total - 4, int(total > 0))] and len(found) == counts.sum()
+    more, more_counts = words.windows(np.concatenate([whole[10:], whole[:total], whole[10:]]), np.array([0, 10, 10 + total, 20 + total]), 5)
+    assert (more[6 : 6 + len(found)] == found).all() and more_counts[1] == counts[0]
+
+
 # 1
 
 
@@ -185,6 +194,78 @@ def test_grammar_and_random_access():
             assert (shard.some(k, a, b) == parts[k][a:b]).all()
 
 
+def naive_grammar(seqs):
+    """Symbols and rules that are left by replacing the most frequent pair again and again."""
+    rules = 0
+    while True:
+        counts = Counter()
+        for s in seqs:
+            i = 0
+            while i < len(s) - 1:
+                counts[s[i], s[i + 1]] += 1
+                i += 2 if s[i] == s[i + 1] and i + 2 < len(s) and s[i + 2] == s[i] else 1
+        if not counts or counts.most_common(1)[0][1] < 2:
+            return seqs, rules
+        pair, new, rules = counts.most_common(1)[0][0], ("rule", rules), rules + 1
+        for n, s in enumerate(seqs):
+            out, i = [], 0
+            while i < len(s):
+                if tuple(s[i : i + 2]) == pair:
+                    out.append(new)
+                    i += 2
+                else:
+                    out.append(s[i])
+                    i += 1
+            seqs[n] = out
+
+
+@pytest.mark.parametrize("kind", ["random", "phrases", "runs", "one", "long keys"])
+def test_grammar_against_the_naive_one(kind):
+    rng = np.random.default_rng(7)
+    phrases = [rng.integers(0, 50, int(rng.integers(2, 30))) for _ in range(12)]
+    make = {
+        "random": lambda: rng.integers(0, 6, int(rng.integers(1, 80))),
+        "phrases": lambda: np.concatenate([phrases[k] for k in rng.integers(0, 12, int(rng.integers(1, 6)))]),
+        "runs": lambda: np.repeat(rng.integers(0, 3, 8), rng.integers(1, 9, 8)),
+        "one": lambda: np.full(int(rng.integers(1, 50)), 3),
+        "long keys": lambda: rng.integers(0, 4, int(rng.integers(1, 60))) * 400_000_000,
+    }[kind]
+    parts = [make() for _ in range(60)]
+    ids, ends, first = np.concatenate(parts), np.cumsum([len(p) for p in parts]), int(max(p.max() for p in parts)) + 1
+    seq, seq_ends, rules = token_output.compress(ids, ends, first)
+    assert (token_output.expand(seq, rules, first) == ids).all() and len(seq_ends) == len(parts)
+    left, n = naive_grammar([p.tolist() for p in parts])
+    assert len(seq) + 2 * len(rules) <= 1.06 * (sum(map(len, left)) + 2 * n) + 4
+    counts = Counter()
+    for s in np.split(seq, seq_ends[:-1]):
+        pairs, i = s.tolist(), 0
+        while i < len(pairs) - 1:  # no pair is left that occurs twice without overlapping itself
+            counts[pairs[i], pairs[i + 1]] += 1
+            i += 2 if pairs[i : i + 3] == pairs[i : i + 1] * 3 else 1
+    assert not counts or max(counts.values()) == 1
+    for k in range(len(parts)):
+        assert (token_output.expand(seq[seq_ends[k - 1] if k else 0 : seq_ends[k]], rules, first) == parts[k]).all()
+
+
+def test_bits():
+    x = np.random.default_rng(1).integers(0, 2**17, 1001)
+    data = token_output.in_bits(x, 17)
+    assert len(data) == -(-1001 * 17 // 8)
+    for a, b in ((0, 1001), (0, 0), (1000, 1001), (3, 777)):
+        assert (token_output.from_bits(data, 17, a, b) == x[a:b]).all()
+
+
+def test_encoder_against_the_tokenizer(monkeypatch):
+    monkeypatch.setattr(token_output, "CACHED", 200)
+    encoder, rng = token_output.Encoder(token_output.tokenizer_path()), np.random.default_rng(9)
+    letters = list("abcXYZéÀßøñ.,!?'’-#$%<>|()[]{}\"\\/0123456789ﬁİ\u0301\u00a0年") + ["<|endoftext|>", "'s", "'LL", "don't"]
+    for _ in range(40):
+        texts = [" ".join("".join(rng.choice(letters, int(rng.integers(1, 9)))) for _ in range(int(rng.integers(0, 30)))) for _ in range(8)] + [None, ""]
+        ids, begins = encoder.encode(pa.array(texts, pa.large_string()))
+        want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [ids[a:b].tolist() for a, b in itertools.pairwise(begins)] == want
+
+
 # 5
 
 
