@@ -22,8 +22,8 @@ from casemill.llm.shared import materialize, n_partitions, new_path, running
 END = 2
 #: A shard is closed once it holds this many ids; it never splits a document.
 SHARD_IDS = 2_000_000
-#: Words whose ids a Python worker keeps at one time (about 150 bytes each).
-CACHED = 600_000
+#: Words whose ids a Python worker keeps at one time (about 60 bytes each).
+CACHED = 1_000_000
 #: A pair that occurs so often, without overlapping itself, becomes a rule.
 LEAST = 2
 MAGIC = b"GRAMMAR2"
@@ -119,10 +119,15 @@ def expand(seq: np.ndarray, rules: np.ndarray, first_symbol: int) -> np.ndarray:
 
 def rule_lengths(rules: np.ndarray, first_symbol: int) -> np.ndarray:
     """How many ids each rule stands for; a rule's sides come before it."""
-    out: list[int] = []
-    for a, b in (rules - first_symbol).tolist():
-        out.append((out[a] if a >= 0 else 1) + (out[b] if b >= 0 else 1))
-    return np.array(out, np.int64)
+    out = np.zeros(len(rules), np.int64)
+    sides = rules - first_symbol
+    todo = np.arange(len(rules))
+    while len(todo):
+        sizes = np.where(sides[todo] < 0, 1, out[np.maximum(sides[todo], 0)])
+        ready = (sizes > 0).all(1)
+        out[todo[ready]] = sizes[ready].sum(1)
+        todo = todo[~ready]
+    return out
 
 
 def in_bits(numbers: np.ndarray, width: int) -> bytes:
@@ -234,17 +239,20 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.starts, self.met = np.empty(0, np.int32), np.zeros(1, np.int32), np.empty(0, np.int32)
+        self.words, self.flat, self.starts, self.met = pa.array([], pa.large_string()), np.empty(0, np.int32), np.zeros(1, np.int32), np.empty(0, np.int32)
+        self.keys, self.rows = np.empty(0, np.uint64), np.empty(0, np.int64)  # hashes of the words, ascending, and their places
 
-    def learn(self, missing: list[str], plain: list[bool]) -> None:
+    def learn(self, missing: pa.Array, keys: np.ndarray, plain: list[bool]) -> None:
         model, whole, spelt = self.tokenizer.model.tokenize, self.tokenizer.encode, self.spelt
         found = [
             [t.id for t in model(w if w.isascii() else w.encode().decode("latin-1").translate(spelt))] if p else whole(w, add_special_tokens=False).ids
-            for w, p in zip(missing, plain, strict=True)
+            for w, p in zip(words.strings(missing), plain, strict=True)
         ]
         ends = np.cumsum(np.fromiter(map(len, found), np.int32, len(found)), dtype=np.int32)
-        self.known.update(zip(missing, range(len(self.known), len(self.known) + len(missing)), strict=True))
+        order = np.argsort(keys)
+        places = np.searchsorted(self.keys, keys[order])
+        self.keys, self.rows = np.insert(self.keys, places, keys[order]), np.insert(self.rows, places, len(self.words) + order)
+        self.words = pa.concat_arrays([self.words, missing])
         self.starts = np.concatenate([self.starts, len(self.flat) + ends])
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(ends[-1]))])
         self.met = np.concatenate([self.met, np.zeros(len(missing), np.int32)])
@@ -253,28 +261,36 @@ class Encoder:
         """Keeps the words that most slices met, CACHED / 2 at most."""
         kept = np.sort(np.argsort(-self.met, kind="stable")[: CACHED // 2])
         kept = kept[self.met[kept] > 1]
-        names = list(self.known)
-        self.known = {names[k]: i for i, k in enumerate(kept.tolist())}
-        words_ids = self.ids().take(pa.array(kept))
-        self.flat, self.starts, self.met = words_ids.flatten().to_numpy(), words_ids.offsets.to_numpy(), self.met[kept] // 2
+        number = np.full(len(self.words), -1)
+        number[kept] = np.arange(len(kept))
+        still = number[self.rows] >= 0
+        self.keys, self.rows = self.keys[still], number[self.rows[still]]
+        ids = self.ids().take(pa.array(kept))
+        self.words, self.flat, self.starts, self.met = self.words.take(pa.array(kept)), ids.flatten().to_numpy(), ids.offsets.to_numpy(), self.met[kept] // 2
 
     def ids(self) -> pa.ListArray:
         """The ids of all known words."""
         return pa.ListArray.from_arrays(pa.array(self.starts), pa.array(self.flat))
 
     def look_up(self, different: pa.Array, plain: np.ndarray) -> np.ndarray:
-        """Places in the table of known words, to which new ones are added."""
-        different = different.to_pylist()
-        at = np.fromiter(map(self.known.get, different, repeat(-1)), np.int64, len(different))
+        """Places in the table of known words, to which new ones are added. Words are found by their hashes and compared."""
+        keys = words.hashes(different)
+        at = np.full(len(keys), -1)
+        if len(self.keys):
+            places = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            at = np.where(self.keys[places] == keys, self.rows[places], -1)
+            hit = np.flatnonzero(at >= 0)
+            other = pc.not_equal(self.words.take(pa.array(at[hit])), different.take(pa.array(hit))).to_numpy(zero_copy_only=False)
+            at[hit[other]] = -1
         if len(new := np.flatnonzero(at < 0)):
-            at[new] = np.arange(len(self.known), len(self.known) + len(new))
-            self.learn([different[k] for k in new.tolist()], plain[new].tolist())
+            at[new] = np.arange(len(self.words), len(self.words) + len(new))
+            self.learn(different.take(pa.array(new)), keys[new], plain[new].tolist())
         self.met[at] += 1
         return at
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin."""
-        if len(self.known) > CACHED:
+        if len(self.words) > CACHED:
             self.shrink()
         begins, codes, different = words.split(texts, lower=False)
         parts = pc.extract_regex(different, self.PARTS)
