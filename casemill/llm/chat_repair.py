@@ -87,12 +87,35 @@ def path(roles: list[str], first: int, last: int | None) -> tuple[list[int], int
     return states[::-1], total
 
 
-def transfer(roles: Iterator[str]) -> np.ndarray:
-    """The cheapest cost from each state to each over some turns; such tables of successive stretches can be put together."""
-    out = np.where(np.eye(len(STATES), dtype=bool), 0, FAR).astype(np.int64)
+def transfer(roles: Iterator[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Over some turns, the cheapest cost from each state to each, and how the cheapest ways to one state rank by where they begin.
+
+    Such tables of successive stretches can be put together. path() takes, of ways that cost the same, the one whose last states
+    come first in STATES; the rank orders the ways to a state by just that, so that join() takes the same way as path() does uncut.
+    """
+    cost = np.where(np.eye(len(STATES), dtype=bool), 0, FAR).astype(np.int64)
+    rank = np.zeros_like(cost)
     for r in roles:
-        out = np.minimum((out[:, :, None] + COSTS[r][None]).min(1), FAR)
-    return out
+        through = cost[:, :, None] + COSTS[r][None]
+        via = through.argmin(1)
+        cost = np.minimum(through.min(1), FAR)
+        key = via * len(STATES) + np.take_along_axis(rank, via, 1)
+        rank = np.stack([np.unique(k, return_inverse=True)[1] for k in key.T], 1)
+    return cost, rank
+
+
+def join(tables: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[int], int]:
+    """The states at the beginning of each stretch and at the end of the last, on the way that path() takes, and its cost."""
+    cost, came = np.array([0] + [FAR] * (len(STATES) - 1)), []
+    for table, rank in tables:
+        through = cost[:, None] + table
+        came.append(np.where(through == through.min(0), rank * len(STATES) + np.arange(len(STATES))[:, None], FAR).argmin(0))
+        cost = np.minimum(through.min(0), FAR)
+    states = [int((cost + LAST_COSTS).argmin())]
+    total = int(cost[states[0]] + LAST_COSTS[states[0]])
+    for before in reversed(came):
+        states.append(int(before[states[-1]]))
+    return states[::-1], total
 
 
 def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -100,13 +123,13 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     Returns a row for each turn and each inserted one: conv_id, turn (of an inserted one: that of the turn it stands
     before, or after at the end), place (0 and 1 inserted before, 2 the turn itself, 3 and 4 inserted at the end), action
-    (keep, merge, relabel, relabel and merge, insert), role, piece, and cost (of the whole stretch of the conversation
-    that one task repaired, in its last row; else null). The pieces of a conversation in order of turn, copy and place,
+    (keep, merge, relabel, relabel and merge, insert), role, piece, and cost (of the whole conversation, in the row of its last
+    turn; else null). The rows don't depend on how turns are dealt to tasks. The pieces of a conversation in order of turn, copy and place,
     one behind the other, are its rendering.
 
     Turns are range-partitioned by conversation and turn, so that one very long conversation takes many tasks. Where
-    one spans several, each stretch is first reduced to its table of costs between states; these few tables, of which
-    there are two for each partition boundary at most, fix the states at the boundaries.
+    one spans several, each stretch is first reduced to its table of costs and ranks between states; these few tables, of which
+    there are two for each partition boundary at most, fix the states at the boundaries. Very long texts are rendered whole.
 
     Roles are trimmed, lower-cased, and known by ALIASES; a null or unknown role must be named. A null text is empty.
     Turns with equal numbers are ordered by role and text, and numbered in copy; a null number comes first. A null conversation id is a
@@ -138,24 +161,39 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (part, conv), got in stretches(batches):
             if conv in shared:
-                cells = transfer(r[2] for r in got).reshape(-1).tolist()
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([conv], pa.int64()), pa.array([cells], pa.list_(pa.int64()))], names=["part_no", "conv_id", "cells"])
-
+                # Beside the table: the first and last turn's numbers, and how many turns at either end have them.
+                ends = []
+
+                def roles(got=got, ends=ends) -> Iterator[str]:
+                    for r in got:
+                        if not ends:
+                            ends[:] = [r[3], 0, True, r[3], 0]
+                        ends[1] += ends[2] and r[3] == ends[0]
+                        ends[2] = ends[2] and r[3] == ends[0]
+                        ends[3:] = [r[3], ends[4] + 1 if r[3] == ends[3] else 1]
+                        yield r[2]
+
+                cells = [x.reshape(-1).tolist() for x in transfer(roles())]
+                row = {"part_no": part, "conv_id": conv, "cells": cells[0], "ranks": cells[1], "first_turn": ends[0], "leading": ends[1], "one_turn": ends[2], "last_turn": ends[3], "trailing": ends[4]}
+                yield pa.RecordBatch.from_pylist([row], schema=stretch_schema)
+
+    stretch_schema = pa.schema([
+        ("part_no", pa.int32()), ("conv_id", pa.int64()), ("cells", pa.list_(pa.int64())), ("ranks", pa.list_(pa.int64())), ("first_turn", pa.int64()), ("leading", pa.int64()),
+        ("one_turn", pa.bool_()), ("last_turn", pa.int64()), ("trailing", pa.int64()),
+    ])
     known = parts.filter(F.col("conv_id").isin([x for x in shared if x is not None]) | (F.col("conv_id").isNull() if None in shared else F.lit(False)))
-    reduced = again(known).select("part_no", "conv_id", "role").mapInArrow(tables, "part_no int, conv_id long, cells array<long>").collect() if shared else []
-    fixed: dict[tuple, tuple[int, int | None]] = {}
+    kinds = "part_no int, conv_id long, cells array<long>, ranks array<long>, first_turn long, leading long, one_turn boolean, last_turn long, trailing long"
+    reduced = again(known).select("part_no", "conv_id", "role", "turn").mapInArrow(tables, kinds).collect() if shared else []
+    #: Of each stretch of a conversation that has several: the states at both ends (None: it is the last one), the whole cost, and copies of its first turn before it.
+    fixed: dict[tuple, tuple[int, int | None, int, int]] = {}
     for conv in shared:
-        steps = sorted((r["part_no"], np.array(r["cells"]).reshape(len(STATES), -1)) for r in reduced if r["conv_id"] == conv)
-        cost, came = np.array([0] + [FAR] * (len(STATES) - 1)), []
-        for _, table in steps:
-            through = cost[:, None] + table
-            came.append(through.argmin(0))
-            cost = np.minimum(through.min(0), FAR)
-        at = int((cost + LAST_COSTS).argmin())
-        for k in range(len(steps) - 1, -1, -1):
-            before = int(came[k][at])
-            fixed[steps[k][0], conv] = (before, None if k == len(steps) - 1 else at)
-            at = before
+        steps = sorted((r for r in reduced if r["conv_id"] == conv), key=lambda r: r["part_no"])
+        states, total = join([tuple(np.array(r[c]).reshape(len(STATES), -1) for c in ("cells", "ranks")) for r in steps])
+        copies, turn = 0, object()
+        for k, r in enumerate(steps):
+            copies = copies if r["first_turn"] == turn else 0
+            fixed[r["part_no"], conv] = (states[k], None if k == len(steps) - 1 else states[k + 1], total, copies)
+            copies, turn = (copies if r["one_turn"] else 0) + r["trailing"], r["last_turn"]
 
     schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("copy", pa.int64()), ("place", pa.int32()), ("action", pa.string()), ("role", pa.string()), ("piece", pa.string()), ("cost", pa.int64())])
 
@@ -163,9 +201,10 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         out, size = [], 0
         for (part, conv), got in stretches(batches):
             got = list(got)
-            at, last = fixed.get((part, conv), (0, None))
+            at, last, whole, copy = fixed.get((part, conv), (0, None, None, 0))
             states, total = path([r[2] for r in got], at, last)
-            number, copy = object(), 0
+            total = total if whole is None else whole
+            number, copy = got[0][3], copy - 1
             for k, (row, to) in enumerate(zip(got, states, strict=True)):
                 _, action, role, empty = MOVES[row[2]][at][to]
                 copy = copy + 1 if row[3] == number else 0
@@ -175,7 +214,7 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                 head = "\n" if "merge" in action else ("<|end|>\n" if at or empty else "") + f"<|{role}|>\n"
                 ending = LAST[to] if last is None and k == len(got) - 1 else ()
                 tail = "" if ending or last is not None or k < len(got) - 1 else "<|end|>\n"
-                out.append((conv, row[3], copy, 2, action, role, head + row[4] + tail, total if k == len(got) - 1 else None))
+                out.append((conv, row[3], copy, 2, action, role, head + row[4] + tail, total if last is None and k == len(got) - 1 else None))
                 for i, e in enumerate(ending):
                     out.append((conv, row[3], copy, 3 + i, "insert", e, f"<|end|>\n<|{e}|>\n" + "<|end|>\n" * (i == len(ending) - 1), None))
                 at, size = to, size + len(row[4])

@@ -18,8 +18,8 @@ from casemill.llm.shared import materialize, n_partitions, new_path, small
 FOLDS, HELD_OUT = 5, 1
 #: Bytes of text whose tokens travel together, and keys that one bucket of the count holds on average.
 BATCH_BYTES, BUCKET_KEYS = 6_000_000, 2_000_000
-#: Bytes of a bigram's hash that are sent besides its bucket: of 2,000,000 keys in a bucket, about 4 are taken for another.
-KEY_BYTES = 5
+#: Batches whose counts one task adds for a bucket; of more, groups of so many are added first, and then the groups.
+MOST_BATCHES = 65_536
 #: Context frequencies fall in buckets by their power of two.
 BUCKETS = 48
 #: Ratios of the estimates are told apart to this part of a doubling when weights are learnt.
@@ -97,15 +97,51 @@ def encode(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, "batch long, n_tokens long, blob binary")
 
 
-def count(encoded: DataFrame, buckets: int, folder: str) -> DataFrame:
+def _short(keys: np.ndarray) -> list[np.ndarray]:
+    """Ascending keys as their steps, in as few bytes as nearly all steps need; larger steps have their upper part apart."""
+    steps = np.diff(keys)
+    mean = int(keys[-1] - keys[0]) // max(1, len(steps))
+    width = min(8, -(-(mean.bit_length() + 3) // 8))
+    body = np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).reshape(-1)
+    far = np.flatnonzero(steps >> np.uint64(8 * width)) if width < 8 else np.zeros(0, np.int64)
+    return [keys[:1], np.array([width], np.uint8), body, far.astype(np.uint32), steps[far] >> np.uint64(8 * width % 64)]
+
+
+def _long(first: np.ndarray, width: np.ndarray, body: np.ndarray, far: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The keys that _short() gave."""
+    w = int(width[0])
+    steps = np.zeros((len(body) // w, 8), np.uint8)
+    steps[:, :w] = body.reshape(-1, w)
+    steps = steps.reshape(-1).view("<u8").astype(np.uint64)
+    steps[far] |= high << np.uint64(8 * w % 64)
+    return np.cumsum(np.concatenate([first, steps]), dtype=np.uint64)
+
+
+def _keyed(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of a row that batches or groups send."""
+    *keys, low, high = _unpack(blob)
+    return _long(*keys), _thick(low, high)
+
+
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys of all parts, the sums of their counts, and the place of each part's keys among them, in a row."""
+    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    sums = np.zeros(len(keys), np.int64)
+    np.add.at(sums, at, np.concatenate([c for _, c in parts]))
+    return keys, sums, at
+
+
+def count(encoded: DataFrame, buckets: int, folder: str, n_batches: int = 0, most: int = MOST_BATCHES) -> DataFrame:
     """How often each token and bigram of each batch occurs in the training documents.
 
-    A batch sends its different keys, sorted, with their counts, in one row for each bucket of keys; a
+    A batch sends its different keys, sorted, with their counts, in one row for each bucket of keys that it has any of; a
     bucket adds the counts of equal keys and sends the sums back in the same order, where they are written to one file
     for each batch. So a frequent key is one number of each batch, however often it occurs, and batches themselves
-    aren't shuffled. Columns: batch, path, and n_train and n_seen, whose sums over all rows are the number of training tokens
-    and of different ones.
+    aren't shuffled. If there are more than `most` batches, groups of about so many are added first and the groups' sums then, so
+    that no task meets a frequent key of all batches. Keys are 64-bit hashes, sent whole. Columns: batch, path, and n_train
+    and n_seen, whose sums over all rows are the number of training tokens and of different ones.
     """
+    groups = max(1, -(-n_batches // most))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,31 +153,43 @@ def count(encoded: DataFrame, buckets: int, folder: str) -> DataFrame:
                 found = {0: (hashes[order], np.bincount(codes[learnt], minlength=len(hashes))[order]), 1: (bigrams, np.bincount(at[learnt], minlength=len(bigrams)))}
                 for kind, (keys, counts) in found.items():
                     place = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-                    cuts = np.searchsorted(place, np.arange(buckets + 1, dtype=np.uint64))
-                    full = [b for b in range(buckets) if cuts[b + 1] > cuts[b]]
+                    cuts = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1, [len(keys)]])
+                    n = len(cuts) - 1
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([number] * len(full)), pa.array([kind] * len(full), pa.int32()), pa.array(full, pa.int32()),
-                            pa.array([_pack(_short(keys[cuts[b] : cuts[b + 1]], kind), *_thin(counts[cuts[b] : cuts[b + 1]])) for b in full], pa.binary()),
+                            pa.array([number] * n), pa.array([kind] * n, pa.int32()), pa.array(place[cuts[:-1]].astype(np.int32)),
+                            pa.array([_pack(*_short(keys[a:b]), *_thin(counts[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
                         ],
                         names=["batch", "kind", "bucket", "blob"],
                     )
 
     def add(table: pa.Table) -> pa.Table:
-        kind = table.column("kind")[0].as_py()
-        parts = [(_long(k, kind), _thick(*c)) for k, *c in (_unpack(x.as_py()) for x in table.column("blob"))]
+        """Each row's keys' sums over all rows."""
+        tokens = table.column("kind")[0].as_py() == 0
+        parts = [_keyed(x.as_py()) for x in table.column("blob")]
         cuts = np.cumsum([0] + [len(k) for k, _ in parts])
-        keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-        sums = np.zeros(len(keys), np.int64)
-        np.add.at(sums, at, np.concatenate([c for _, c in parts]))
+        _, sums, at = _added(parts)
         first = np.arange(len(parts)) == 0
-        tokens = kind == 0
         return pa.table({
             "batch": table.column("batch"), "kind": table.column("kind"), "bucket": table.column("bucket"),
             "blob": pa.array([_pack(*_thin(sums[at[a:b]])) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
             "n_train": pa.array(np.where(first & tokens, sums.sum(), 0), pa.int64()), "n_seen": pa.array(np.where(first & tokens, (sums > 0).sum(), 0), pa.int64()),
         })
 
+    def partly(table: pa.Table) -> pa.Table:
+        """One row with the keys of a group of batches and their sums in it."""
+        keys, sums, _ = _added([_keyed(x.as_py()) for x in table.column("blob")])
+        blob = pa.array([_pack(*_short(keys), *_thin(sums))], pa.binary())
+        return pa.table({"batch": table.column("group")[:1], "kind": table.column("kind")[:1], "bucket": table.column("bucket")[:1], "blob": blob})
+
+    def hand_out(table: pa.Table, part: pa.Table, whole: pa.Table) -> pa.Table:
+        """Each batch's keys' sums over all groups, by those of its group."""
+        keys, sums = _keyed(part.column("blob")[0].as_py())[0], _thick(*_unpack(whole.column("blob")[0].as_py()))
+        answers = [sums[np.searchsorted(keys, _keyed(x.as_py())[0])] for x in table.column("blob")]
+        first = np.arange(len(answers)) == 0
+        each = {c: pa.array(np.where(first, whole.column(c)[0].as_py(), 0), pa.int64()) for c in ("n_train", "n_seen")}
+        return pa.table({"batch": table.column("batch"), "kind": table.column("kind"), "bucket": table.column("bucket"), "blob": pa.array([_pack(*_thin(a)) for a in answers], pa.binary()), **each})
+
     def keep(table: pa.Table) -> pa.Table:
         rows = sorted(zip(*(table.column(c).to_pylist() for c in ("kind", "bucket", "blob")), strict=True), key=lambda r: r[:2])
         answers = [np.concatenate([_thick(*_unpack(r[2])) for r in rows if r[0] == kind]) for kind in (0, 1)]
@@ -150,24 +198,21 @@ def count(encoded: DataFrame, buckets: int, folder: str) -> DataFrame:
         total = lambda c: [sum(table.column(c).to_pylist())]
         return pa.table({"batch": table.column("batch")[:1], "path": [path], "n_train": total("n_train"), "n_seen": total("n_seen")})
 
-    asked = encoded.select("batch", "blob").mapInArrow(ask, "batch long, kind int, bucket int, blob binary")
-    added = asked.groupBy("kind", "bucket").applyInArrow(add, "batch long, kind int, bucket int, blob binary, n_train long, n_seen long")
+    sent = "batch long, kind int, bucket int, blob binary"
+    sums = f"{sent}, n_train long, n_seen long"
+    asked = encoded.select("batch", "blob").mapInArrow(ask, sent)
+    if groups == 1:
+        added = asked.groupBy("kind", "bucket").applyInArrow(add, sums)
+    else:
+        asked = materialize(asked.withColumn("group", F.pmod(F.xxhash64("batch"), F.lit(groups))), "asked")
+        parts = materialize(asked.groupBy("group", "kind", "bucket").applyInArrow(partly, sent), "parts")
+        whole = parts.groupBy("kind", "bucket").applyInArrow(add, sums)
+        both = parts.join(whole.withColumnRenamed("blob", "sums"), ["batch", "kind", "bucket"]).withColumnRenamed("batch", "group")
+        each = lambda left, right: hand_out(left, right, right.select(["sums", "n_train", "n_seen"]).rename_columns(["blob", "n_train", "n_seen"]))
+        added = asked.groupBy("group", "kind", "bucket").cogroup(both.groupBy("group", "kind", "bucket")).applyInArrow(each, sums)
     return added.groupBy("batch").applyInArrow(keep, "batch long, path string, n_train long, n_seen long")
 
 
-def _short(keys: np.ndarray, kind: int) -> np.ndarray:
-    """Keys of tokens as they are, those of bigrams cut to KEY_BYTES bytes."""
-    return keys if kind == 0 else np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).reshape(-1)
-
-
-def _long(keys: np.ndarray, kind: int) -> np.ndarray:
-    if kind == 0:
-        return keys
-    out = np.zeros((len(keys) // KEY_BYTES, 8), np.uint8)
-    out[:, :KEY_BYTES] = keys.reshape(-1, KEY_BYTES)
-    return out.reshape(-1).view("<u8")
-
-
 def _estimates(blob: bytes, path: str) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """Of a batch and the file of its counts: its arrays, and each token's count, its context's, and its bigram's."""
     with files.open_at(path, "r") as f:
@@ -242,15 +287,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     documents have), train_tokens, base_score (add-half token estimates) and score, both base-10 logarithms.
 
     The model mixes the bigram estimate c(v, w) / c(v), the token estimate c(w) / N and the uniform one 1 / (V + 1),
-    by weights of the bucket that c(v) falls into. The context of a first word is the end.
+    by weights of the bucket that c(v) falls into. The context of a first word is the end. Words that occur equally often, and
+    whose neighbours do, are scored alike: there are no ties to break. Very long texts are scored whole, in a batch of their own.
 
     A null or empty text is its end only. A null id isn't held out. Repeated rows count each. Without training
     documents all counts are 0 and the estimates uniform. An empty table gives an empty result. Other columns aren't read.
     """
     encoded = materialize(encode(docs, id_col, text_col), "tokens", compression="zstd")
-    total = encoded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    total, n_batches = encoded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count(F.lit(1))).first()
     buckets = max(n_partitions(docs.sparkSession), -(-total // BUCKET_KEYS))
-    counted = materialize(count(encoded, buckets, new_path(docs.sparkSession, "counts")), "counts")
+    counted = materialize(count(encoded, buckets, new_path(docs.sparkSession, "counts"), n_batches), "counts")
     n_train, n_seen = counted.agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.coalesce(F.sum("n_seen"), F.lit(0))).first()
     weights = learn_weights(encoded, counted, n_train, n_seen)
 

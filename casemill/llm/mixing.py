@@ -13,6 +13,8 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 #: Times that a source's missing words are filled by the largest document that still fits, before the nearest one is tried.
 FILLS = 2
+#: The curriculum's course by turns: parts of a source's weight at these times, linear between them. Each has the integral 1.
+TIMES, COURSES = (0.0, 0.5, 1.0), ((1.75, 0.75, 0.75), (0.75, 0.75, 1.75))
 #: The integral of piecewise linear weights from the first knot to that with the given number.
 AREA = "aggregate(sequence(1, {last}), cast(0 as double), (s, i) -> s + (knots[i].t - knots[i - 1].t) * (knots[i].w + knots[i - 1].w) / 2)"
 
@@ -21,11 +23,13 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def constant_schedule(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """Sources by code point, null last, get the weights in turn, the same at all times."""
+def curriculum(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, times: tuple[float, ...] = TIMES, courses: tuple[tuple[float, ...], ...] = COURSES) -> DataFrame:
+    """A schedule: sources by code point, null last, get the weights in turn, and the courses over time in turn."""
     ranked = running(sources.select("source"), [F.col("source").asc_nulls_last()], {})
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), ((F.col("row_no") - 1) % len(weights) + 1).cast("int"))
-    return ranked.select("source", F.array(*(F.struct(F.lit(t).alias("t"), weight.alias("w")) for t in (0.0, 1.0))).alias("knots"))
+    turn = lambda values: F.element_at(F.array(*values), ((F.col("row_no") - 1) % len(values) + 1).cast("int"))
+    course = turn([F.array(*map(F.lit, c)) for c in courses])
+    ranked = ranked.select("source", turn([F.lit(float(w)) for w in weights]).alias("weight"), course.alias("course"))
+    return ranked.select("source", F.array(*(F.struct(F.lit(t).alias("t"), (F.col("weight") * F.col("course")[i]).alias("w")) for i, t in enumerate(times))).alias("knots"))
 
 
 def source_targets(sources: DataFrame, schedule: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -80,9 +84,9 @@ def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = M
     of the MD5 of their ids as far as they fit, and what is then missing to the largest that still fit, FILLS
     times, then with `fill` in that order again to all that fit, until none does, and at last to the one that comes nearest, if it comes
     nearer than none. Documents are taken whole. A document's words stand at a place in its source's demand; the
-    schedule's integral is inverted there to give its position.
+    schedule's integral is inverted there to give its position. Without a schedule that of curriculum() holds.
 
-    A null text has size 0 and is taken, at no cost, like others. Null sources are a source. Repeated rows are
+    A very long text counts whole, and is taken or left whole; it may miss a small source's target by its size. A null text has size 0 and is taken, at no cost, like others. Null sources are a source. Repeated rows are
     mixed each by itself; rows with null ids come first. An empty table gives an empty result. Other columns
     are not read. Running it again gives the same rows.
     """
@@ -91,7 +95,7 @@ def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = M
     # Running sums are by range partitions: a source with a third of the rows takes many tasks.
     placed = materialize(running(slim, [F.col("lot").asc_nulls_first(), F.col("doc_id").asc_nulls_first(), F.col("size")], {"before": "size"}, ("source",)), "placed")
     sources = materialize(placed.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
-    targets = materialize(source_targets(sources, constant_schedule(sources) if schedule is None else schedule, max_repeats), "targets")
+    targets = materialize(source_targets(sources, curriculum(sources) if schedule is None else schedule, max_repeats), "targets")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = targets.withColumn("whole", whole.cast("long")).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
 
@@ -180,21 +184,29 @@ p AS (
   SELECT *, row_number() OVER w AS row_no, coalesce(sum(size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM d WINDOW w AS (PARTITION BY source ORDER BY lot NULLS FIRST, doc_id NULLS FIRST, size)),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
-w AS (SELECT *, [5, 2, 1][(rank - 1) % 3 + 1]::DOUBLE AS weight, source_size * 3 AS cap FROM s),
+w AS (SELECT *, [5, 2, 1][(rank - 1) % 3 + 1]::DOUBLE AS weight, source_size * 3 AS cap, (rank - 1) % 2 AS course FROM s),
 c AS (
   SELECT *, coalesce(sum(cap) OVER o, 0) AS cap_before, coalesce(sum(weight) OVER o, 0) AS weight_before, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights
   FROM w WINDOW o AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 e AS (SELECT *, cap * (weights - weight_before) <= (total - cap_before) * weight AS capped FROM c),
 g AS (SELECT *, coalesce(sum(cap) FILTER (capped) OVER (), 0) AS used, coalesce(sum(weight) FILTER (capped) OVER (), 0) AS gone FROM e),
 t AS (
-  SELECT source, source_size, CASE WHEN capped THEN cap::DOUBLE ELSE (total - used)::DOUBLE * weight / (weights - gone)::DOUBLE END AS target FROM g),
+  SELECT source, source_size, weight, course, CASE WHEN capped THEN cap::DOUBLE ELSE (total - used)::DOUBLE * weight / (weights - gone)::DOUBLE END AS target FROM g),
 q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM t),
 m0 AS (
-  SELECT p.*, source_size, target, whole, target - whole * source_size AS rest, before + size <= target - whole * source_size AND target - whole * source_size > 0 AS more
+  SELECT p.*, source_size, target, weight, course, whole, target - whole * source_size AS rest, before + size <= target - whole * source_size AND target - whole * source_size > 0 AS more
   FROM p JOIN q ON p.source IS NOT DISTINCT FROM q.source),
 """ + ",".join(_FILL.format(n=n, m=n - 1, most="missing" if n <= FILLS else "2 * missing - 1e-6") for n in range(1, FILLS + 2)) + f"""
-, z AS (SELECT *, CASE WHEN target > 0 THEN whole + more::BIGINT ELSE 0 END AS copies FROM m{FILLS + 1})
+, z AS (SELECT *, CASE WHEN target > 0 THEN whole + more::BIGINT ELSE 0 END AS copies FROM m{FILLS + 1}),
+-- The first copy's place in the demand; its half of the curriculum (weights at both ends, demand before it); what is still wanted in it.
+x AS (
+  SELECT *, least(1.0, CASE WHEN whole > 0 THEN before::DOUBLE ELSE whole * source_size + greatest(0.0, least(before::DOUBLE, rest - size)) END / target) * weight AS want,
+         weight * CASE course WHEN 0 THEN 0.625 ELSE 0.375 END AS half FROM z),
+y AS (
+  SELECT *, CASE WHEN want >= half THEN 0.5 ELSE 0.0 END AS t_0, greatest(0.0, want - CASE WHEN want >= half THEN half ELSE 0.0 END) AS still,
+         weight * CASE WHEN (course = 0) <> (want >= half) AND course = 0 THEN 1.75::DOUBLE ELSE 0.75::DOUBLE END AS w_0,
+         weight * CASE WHEN course = 1 AND want >= half THEN 1.75::DOUBLE ELSE 0.75::DOUBLE END AS w_1 FROM x)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies,
-       CASE WHEN copies > 0 THEN round(CASE WHEN whole > 0 THEN before::DOUBLE ELSE greatest(0.0, least(before::DOUBLE, rest - size)) END / target, 6) END AS position
-FROM z
+       CASE WHEN copies > 0 AND target > 0 THEN round(t_0 + CASE WHEN w_0 + root > 0 THEN least(0.5, 2 * still / (w_0 + root)) ELSE 0 END, 6) END AS position
+FROM (SELECT *, sqrt(greatest(0.0, w_0 * w_0 + 2 * ((w_1 - w_0) / 0.5) * still)) AS root FROM y)
 """

@@ -246,18 +246,33 @@ def read_warc(archives: DataFrame) -> DataFrame:
     return spread.mapInArrow(read, "path string, begin long, end long, gap string, fields map<string,string>, payload binary")
 
 
-def op1_warc(spark, sf_dir: str) -> DataFrame:
-    archives = write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"), new_path(spark, "warc"))
-    records = read_warc(archives).filter("gap IS NULL")
+def pages_of(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pages that archives of write_warc() hold, and the byte gaps that had to be left out of them, both written to shared storage.
+
+    Pages: page_id, payload_bytes, payload_digest, record_type, refers_to, and lost_bytes, which the reader quarantined in the
+    page's archive. Gaps: path, begin, end, reason. Damaged records are in no row of the pages; an archive without damage
+    has no gap and 0 lost bytes.
+    """
     field = lambda name: F.col("fields")[name]
     response = field("warc-type") == "response"
-    return records.select(
+    found = read_warc(archives).select(
+        "path", "begin", "end", "gap",
         field("x-page-id").cast("long").alias("page_id"),
         F.when(response, F.octet_length("payload")).otherwise(field("x-payload-bytes").cast("int")).cast("long").alias("payload_bytes"),
         F.when(response, F.sha2("payload", 256)).otherwise(F.regexp_replace(field("warc-payload-digest"), "^sha256:", "")).alias("payload_digest"),
         field("warc-type").alias("record_type"),
         field("x-refers-to-page-id").cast("long").alias("refers_to"),
-    )
+    )
+    found = materialize(found, "records")
+    gaps = materialize(found.filter("gap IS NOT NULL").select("path", "begin", "end", F.col("gap").alias("reason")), "quarantine")
+    lost = gaps.groupBy(F.col("path").alias("l_path")).agg(F.sum(F.col("end") - F.col("begin")).alias("lost"))
+    pages = found.filter("gap IS NULL").join(small(lost), F.col("path") == F.col("l_path"), "left")
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.coalesce("lost", F.lit(0)).cast("long").alias("lost_bytes")), gaps
+
+
+def op1_warc(spark, sf_dir: str) -> DataFrame:
+    pages, _ = pages_of(write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"), new_path(spark, "warc")))
+    return pages
 
 
 ORACLE = """
@@ -266,6 +281,6 @@ WITH p AS (
 f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id FROM p)
 SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+       CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to, 0::BIGINT AS lost_bytes
 FROM f
 """

@@ -73,6 +73,23 @@ def test_warc_round_trip(spark):
     assert warc.write_warc(df.limit(0), new_path(spark, "t")).count() == 0
 
 
+def test_damaged_archives_lose_their_record_only(spark):
+    df = spark.createDataFrame([(i, f"u{i}", f"page {i} " * 200) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    archives = warc.write_warc(df, new_path(spark, "t"))
+    [path] = [r.path for r in archives.collect()]
+    with files.open_at(path, "r") as f:
+        whole = f.read()
+        ends = [end for _, end, fields, _ in warc.salvage(File(whole)) if fields]
+    hurt = bytearray(whole[: ends[-1] - 9])
+    hurt[ends[9] + 60] ^= 255
+    with files.open_at(path, "w") as f:
+        f.write(bytes(hurt))
+    pages, gaps = warc.pages_of(archives)
+    assert sorted(r.page_id for r in pages.collect()) == [i for i in range(39) if i != 10]
+    assert [(r.begin, r.end) for r in gaps.orderBy("begin").collect()] == [(ends[9], ends[10]), (ends[38], ends[39] - 9)]
+    assert {r.lost_bytes for r in pages.collect()} == {ends[10] - ends[9] + ends[39] - 9 - ends[38]}
+
+
 @pytest.mark.parametrize("packed", [True, False])
 def test_salvage(packed):
     parts = []
@@ -302,6 +319,27 @@ def test_interpolation_against_brute_force(spark):
     assert interpolation.score(docs(spark, texts).limit(0)).collect() == []
 
 
+def test_counts_of_many_batches(spark, monkeypatch):
+    monkeypatch.setattr(interpolation, "BATCH_BYTES", 300)
+    rng = np.random.default_rng(3)
+    texts = ["", None] + [" ".join(f"v{int(x)}" for x in rng.geometric(0.05, int(rng.integers(1, 40)))) for _ in range(200)]
+    encoded = interpolation.encode(docs(spark, texts), "doc_id", "text").cache()
+    found = {}
+    for most in (10**6, 7):
+        counted = interpolation.count(encoded, 5, new_path(spark, "t"), encoded.count(), most).cache()
+        totals = counted.selectExpr("sum(n_train)", "sum(n_seen)").first()
+        files_of = {r.batch: r.path for r in counted.collect()}
+        found[most] = (tuple(totals), [[x.tolist() for x in interpolation._estimates(bytes(r.blob), files_of[r.batch])[1:]] for r in encoded.orderBy("batch").collect()])
+    assert found[7] == found[10**6] and len(found[7][1]) > 20
+
+
+def test_keys_travel_whole():
+    rng = np.random.default_rng(2)
+    for keys in (rng.integers(0, 2**64, 5000, dtype=np.uint64), np.array([0, 1, 2**64 - 1], np.uint64), np.array([7], np.uint64), np.arange(300, dtype=np.uint64), np.array([5, 6, 2**40, 2**63], np.uint64)):
+        keys = np.unique(keys)
+        assert (interpolation._long(*interpolation._short(keys)) == keys).all()
+
+
 def test_interpolation_of_null_ids(spark):
     df = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, None)], "doc_id long, text string")
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.train_tokens) for r in interpolation.score(df).collect()) == Counter({(None, False, 3, 7): 2, (1, False, 1, 7): 1})
@@ -383,6 +421,36 @@ def test_repair_is_cheapest_and_legal(spark):
         assert cost == brute_cost(rs)
 
 
+def test_cut_conversations_take_the_same_way():
+    rng = np.random.default_rng(11)
+    for _ in range(400):
+        roles = [chat_repair.ROLES[k] for k in rng.integers(0, 4, int(rng.integers(1, 30)))]
+        want, total = chat_repair.path(roles, 0, None)
+        cuts = np.sort(rng.integers(0, len(roles) + 1, int(rng.integers(0, 4))))
+        parts = [roles[a:b] for a, b in zip([0, *cuts], [*cuts, len(roles)]) if b > a]
+        states, cost = chat_repair.join([chat_repair.transfer(iter(p)) for p in parts])
+        got = []
+        for k, p in enumerate(parts):
+            got += chat_repair.path(p, states[k], states[k + 1] if k < len(parts) - 1 else None)[0]
+        assert (got, cost) == (want, total)
+
+
+def test_repair_does_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(12)
+    turns = [(1, t // 2 if t < 90 else None, chat_repair.ROLES[int(rng.integers(0, 4))] or None, f"x{rng.integers(0, 5)}") for t in range(240)]
+    turns += [(c, t, chat_repair.ROLES[int(rng.integers(0, 4))], "y") for c in (2, None) for t in range(40)] + [(3, 0, "user", "z")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    found, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (1, 4, 8, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(rows(chat_repair.repair(df)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2] == found[3]
+    assert sum(r[-1] is not None for r in found[0]) == 4 and len({r[:4] for r in found[0]}) == len(found[0])
+
+
 def test_a_conversation_over_many_tasks(spark):
     roles = ["user", "user", "assistant", "system", "assistant", None] * 100
     df = spark.createDataFrame([(1, t, r, "x") for t, r in enumerate(roles)] + [(None, None, "bot", None), (2, 1, "Human ", "a"), (2, 1, "gpt", "b")], "conv_id long, turn long, role string, text string")
