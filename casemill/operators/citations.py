@@ -9,10 +9,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from casemill.operators.storage import spread
+
 #: The grammar of citations.
 YEAR = r"\[[12]\d{3}\]"
 NEUTRAL = YEAR + r"\s+SG(?:HC(?:R|F|\([A-Z]+\))?|CA(?:\([A-Z]+\))?|DC|FC)\s+\d+"
@@ -28,18 +30,36 @@ EDITION = r"\((Cap\.?\s+[^)]+|[^)]*Rev Ed)\)"
 REF = r"\d+[A-Za-z]?(?:\(\s*[a-z0-9]+\s*\))*"
 #: How far before a citation its title may begin, and how much of the text stands for an alias without one.
 TITLE_REACH, TEXT_REACH = 220, 80
+#: How far before an alias what it stands for may begin.
+ALIAS_REACH = 400
 #: A range of pins that is wider is dropped.
 WIDEST = 80
 #: Order of families: it decides between spans with one start and length.
 FAMILIES = ("case", "provision", "self", "book", "re", "alias")
 
+TEXTS = ("family", "kind", "quoted", "name", "neutral", "slr", "edition", "alias")
 SPAN_SCHEMA = "case_id long, paragraph_id long, ordinal int, start int, end int, family string, kind string, quoted string, name string, neutral string, slr string, edition string, alias string, provisions array<string>, pins array<int>"
 
 
+_NEUTRAL, _ALIAS, _CITATIONS = re.compile(NEUTRAL), re.compile(ALIAS), tuple(re.compile(p) for p in (REPORTER, SLR, NEUTRAL))
+_SLR, _PIN_RANGE, _RANGES = re.compile(SLR), re.compile(r"\[(\d+)\](?:\s*[-–—]\s*\[(\d+)\])?"), re.compile(r",|\band\b", re.IGNORECASE)
+_KINDS = (("rules", re.compile(r"\bRules\b|\bR\d+")), ("act", re.compile(r"\bAct\b|Rev Ed|\bCap\b")), ("case", re.compile(r"\[[12]\d{3}\]|\sv\s|^Re\s")))
+_TITLE_CUTS = (*_CITATIONS, re.compile(r"(?i:\bsee(?:,?\s*e\.?g\.?,?)?)\s+"), re.compile(r"\b(?i:in)\s+(?=[A-Z])"), re.compile(r"[.;]\s+(?=[A-Z])(?<!\b[A-Z]\. )"))
+_TITLE = re.compile(r"\bRe\s+[A-Z]|[A-Z]")
+_ACT_END, _PHRASE_END = re.compile(rf"({INSTRUMENT})(?:\s+{EDITION})?\s*$"), re.compile(r"([A-Z][\w'’\-]*(?:\s+[\w'’\-]+){0,12})$")
+_AFTER_CASE = re.compile(rf"(?:\s*{ALIAS})?(?:\s+(?i:at)\s+({PINS}))?")
+_PROVISION = re.compile(rf"\b(ss?|sections?|rules?|rr?)\s+({REF}(?:\s*(?:,|\band\b)\s*{REF})*)", re.IGNORECASE)
+_OF_INSTRUMENT, _OF = re.compile(rf"\s+of\s+(?:the\s+)?({INSTRUMENT})(?:\s+{EDITION})?(?:\s*{ALIAS})?"), re.compile(r"\s+of\s+(?:the\s+)?")
+_SELF = re.compile(rf"(?i:\babove\s+\(?at\s+|\b(?:described|set out|outlined|mentioned)\s+at\s+)({PINS})\)?")
+_BOOK = re.compile(r"([A-Z][^()]{8,120}?)\s+\(([^)]*\d+(?:st|nd|rd|th)\s+Ed\.?[^)]*\d{4})\)(?:\s+at\s+pp?\s+\d+(?:\s*[–\-—]\s*\d+)?)?")
+_RE = re.compile(rf"\bRe\s+[A-Z][\w'’\-]+(?:\s+[A-Z][\w'’\-]+){{0,6}}(?:\s+at\s+({PINS}))?")
+_RE_PINS, _AT_PINS, _BARE = re.compile(r"\s+at\s+\["), re.compile(rf"\s+(?i:at)\s+({PINS})"), re.compile(rf"(?i:\(at\s+|\bat\s+)({PINS})\)?")
+
+
 def expand_pins(text: str | None) -> list[int]:
     """The numbers in a cluster of pins; swapped ends are righted, and wide ranges dropped."""
     out: list[int] = []
-    for a, b in re.findall(r"\[(\d+)\](?:\s*[-–—]\s*\[(\d+)\])?", text or ""):
+    for a, b in _PIN_RANGE.findall(text or ""):
         low, high = sorted((int(a), int(b or a)))
         if high - low <= WIDEST:
             out += range(low, high + 1)
@@ -48,36 +68,31 @@ def expand_pins(text: str | None) -> list[int]:
 
 def alias_kind(expanded: str) -> str:
     """What a short name stands for, by its expansion; the first that fits."""
-    for kind, pattern in (("rules", r"\bRules\b|\bR\d+"), ("act", r"\bAct\b|Rev Ed|\bCap\b"), ("case", r"\[[12]\d{3}\]|\sv\s|^Re\s")):
-        if re.search(pattern, expanded):
-            return kind
-    return "fact"
+    return next((kind for kind, pattern in _KINDS if pattern.search(expanded)), "fact")
 
 
 def title_before(text: str, at: int) -> str:
     """The title that leads up to a citation: behind earlier citations, open brackets and words like "see" and "in"."""
     piece = text[max(0, at - TITLE_REACH) : at]
-    cuts = [m.end() for p in (NEUTRAL, SLR, REPORTER, r"(?i:\bsee(?:,?\s*e\.?g\.?,?)?)\s+", r"\b(?i:in)\s+(?=[A-Z])", r"[.;]\s+(?=[A-Z])(?<!\b[A-Z]\. )") for m in re.finditer(p, piece)]
+    cuts = [m.end() for p in _TITLE_CUTS for m in p.finditer(piece)]
     opened = piece.rfind("(")
     if opened > piece.rfind(")"):
         cuts.append(opened + 1)
     piece = piece[max(cuts, default=0) :]
-    begin = re.search(r"\bRe\s+[A-Z]|[A-Z]", piece)
+    begin = _TITLE.search(piece)
     return piece[begin.start() :].strip(" ,;(") if begin else ""
 
 
 def alias_definitions(text: str) -> list[tuple[str, str, str, int]]:
-    """(short name, expansion, kind, place) of each definition like (the "X" or the "Y")."""
+    """(short name, expansion, kind, place) of each definition like (the "X" or the "Y"). What it stands for begins at most ALIAS_REACH before it."""
     out = []
-    for m in re.finditer(ALIAS, text):
-        before = text[: m.start()].rstrip()
-        cites = [c for p in (NEUTRAL, SLR, REPORTER) for c in re.finditer(p, before) if c.end() == len(before)]
-        act = re.search(rf"({INSTRUMENT})(?:\s+{EDITION})?\s*$", before)
-        phrase = re.search(r"([A-Z][\w'’\-]*(?:\s+[\w'’\-]+){0,12})$", before)
+    for m in _ALIAS.finditer(text):
+        before = text[max(0, m.start() - ALIAS_REACH) : m.start()].rstrip()
+        cites = [c for p in _CITATIONS[::-1] for c in p.finditer(before) if c.end() == len(before)]
         if cites:
             expanded = f"{title_before(before, cites[0].start())} {cites[0][0]}".strip()
-        elif act or phrase:
-            expanded = (act or phrase)[0].strip()
+        elif found := _ACT_END.search(before) or _PHRASE_END.search(before):
+            expanded = found[0].strip()
         else:
             expanded = before[-TEXT_REACH:].strip()
         out += [(" ".join(n.split()), expanded, alias_kind(expanded), m.start()) for n in m.groups() if n]
@@ -86,62 +101,81 @@ def alias_definitions(text: str) -> list[tuple[str, str, str, int]]:
 
 def _case_spans(text: str) -> Iterator[dict]:
     seen = {}
-    for p in (REPORTER, SLR, NEUTRAL):
-        for m in re.finditer(p, text):
+    for p in _CITATIONS:
+        for m in p.finditer(text) if "[" in text else ():
             seen[m.span()] = p  # of equal spans the later, more exact pattern counts
     for (start, end), p in seen.items():
         title = title_before(text, start)
         begin = text.rfind(title, max(0, start - TITLE_REACH), start) if title else start
-        tail = re.match(rf"(?:\s*{ALIAS})?(?:\s+at\s+({PINS}))?", text[end:])
-        short = tail[1]
-        yield {"start": begin, "end": end + tail.end(), "family": "case", "kind": "case", "name": title or None, "neutral": text[start:end] if p is NEUTRAL else None, "slr": text[start:end] if p is SLR else None, "alias": short, "pins": expand_pins(tail[3])}
+        tail = _AFTER_CASE.match(text, end)
+        yield {"start": begin, "end": tail.end(), "family": "case", "kind": "case", "name": title or None, "neutral": text[start:end] if p is _CITATIONS[2] else None, "slr": text[start:end] if p is _CITATIONS[1] else None, "alias": tail[1], "pins": expand_pins(tail[3])}
+
 
+def _goes_on(text: str, at: int) -> bool:
+    """Whether a word character stands there."""
+    return at < len(text) and (text[at].isalnum() or text[at] == "_")
 
-def _provision_spans(text: str, aliases: dict[str, tuple[str, str]]) -> Iterator[dict]:
-    for m in re.finditer(rf"\b(ss?|[Ss]ections?|[Rr]ules?|rr?)\s+({REF}(?:\s*(?:,|\band\b)\s*{REF})*)", text):
-        rule = m[1][0].lower() == "r"
-        refs = [re.sub(r"\s+", "", x) for x in re.split(r",|\band\b", m[2])]
+
+def _provision_spans(text: str, aliases: list[tuple[str, str, str]]) -> Iterator[dict]:
+    for m in _PROVISION.finditer(text):
+        rule = m[1][0] in "rR"
+        refs = ["".join(x.split()) for x in _RANGES.split(m[2])]
         out = {"start": m.start(), "end": m.end(), "family": "provision", "kind": "rule" if rule else "provision", "provisions": [f"{'r' if rule else 's'} {x}" for x in refs if x]}
-        rest = text[m.end() :]
-        if found := re.match(rf"\s+of\s+(?:the\s+)?({INSTRUMENT})(?:\s+{EDITION})?(?:\s*{ALIAS})?", rest):
-            out |= {"end": m.end() + found.end(), "name": found[1], "edition": found[2], "alias": found[3]}
-        elif found := re.match(r"\s+of\s+(?:the\s+)?", rest):
-            for short in sorted(aliases, key=len, reverse=True):
-                if rest[found.end() :].startswith(short) and not re.match(r"\w", rest[found.end() + len(short) :]):
-                    out |= {"end": m.end() + found.end() + len(short), "name": short, "alias": short}
+        if found := _OF_INSTRUMENT.match(text, m.end()):
+            out |= {"end": found.end(), "name": found[1], "edition": found[2], "alias": found[3]}
+        elif found := _OF.match(text, m.end()):
+            for short, _, _ in aliases:
+                if text.startswith(short, found.end()) and not _goes_on(text, found.end() + len(short)):
+                    out |= {"end": found.end() + len(short), "name": short, "alias": short}
                     break
         yield out
 
 
+def _alias_spans(text: str, aliases: list[tuple[str, str, str]]) -> Iterator[dict]:
+    """Mentions of short names outside of their definitions, each with the pins behind it."""
+    defined = [m.span() for m in _ALIAS.finditer(text)]
+    for short, expanded, kind in aliases:
+        at = -1 if kind == "fact" else text.find(short)
+        while at >= 0:
+            end = at + len(short)
+            alone = not _goes_on(text, end) and not (at and _goes_on(text, at - 1))
+            if alone and not any(a <= at < b for a, b in defined):
+                pins = _AT_PINS.match(text, end)
+                neutral, slr = (p.search(expanded) for p in (_NEUTRAL, _SLR))
+                yield {
+                    "start": at, "end": pins.end() if pins else end, "family": "alias", "kind": {"rules": "rule", "act": "act"}.get(kind, "case"), "name": short, "alias": short,
+                    "neutral": neutral and neutral[0], "slr": slr and slr[0], "pins": expand_pins(pins and pins[1]),
+                }
+            at = text.find(short, end if alone else at + 1)
+
+
 def find_spans(text: str, aliases: dict[str, tuple[str, str]]) -> list[dict]:
-    """A paragraph's references in order, none overlapping another, and then its bare pins.
+    """A paragraph's references in order, none overlapping another; bare pins only where nothing else is.
 
     aliases: expansion and kind by short name. Earlier spans win, then longer ones, then by FAMILIES.
     """
-    found = [*_case_spans(text), *_provision_spans(text, aliases)]
-    for m in re.finditer(rf"(?i:\babove\s+(?:\(?at\s+)?|\b(?:described|set out|outlined|mentioned)\s+at\s+)({PINS})\)?", text):
+    longest = sorted(((short, *what) for short, what in aliases.items() if short), key=lambda a: -len(a[0]))
+    found = [*_case_spans(text), *_provision_spans(text, longest), *_alias_spans(text, longest)]
+    pinned = "[" in text
+    for m in _SELF.finditer(text) if pinned else ():
         found.append({"start": m.start(), "end": m.end(), "family": "self", "kind": "self", "pins": expand_pins(m[1])})
-    for m in re.finditer(r"([A-Z][^()\[\]]{8,120}?)\s+\(([^()]*\bEd\b[^()]*\d{4})\)(?:\s+at\s+pp?\s+\d+(?:[-–]\d+)?)?", text):
+    for m in _BOOK.finditer(text) if " Ed" in text else ():
         found.append({"start": m.start(), "end": m.end(), "family": "book", "kind": "book", "name": m[1], "edition": m[2]})
-    for m in re.finditer(rf"\bRe\s+[A-Z][\w'’\-]*(?:\s+[A-Z][\w'’\-]*){{0,6}}(?:\s+at\s+({PINS}))?", text):
-        found.append({"start": m.start(), "end": m.end(), "family": "re", "kind": "case", "name": re.sub(r"\s+at\s+\[.*", "", m[0]), "pins": expand_pins(m[1])})
-    defined = [m.span() for m in re.finditer(ALIAS, text)]
-    for short, (expanded, kind) in aliases.items():
-        if kind == "fact":
-            continue
-        for m in re.finditer(rf"(?<!\w){re.escape(short)}(?!\w)(?:\s+at\s+({PINS}))?", text):
-            if not any(a <= m.start() < b for a, b in defined):
-                cite = lambda p: (re.search(p, expanded) or [None])[0]
-                found.append({"start": m.start(), "end": m.end(), "family": "alias", "kind": {"rules": "rule", "act": "act"}.get(kind, "case"), "name": short, "alias": short, "neutral": cite(NEUTRAL), "slr": cite(SLR), "pins": expand_pins(m[1])})
+    for m in _RE.finditer(text) if "Re" in text else ():
+        found.append({"start": m.start(), "end": m.end(), "family": "re", "kind": "case", "name": _RE_PINS.split(m[0])[0], "pins": expand_pins(m[1])})
     found.sort(key=lambda s: (s["start"], s["start"] - s["end"], FAMILIES.index(s["family"])))
     kept: list[dict] = []
     for s in found:
-        if not any(s["start"] < k["end"] and s["end"] > k["start"] for k in kept):
+        if not kept or s["start"] >= kept[-1]["end"]:
             kept.append(s)
-    for m in re.finditer(rf"(?:\(at\s+|\bat\s+)({PINS})\)?", text):
-        if not any(m.start() < k["end"] and m.end() > k["start"] for k in kept):
-            kept.append({"start": m.start(), "end": m.end(), "family": "pin", "kind": "self", "pins": expand_pins(m[1])})
-    return kept
+    # Pins come in order too, so the reference in their way is the next one that ends behind their beginning.
+    pins, k = [], 0
+    for m in _BARE.finditer(text) if pinned else ():
+        while k < len(kept) and kept[k]["end"] <= m.start():
+            k += 1
+        if k == len(kept) or kept[k]["start"] >= m.end():
+            pins.append({"start": m.start(), "end": m.end(), "family": "pin", "kind": "self", "pins": expand_pins(m[1])})
+    return sorted(kept + pins, key=lambda s: s["start"])
 
 
 def extract_aliases(paragraphs: DataFrame) -> DataFrame:
@@ -150,12 +184,16 @@ def extract_aliases(paragraphs: DataFrame) -> DataFrame:
     A null content has none.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([("case_id", pa.int64()), ("ordinal", pa.int32()), ("short_name", pa.string()), ("expanded", pa.string()), ("kind", pa.string()), ("place", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(c, o, n, e, k, p) for c, o, t in zip(b["case_id"], b["ordinal"], b["content"], strict=True) for n, e, k, p in alias_definitions(t)]
-            yield pd.DataFrame(rows, columns=["case_id", "ordinal", "short_name", "expanded", "kind", "place"])
+            rows = [(c, o, n, e, k, p) for c, o, t in zip(*(x.to_pylist() for x in b.columns), strict=True) for n, e, k, p in alias_definitions(t)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
 
-    found = paragraphs.filter("content IS NOT NULL").select("case_id", "ordinal", "content").mapInPandas(run, "case_id long, ordinal int, short_name string, expanded string, kind string, place int")
+    # An alias needs an opening bracket and a quotation mark: other paragraphs needn't go to Python.
+    likely = paragraphs.filter(F.col("content").rlike(r"\((?:the\s+)?[\"“]"))
+    found = spread(likely.select("case_id", "ordinal", "content")).mapInArrow(run, "case_id long, ordinal int, short_name string, expanded string, kind string, place int")
     first = F.min_by(F.struct("expanded", "kind"), F.struct("ordinal", "place")).alias("f")
     return found.groupBy("case_id", "short_name").agg(first).select("case_id", "short_name", "f.expanded", "f.kind")
 
@@ -167,19 +205,23 @@ def extract_spans(paragraphs: DataFrame, aliases: DataFrame) -> DataFrame:
     the judgment itself if there was none, as of the end of their paragraph's other references.
     """
     known = aliases.groupBy(F.col("case_id").alias("a_case")).agg(F.map_from_entries(F.collect_list(F.struct("short_name", F.struct("expanded", "kind")))).alias("aliases"))
-    joined = paragraphs.filter("content IS NOT NULL").join(known, F.col("case_id") == F.col("a_case"), "left")
+    # Dealt by case before the join, to as many tasks as there are: Spark would put so few bytes into one.
+    joined = spread(paragraphs.filter("content IS NOT NULL").select("case_id", "id", "ordinal", "content"), "case_id").join(known, F.col("case_id") == F.col("a_case"), "left")
+    schema = pa.schema([
+        ("case_id", pa.int64()), ("paragraph_id", pa.int64()), ("ordinal", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), *((c, pa.string()) for c in TEXTS), ("provisions", pa.list_(pa.string())), ("pins", pa.list_(pa.int32())),
+    ])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in SPAN_SCHEMA.split(", ")]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for c, i, o, t, al in zip(b["case_id"], b["id"], b["ordinal"], b["content"], b["aliases"], strict=True):
-                usable = {k: (v["expanded"], v["kind"]) for k, v in (al or {}).items()} if not isinstance(al, float) else {}
-                for s in find_spans(t, usable):
-                    rows.append({"case_id": c, "paragraph_id": i, "ordinal": o, "quoted": t[s["start"] : s["end"]], "provisions": [], "pins": []} | s)
-            yield pd.DataFrame(rows, columns=names).astype(object).where(lambda d: d.notna(), None)
-
-    spans = joined.select("case_id", "id", "ordinal", "content", "aliases").mapInPandas(run, SPAN_SCHEMA)
+            columns = {n: [] for n in schema.names}
+            for c, i, o, t, al in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                for s in find_spans(t, {k: (v["expanded"], v["kind"]) for k, v in al or ()}):
+                    row = {"case_id": c, "paragraph_id": i, "ordinal": o, "quoted": t[s["start"] : s["end"]], "provisions": [], "pins": []} | s
+                    for n, values in columns.items():
+                        values.append(row.get(n))
+            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+
+    spans = joined.select("case_id", "id", "ordinal", "content", "aliases").mapInArrow(run, SPAN_SCHEMA)
     phase = (F.col("family") == "pin").cast("int")
     before = Window.partitionBy("case_id").orderBy("ordinal", phase, "start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     state = lambda c: F.last(F.when(c, F.struct("name", "neutral", "slr", "alias")), ignorenulls=True).over(before)
@@ -200,13 +242,13 @@ def resolve(spans: DataFrame, cases: DataFrame, paragraphs: DataFrame, aliases:
 
     A case is looked up by its neutral citation, or the first in its alias's expansion; with one pin that it has, the target is
     that paragraph. A reference to the judgment itself means the paragraph of its first pin. Acts, provisions, rules and books
-    aren't resolved. cases: case_id, neutral_citation. paragraphs: case_id, id, ordinal.
+    aren't resolved. Of cases with one citation the first by id is meant. cases: case_id, neutral_citation. paragraphs: case_id, id, ordinal.
     """
     shorts = aliases.select(F.col("case_id").alias("s_case"), F.col("short_name").alias("s_name"), F.col("expanded").alias("s_expanded"))
     rows = spans.join(shorts, (F.col("case_id") == F.col("s_case")) & (F.col("alias") == F.col("s_name")), "left")
     wanted = F.when(F.col("kind") == "case", F.coalesce("neutral", F.nullif(F.regexp_extract("s_expanded", NEUTRAL, 0), F.lit(""))))
     rows = rows.withColumn("wanted", wanted).drop("s_case", "s_name", "s_expanded")
-    targets = cases.select(F.col("neutral_citation").alias("t_citation"), F.col("case_id").alias("t_case"))
+    targets = cases.filter("neutral_citation IS NOT NULL").groupBy(F.col("neutral_citation").alias("t_citation")).agg(F.min("case_id").alias("t_case"))
     rows = rows.join(targets, F.col("wanted") == F.col("t_citation"), "left")
     home = F.when(F.col("kind") == "self", F.col("case_id")).otherwise(F.col("t_case"))
     pin = F.when((F.col("kind") == "self") | (F.size("pins") == 1), F.try_element_at("pins", F.lit(1)))

@@ -10,10 +10,13 @@ import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casemill.functions.scalars import ORDINALS
+from casemill.operators.storage import spread
+
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: An opening tag closes an open one of these first, up to the nearest of SCOPES.
 CLOSES = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
@@ -22,7 +25,10 @@ SCOPES = {"table", "div", "ul", "ol", "article", "section", "body"}
 HIDDEN = {"script", "style"}
 #: Classes of the statutes' markup.
 SECTIONS, POINTS = ("prov1", "prov1Rep"), re.compile(r"p[1-5]No$")
-CONNECTIVE = r"\b(?:means?|includes?|ha(?:s|ve) the meaning|shall (?:mean|include)|do(?:es)? not include)\b"
+CONNECTIVES = ("means", "mean", "includes", "include", "has the meaning", "have the meaning", "shall mean", "shall include", "does not include", "do not include")
+CONNECTIVE = rf"(?i)\b(?:{'|'.join(CONNECTIVES)})\b"
+#: Classes of numbered paragraphs, and how those of headings begin.
+NUMBERED, HEADINGS = ("Judg-1", "Judg-1-firstpara", "judg-1"), ("Judg-Heading", "judg-heading", "Judg-Author", "Judg-author", "Judg-Hearing", "Judg-Date")
 #: Words that a piece between two line breaks needs to be a paragraph.
 LEAST_WORDS = 10
 
@@ -44,8 +50,8 @@ class Node:
     def having(self, *names: str) -> list[Node]:
         return [n for n in self.walk() if n is not self and set(names) & set(n.classes())]
 
-    def text(self, without: tuple[str, ...] = (), breaks: str = " ") -> str:
-        """Visible text, white space collapsed around `breaks`, which stand for line breaks."""
+    def text(self, without: tuple[str, ...] = (), breaks: str = " ", apart: bool = False) -> str:
+        """Visible text, white space collapsed around `breaks`, which stand for line breaks. With apart, elements part words."""
         out, stack = [], [self]
         while stack:
             node = stack.pop()
@@ -54,7 +60,7 @@ class Node:
             elif node.tag == "br":
                 out.append("\0")
             elif node.tag not in HIDDEN and not (node is not self and set(without) & set(node.classes())):
-                stack += reversed([*node.inside, " "] if node.tag in BLOCKS | {"p", "td", "tr"} else node.inside)
+                stack += reversed([" ", *node.inside, " "] if apart else [*node.inside, " "] if node.tag in BLOCKS | {"p", "td", "tr"} else node.inside)
         return breaks.join(" ".join(x.split()) for x in "".join(out).split("\0")).strip()
 
 
@@ -107,47 +113,80 @@ def paragraph_rows(html: str | None) -> list[tuple[int, str, str, str]]:
     root = parse(html)
     body = next((n for n in root.walk() if n.attrs.get("id") == "judgments"), root)
     found = [n for n in body.walk() if n.tag == "p"]
-    return [(i, n.text(), " ".join(n.classes()), n.text(breaks="\n")) for i, n in enumerate(found)]
+    return [(i, n.text(apart=True), " ".join(n.classes()), n.text(breaks="\n", apart=True)) for i, n in enumerate(found)]
+
+
+def mapped(pages: DataFrame, key: str, html: str, function, columns: list[tuple[str, pa.DataType]], sql: str) -> DataFrame:
+    """key and the columns of the rows that the function gives for each page, pages being dealt over all tasks."""
+    schema = pa.schema([("key", pa.int64()), *columns])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(k, *r) for k, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for r in function(h)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True) if rows else [[]] * len(schema), schema, strict=True)], schema=schema)
+
+    rows = spread(pages.select(F.col(key).cast("long").alias("key"), F.col(html).alias("html")))
+    return rows.mapInArrow(run, f"key long, {sql}").withColumnRenamed("key", key)
 
 
 def paragraphs(pages: DataFrame, key: str, html: str) -> DataFrame:
     """A row for each <p>: key, pos, text, classes, lines, number (the printed one, or null). A page without any has no rows."""
+    columns = [("pos", pa.int32()), ("text", pa.string()), ("classes", pa.string()), ("lines", pa.string())]
+    rows = mapped(pages, key, html, paragraph_rows, columns, "pos int, text string, classes string, lines string")
+    number = F.nullif(F.regexp_extract("text", r"^([0-9]+)[.)]*(?:\s|$)", 1), F.lit("")).try_cast("int")
+    return rows.select(key, "pos", "text", "classes", "lines", number.alias("number"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [(k, *r) for k, h in zip(b["key"], b["html"], strict=True) for r in paragraph_rows(h)]
-            yield pd.DataFrame(rows, columns=["key", "pos", "text", "classes", "lines"])
 
-    rows = pages.select(F.col(key).alias("key"), F.col(html).alias("html")).mapInPandas(run, "key long, pos int, text string, classes string, lines string")
-    number = F.nullif(F.regexp_extract("text", r"^\(?([0-9]+)[.)]*(?:\s|$)", 1), F.lit("")).try_cast("int")
-    return rows.select(F.col("key").alias(key), "pos", "text", "classes", "lines", number.alias("number"))
+def _modern() -> Column:
+    """Whether a paragraph has the class of numbered ones."""
+    return F.arrays_overlap(F.split("classes", " "), F.array(*map(F.lit, NUMBERED)))
+
+
+def _pieces() -> Column:
+    """The parts of a paragraph between two line breaks that are long enough."""
+    clean = F.transform(F.split("lines", "\n\n+"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " ")))
+    return F.filter(clean, lambda x: F.size(F.split(x, " ")) >= LEAST_WORDS)
 
 
 def layouts(pages: DataFrame, rows: DataFrame, key: str, html: str) -> DataFrame:
-    """key, layout, expected and extracted paragraphs, and parse_status of each page."""
-    modern = F.concat(F.lit(" "), F.col("classes"), F.lit(" ")).contains(" Judg-1 ")
-    pieces = F.size(F.filter(F.split("lines", "\n\n+"), lambda x: F.size(F.split(F.trim(x), r"\s+")) >= LEAST_WORDS))
+    """key, layout, expected and extracted paragraphs, and parse_status of each page.
+
+    A page is modern if any paragraph has the class of numbered ones; then only these count as numbered.
+    """
+    marked = F.when(_modern(), F.col("number"))
+    totals = {"numbered": F.count, "highest": F.max, "different": F.countDistinct, "lowest": F.min}
     seen = rows.groupBy(key).agg(
-        F.bool_or(modern).alias("modern"), F.count("number").alias("numbered"), F.sum(F.when(F.col("lines").contains("\n\n"), pieces).otherwise(0)).alias("pieces"),
-        F.max("number").alias("highest"), F.countDistinct("number").alias("different"), F.min("number").alias("lowest"),
+        F.bool_or(_modern()).alias("modern"), F.sum(F.size(_pieces())).alias("pieces"), *(f("number").alias(n) for n, f in totals.items()), *(f(marked).alias(f"marked_{n}") for n, f in totals.items()),
     )
+    seen = seen.withColumns({n: F.when(F.col("modern"), F.col(f"marked_{n}")).otherwise(F.col(n)) for n in totals})
     joined = pages.select(key, F.length(F.trim(F.coalesce(F.col(html), F.lit("")))).alias("size")).join(seen, key, "left")
     layout = F.when(F.col("size") == 0, "failed").when(F.col("modern"), "modern_judg1").when(F.col("numbered") >= 2, "numbered_plain_p").when(F.col("pieces") >= 2, "unnumbered_br").otherwise("unknown")
     by_number = F.col("layout").isin("modern_judg1", "numbered_plain_p")
     whole = (F.col("extracted") == F.col("expected")) & (F.col("different") == F.col("expected")) & (F.col("lowest") == 1)
-    status = F.when(F.col("layout") == "failed", "failed").when(F.col("layout") == "unknown", "unknown").when(by_number, F.when(whole, "complete").otherwise("incomplete")).otherwise("complete")
+    status = F.when(F.col("layout").isin("failed", "unknown"), F.col("layout")).when(by_number, F.when(whole, "complete").otherwise("incomplete")).otherwise("complete")
     counts = {"expected": F.when(by_number, F.col("highest")).when(F.col("layout") == "unnumbered_br", F.col("pieces")), "extracted": F.when(by_number, F.col("numbered")).when(F.col("layout") == "unnumbered_br", F.col("pieces")).otherwise(0)}
     return joined.withColumn("layout", layout).withColumns(counts).withColumn("parse_status", status).select(key, "layout", "expected", "extracted", "parse_status")
 
 
-def blocks(rows: DataFrame, key: str) -> DataFrame:
-    """Numbered paragraphs, each with the unnumbered ones behind it, except headings: key, ordinal, text. Those before the first are dropped."""
-    body = rows.filter(~F.col("classes").rlike(r"\bJudg-Heading") & (F.col("text") != ""))
+def blocks(rows: DataFrame, states: DataFrame, key: str) -> DataFrame:
+    """The paragraphs of judgments by their pages' layouts (of layouts()): key, ordinal, text.
+
+    A numbered paragraph takes the unnumbered ones behind it, except headings of modern pages; those before the first are
+    dropped. Of pages without numbers each long enough piece between two line breaks is a paragraph. Unknown and failed
+    pages have none.
+    """
+    laid = rows.join(states.select(F.col(key).alias("s_key"), "layout"), F.col(key) == F.col("s_key")).drop("s_key")
+    modern = F.col("layout") == "modern_judg1"
+    numbered = laid.filter(F.col("layout").isin("modern_judg1", "numbered_plain_p")).withColumn("number", F.when(~modern | _modern(), F.col("number")))
+    body = numbered.filter(F.col("number").isNotNull() | ((F.col("text") != "") & ~(modern & F.col("classes").rlike(rf"(?:^| )(?:{'|'.join(HEADINGS)})"))))
     ordinal = F.count("number").over(Window.partitionBy(key).orderBy("pos"))
     text = F.when(F.col("number").isNotNull(), F.regexp_replace("text", r"(?U)^\s*\S+\s*", "")).otherwise(F.col("text"))
-    parts = body.select(key, "pos", ordinal.cast("int").alias("ordinal"), text.alias("text")).filter("ordinal > 0 AND text <> ''")
-    lists = parts.groupBy(key, "ordinal").agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("parts"))
-    return lists.select(key, "ordinal", F.array_join(F.transform("parts", lambda x: x["text"]), "\n").alias("text"))
+    parts = body.select(key, "pos", ordinal.cast("int").alias("ordinal"), text.alias("text")).filter("ordinal > 0")
+    lists = parts.groupBy(key, "ordinal").agg(F.array_sort(F.collect_list(F.when(F.col("text") != "", F.struct("pos", "text")))).alias("parts"))
+    joined = lists.select(key, "ordinal", F.array_join(F.transform("parts", lambda x: x["text"]), "\n").alias("text"))
+    pieces = laid.filter("layout = 'unnumbered_br'").select(key, "pos", F.posexplode(_pieces()).alias("nth", "text"))
+    nth = F.row_number().over(Window.partitionBy(key).orderBy("pos", "nth"))
+    return joined.unionByName(pieces.select(key, nth.alias("ordinal"), "text"))
 
 
 TREE = "ordinal int, level int, parent_ordinal int, descendant_count int, kind string, number string, citation string, heading string, content string, anchor string, note string"
@@ -172,11 +211,49 @@ def provision_rows(html: str | None) -> list[dict]:
         out[-1]["level"] = level
 
     def heading(node: Node, default: str) -> str:
-        return next((n.text() for n in node.having("partHdr", "divHdr", "sHdr", "scHdr", "prov1Hdr")), default)
-
-    schedule = 0
+        return next((n.text() for n in node.having("partHdr", "divHdr", "prov1Hdr")), default)
+
+    def schedule_rows(node: Node) -> None:
+        """A schedule, and its paragraphs; a heading of its own row belongs to the next paragraph only."""
+        first = lambda name: next(iter(node.having(name)), None)
+        header, subject = first("sHdr"), first("scHdr")
+        title, about = (n.text(("amendNote",)) if n else None for n in (header, subject))
+        citation = short_schedule(title)
+        note = "\n".join(n.text() for n in header.having("amendNote")) or None if header else None
+        number = citation.removeprefix("Sch").strip() or None if citation else None
+        add(1, kind="schedule", number=number, citation=citation, heading=title or about or None, content=about if about != title else None, anchor=(header or node).attrs.get("id"), note=note)
+        carried = None
+        for table in (n for n in node.inside if isinstance(n, Node) and n.tag == "table"):
+            if table.having("sHdr", "scHdr", "SbodyRefs"):
+                continue
+            if lead := table.having("sProvHdr"):
+                carried = lead[0].text(("amendNote",)) or None
+                continue
+            for body in table.having("tailSTxt")[:1]:
+                text = body.text(("amendNote", "prov2Txt", "prov2TxtIL", "pTable"))
+                mark = re.match(r"(\d+[A-Z]?)\.", body.text())
+                own = f"{citation} para {mark[1]}" if citation and mark else citation
+                remark = "\n".join(n.text() for n in body.having("amendNote")) or None
+                add(2, kind="section", number=mark[1] if mark else None, citation=own, heading=carried, content=re.sub(r"^\d+[A-Z]*\.\s*", "", text) or None, anchor=body.attrs.get("id"), note=remark)
+                section_parts(body, own)
+                carried = None
+
+    def section_parts(node: Node, citation: str | None) -> None:
+        """Subsections with their points, or the points of a section without any."""
+        bodies = node.having("prov2Txt", "prov2TxtIL")
+        for sub in bodies:
+            mark = re.match(r"—?\s*\((\d+[A-Z]?)\)\s*", sub.text())
+            own = f"{citation}({mark[1]})" if citation and mark else citation
+            add(4, kind="subsection", number=mark[1] if mark else None, citation=own, content=re.sub(r"^—?\s*\(\d+[A-Z]?\)\s*", "", sub.text(("amendNote", "pTable"))) or None)
+            _points(sub, own, add)
+        if not bodies:
+            _points(node, citation, add)
+
+    inside: set[int] = set()
     for node in root.walk():
         names = node.classes()
+        if id(node) in inside:
+            continue
         if "front" in names and (opening := node.text()).startswith("An Act"):
             add(1, kind="opening", content=opening)
         elif node.tag == "td" and ("part" in names or "div" in names):
@@ -185,30 +262,32 @@ def provision_rows(html: str | None) -> list[dict]:
             short = "Pt" if kind == "part" else "Div"
             add(1 if kind == "part" else 2, kind=kind, number=number[1] if number else None, citation=f"{short} {number[1]}" if number else None, heading=(number[2] if number else node.text()) or None, anchor=node.attrs.get("id"))
         elif node.tag == "div" and "schedule" in names:
-            schedule += 1
-            add(1, kind="schedule", number=str(schedule), citation=f"Sch {schedule}", heading=heading(node, ""), anchor=node.attrs.get("id"))
+            inside |= {id(n) for n in node.walk()}
+            schedule_rows(node)
         elif node.tag == "div" and set(names) & set(SECTIONS):
             text = next((n for n in node.having("prov1Txt", "prov1RepText")), node)
             number = re.match(r"(\d+[A-Z]*)\.?", text.text())
-            bodies = node.having("prov2Txt", "prov2TxtIL")
             note = "\n".join(n.text() for n in node.having("amendNote")) or None
             content = re.sub(r"^\d+[A-Z]*\.\s*", "", text.text(("amendNote", "prov2Txt", "prov2TxtIL", "pTable")))
             section = number[1] if number else None
             add(3, kind="section", number=section, citation=f"s {section}" if section else None, heading=heading(node, "") or None, content=content or None, anchor=node.attrs.get("id"), note=note)
-            for sub in bodies:
-                mark = re.match(r"—?\s*\((\d+[A-Z]?)\)\s*", sub.text())
-                add(4, kind="subsection", number=mark[1] if mark else None, citation=f"s {section}({mark[1]})" if mark else None, content=re.sub(r"^—?\s*\(\d+[A-Z]?\)\s*", "", sub.text(("amendNote", "pTable"))) or None)
-                _points(sub, f"s {section}({mark[1]})" if mark else f"s {section}", add)
-            if not bodies:
-                _points(node, f"s {section}", add)
+            section_parts(node, f"s {section}" if section else None)
     # Levels by nesting: a section in no part stands at the top.
     for row in out:
         row["level"] = 1 if row["parent_ordinal"] is None else out[row["parent_ordinal"] - 1]["level"] + 1
     return out
 
 
-def _points(node: Node, citation: str, add) -> None:
-    stack = {0: citation}
+def short_schedule(title: str | None) -> str | None:
+    """Like "Sch 3" for THIRD SCHEDULE, and "Sch" for a schedule without a number; null for other titles."""
+    title = (title or "").upper()
+    if found := re.match(rf"({'|'.join(ORDINALS)}|[0-9]+)(?:ST|ND|RD|TH)?\s+SCHEDULE\b", title):
+        return f"Sch {ORDINALS.index(found[1]) + 1 if found[1] in ORDINALS else found[1]}"
+    return "Sch" if re.match(r"SCHEDULE\b", title) else None
+
+
+def _points(node: Node, citation: str | None, add) -> None:
+    stack = {0: citation or ""}
     for n in node.walk():
         found = next((c for c in n.classes() if POINTS.match(c)), None)
         if found:
@@ -232,25 +311,17 @@ def definition_rows(html: str | None) -> list[tuple[str, str]]:
     return out
 
 
-def _table(pages: DataFrame, key: str, html: str, function, columns: str, rows_of) -> DataFrame:
-    names = [c.split()[0] for c in columns.split(", ")]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [dict(rows_of(r), key=k) for k, h in zip(b["key"], b["html"], strict=True) for r in function(h)]
-            yield pd.DataFrame(rows, columns=["key", *names]).astype(object).where(lambda d: d.notna(), None)
-
-    return pages.select(F.col(key).alias("key"), F.col(html).alias("html")).mapInPandas(run, f"key long, {columns}").withColumnRenamed("key", key)
-
-
 def provisions(pages: DataFrame, key: str, html: str) -> DataFrame:
     """The provision trees of statutes as nested sets. A blank page has no rows."""
-    return _table(pages, key, html, provision_rows, TREE, lambda r: r)
+    names = [c.split()[0] for c in TREE.split(", ")]
+    kinds = [(n, pa.int32() if c.endswith(" int") else pa.string()) for n, c in zip(names, TREE.split(", "), strict=True)]
+    return mapped(pages, key, html, lambda h: [tuple(r.get(n) for n in names) for r in provision_rows(h)], kinds, TREE)
 
 
 def definitions(pages: DataFrame, key: str, html: str) -> DataFrame:
     """term and definition; of equal terms of a page the first counts."""
-    rows = _table(pages, key, html, lambda h: list(enumerate(definition_rows(h))), "pos int, term string, definition string", lambda r: {"pos": r[0], "term": r[1][0], "definition": r[1][1]})
+    columns = [("pos", pa.int32()), ("term", pa.string()), ("definition", pa.string())]
+    rows = mapped(pages, key, html, lambda h: [(i, *r) for i, r in enumerate(definition_rows(h))], columns, "pos int, term string, definition string")
     return rows.groupBy(key, "term").agg(F.min_by("definition", "pos").alias("definition"))
 
 

@@ -109,3 +109,15 @@ def prompt(topics: Column, text: Column, previous: Column) -> Column:
     head = F.when(F.size(topics) > 0, F.concat(F.lit("Topics: "), F.array_join(topics, "; "), F.lit("\n\n"))).otherwise("")
     tail = F.when(F.length(previous) > 0, F.concat(F.lit("\n\nPrevious: "), previous)).otherwise("")
     return F.concat(head, text, tail)
+
+
+def accuracy(rows: DataFrame, gold: str, predicted: str, ignore: int = -100) -> DataFrame:
+    """One row: accuracy over rows whose gold label is neither null nor `ignore`, and 0 if there are none."""
+    judged = rows.filter(F.col(gold).isNotNull() & (F.col(gold) != ignore))
+    return judged.agg(F.coalesce(F.avg((F.col(gold) == F.col(predicted)).cast("double")), F.lit(0.0)).alias("accuracy"))
+
+
+def mean_loss(rows: DataFrame, loss: str, mask: str) -> DataFrame:
+    """One row: the mean of a loss over the rows that the mask takes, and 0 if it takes none."""
+    taken = F.sum(F.when(F.col(mask), 1).otherwise(0))
+    return rows.agg((F.coalesce(F.sum(F.when(F.col(mask), F.col(loss))), F.lit(0.0)) / F.greatest(F.coalesce(taken, F.lit(0)), F.lit(1))).alias("loss"))

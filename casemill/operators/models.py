@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casemill.operators import labels
+from casemill.operators.storage import written
 
 Scorer = Callable[[pd.Series], pd.Series]
 
@@ -67,7 +68,7 @@ def sample_with_replacement(rows: DataFrame, key: str, weight: str, n: int, seed
     total = rows.agg(F.sum(weight)).first()[0]
     step = total / max(1, n)
     # The k-th draw falls evenly at random into the k-th nth of the sum, so a row's draws follow from its own bounds.
-    ranged = rows.select(key, weight).repartitionByRange(F.col(key)).withColumn("part_no", F.spark_partition_id())
+    ranged = written(rows.select(key, weight).repartitionByRange(F.col(key)).withColumn("part_no", F.spark_partition_id()), "weights")
     within = Window.partitionBy("part_no").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy("part_no").agg(F.sum(weight).alias("size"))
     offsets = sizes.select("part_no", F.coalesce(F.sum("size").over(Window.orderBy("part_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("offset"))

@@ -81,3 +81,25 @@ def best_of(rows: DataFrame, key: str, value: str, *rank: Column) -> DataFrame:
 def failure_list(rows: DataFrame, reason: str, key: str, most: int) -> DataFrame:
     """How many items failed for each reason, and the first few of them by key: a report of at most `most` names."""
     return rows.filter(F.col(reason).isNotNull()).groupBy(reason).agg(F.count(F.lit(1)).alias("failures"), F.min(key).alias("first_key")).orderBy(reason).limit(most)
+
+
+def first_failures(rows: DataFrame, reason: str, order: list[Column], most: int = 40) -> DataFrame:
+    """The first failures in order, `most` at most: a report."""
+    return rows.filter(F.col(reason).isNotNull()).orderBy(*order).limit(most)
+
+
+def bounded_total(rows: DataFrame, most: int | None) -> DataFrame:
+    """One row: how many of the rows a run that takes `most` at most will see."""
+    n = F.count(F.lit(1))
+    return rows.agg((n if most is None else F.least(n, F.lit(most))).alias("total"))
+
+
+def status_text(status: Column, expected: Column, extracted: Column) -> Column:
+    """What is reported of a parsed document; null if it is complete."""
+    text = F.format_string("incomplete: expected %s, extracted %s", F.coalesce(expected.cast("string"), F.lit("unknown")), extracted.cast("string"))
+    return F.when(status == "incomplete", text).when(status == "unknown", "unknown layout").when(status == "failed", "parse failed")
+
+
+def filled_of_first(rows: DataFrame, order: list[Column], limit: int, text: str) -> DataFrame:
+    """Rows with a text among the first ones in order: blank ones use up the limit."""
+    return rows.orderBy(*order).limit(limit).filter(not_blank(text))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casemill.operators.storage import written
+
 
 def _on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     out = F.lit(True)
@@ -65,19 +67,23 @@ def insert_absent(old: DataFrame, delta: DataFrame, keys: list[str], order: list
     return old.unionByName(absent(first_of(delta, keys, order), old, keys))
 
 
-def get_or_create(dimension: DataFrame, delta: DataFrame, name: str, key: str) -> DataFrame:
+def get_or_create(dimension: DataFrame, delta: DataFrame, name: str | list[str], key: str) -> DataFrame:
     """The dimension with a row for each new name. Keys go on from the largest, in the order of the names.
 
-    New names are ranked by range partitions with offsets, so no task sees all of them.
+    A name may be several columns, like a judge's name and title: the first must not be null, others may, and nulls are equal.
+    New names are ranked by range partitions with offsets, so no task sees all of them; the ranges are written first, as both
+    the ranks and the offsets must see the same ones.
     """
-    fresh = absent(delta.select(name).filter(F.col(name).isNotNull()).distinct(), dimension, [name])
+    names = [name] if isinstance(name, str) else list(name)
+    fresh = absent(delta.select(*names).filter(F.col(names[0]).isNotNull()).distinct(), dimension, names)
     top = dimension.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
-    ranged = fresh.repartitionByRange(F.col(name)).withColumn("part_no", F.spark_partition_id())
-    ranked = ranged.withColumn("nth", F.row_number().over(Window.partitionBy("part_no").orderBy(name)))
-    sizes = ranked.groupBy("part_no").agg(F.max("nth").alias("size"))
+    ordered = [F.col(n).asc_nulls_first() for n in names]
+    ranged = written(fresh.repartitionByRange(*ordered).withColumn("part_no", F.spark_partition_id()), "names")
+    ranked = ranged.withColumn("nth", F.row_number().over(Window.partitionBy("part_no").orderBy(*ordered)))
+    sizes = ranged.groupBy("part_no").agg(F.count(F.lit(1)).alias("size"))
     before = sizes.withColumn("before", F.coalesce(F.sum("size").over(Window.orderBy("part_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("size")
-    new = ranked.join(before, "part_no").select((F.lit(top) + F.col("before") + F.col("nth")).cast(dimension.schema[key].dataType).alias(key), name)
-    return dimension.select(key, name).unionByName(new)
+    new = ranked.join(before, "part_no").select((F.lit(top) + F.col("before") + F.col("nth")).cast(dimension.schema[key].dataType).alias(key), *names)
+    return dimension.select(key, *names).unionByName(new)
 
 
 def one_current(rows: DataFrame, parent: str, current: str, sequence: list[Column]) -> DataFrame:
@@ -99,6 +105,12 @@ def mark(rows: DataFrame, done: DataFrame, keys: list[str], flag: str) -> DataFr
     return rows.join(marks, _on(rows, marks, keys), "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)) | F.col("d_done").isNotNull()).select(*rows.columns)
 
 
+def filled(parents: DataFrame, delta: DataFrame, key: str, column: str) -> DataFrame:
+    """The column of parents, where it is null, from the delta's row with their key."""
+    given = delta.groupBy(F.col(key).alias("g_key")).agg(F.max(column).alias("g_value"))
+    return parents.join(given, F.col(key) == F.col("g_key"), "left").withColumn(column, F.coalesce(F.col(column), F.col("g_value"))).select(*parents.columns)
+
+
 def store_fetch(old: DataFrame, fetched: DataFrame, key: str, reset: dict[str, Column]) -> DataFrame:
     """A fetched document replaces that of its work item, with its later columns reset."""
     return upsert(old, fetched.withColumns(reset).select(*old.columns), [key])
@@ -112,7 +124,9 @@ def rehome(old: DataFrame, new: DataFrame, name: str, home: str) -> DataFrame:
 
 
 def must_match(rows: DataFrame, dimension: DataFrame, name: str, dim_name: str, key: str) -> DataFrame:
-    """Adds the key of the dimension's row with that name, whatever its case; an unknown name is an error."""
+    """Adds the key of the dimension's row with that name, whatever its case; an unknown name, or an empty dimension, is an error."""
+    if dimension.isEmpty():
+        raise ValueError(f"the dimension of {dim_name} is empty")
     names = dimension.select(F.lower(dim_name).alias("m_name"), F.col(key).alias("m_key"))
     joined = rows.join(names, F.lower(F.col(name)) == F.col("m_name"), "left")
     failed = F.raise_error(F.concat(F.lit("unknown name: "), F.coalesce(F.col(name), F.lit("null"))))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOKENS = 8_000
@@ -39,16 +40,27 @@ def children(nodes: DataFrame, document: str) -> DataFrame:
 def counts_from_levels(nodes: DataFrame, document: str) -> DataFrame:
     """descendant_count and parent_ordinal by pre-order ordinals and levels alone.
 
-    A node's subtree ends before the next node of its level or above; its parent is the last node before it one level up.
+    A node's subtree ends before the next node of its level or above; its parent is the last node before it that is higher.
+    Each document's ordinals and levels are met once, in order, with a stack: a document bounds what one call holds.
     """
-    later = nodes.select(F.col(document).alias("l_doc"), F.col("ordinal").alias("l_ordinal"), F.col("level").alias("l_level"))
-    ends = nodes.join(later, (nodes[document] == later["l_doc"]) & (later["l_ordinal"] > nodes["ordinal"]) & (later["l_level"] <= nodes["level"]), "left")
-    ends = ends.groupBy(nodes[document], nodes["ordinal"], nodes["level"]).agg(F.min("l_ordinal").alias("end"))
-    last = F.max("ordinal").over(Window.partitionBy(document))
-    with_count = ends.withColumn("descendant_count", F.coalesce("end", last + 1) - F.col("ordinal") - 1)
-    up = with_count.select(F.col(document).alias("u_doc"), F.col("ordinal").alias("u_ordinal"), F.col("level").alias("u_level"), F.col("descendant_count").alias("u_count"))
-    found = with_count.join(up, (F.col(document) == F.col("u_doc")) & (F.col("u_level") == F.col("level") - 1) & F.col("ordinal").between(F.col("u_ordinal") + 1, F.col("u_ordinal") + F.col("u_count")), "left")
-    return found.select(document, "ordinal", "level", "descendant_count", F.col("u_ordinal").alias("parent_ordinal"))
+    schema = pa.schema([(document, pa.int64()), ("ordinal", pa.int64()), ("level", pa.int32()), ("descendant_count", pa.int64()), ("parent_ordinal", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("ordinal")
+        ordinals, levels = table["ordinal"].to_pylist(), table["level"].to_pylist()
+        counts, parents, open_at = [0] * len(levels), [None] * len(levels), []
+        for k, level in enumerate(levels):
+            while open_at and levels[open_at[-1]] >= level:
+                counts[open_at[-1]] = ordinals[k] - ordinals[open_at[-1]] - 1
+                open_at.pop()
+            parents[k] = ordinals[open_at[-1]] if open_at else None
+            open_at.append(k)
+        for k in open_at:
+            counts[k] = ordinals[-1] - ordinals[k]
+        return pa.table([table["d"], table["ordinal"], table["level"], pa.array(counts, pa.int64()), pa.array(parents, pa.int64())], schema=schema)
+
+    slim = nodes.select(F.col(document).cast("long").alias("d"), F.col("ordinal").cast("long").alias("ordinal"), F.col("level").cast("int").alias("level"))
+    return slim.groupBy("d").applyInArrow(run, f"{document} long, ordinal long, level int, descendant_count long, parent_ordinal long")
 
 
 def token_units(nodes: DataFrame, document: str, tokens: Column, budget: int = TOKENS) -> DataFrame:

@@ -6,15 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemill.functions import people, scalars
-from casemill.operators import citations, html, queue, snapshots
+from casemill.operators import citations, html, knowledge, queue, snapshots
+from casemill.operators.storage import written
 
 RAW_CASES = "citation string, date date, title string, hit string, status string, promoted boolean"
 
 
 def discover(raw: DataFrame, hits: DataFrame) -> DataFrame:
-    """New hits, from the newest stored date on, behind the stored work items; a citation counts once."""
+    """New hits, from the newest stored date on, behind the stored work items; a citation counts once.
+
+    Search pages come newest first: the page on which an older hit appears is the last one that counts.
+    """
     mark = raw.agg(F.max("date").alias("mark"))
-    fresh = queue.newer(hits.join(F.broadcast(mark)), "date", F.col("mark")).drop("mark")
+    last = hits.join(F.broadcast(mark)).filter(F.col("date") < F.col("mark")).agg(F.min("page").alias("last_page"))
+    walked = hits.join(F.broadcast(last)).filter(F.col("last_page").isNull() | (F.col("page") <= F.col("last_page"))).drop("last_page")
+    fresh = queue.newer(walked.join(F.broadcast(mark)), "date", F.col("mark")).drop("mark")
     new = fresh.select("citation", "date", "title", "hit", F.lit("discovered").alias("status"), F.lit(False).alias("promoted"), "page", "pos")
     new = snapshots.first_of(new, ["citation"], [F.col("page"), F.col("pos")]).drop("page", "pos")
     return snapshots.insert_absent(raw, new, ["citation"], [F.col("date")])
@@ -23,7 +29,8 @@ def discover(raw: DataFrame, hits: DataFrame) -> DataFrame:
 def parse(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """States of documents (id, layout, expected, extracted, parse_status) and their blocks (id, ordinal, text)."""
     rows = html.paragraphs(documents, "id", "html")
-    return html.layouts(documents, rows, "id", "html"), html.blocks(rows, "id")
+    states = html.layouts(documents, rows, "id", "html")
+    return states, html.blocks(rows, states, "id")
 
 
 def reasons(cases: DataFrame) -> DataFrame:
@@ -45,9 +52,86 @@ def case_people(cases: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def promote_cases(raw: DataFrame, ready: DataFrame, blocks: DataFrame, stored: DataFrame, paragraphs: DataFrame) -> dict[str, DataFrame]:
+    """The knowledge base's cases and paragraphs, and the raw work items, after promotion.
+
+    ready: id, citation, date, title, court, number, uri, reason (of reasons()); only rows without a reason are promoted. blocks:
+    id, ordinal, text. Cases that are stored already are only marked, which also repairs a run that ended between both
+    stores; the others get the next ids, and their paragraphs with uris. stored: id, citation, date, title, court, number,
+    uri. paragraphs: case_id, ordinal, text, uri. raw has citation and promoted.
+    """
+    good = written(snapshots.first_of(ready.filter("reason IS NULL"), ["citation"], [F.col("id")]), "ready")
+    keys = written(snapshots.get_or_create(stored.select("id", "citation"), good, "citation", "id"), "keys")
+    new = snapshots.absent(keys, stored, ["citation"]).withColumnRenamed("id", "case_id")
+    rest = good.withColumnRenamed("id", "raw_id").join(new, "citation")
+    cases = stored.unionByName(rest.select(F.col("case_id").alias("id"), *(c for c in stored.columns if c != "id")))
+    texts = blocks.withColumnRenamed("id", "raw_id").join(rest.select("raw_id", "case_id", "uri"), "raw_id")
+    added = knowledge.paragraph_uris(texts.select("case_id", "ordinal", "text"), rest.select("case_id", "uri"), "case_id", "uri")
+    return {"cases": cases, "paragraphs": paragraphs.unionByName(added), "raw": snapshots.mark(raw, good, ["citation"], "promoted")}
+
+
+def discover_acts(acts: DataFrame, versions: DataFrame, browsed: DataFrame, timelines: DataFrame) -> dict[str, DataFrame]:
+    """Acts and their versions after a walk over browse pages and timelines: titles are renewed, stored versions stay as they are.
+
+    acts: slug, title. versions: slug, valid_from, href, is_current, fetch, parse, promoted. browsed: slug, title, pos.
+    timelines: slug, valid_from, href, is_current. Which version is current follows the newest timeline of each act.
+    """
+    seen = snapshots.first_of(browsed, ["slug"], [F.col("pos")]).select("slug", "title")
+    fresh = timelines.withColumns({"fetch": F.lit(None).cast("string"), "parse": F.lit("not_parsed"), "promoted": F.lit(False)}).select(*versions.columns)
+    known = snapshots.insert_absent(versions, fresh, ["slug", "valid_from"], [F.col("href")])
+    now = timelines.select(F.col("slug").alias("n_slug"), F.col("valid_from").alias("n_from"), F.col("is_current").alias("n_current"))
+    met = known.join(timelines.select(F.col("slug").alias("m_slug")).distinct(), F.col("slug") == F.col("m_slug"), "left").join(now, (F.col("slug") == F.col("n_slug")) & (F.col("valid_from") == F.col("n_from")), "left")
+    current = F.when(F.col("m_slug").isNull(), F.col("is_current")).otherwise(F.coalesce("n_current", F.lit(False)))
+    return {"acts": snapshots.upsert(acts, seen, ["slug"]), "versions": met.withColumn("is_current", current).select(*versions.columns)}
+
+
+def parse_acts(documents: DataFrame) -> dict[str, DataFrame]:
+    """Trees, definitions and states of landed statutes: documents has id and html."""
+    tree = written(html.provisions(documents, "id", "html"), "tree")
+    return {"tree": tree, "definitions": html.definitions(documents, "id", "html"), "states": html.legislation_status(documents, tree, "id", "html")}
+
+
+def promote_acts(versions: DataFrame, parsed: dict[str, DataFrame], provisions: DataFrame, definitions: DataFrame) -> dict[str, DataFrame]:
+    """Provisions and definitions of completely parsed versions, with uris; each replaces what its version, or act, had before.
+
+    versions: id, slug, uri, is_current, promoted. provisions: version_id and the columns of a tree, uri, parent_uri. definitions: slug, term,
+    definition, of current versions only. A version that isn't complete keeps what it had.
+    """
+    whole = parsed["states"].filter("parse_status = 'complete'").select("id")
+    due = versions.join(whole, "id", "left_semi")
+    trees = parsed["tree"].join(due.select("id", F.col("uri").alias("version_uri")), "id")
+    new = knowledge.provision_uris(trees, "id", F.col("version_uri")).withColumnRenamed("id", "version_id").select(*provisions.columns)
+    terms = parsed["definitions"].join(due.filter("is_current").select("id", "slug"), "id").select("slug", "term", "definition")
+    return {
+        "provisions": snapshots.replace_group(provisions, new, ["version_id"]), "definitions": snapshots.replace_group(definitions, terms, ["slug"]),
+        "versions": snapshots.mark(versions, due, ["id"], "promoted"),
+    }
+
+
 def references(paragraphs: DataFrame, cases: DataFrame, extracted: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Aliases and resolved references of cases not yet extracted, and the cases done, so that a second run finds none."""
     pending = snapshots.absent(paragraphs, extracted, ["case_id"])
-    known = citations.extract_aliases(pending)
+    known = written(citations.extract_aliases(pending), "aliases")
     found = citations.resolve(citations.extract_spans(pending, known), cases, paragraphs, known)
     return known, found, extracted.unionByName(pending.select("case_id").distinct())
+
+
+def update_cases(tables: dict[str, DataFrame], hits: DataFrame, documents: DataFrame) -> dict[str, DataFrame]:
+    """The case stages in their fixed order, each on the tables that the one before left: discover, parse, promote, refer.
+
+    tables: raw, cases, paragraphs, extracted, aliases, references. documents: id, citation, html, metadata, uri. Each stage's tables are written, so
+    a stage that fails can be run again by itself. Running all again adds nothing.
+    """
+    raw = written(discover(tables["raw"], hits), "raw")
+    states, blocks = parse(documents)
+    states, blocks = written(states, "states"), written(blocks, "blocks")
+    counted = blocks.groupBy("id").agg(F.count(F.lit(1)).alias("blocks"))
+    complete = documents.join(states.filter("parse_status = 'complete'").select("id", "extracted"), "id").join(raw.select("citation", "date", "hit", "promoted"), "citation").filter("NOT promoted")
+    titled = complete.withColumns({"title": people.case_title(F.col("metadata"), F.col("hit")), "number": people.case_number(F.col("metadata"), F.col("hit"))})
+    judged = reasons(titled.join(counted, "id", "left").withColumn("expected", F.col("extracted")))
+    promoted = promote_cases(raw, judged, blocks, tables["cases"], tables["paragraphs"])
+    promoted = {name: written(t, name) for name, t in promoted.items()}
+    keyed = promoted["paragraphs"].select("case_id", F.xxhash64("uri").alias("id"), "ordinal", F.col("text").alias("content"))
+    cited = promoted["cases"].select(F.col("id").alias("case_id"), F.col("citation").alias("neutral_citation"))
+    aliases, found, extracted = references(keyed, cited, tables["extracted"])
+    return promoted | {"aliases": tables["aliases"].unionByName(aliases), "references": tables["references"].unionByName(written(found, "references")), "extracted": written(extracted, "extracted")}

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casemill.functions import people, scalars
-from casemill.operators import citations, html, labels, queue, snapshots, tree
+from casemill.operators import citations, html, knowledge, labels, queue, snapshots, tree
+from casemill.operators.storage import written
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -228,9 +229,7 @@ SELECT a.event_id, count(b.event_id) AS overlaps FROM s a LEFT JOIN s b ON a.use
 def interval_overlap(spark, sf_dir):
     """Intervals that overlap others of the same key."""
     spans = table(spark, sf_dir, "events").select("user_id", "event_id", "value", (F.col("value") + 10).alias("stop"))
-    other = spans.select(F.col("user_id").alias("u"), F.col("event_id").alias("e"), F.col("value").alias("v"), F.col("stop").alias("s"))
-    met = spans.join(other, (F.col("user_id") == F.col("u")) & (F.col("event_id") != F.col("e")) & (F.col("value") < F.col("s")) & (F.col("stop") > F.col("v")), "left")
-    return met.groupBy("event_id").agg(F.count("e").alias("overlaps"))
+    return knowledge.spans_that_overlap(spans, "user_id", "event_id", "value", "stop", 10.0)
 
 
 @query("""WITH u AS (SELECT user_id, array_agg(DISTINCT event_type) AS types FROM events GROUP BY user_id) SELECT user_id, list_has_any(types, ['purchase', 'click']) AS allowed FROM u""")
@@ -330,6 +329,17 @@ def get_or_create_dim(spark, sf_dir):
     return snapshots.get_or_create(old, parts, "p_brand", "id")
 
 
+@query("""WITH o AS (SELECT row_number() OVER (ORDER BY p_brand, t NULLS FIRST) AS id, p_brand, t FROM (SELECT DISTINCT p_brand, CASE WHEN p_size % 2 = 1 THEN p_size % 3 END AS t FROM part WHERE p_size <= 5)),
+d AS (SELECT DISTINCT p_brand, CASE WHEN p_size % 2 = 1 THEN p_size % 3 END AS t FROM part), n AS (SELECT d.* FROM d LEFT JOIN o ON d.p_brand = o.p_brand AND d.t IS NOT DISTINCT FROM o.t WHERE o.id IS NULL)
+SELECT id, p_brand, t FROM o UNION ALL SELECT (SELECT coalesce(max(id), 0) FROM o) + row_number() OVER (ORDER BY p_brand, t NULLS FIRST), p_brand, t FROM n""")
+def get_or_create_pair(spark, sf_dir):
+    """New pairs of a dimension, like names and titles, get the next keys; missing titles are equal."""
+    parts = table(spark, sf_dir, "part").select("p_brand", "p_size", F.when(F.col("p_size") % 2 == 1, F.col("p_size") % 3).alias("t"))
+    none = spark.createDataFrame([], "id long, p_brand string, t int")
+    old = written(snapshots.get_or_create(none, parts.filter("p_size <= 5"), ["p_brand", "t"], "id"), "dimension")
+    return snapshots.get_or_create(old, parts, ["p_brand", "t"], "id")
+
+
 @query("""SELECT o_orderkey, o_orderstatus = 'F' OR o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) AS promoted FROM orders""")
 def mark_promoted(spark, sf_dir):
     """Flags set by a list of keys."""
@@ -545,7 +555,49 @@ def _judgments(spark, sf_dir):
 SELECT conv_id, n::INT AS ordinal, string_agg(words, chr(10) ORDER BY turn) AS text FROM t WHERE n > 0 GROUP BY 1, 2""")
 def judgment_blocks(spark, sf_dir):
     """Numbered paragraphs of judgments with what follows each."""
-    return html.blocks(html.paragraphs(_judgments(spark, sf_dir), "conv_id", "html"), "conv_id")
+    pages = _judgments(spark, sf_dir)
+    rows = written(html.paragraphs(pages, "conv_id", "html"), "paragraphs")
+    return html.blocks(rows, html.layouts(pages, rows, "conv_id", "html"), "conv_id")
+
+
+def _pages_of_kinds(spark, sf_dir):
+    """Each conversation as a page of one of six layouts, by its number: modern, numbered, with a gap, by line breaks, unknown, blank."""
+    turns = table(spark, sf_dir, "conversations").withColumn("n", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")))
+    kind, n = F.col("conv_id") % 6, F.col("n").cast("string")
+    words = F.concat(F.lit("Of "), F.col("role"), F.lit(" one two three four five six seven eight nine"))
+    part = (
+        F.when(kind == 0, F.concat(F.lit('<p class="Judg-Heading-1">5 Heads</p><p class="Judg-1-firstpara">'), n, F.lit(". "), words, F.lit("<p>2 behind<b>it</b>")))
+        .when(kind == 1, F.concat(F.lit("<p>"), n, F.lit(".) "), words, F.lit("</p><p>(7) on")))
+        .when(kind == 2, F.concat(F.lit("<p>"), (F.col("n") * 2).cast("string"), F.lit(" "), words, F.lit("</p>")))
+        .when(kind == 3, F.concat(F.lit("<p>"), words, F.lit("<br><br/>short<br>one<br /><br>"), words, F.lit(" ten</p>")))
+        .when(kind == 4, F.lit("<p>too short</p><div>no paragraph at all, however many words there are in it</div>"))
+        .otherwise(F.lit(" "))
+    )
+    parts = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", part.alias("p")))).alias("parts"))
+    return parts.select("conv_id", F.array_join(F.transform("parts", lambda x: x["p"]), "").alias("html"))
+
+
+_KINDS = """WITH t AS (SELECT conv_id, role, conv_id % 6 AS kind, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations), c AS (SELECT conv_id, kind, count(*) AS n FROM t GROUP BY 1, 2) """
+
+
+@query(_KINDS + """SELECT conv_id, CASE WHEN kind = 0 THEN 'modern_judg1' WHEN kind IN (1, 2) AND n > 1 THEN 'numbered_plain_p' WHEN kind = 3 THEN 'unnumbered_br' WHEN kind = 5 THEN 'failed' ELSE 'unknown' END AS layout,
+CASE WHEN kind = 0 OR kind = 1 AND n > 1 THEN n WHEN kind = 2 AND n > 1 OR kind = 3 THEN 2 * n END::BIGINT AS expected, CASE WHEN kind = 0 OR kind IN (1, 2) AND n > 1 THEN n WHEN kind = 3 THEN 2 * n ELSE 0 END::BIGINT AS extracted,
+CASE WHEN kind = 2 AND n > 1 THEN 'incomplete' WHEN kind = 5 THEN 'failed' WHEN kind = 4 OR kind IN (1, 2) AND n = 1 THEN 'unknown' ELSE 'complete' END AS parse_status FROM c""")
+def judgment_layouts(spark, sf_dir):
+    """Layouts and states of pages of all kinds."""
+    pages = _pages_of_kinds(spark, sf_dir)
+    found = html.layouts(pages, html.paragraphs(pages, "conv_id", "html"), "conv_id", "html")
+    return found.withColumns({c: F.col(c).cast("long") for c in ("expected", "extracted")})
+
+
+@query(_KINDS + """, m AS (SELECT t.*, c.n AS turns, 'Of ' || role || ' one two three four five six seven eight nine' AS words FROM t JOIN c USING (conv_id))
+SELECT conv_id, n::INT AS ordinal, words || chr(10) || CASE WHEN kind = 0 THEN '2 behind it' ELSE '(7) on' END AS text FROM m WHERE kind = 0 OR kind = 1 AND turns > 1
+UNION ALL SELECT conv_id, n, words FROM m WHERE kind = 2 AND turns > 1 UNION ALL SELECT conv_id, 2 * n - 1, words FROM m WHERE kind = 3 UNION ALL SELECT conv_id, 2 * n, words || ' ten' FROM m WHERE kind = 3""")
+def judgment_paragraphs(spark, sf_dir):
+    """Paragraphs of pages of all kinds, also of those that only line breaks divide."""
+    pages = _pages_of_kinds(spark, sf_dir)
+    rows = written(html.paragraphs(pages, "conv_id", "html"), "paragraphs")
+    return html.blocks(rows, html.layouts(pages, rows, "conv_id", "html"), "conv_id")
 
 
 def _statutes(spark, sf_dir):
@@ -575,6 +627,58 @@ def provision_tree(spark, sf_dir):
     return html.provisions(_statutes(spark, sf_dir), "doc", "html").select("doc", "ordinal", "level", "kind", "citation", "parent_ordinal", "descendant_count")
 
 
+def _schedules(spark, sf_dir):
+    """Each region as a statute with a schedule: nations are its paragraphs, every second one under a heading of its own."""
+    nth = F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey"))
+    nation = table(spark, sf_dir, "nation").withColumn("nth", nth)
+    n, lead = F.col("nth").cast("string"), F.concat(F.lit('<table><tr><td class="sProvHdr">On '), F.col("n_name"), F.lit("</td></tr></table>"))
+    text = F.concat(F.lit('<table><tr><td class="tailSTxt" id="x'), F.when(F.col("nth") > 3, F.lit("")).otherwise(F.lit("1")), F.lit('">'), n, F.lit('. Of '), F.col("n_name"), F.lit('<div class="prov2Txt">(1) Sub'), n, F.lit("</div></td></tr></table>"))
+    part = F.concat(F.when(F.col("nth") % 2 == 1, lead).otherwise(""), text)
+    parts = nation.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("nth", part.alias("p")))).alias("parts"))
+    region = table(spark, sf_dir, "region").join(parts, F.col("r_regionkey") == F.col("n_regionkey"))
+    head = F.concat(F.lit('<div class="legis"><div class="tail"><div class="schedule"><table><tr><td class="sHdr" id="Sc-">'), F.element_at(F.array(*map(F.lit, ("First Schedule", "SECOND SCHEDULE", "3rd Schedule"))), (F.col("r_regionkey") % 3 + 1).cast("int")), F.lit('</td></tr></table><table><tr><td class="scHdr">About '), F.col("r_name"), F.lit("</td></tr></table>"))
+    return region.select(F.col("r_regionkey").cast("long").alias("doc"), F.concat(head, F.array_join(F.transform("parts", lambda x: x["p"]), ""), F.lit("</div></div></div>")).alias("html"))
+
+
+_SCHEDULES = """WITH n AS (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS nth, 'Sch ' || (n_regionkey % 3 + 1) AS sch FROM nation),
+s AS (SELECT r_regionkey::BIGINT AS doc, 1 AS ordinal, 1 AS level, NULL AS parent_ordinal, 'schedule' AS kind, 'Sch ' || (r_regionkey % 3 + 1) AS citation, ['First Schedule', 'SECOND SCHEDULE', '3rd Schedule'][r_regionkey % 3 + 1] AS heading, 'About ' || r_name AS content, 'Sc-' AS anchor FROM region WHERE r_regionkey IN (SELECT n_regionkey FROM n)
+UNION ALL SELECT n_regionkey, 2 * nth, 2, 1, 'section', sch || ' para ' || nth, CASE WHEN nth % 2 = 1 THEN 'On ' || n_name END, 'Of ' || n_name, CASE WHEN nth > 3 THEN 'x' ELSE 'x1' END FROM n
+UNION ALL SELECT n_regionkey, 2 * nth + 1, 3, 2 * nth, 'subsection', sch || ' para ' || nth || '(1)', NULL, 'Sub' || nth, NULL FROM n) """
+
+
+@query(_SCHEDULES + """SELECT doc, ordinal::INT AS ordinal, level::INT AS level, parent_ordinal::INT AS parent_ordinal, kind, citation, heading, content FROM s""")
+def schedule_paragraphs(spark, sf_dir):
+    """Schedules with their paragraphs, and headings that belong to the next paragraph only."""
+    return html.provisions(_schedules(spark, sf_dir), "doc", "html").select("doc", "ordinal", "level", "parent_ordinal", "kind", "citation", "heading", "content")
+
+
+@query(_SCHEDULES + """, k AS (SELECT *, coalesce(anchor, 'n' || ordinal) AS a FROM s), u AS (SELECT *, 'http://x/' || doc || '#' || a || CASE WHEN row_number() OVER (PARTITION BY doc, a ORDER BY ordinal) > 1 THEN '-' || ordinal ELSE '' END AS uri FROM k)
+SELECT u.doc, u.ordinal::INT AS ordinal, u.uri, p.uri AS parent_uri FROM u LEFT JOIN u p ON u.doc = p.doc AND u.parent_ordinal = p.ordinal""")
+def provision_uris(spark, sf_dir):
+    """Addresses of provisions by their anchors or ordinals, and those of their parents."""
+    tree_rows = written(html.provisions(_schedules(spark, sf_dir), "doc", "html"), "tree")
+    return knowledge.provision_uris(tree_rows, "doc", F.concat(F.lit("http://x/"), F.col("doc").cast("string"))).select("doc", "ordinal", "uri", "parent_uri")
+
+
+@query("""SELECT o_custkey, l_linenumber::INT AS ordinal, 'http://c/' || o_orderkey || '#' || l_linenumber AS uri FROM orders JOIN lineitem ON l_orderkey = o_orderkey""")
+def paragraph_uris(spark, sf_dir):
+    """Addresses of paragraphs: their case's, and their ordinal."""
+    cases = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("case"), "o_custkey", F.concat(F.lit("http://c/"), F.col("o_orderkey").cast("string")).alias("case_uri"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("case"), F.col("l_linenumber").cast("int").alias("ordinal"))
+    found = knowledge.paragraph_uris(lines, cases, "case", "case_uri")
+    return found.join(cases.select("case", "o_custkey"), "case").select("o_custkey", "ordinal", "uri")
+
+
+@query("""WITH v AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus = 'F'), p AS (SELECT CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey END AS a, CASE WHEN l_orderkey % 2 = 1 THEN l_orderkey END AS s, l_linenumber FROM lineitem)
+SELECT 1 AS branch, a AS document, row_number() OVER (PARTITION BY a ORDER BY l_linenumber)::INT AS place FROM p JOIN v ON a = id UNION ALL SELECT 2, s, row_number() OVER (PARTITION BY s ORDER BY l_linenumber) FROM p WHERE s IS NOT NULL""")
+def current_trees(spark, sf_dir):
+    """Current act trees, then those of subsidiary legislation."""
+    key = F.col("l_orderkey")
+    rows = table(spark, sf_dir, "lineitem").select(F.when(key % 2 == 0, key).alias("act_version_id"), F.when(key % 2 == 1, key).alias("subsidiary_legislation_id"), F.col("l_linenumber").alias("ordinal"))
+    versions = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderstatus") == "F").alias("is_current"))
+    return knowledge.current_trees(rows, versions).select("branch", "document", "place")
+
+
 @query("""SELECT r_regionkey::BIGINT AS doc, count(*)::BIGINT AS expected, count(*)::BIGINT AS extracted, 'complete' AS parse_status FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY 1""")
 def legislation_status(spark, sf_dir):
     """Expected and extracted provisions."""
@@ -622,7 +726,7 @@ x AS (
 def citation_spans(spark, sf_dir):
     """References of paragraphs, with what bare ones mean."""
     paragraphs = _paragraphs(spark, sf_dir)
-    spans = citations.extract_spans(paragraphs, citations.extract_aliases(paragraphs))
+    spans = citations.extract_spans(paragraphs, written(citations.extract_aliases(paragraphs), "aliases"))
     return spans.select("case_id", "paragraph_id", "kind", "name", "neutral", F.array_join(F.col("pins").cast("array<string>"), ",").alias("pins"), F.array_join("provisions", ",").alias("provisions"))
 
 
@@ -632,7 +736,7 @@ SELECT c AS case_id, (c * 10 + n)::BIGINT AS paragraph_id, kind, pins, CASE WHEN
 def resolved_references(spark, sf_dir):
     """What references refer to: a case, or a paragraph of one."""
     paragraphs = _paragraphs(spark, sf_dir)
-    known = citations.extract_aliases(paragraphs)
+    known = written(citations.extract_aliases(paragraphs), "aliases")  # spans and resolving both need them
     cases = paragraphs.select("case_id").distinct().withColumn("neutral_citation", F.concat(F.lit("[2001] SGHC "), F.col("case_id").cast("string")))
     done = citations.resolve(citations.extract_spans(paragraphs, known), cases, paragraphs, known)
     return done.select("case_id", "paragraph_id", "kind", F.array_join(F.col("pins").cast("array<string>"), ",").alias("pins"), "target_case", "target_paragraph")
@@ -664,3 +768,72 @@ def judges_and_courts(spark, sf_dir):
     code = scalars.court_code(F.lit(None).cast("string"), F.concat(F.lit("[2001] SGHC "), F.col("c_custkey").cast("string")))
     rows = table(spark, sf_dir, "customer").select("c_custkey", scalars.judge(name).alias("j"), code.alias("court"))
     return rows.select("c_custkey", "j.name", "j.title", "court", scalars.court_name(F.col("court")).alias("court_name"))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Given ' || c_name WHEN 1 THEN 'Found ' || c_name END AS title, CASE WHEN c_custkey % 2 = 0 THEN 'HC/' || c_custkey ELSE 'Suit ' || c_custkey END AS number FROM customer""")
+def case_titles(spark, sf_dir):
+    """Titles and numbers from the metadata, else from the search hit."""
+    key, k3, k2 = F.col("c_custkey").cast("string"), F.col("c_custkey") % 3, F.col("c_custkey") % 2
+    title = F.when(k3 == 0, F.concat(F.lit('" Given  '), F.col("c_name"), F.lit('"'))).otherwise(F.lit('" "'))
+    metadata = F.concat(F.lit('{"CaseTitle": '), title, F.when(k2 == 0, F.concat(F.lit(', "CaseNumber": "HC/'), key, F.lit('"'))).otherwise(F.lit(', "CaseNumber": 7')), F.lit("}"))
+    hit = F.concat(F.lit('{"titles": ['), F.when(k3 == 2, F.lit("")).otherwise(F.concat(F.lit('"Found '), F.col("c_name"), F.lit('", "x"'))), F.lit('], "casenumber": "Suit '), key, F.lit('"}'))
+    return table(spark, sf_dir, "customer").select("c_custkey", people.case_title(metadata, hit).alias("title"), people.case_number(metadata, hit).alias("number"))
+
+
+@query("""WITH j AS (SELECT CASE WHEN toxic = 1 THEN -100 ELSE quality END AS gold, doc_id % 2 AS predicted FROM labels) SELECT round(coalesce(avg((gold = predicted)::INT), 0), 9) AS accuracy FROM j WHERE gold <> -100""")
+def accuracy(spark, sf_dir):
+    """Accuracy of rows that have a gold label."""
+    rows = table(spark, sf_dir, "labels").select(F.when(F.col("toxic") == 1, -100).otherwise(F.col("quality")).alias("gold"), (F.col("doc_id") % 2).alias("predicted"))
+    return labels.accuracy(rows, "gold", "predicted").select(F.round("accuracy", 9).alias("accuracy"))
+
+
+@query("""SELECT round(coalesce(sum(n_chars / 7.0::DOUBLE) FILTER (toxic = 1), 0) / greatest(count(*) FILTER (toxic = 1), 1), 6) AS loss FROM documents JOIN labels USING (doc_id)""")
+def mean_loss(spark, sf_dir):
+    """The mean of a loss over masked rows."""
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").select((F.col("n_chars") / 7.0).alias("loss"), (F.col("toxic") == 1).alias("mask"))
+    return labels.mean_loss(rows, "loss", "mask").select(F.round("loss", 6).alias("loss"))
+
+
+@query("""SELECT doc_id, CASE WHEN n_chars < 100 THEN 'too short' WHEN lang <> 'en' THEN 'other language' END AS reason FROM documents WHERE n_chars < 100 OR lang <> 'en' ORDER BY doc_id LIMIT 40""")
+def first_failures(spark, sf_dir):
+    """The first 40 failures."""
+    docs = table(spark, sf_dir, "documents").withColumn("reason", queue.first_failure((F.col("n_chars") < 100, "too short"), (F.col("lang") != "en", "other language")))
+    return queue.first_failures(docs.select("doc_id", "reason"), "reason", [F.col("doc_id")])
+
+
+@query("""SELECT least(count(*), 300) AS total FROM documents""")
+def bounded_total(spark, sf_dir):
+    """How many rows a bounded run will see."""
+    return queue.bounded_total(table(spark, sf_dir, "documents"), 300)
+
+
+@query("""WITH s AS (SELECT source AS name, row_number() OVER (ORDER BY source) - 1 AS i FROM (SELECT DISTINCT source FROM documents WHERE lang = 'en')), t AS (SELECT source AS name, row_number() OVER (ORDER BY source) - 1 AS i FROM (SELECT DISTINCT source FROM documents))
+SELECT t.name, t.i AS index, s.i AS source_index FROM t LEFT JOIN s ON t.name = s.name WHERE t.name IS NOT NULL""")
+def aligned_labels(spark, sf_dir):
+    """One label space's indexes beside another's, by name."""
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("name"), "lang")
+    return knowledge.align(labels.scheme(docs.filter("lang = 'en'"), "name"), labels.scheme(docs, "name"), "name", "index")
+
+
+@query("""WITH c AS (SELECT DISTINCT event_type AS concept FROM events) SELECT concept, CASE concept WHEN 'click' THEN 0 WHEN 'view' THEN 1 ELSE -1 END AS topic_index FROM c""")
+def concept_topics(spark, sf_dir):
+    """Home topics by names in any case, -1 for none."""
+    concepts = table(spark, sf_dir, "events").select(F.col("event_type").alias("concept")).distinct()
+    homes = spark.createDataFrame([("CLICK", "Acts"), ("View", "Looks"), ("purchase", "Unknown")], "concept string, topic string")
+    return knowledge.home_topics(concepts, homes, spark.createDataFrame([("acts", 0), ("LOOKS", 1)], "topic string, index int"))
+
+
+@query("""WITH r AS (SELECT user_id, unnest(array_agg(DISTINCT event_type)) AS t FROM events GROUP BY user_id), d AS (SELECT event_type AS t, row_number() OVER (ORDER BY event_type) - 1 AS index FROM (SELECT DISTINCT event_type FROM events WHERE event_type <> 'click')) SELECT user_id, index FROM r JOIN d USING (t)""")
+def junction_rows(spark, sf_dir):
+    """Rows of classifications by the ids of their names."""
+    events = table(spark, sf_dir, "events")
+    results = events.groupBy("user_id").agg(F.collect_list("event_type").alias("names"))
+    return knowledge.classification_rows(results, "user_id", "names", labels.scheme(events.filter("event_type <> 'click'"), "event_type"), "event_type", "index")
+
+
+@query("""SELECT o_orderkey, o_orderstatus <> 'F' OR (CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 3 END) IS DISTINCT FROM (CASE WHEN o_custkey % 3 > 0 THEN o_custkey % 3 END) AS needs_review FROM orders""")
+def review_flags(spark, sf_dir):
+    """Versions that failed, or whose provisions differ in number from the expected."""
+    some = lambda c: F.when(F.col(c) % 3 > 0, F.col(c) % 3)
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "success").otherwise("error").alias("fetch"), some("o_orderkey").alias("expected"), some("o_custkey").alias("extracted"))
+    return knowledge.fetch_state(rows, "fetch", "expected", "extracted").select("o_orderkey", "needs_review")

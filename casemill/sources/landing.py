@@ -5,6 +5,7 @@ Fetching is outside of the engine: something lands JSON and HTML files, and thes
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,18 +53,33 @@ def best_document(payloads: DataFrame, key: str, payload: str) -> DataFrame:
 
 
 def browse_rows(pages: DataFrame, key: str, page: str, prefix: str = "/Act/") -> DataFrame:
-    """slug, title and address of the entries of browse pages, in order."""
-    anchors = anchor_rows(pages, key, page).filter(F.col("href").startswith(prefix) & (F.col("text") != ""))
-    return anchors.select(key, "pos", F.regexp_extract("href", f"^{prefix}([^/?#]+)", 1).alias("slug"), F.col("text").alias("title"), "href")
+    """slug, title and address of the entries of browse pages, in order, with number: the second cell of an entry's row, or empty."""
+    found = link_rows(pages, key, page).filter(F.col("href").startswith(prefix) & (F.col("text") != ""))
+    return found.select(key, "pos", F.regexp_extract("href", f"^{prefix}([^/?#]+)", 1).alias("slug"), F.col("text").alias("title"), "href", "number")
 
 
-def anchor_rows(pages: DataFrame, key: str, page: str) -> DataFrame:
-    """pos, href and text of all links."""
+def until_short_page(pages: DataFrame, rows: DataFrame, key: str, size: int) -> DataFrame:
+    """Rows of browse pages up to the first, by key, that lists fewer than `size` entries: what a walk over the pages would see."""
+    counts = pages.select(key).join(rows.groupBy(F.col(key).alias("c_key")).agg(F.count(F.lit(1)).alias("n")), F.col(key) == F.col("c_key"), "left")
+    last = counts.filter(F.coalesce("n", F.lit(0)) < size).agg(F.min(key).alias("last"))
+    return rows.join(F.broadcast(last)).filter(F.col("last").isNull() | (F.col(key) <= F.col("last"))).drop("last")
 
-    def links(text: str | None) -> list[tuple[str, str]]:
-        return [(n.attrs.get("href", ""), n.text()) for n in html.parse(text or "").walk() if n.tag == "a"]
 
-    return html._table(pages, key, page, lambda h: list(enumerate(links(h))), "pos int, href string, text string", lambda r: {"pos": r[0], "href": r[1][0], "text": r[1][1]})
+def link_rows(pages: DataFrame, key: str, page: str) -> DataFrame:
+    """pos, href and text of all links, and number: the text of the second cell of the table row that a link is in, or empty."""
+
+    def links(text: str | None) -> list[tuple[int, str, str, str]]:
+        numbers, out = {}, []
+        for n in html.parse(text or "").walk():
+            if n.tag == "tr":
+                cells = [c for c in n.inside if isinstance(c, html.Node) and c.tag in ("td", "th")]
+                numbers |= {id(a): cells[1].text() if len(cells) > 1 else "" for a in n.walk() if a.tag == "a"}
+            elif n.tag == "a":
+                out.append((len(out), n.attrs.get("href", ""), n.text(), numbers.get(id(n), "")))
+        return out
+
+    columns = [("pos", pa.int32()), ("href", pa.string()), ("text", pa.string()), ("number", pa.string())]
+    return html.mapped(pages, key, page, links, columns, "pos int, href string, text string, number string")
 
 
 def version_timeline(pages: DataFrame, key: str, page: str) -> DataFrame:
@@ -71,7 +87,7 @@ def version_timeline(pages: DataFrame, key: str, page: str) -> DataFrame:
 
     The current one has no date in its address; if there isn't just one such, the newest is current.
     """
-    links = anchor_rows(pages, key, page).filter(F.col("text").rlike(r"^[0-9]{1,2} [A-Z][a-z]{2} [0-9]{4}$") & ~F.lower("href").contains("pdf") & ~F.lower("href").contains("amending"))
+    links = link_rows(pages, key, page).filter(F.col("text").rlike(r"^[0-9]{1,2} [A-Z][a-z]{2} [0-9]{4}$") & ~F.lower("href").contains("pdf") & ~F.lower("href").contains("amending"))
     stamp = F.coalesce(scalars.extract(F.col("href"), r"[?&]ValidDate=([0-9]{8})"), scalars.extract(F.col("href"), r"/Historical/([0-9]{8})"))
     dated = links.withColumn("valid_from", scalars.compact_date(stamp)).filter("valid_from IS NOT NULL")
     last = snapshots.first_of(dated, [key, "valid_from"], [F.desc("pos")]).withColumn("is_current", ~F.col("href").contains("/Historical/"))

@@ -7,7 +7,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from casemill.operators import labels, models, snapshots, tree
+from casemill.functions import scalars
+from casemill.operators import citations, knowledge, labels, models, queue, snapshots, tree
 from casemill.plans import pipelines
 from casemill.sources import landing
 from casemill.streaming import discovery
@@ -103,3 +104,67 @@ def test_references_are_extracted_once(spark):
 def test_promotion_reasons(spark):
     cases = spark.createDataFrame([(1, "[2001] SGHC 2", "2001-01-01", "t", None, 3, 3), (2, "[2001] SGHC 3", "2001-01-01", "t", None, 3, 2), (3, "x", None, "t", None, 1, 1), (4, "x", None, None, None, None, None)], "id long, citation string, date string, title string, metadata string, expected int, blocks int")
     assert [r.reason for r in pipelines.reasons(cases).orderBy("id").collect()] == [None, "paragraph count differs", "no decision date", "missing document"]
+
+
+def test_browse_rows_and_short_pages(spark):
+    page = lambda *slugs: "<table>" + "".join(f'<tr><td><a href="/SL/{x}?a=1">Rules {x}</a><td>S {x}/2000</td></tr>' for x in slugs) + "</table><a href='/SL/z'>Z</a>"
+    pages = spark.createDataFrame([(1, page("a", "b")), (2, page("c")), (3, page("d", "e"))], "id long, html string")
+    found = landing.browse_rows(pages, "id", "html", "/SL/")
+    assert [tuple(r)[2:] for r in found.filter("id = 1").orderBy("pos").collect()] == [("a", "Rules a", "/SL/a?a=1", "S a/2000"), ("b", "Rules b", "/SL/b?a=1", "S b/2000"), ("z", "Z", "/SL/z", "")]
+    assert [r[0] for r in rows(landing.until_short_page(pages, found, "id", 3), "id")] == [1, 1, 1, 2, 2]
+
+
+def test_case_stages_in_order(spark, tmp_path):
+    hits = [("[2001] SGHC 1", "2001-02-01", 1, 0), ("[2001] SGHC 2", "2001-01-01", 1, 1)]
+    hits = spark.createDataFrame([(c, d, "T", json.dumps({"titles": ["Found"], "casenumber": "S 1"}), p, i) for c, d, p, i in hits], "citation string, d string, title string, hit string, page long, pos int").withColumn("date", F.to_date("d")).drop("d")
+    page = '<p class="Judg-1">1 See Re Alpha [2001] SGHC 2 (“Alpha”).</p><p class="Judg-1">2 Alpha at [1] holds (at [1]).</p>'
+    documents = spark.createDataFrame([(10, "[2001] SGHC 1", page, json.dumps({"CaseTitle": "Given"}), "u1"), (11, "[2001] SGHC 2", '<p class="Judg-1">1 Only', "{}", "u2"), (12, "[2001] SGHC 3", "<p>x", "{}", "u3")], "id long, citation string, html string, metadata string, uri string")
+    make = lambda schema: spark.createDataFrame([], schema)
+    tables = {
+        "raw": make(pipelines.RAW_CASES), "cases": make("id long, citation string, date date, title string, court string, number string, uri string"), "paragraphs": make("case_id long, ordinal int, text string, uri string"),
+        "extracted": make("case_id long"), "aliases": make("case_id long, short_name string, expanded string, kind string"), "references": make(citations.SPAN_SCHEMA + ", target_case long, target_paragraph long"),
+    }
+    done = pipelines.update_cases(tables, hits, documents)
+    assert rows(done["cases"], "id", "citation", "title", "number", "court", "uri") == [(1, "[2001] SGHC 1", "Given", "S 1", "SGHC", "u1"), (2, "[2001] SGHC 2", "Found", "S 1", "SGHC", "u2")]
+    assert rows(done["paragraphs"], "case_id", "ordinal", "uri") == [(1, 1, "u1#1"), (1, 2, "u1#2"), (2, 1, "u2#1")]
+    assert [r.promoted for r in done["raw"].collect()] == [True, True]
+    found = done["references"].orderBy("ordinal", "start").collect()
+    assert [(r.family, r.target_case is not None, r.target_paragraph is not None) for r in found] == [("case", True, False), ("alias", False, True), ("pin", False, True)]
+    again = pipelines.update_cases(done, hits, documents)
+    assert {n: t.count() for n, t in again.items()} == {n: t.count() for n, t in done.items()}
+
+
+def test_legislation_stages(spark):
+    day = F.to_date("d")
+    browsed = spark.createDataFrame([("A", "New title", 0), ("A", "Later", 1), ("B", "B act", 2)], "slug string, title string, pos int")
+    timelines = spark.createDataFrame([("A", "2020-01-01", "/a2", True), ("A", "2010-01-01", "/a1", False)], "slug string, d string, href string, is_current boolean").select("slug", day.alias("valid_from"), "href", "is_current")
+    versions = spark.createDataFrame([("A", "2010-01-01", "/old", True, "success", "complete", True), ("C", "2000-01-01", "/c", True, "success", "complete", True)], "slug string, d string, href string, is_current boolean, fetch string, parse string, promoted boolean")
+    found = pipelines.discover_acts(spark.createDataFrame([("A", "Old")], "slug string, title string"), versions.select("slug", day.alias("valid_from"), "href", "is_current", "fetch", "parse", "promoted"), browsed, timelines)
+    assert rows(found["acts"]) == [("A", "New title"), ("B", "B act")]
+    assert rows(found["versions"], "slug", "href", "is_current", "parse") == [("A", "/a2", True, "not_parsed"), ("A", "/old", False, "complete"), ("C", "/c", True, "complete")]
+    page = '<div class="legis"><div class="body"><div class="prov1" id="pr1-"><td class="prov1Hdr">Aim</td><div class="prov1Txt"><strong>1.</strong> Text<table><tr><td class="def">“goods” means all</td></tr></table></div></div></div></div>'
+    parsed = pipelines.parse_acts(spark.createDataFrame([(1, page), (2, "<p>none")], "id long, html string"))
+    table = spark.createDataFrame([(1, "A", "http://a", True, False), (2, "B", "http://b", True, False)], "id long, slug string, uri string, is_current boolean, promoted boolean")
+    stored = spark.createDataFrame([(1, 9, "http://a#old", None), (7, 1, "http://c#n1", None)], "version_id long, ordinal int, uri string, parent_uri string")
+    terms = spark.createDataFrame([("A", "wares", "old"), ("C", "x", "y")], "slug string, term string, definition string")
+    done = pipelines.promote_acts(table, parsed, stored, terms)
+    assert rows(done["provisions"]) == [(1, 1, "http://a#pr1-", None), (7, 1, "http://c#n1", None)]
+    assert rows(done["definitions"]) == [("A", "goods", "means all"), ("C", "x", "y")] and rows(done["versions"], "id", "promoted") == [(1, True), (2, False)]
+
+
+def test_small_operators(spark):
+    table = spark.createDataFrame([(1, None, "a"), (2, 5, " "), (3, 7, "b")], "id long, n int, t string")
+    assert rows(table.filter(queue.unset("n")), "id") == [(1,)]
+    assert rows(queue.filled_of_first(table, [F.col("id")], 2, "t"), "id") == [(1,)]
+    assert [r[0] for r in table.select(queue.status_text(F.lit("incomplete"), F.col("n"), F.lit(2))).collect()][:2] == ["incomplete: expected unknown, extracted 2", "incomplete: expected 5, extracted 2"]
+    assert rows(snapshots.store_fetch(table, spark.createDataFrame([(2, 9, "c")], "id long, n int, t string"), "id", {"t": F.lit("reset")})) == [(1, None, "a"), (2, 9, "reset"), (3, 7, "b")]
+    assert rows(snapshots.filled(table, spark.createDataFrame([(1, 4), (2, 4)], "id long, n int"), "id", "n"), "id", "n") == [(1, 4), (2, 5), (3, 7)]
+    with pytest.raises(ValueError, match="empty"):
+        snapshots.must_match(table, spark.createDataFrame([], "n string, i int"), "t", "n", "i")
+    nodes = spark.createDataFrame([(1, 1, None), (1, 2, 1), (1, 3, 1)], "doc long, ordinal int, parent_ordinal int")
+    assert rows(tree.children(nodes, "doc")) == [(1, 1, 2), (1, 1, 3)]
+    uris = knowledge.provision_uris(spark.createDataFrame([(1, 1, None, None), (1, 2, 1, "x"), (1, 3, 1, "x"), (1, 4, 3, "")], "doc long, ordinal int, parent_ordinal int, anchor string"), "doc", F.lit("u"))
+    assert rows(uris, "ordinal", "uri", "parent_uri") == [(1, "u#n1", None), (2, "u#x", "u#n1"), (3, "u#x-3", "u#n1"), (4, "u#n4", "u#x-3")]
+    c = lambda x: spark.range(1).select(x.alias("x")).first().x
+    assert c(scalars.section_number(F.lit("12A. Text"))) == "12A" and c(scalars.without_section_number(F.lit("12A. Text"))) == "Text"
+    assert c(scalars.subsection_number(F.lit("—(2) Text"))) == "2" and c(scalars.without_marker(F.lit("—(2) Text"))) == "Text"

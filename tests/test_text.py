@@ -1,5 +1,7 @@
 """Citations, people, HTML and scalar functions on small texts."""
 
+import json
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ def test_pins(text, numbers):
 def test_spans_do_not_overlap_and_keep_order():
     text = "See Re Ong [1999] 2 SLR(R) 7 at [4]; ss 12(1)(a), 13A and 14 of the Companies Act 2006 (Cap 50); rule 5 and (at [2]); above at [1]."
     found = citations.find_spans(text, {})
-    assert [(s["family"], s["kind"]) for s in found] == [("case", "case"), ("provision", "provision"), ("provision", "rule"), ("self", "self"), ("pin", "self")]
+    assert [(s["family"], s["kind"]) for s in found] == [("case", "case"), ("provision", "provision"), ("provision", "rule"), ("pin", "self"), ("self", "self")]
     assert found[1]["provisions"] == ["s 12(1)(a)", "s 13A", "s 14"] and found[1]["name"] == "Companies Act 2006" and found[1]["edition"] == "Cap 50"
     assert citations.find_spans("", {}) == []
 
@@ -40,12 +42,28 @@ def test_state_goes_on_across_paragraphs(spark):
     assert got[3, "case", "case"] == ("Re Foo", "[2001] SGHC 4")
 
 
-def test_people():
+def people_of(spark, *metadata):
+    df = spark.createDataFrame(list(enumerate(metadata)), "id int, m string")
+    found = df.select("id", people.judges(F.col("m")).alias("j"), people.parties(F.col("m")).alias("p"), people.counsel(F.col("m")).alias("c")).orderBy("id").collect()
+    return [(r.j, [tuple(x) for x in r.p], [tuple(x) for x in r.c]) for r in found]
+
+
+def test_people(spark):
     metadata = '{"Counsels": {"Counsel": "Ann Lee SC, Bo Tan & Cy (Tan & Lee LLP) for the appellant. The respondent in person."}, "Corams": {"Coram": [{"content": "Tay  J"}, ["x"], "Lim CJ"]}, "Parties": {"Party": {"Name": ["A", "B"]}}}'
-    assert people.counsel_rows(metadata) == [("Ann Lee SC", "appellant"), ("Bo Tan & Cy", "appellant")]
-    assert people.texts(people._get(metadata, "Corams", "Coram")) == ["Tay J", "Lim CJ"]
-    assert people.party_rows(metadata) == [("A", None), ("B", None)]
-    assert people.party_rows(None) == people.counsel_rows("{") == []
+    [(judges, parties, counsel), *others] = people_of(spark, metadata, None, "{", '{"Parties": 7, "Corams": [1], "Counsels": {"Counsel": {}}}')
+    assert counsel == [("Ann Lee SC", "appellant"), ("Bo Tan & Cy", "appellant")]
+    assert judges == ["Tay J", "Lim CJ"]
+    assert parties == [("A", None), ("B", None)]
+    assert others == [([], [], [])] * 3
+
+
+def test_shapes_of_people(spark):
+    lines = ["Ann, sc and Bob (‘Bo, b’) Tan for the first respondent", "Cy Lee & Di Ang and Ed Fox (instructed), Gia Hue (attorney general) for A B Pte. Ltd. The second respondent absent", "with Hal Ito (Law Corporation) For the State.", "The plaintiff for the plaintiff", "Nobody", " "]
+    text = json.dumps({"Counsels": {"Counsel": lines}, "Corams": {"Coram": " Tay  J"}, "Parties": {"Party": ["X ", {"Role": {"content": "def"}, "Name": "", "Party": "Y"}, {"Role": ["r1", "r2"], "Name": ["P", {"content": "Q"}]}, 3, None, ["z"]]}})
+    [(judges, parties, counsel)] = people_of(spark, text)
+    assert judges == ["Tay J"] and parties == [("X", None), ("Y", "def"), ("P", "r1"), ("Q", "r1")]
+    first = [("Ann SC", "first respondent"), ("Bob (‘Bo, b’) Tan", "first respondent")]
+    assert counsel == first + [(n, "A B Pte. Ltd") for n in ("Cy Lee", "Di Ang", "Ed Fox", "Gia Hue")] + [("Hal Ito", "State")]
 
 
 def test_layouts_and_blocks(spark):
@@ -59,7 +77,9 @@ def test_layouts_and_blocks(spark):
         1: ("modern_judg1", 2, 2, "complete"), 2: ("numbered_plain_p", 3, 2, "incomplete"), 3: ("unnumbered_br", 3, 3, "complete"),
         4: ("unknown", None, 0, "unknown"), 5: ("failed", None, 0, "failed"), 6: ("failed", None, 0, "failed"),
     }
-    assert rows(html.blocks(found.filter("id = 1"), "id")) == [(1, 1, "One\nmore"), (1, 2, "Two")]
+    got = rows(html.blocks(found, html.layouts(pages, found, "id", "html"), "id"))
+    assert [r for r in got if r[0] == 1] == [(1, 1, "One\nmore"), (1, 2, "Two")]
+    assert [r for r in got if r[0] == 3] == [(3, i, "a b c d e f g h i j k") for i in (1, 2, 3)]
 
 
 def test_points_and_notes():
@@ -85,3 +105,42 @@ def test_scalars(spark):
     assert c(scalars.order_number(F.lit("a#[12]"))) == 12 and c(scalars.order_number(F.lit("a#pr7"))) == 7 and c(scalars.order_number(F.lit("a"))) == 0
     assert c(scalars.clean_url(F.lit("http://h/p?_=1&a=2&WholeDoc=1#t"))) == "http://h/p?a=2#t"
     assert c(scalars.provision_list(F.lit("12 (1), 13A and 14"), F.lit("s"))) == ["s 12(1)", "s 13A", "s 14"]
+
+
+REFERENCES = [
+    # text, aliases, and each reference's family, kind, name and pins
+    ("See Lee v Tan [2010] SGCA 5 (“Lee”) at [3]–[5] and [9].", {}, [("case", "case", "Lee v Tan", [3, 4, 5, 9])]),
+    ("It was held in A v B [2001] 2 SLR(R) 7; [2001] SGHC 3 at [2].", {}, [("case", "case", "A v B", []), ("case", "case", None, [2])]),
+    ("Others followed [1999] 1 WLR 12.", {}, [("case", "case", "Others followed", [])]),
+    ("Sections 2(1)(a), 3A and 4 of the Sale of Goods Act 1979 (Cap 393) (the “SGA”) apply.", {}, [("provision", "provision", "Sale of Goods Act 1979", [])]),
+    ("By s 5 of the Act, as rule 7 of the Rules has it.", {"Act": ("Evidence Act 1893", "act"), "Rules": ("Court Rules 2014", "rules")}, [("provision", "provision", "Act", []), ("provision", "rule", "Rules", [])]),
+    ("s 5 of the Actors' code", {"Act": ("Evidence Act 1893", "act")}, [("provision", "provision", None, [])]),
+    ("As described at [12] and above at [14]–[13].", {}, [("self", "self", None, [12]), ("self", "self", None, [13, 14])]),
+    ("Jane Roe, The Law of Torts of Today (Some Press, 3rd Ed, 2011) at p 44 says so.", {}, [("book", "book", "Jane Roe, The Law of Torts of Today", [])]),
+    ("In Re Foo Bar at [7] it failed.", {}, [("re", "case", "Re Foo Bar", [7])]),
+    ("Alpha at [2] agrees with Alphabet.", {"Alpha": ("Re Alpha [2001] SGHC 3", "case")}, [("alias", "case", "Alpha", [2])]),
+    ("The buyer paid, and Alpha Two holds (at [6]).", {"Alpha": ("x", "fact"), "Alpha Two": ("Re A [2001] SGHC 3", "case")}, [("alias", "case", "Alpha Two", []), ("pin", "self", None, [6])]),
+    ("First (at [1]), then see X v Y [2010] SGHC 9, then at [2].", {}, [("pin", "self", None, [1]), ("case", "case", "X v Y", []), ("pin", "self", None, [2])]),
+    ("Wide [1]–[99] at [1]-[99].", {}, [("pin", "self", None, [])]),
+    ("Nothing here (2010) at all.", {}, []),
+]
+
+
+@pytest.mark.parametrize(("text", "aliases", "want"), REFERENCES)
+def test_references_of_many_shapes(text, aliases, want):
+    got = citations.find_spans(text, aliases)
+    assert [(s["family"], s["kind"], s.get("name"), s.get("pins", [])) for s in got] == want
+    assert all(a["end"] <= b["start"] for a, b in zip(got, got[1:]))
+
+
+def test_long_paragraphs_take_time_in_proportion():
+    many = "See [1999] 2 SLR(R) 17 at [2]. " * 3000
+    assert len(citations.find_spans(many, {})) == 3000
+    assert citations.alias_definitions("Word and Other " * 20_000 + "(the “X”)")[0][0] == "X"
+
+
+def test_cases_with_one_citation_resolve_once(spark):
+    paragraphs = spark.createDataFrame([(1, 1, 1, "See A v B [2001] SGHC 2."), (2, 2, 1, "x"), (3, 3, 1, "y")], "case_id long, id long, ordinal int, content string")
+    cases = spark.createDataFrame([(1, "[2001] SGHC 1"), (2, "[2001] SGHC 2"), (3, "[2001] SGHC 2"), (4, None)], "case_id long, neutral_citation string")
+    aliases = citations.extract_aliases(paragraphs)
+    assert [(r.target_case, r.target_paragraph) for r in citations.resolve(citations.extract_spans(paragraphs, aliases), cases, paragraphs, aliases).collect()] == [(2, None)]
