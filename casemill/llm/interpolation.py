@@ -251,16 +251,16 @@ def learn_weights(encoded: DataFrame, counted: DataFrame, n_train: int, n_seen:
     context and itself. The ratios of the estimates, told apart to a STEPSth of a doubling, are counted by bucket;
     the number of such cells is bounded, whatever the corpus, and expectation-maximisation runs on them.
     """
-    uniform, far = 1 / (n_seen + 1), 1 << 20
+    uniform, far = 1 / (n_seen + 1), 1 << 15
 
     def cells(arrays: list[np.ndarray], token: np.ndarray, context: np.ndarray, bigram: np.ndarray) -> pa.Table:
         _, _, held, sizes, _, _ = arrays
         use = np.repeat(held == 0, sizes)
         token, context, bigram = token[use] - 1, context[use] - 1, bigram[use] - 1
-        step = lambda p: np.where(p > 0, np.round(np.log2(np.maximum(p, 1e-300) / uniform) * STEPS), -far).astype(np.int64)
-        key = np.stack([_bucket(context), step(bigram / np.maximum(context, 1)), step(token / max(n_train - 1, 1))])
-        found, n = np.unique(key, axis=1, return_counts=True) if key.shape[1] else (key, np.zeros(0, np.int64))
-        return pa.table({"bucket": found[0], "two": found[1], "one": found[2], "n": n.astype(np.int64)})
+        step = lambda p: np.where(p > 0, np.round(np.log2(np.maximum(p, 1e-300) / uniform) * STEPS), -far).astype(np.int64) + far
+        # A bucket and both steps in one number, which sorts faster than rows of three.
+        key, n = np.unique((_bucket(context) << 32) | (step(bigram / np.maximum(context, 1)) << 16) | step(token / max(n_train - 1, 1)), return_counts=True)
+        return pa.table({"bucket": key >> 32, "two": (key >> 16 & 0xFFFF) - far, "one": (key & 0xFFFF) - far, "n": n.astype(np.int64)})
 
     rows = _each(encoded, counted, cells, "bucket long, two long, one long, n long").groupBy("bucket", "two", "one").agg(F.sum("n").alias("n")).toPandas()
     weights = np.tile([0.0, 0.9, 0.1], (BUCKETS, 1))
