@@ -234,9 +234,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, i
 
 
 def clean_of(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that hold no benchmark item, with all their columns."""
+    """The rows of docs that hold no benchmark item, with all their columns.
+
+    Null, empty and very long texts, null ids, ties and empty tables are taken as decontaminate() does; equal rows stay or go together.
+    Columns of docs may have any names.
+    """
     found = decontaminate(docs, benchmark, id_col=id_col, text_col=text_col).filter("contaminated").withColumnsRenamed({"doc_id": "key_id", "text_hash": "key_hash"})
-    return without(with_key(docs, id_col, text_col), found).select(*docs.columns)
+    return without(with_key(docs, id_col, text_col), found).select("row.*")
 
 
 def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.shared import SPACES, materialize
+from casemill.llm.shared import SPACES, grouped, materialize
 
 #: Bits in one block of the filter: what Spark's bitmap functions hold in one value (4,096 bytes).
 BLOCK = 32_768
@@ -36,7 +36,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     a bit that was hit once only can belong to one row only. The bits hit twice or more are kept as bitmaps.
     Pass 2 tests each digest: if one of its bits isn't there, no other row has it, and the row passes
     straight through, never shuffled. The others are grouped by the full digest, which sorts out false
-    positives. Digests, lengths and ids are written to shared storage once; texts are never shuffled.
+    positives; a digest that many rows share is split over all tasks. Digests, lengths and ids are written to shared storage once; texts are never shuffled.
 
     Null and empty texts are equal. Repeated rows with one id form a group, and all of them that equal
     the kept id are marked kept. An empty table gives an empty result. Other columns are not read.
@@ -60,11 +60,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # A digest whose two bits coincide hits that bit twice by itself: it is merely tested in vain.
     maybe = tested.filter("maybe").select("doc_id", "n_points", "text_sha256")
     best = F.struct((-F.col("n_points")).alias("order_1"), F.col("doc_id").isNull().alias("order_2"), F.col("doc_id").alias("id"))
-    groups = maybe.groupBy("text_sha256").agg(F.min(best)["id"].alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    # The one large group of a digest is split by Spark's skew join.
-    grouped = maybe.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    found = grouped(maybe, ["text_sha256"], F.col("doc_id"), {"best": F.min(best), "n": F.count(F.lit(1))}, {"keep_id": F.min("best")["id"], "group_size": F.sum("n")})
+    several = found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     alone = tested.filter("NOT maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
-    return alone.unionByName(grouped)
+    return alone.unionByName(several)
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:

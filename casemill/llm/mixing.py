@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.shared import WORD, materialize, n_partitions, once, running, small, with_key
+from casemill.llm.shared import WORD, materialize, n_partitions, once, row_hash, running, small, with_key
 
 #: Weights of the sources in order of their names, repeated.
 WEIGHTS = (5, 2, 1)
@@ -74,11 +74,11 @@ def _filled(rows: DataFrame) -> DataFrame:
         rows = rows.withColumns({"more": F.col("more") | F.col("f_row").isNotNull(), "rest_before": F.coalesce("f_place", "rest_before")}).drop("f_source", "f_row", "f_place")
 
 
-def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = MAX_REPEATS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", fill: bool = True) -> DataFrame:
+def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = MAX_REPEATS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", fill: bool = True, row_key: Column | None = None) -> DataFrame:
     """Decides how often each document is taken, and at which time of the training first.
 
     Returns a row for each row of docs: doc_id, source, size (words), source_size, target, copies, taken (size
-    times copies), position (from 0 to 1; null if it isn't taken), and what copy_positions() needs.
+    times copies), position (from 0 to 1; null if it isn't taken), text_hash (or row_key, if it is given), and what copy_positions() needs.
 
     A source of size S and target t takes each document t div S times; the rest goes to documents in the order
     of the MD5 of their ids as far as they fit, and what is then missing to the largest that still fit, FILLS
@@ -90,7 +90,7 @@ def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = M
     mixed each by itself; rows with null ids come first. An empty table gives an empty result. Other columns
     are not read. Running it again gives the same rows.
     """
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("text_hash"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), (F.xxhash64(text_col) if row_key is None else row_key).alias("text_hash"))
     slim = slim.withColumn("lot", F.md5(F.col("doc_id").cast("string")))
     # Running sums are by range partitions: a source with a third of the rows takes many tasks.
     placed = materialize(running(slim, [F.col("lot").asc_nulls_first(), F.col("doc_id").asc_nulls_first(), F.col("size")], {"before": "size"}, ("source",)), "placed")
@@ -150,14 +150,18 @@ def in_order(rows: DataFrame) -> DataFrame:
 
 
 def mixed_rows(docs: DataFrame, schedule: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of docs as often as they are taken, range-sorted by position, with all their columns."""
-    mixed = materialize(mix(docs, schedule, MAX_REPEATS, id_col, text_col, source_col), "mixed").withColumnsRenamed({"doc_id": "key_id", "text_hash": "key_hash"})
-    rows = once(with_key(docs, id_col, text_col), mixed)
+    """The rows of docs as often as they are taken, range-sorted by position, with all their columns.
+
+    Null, empty and very long texts, null ids and sources, and ties are taken as mix() does. Repeated rows are taken each by itself;
+    rows of one id and text that differ in other columns are told apart. An empty table stays empty; columns may have any names.
+    """
+    mixed = materialize(mix(docs, schedule, MAX_REPEATS, id_col, text_col, source_col, row_key=row_hash(docs)), "mixed").withColumnsRenamed({"doc_id": "key_id", "text_hash": "key_hash"})
+    rows = once(with_key(docs, id_col, text_col, whole=True), mixed)
     copies = mixed.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     copies = copies.select(F.col("key_id").alias("its_id"), F.col("key_hash").alias("its_hash"), position_of(F.col("copy")).alias("mix_position"))
     taken = rows.join(small(copies), F.col("key_id").eqNullSafe(F.col("its_id")) & (F.col("key_hash") == F.col("its_hash")))
     order = [F.col("mix_position"), F.col("key_id").asc_nulls_first()]
-    return taken.repartitionByRange(n_partitions(docs.sparkSession), *order).sortWithinPartitions(*order).select(*docs.columns)
+    return taken.repartitionByRange(n_partitions(docs.sparkSession), *order).sortWithinPartitions(*order).select("row.*")
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:

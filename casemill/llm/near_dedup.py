@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from casemill.llm import words
 from casemill.llm.components import components
-from casemill.llm.shared import materialize, once, small, with_key, without
+from casemill.llm.shared import grouped, materialize, once, small, with_key, without
 
 #: Words of a shingle, and the links' similarity as a fraction.
 WIDTH, NUMERATOR, DENOMINATOR = 5, 75, 100
@@ -22,8 +22,6 @@ BANDS, ROWS = 32, 4
 BASE, RATE = 1.001, 20.0
 #: Candidates whose estimated similarity is lower by more than this are dropped: five standard errors of 128 registers.
 SLACK = 0.2
-#: Up to this many pairs of ids are broadcast to the sets that they need; more are joined by a shuffle.
-PAIR_ROWS = 1_000_000
 
 _FACTORS = np.random.default_rng(20).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -108,8 +106,8 @@ def _with_both(pairs: DataFrame, table: DataFrame, names: list[str]) -> DataFram
     Few pairs find their rows by a broadcast of ids, so the table isn't shuffled; many by a shuffle.
     """
     of = lambda side: table.select(F.col("uid").alias(side), *(F.col(x).alias(f"{x}_{side}") for x in names))
-    right = of("b").join(small(pairs, PAIR_ROWS), "b")
-    left = of("a").join(small(pairs.select("a").distinct(), PAIR_ROWS), "a", "left_semi")
+    right = of("b").join(small(pairs), "b")
+    left = of("a").join(small(pairs.select("a").distinct()), "a", "left_semi")
     return right.join(left, "a").select("a", "b", *(f"{x}_{side}" for x in names for side in "ab"))
 
 
@@ -121,7 +119,7 @@ def verify(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             a, b, ra, rb, na, nb = batch.columns
-            read = lambda x: np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(-1, BANDS * ROWS)
+            read = lambda x: np.frombuffer(b"".join(x.to_numpy(zero_copy_only=False)), np.uint16).reshape(-1, BANDS * ROWS)
             keep = likely_similarity(read(ra), read(rb), na.to_numpy().astype(float), nb.to_numpy().astype(float)) >= NUMERATOR / DENOMINATOR - SLACK
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep))
 
@@ -247,19 +245,22 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = rows.join(small(tops), F.col("class") == F.col("top"), "left")
     rows = rows.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("root", "class").alias("part"), (F.col("first_uid").isNotNull() | F.col("node").isNotNull() | F.col("top").isNotNull()).alias("grouped"))
     rows = materialize(rows, "parts")
-    least = rows.filter("grouped").groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    grouped = rows.filter("grouped").join(least, "part")
+    together = grouped(rows.filter("grouped"), ["part"], F.struct("doc_id", "text_hash"), {"least": F.min("doc_id")}, {"component_id": F.min("least")})
     alone = rows.filter("NOT grouped").withColumn("component_id", F.col("doc_id"))
-    out = grouped.select("doc_id", "n_shingles", "component_id", "text_hash").unionByName(alone.select("doc_id", "n_shingles", "component_id", "text_hash"))
+    out = together.select("doc_id", "n_shingles", "component_id", "text_hash").unionByName(alone.select("doc_id", "n_shingles", "component_id", "text_hash"))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs of which one stays for each component, with all their columns; those with an empty set all stay."""
+    """The rows of docs of which one stays for each component, with all their columns; those with an empty set all stay.
+
+    Of rows that are equal in id and text any one stays. Null ids and texts, ties and empty tables are taken as near_dedup() does;
+    columns of docs may have any names, and very long texts are compared whole.
+    """
     found = near_dedup(docs, id_col, text_col).withColumnsRenamed({"doc_id": "key_id", "text_hash": "key_hash"})
     found = materialize(found.select("key_id", "key_hash", "kept", "n_shingles"), "kept")
     rows = without(with_key(docs, id_col, text_col), found.filter("NOT kept"))
-    return once(rows, found.filter("kept AND n_shingles > 0")).select(*docs.columns)
+    return once(rows, found.filter("kept AND n_shingles > 0")).select("row.*")
 
 
 def op2_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from casemill.operators.storage import shared_dir
 
 #: The characters that separate words, and a word, as Java, RE2 and Python all read them.
 SPACES = " \t\n\x0b\x0c\r"
@@ -16,17 +18,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes of one Arrow batch while a table is written: tasks hold one on either side of the Python worker's pipe.
 BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
-#: Rows up to which a table may be broadcast; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 500_000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, else (tests) a new one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="casemill-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+#: Bytes up to which a table may be broadcast; larger ones are joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
@@ -45,9 +38,17 @@ def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it holds no more than `rows` rows (it is counted), else as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def n_bytes(df: DataFrame) -> int:
+    """The bytes that the rows of df take: 16 for each row, 8 for each field, and those of texts and elements."""
+    more = [F.octet_length(F.col(f"`{f.name}`")) for f in df.schema if isinstance(f.dataType, T.StringType | T.BinaryType)]
+    more += [16 * F.greatest(F.lit(0), F.size(F.col(f"`{f.name}`"))) for f in df.schema if isinstance(f.dataType, T.ArrayType)]
+    size = sum((F.coalesce(m, F.lit(0)).cast("long") for m in more), F.lit(16 + 8 * len(df.columns)).cast("long"))
+    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df with a broadcast hint if it takes no more than BROADCAST_BYTES (it is measured), else as it is."""
+    return F.broadcast(df) if n_bytes(df) <= BROADCAST_BYTES else df
 
 
 def n_partitions(spark: SparkSession) -> int:
@@ -91,9 +92,34 @@ def running(df: DataFrame, order: list[Column], sums: dict[str, str], within: tu
     return joined.select(*df.columns, (F.col("row_no") + F.col("off_n")).alias("row_no"), *((F.col(name) + F.col(f"off_{name}")).alias(name) for name in sums))
 
 
-def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the columns key_id and key_hash (of the text), which tell rows apart."""
-    return docs.withColumns({"key_id": F.col(id_col).cast("long"), "key_hash": F.xxhash64(text_col)})
+def grouped(rows: DataFrame, keys: list[str], by: Column, part: dict[str, Column], total: dict[str, Column]) -> DataFrame:
+    """rows with the columns of `total`, aggregates of those of `part`, which are aggregates over the rows of each key.
+
+    A key's rows are first aggregated in as many parts as there are partitions, dealt by the hash of `by`; the parts' totals then
+    go back to the parts, and from there to the rows. So no task meets all rows of a frequent key, neither to
+    aggregate nor to join them. rows is planned twice. Keys must not be null.
+    """
+    salted = rows.withColumn("g_part", F.pmod(F.xxhash64(by), F.lit(n_partitions(rows.sparkSession))))
+    parts = salted.groupBy(*keys, "g_part").agg(*(c.alias(n) for n, c in part.items()))
+    totals = parts.groupBy(*keys).agg(*(c.alias(n) for n, c in total.items()))
+    back = parts.select(*keys, "g_part").join(totals, keys)
+    return salted.join(back, [*keys, "g_part"]).select(*rows.columns, *total)
+
+
+def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """docs as one column, row, which no other name can clash with, beside key_id and key_hash (of the text), which tell rows apart.
+
+    With whole the hash is that of all columns (but maps, which have none), so that rows of one id and text are told apart by the others.
+    """
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{id_col}`").cast("long").alias("key_id"), (row_hash(docs) if whole else F.xxhash64(F.col(f"`{text_col}`"))).alias("key_hash"))
+
+
+def row_hash(docs: DataFrame) -> Column:
+    def plain(kind: T.DataType) -> bool:
+        inner = [kind.elementType] if isinstance(kind, T.ArrayType) else [f.dataType for f in kind] if isinstance(kind, T.StructType) else []
+        return not isinstance(kind, T.MapType | T.VariantType) and all(map(plain, inner))
+
+    return F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if plain(f.dataType)))
 
 
 def _meet(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:

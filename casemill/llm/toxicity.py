@@ -197,7 +197,8 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tu
     chosen = materialize(chosen.withColumnRenamed("doc_id", "l_id"), "chosen")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
     found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "toxic", "fit")
-    found = materialize(found.dropDuplicates(["doc_id"]), "sample")
+    # Of several texts with one id the one with the smallest digest counts, in whatever order rows are read.
+    found = materialize(found.groupBy("doc_id", "toxic", "fit").agg(F.min_by("text", F.struct(F.sha2("text", 256).alias("d"))).alias("text")).select("doc_id", "text", "toxic", "fit"), "sample")
     # Shares are filled up from the shortest text on, so that one long text takes no other's place.
     group = Window.partitionBy("toxic", "fit")
     ahead = group.orderBy("size", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
@@ -275,11 +276,16 @@ def score(docs: DataFrame, model: Model | Broadcast, id_col: str = "doc_id", tex
 
 
 def ordinary_of(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that aren't predicted toxic, with all their columns. Texts go to Python, but don't come back."""
-    rows, shared = with_key(docs, id_col, text_col), docs.sparkSession.sparkContext.broadcast(model)
-    scored = materialize(score(rows, shared, id_col, text_col, keep=("key_id", "key_hash")).select("key_id", "key_hash", "predicted"), "scores")
+    """The rows of docs that aren't predicted toxic, with all their columns. Texts go to Python, but don't come back.
+
+    Null, empty and very long texts, null ids and repeated rows are scored as score() does: equal rows stay or go together. An empty
+    table stays empty; columns of docs may have any names.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{text_col}`")).alias("key_hash"))
+    scored = materialize(score(slim, shared, keep=("key_hash",)).select(F.col("doc_id").alias("key_id"), "key_hash", "predicted"), "scores")
     shared.destroy()
-    return without(rows, scored.filter("predicted = 1")).select(*docs.columns)
+    return without(with_key(docs, id_col, text_col), scored.filter("predicted = 1")).select("row.*")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm.shared import LOWER, UPPER, materialize, small
+from casemill.llm.shared import LOWER, UPPER, materialize, n_partitions, small
 
 #: Hex digits of the digest that the join uses; the full digest is compared after it.
 PREFIX = 8
@@ -53,8 +53,12 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     table = materialize(rules.withColumn("rule_digest", digest(F.col("rule_host"), F.col("rule_path"))).withColumn("key", F.substring("rule_digest", 1, PREFIX)), "rules")
 
     host, path = url_parts(F.col(url_col))
-    parts = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    different = parts.filter("host <> ''").distinct()
+    parts = pages.select(F.col(id_col).cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
+    # Pages of a popular url are dealt to several tasks, each of which hears its rule once; urls without a host need none.
+    n = n_partitions(pages.sparkSession)
+    dealt = parts.filter("host <> ''").withColumn("g_part", F.pmod(F.xxhash64("page_id"), F.lit(n)))
+    asked = dealt.select("host", "path", "g_part").distinct()
+    different = asked.select("host", "path").repartition(n, "host", "path").distinct()
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
     prefixes = F.transform(F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
@@ -71,7 +75,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
         .groupBy("host", "path")
         .agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), order).alias("best"))
     )
-    return parts.join(fitting, ["host", "path"], "left").select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    told = dealt.join(asked.join(fitting, ["host", "path"]), ["host", "path", "g_part"], "left").select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    return told.unionByName(parts.filter("host = ''").select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")))
 
 
 def op10_url_filter(spark, sf_dir: str) -> DataFrame:

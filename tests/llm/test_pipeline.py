@@ -4,9 +4,10 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from casemill.llm import toxicity
+from casemill.llm import decontam, near_dedup, toxicity
 from casemill.llm.shared import materialize
 from test_free import brute_components
 
@@ -84,3 +85,53 @@ def test_tokens_follow_each_other(steps):
         assert r.start == at
         at += r.n_tokens
     assert [r.doc_id for r in rows] == sorted(r.doc_id for r in rows)
+
+
+#: Names that the stages use themselves, and one that needs quoting.
+CLASHES = ("key_id", "key_hash", "its_id", "its_hash", "mix_position", "row", "uid", "part", "n", "band", "set_key", "g_part", "text_hash", "position", "copies", "size", "before", "score", "predicted", "held", "toxic", "fit", "window", "a.b")
+
+
+def odd_documents(spark):
+    """Documents with nulls, repeated rows, few words, and columns whose names clash."""
+    long = "Many words of a very long text " * 20_000
+    texts = [(1, "a b c", "x"), (1, "a b c", "x"), (2, "a b", None), (3, None, "x"), (3, None, "x"), (4, "", "y"), (None, "one two three four five six", "y"), (None, "one two three four five six", "y"), (6, long, "x"), (7, "a", "y"), (7, "another text of one id", "y")]
+    names = ", ".join(f"`{c}` long" for c in CLASHES)
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), *range(777 + 100 * k, 777 + 100 * k + len(CLASHES))) for k, (i, t, s) in enumerate(texts)], f"doc_id long, text string, lang string, source string, n_chars long, {names}")
+
+
+def as_tuples(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("name", ["toxicity", "near_dedup", "decontamination", "mixing"])
+def test_stages_keep_other_columns(spark, name):
+    docs, stage = odd_documents(spark), dict(corpus_pipeline.STAGES)[name]
+    out = stage(spark, docs, FOLDER)
+    assert out.columns == docs.columns
+    before, after = as_tuples(docs), as_tuples(out)
+    assert set(after) <= set(before)
+    if name == "near_dedup":
+        # Of rows of one id and text one stays, whichever; rows without words all stay.
+        assert Counter(r[:2] for r in after.elements()) == Counter({(1, "a b c"): 1, (2, "a b"): 1, (3, None): 2, (4, ""): 1, (None, "one two three four five six"): 1, (6, docs.filter("doc_id = 6").first().text): 1, (7, "a"): 1, (7, "another text of one id"): 1})
+    elif name == "mixing":
+        assert max(after.values()) <= 3
+    else:
+        assert after == before
+    empty = stage(spark, docs.limit(0), FOLDER)
+    assert empty.columns == docs.columns and empty.collect() == []
+
+
+def test_tokens_of_odd_documents(spark):
+    docs = odd_documents(spark)
+    got = dict(corpus_pipeline.STAGES)["token_output"](spark, docs, FOLDER).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in docs.collect()) and all(r.n_tokens >= 1 for r in got)
+    assert dict(corpus_pipeline.STAGES)["token_output"](spark, docs.limit(0), FOLDER).collect() == []
+
+
+@pytest.mark.parametrize("text", ["a", "a b", "a b c", "a b c d", "a b c d e"])
+def test_one_tiny_document_and_item(spark, text):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [(r.n_shingles, r.component_id) for r in near_dedup.near_dedup(docs).collect()] == [(1, 1)]
+    item = spark.createDataFrame([(5, text)], "item_id long, text string")
+    assert [r.item_ids for r in decontam.decontaminate(docs, item).collect()] == [[5]]
+    assert [r.contaminated for r in decontam.decontaminate(docs, item.withColumn("text", F.lit("z y x"))).collect()] == [False]
