@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casemill.functions import people, scalars
-from casemill.operators import citations, html, knowledge, labels, queue, snapshots, tree
+from casemill.operators import citations, html, knowledge, labels, queue, relations, snapshots, tree
 from casemill.operators.storage import written
 
 QUERIES = {}
@@ -114,7 +114,8 @@ def blank_filter(spark, sf_dir):
 @query("""SELECT event_type, count(*) AS n, count(*) FILTER (value > 50) AS n_high, CAST(max(CAST(ts AS DATE)) AS VARCHAR) AS latest FROM events GROUP BY event_type""")
 def status_counts(spark, sf_dir):
     """Counts by state, filtered counts, and the newest date."""
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") > 50).alias("n_high"), F.max(F.to_date("ts")).cast("string").alias("latest"))
+    found = relations.state_counts(table(spark, sf_dir, "events"), "event_type", F.to_date("ts"), n_high=F.col("value") > 50)
+    return found.withColumn("latest", F.col("latest").cast("string"))
 
 
 @query("""SELECT l_orderkey, max(l_linenumber) AS expected, count(l_linenumber) AS extracted,
@@ -160,16 +161,16 @@ def last_wins(spark, sf_dir):
 def three_way(spark, sf_dir):
     """A chain of inner joins."""
     region, nation, customer = (table(spark, sf_dir, t) for t in ("region", "nation", "customer"))
-    joined = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    joined = relations.lookup(customer, nation, "c_nationkey", "n_nationkey", "n_name", "n_regionkey", how="inner")
+    joined = relations.lookup(joined, region, "n_regionkey", "r_regionkey", "r_name", how="inner")
     return joined.groupBy("r_name", "n_name").agg(F.count(F.lit(1)).alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
 
 
 @query("""SELECT o_orderkey, coalesce(string_agg(l_linenumber::VARCHAR || ':' || l_partkey::VARCHAR, ',' ORDER BY l_linenumber, l_partkey), '') AS lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
 def nest_join(spark, sf_dir):
     """One row for each parent with the ordered list of its children, empty for none."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("items"))
-    joined = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return joined.select("o_orderkey", F.coalesce(F.array_join(F.transform("items", lambda x: F.concat_ws(":", x["l_linenumber"], x["l_partkey"])), ","), F.lit("")).alias("lines"))
+    joined = relations.nested(table(spark, sf_dir, "orders").select("o_orderkey"), table(spark, sf_dir, "lineitem"), "o_orderkey", "l_orderkey", ["l_linenumber", "l_partkey"], "items")
+    return joined.select("o_orderkey", F.array_join(F.transform("items", lambda x: F.concat_ws(":", x["l_linenumber"], x["l_partkey"])), ",").alias("lines"))
 
 
 def _turns(spark, sf_dir):
@@ -203,16 +204,14 @@ def nested_set(spark, sf_dir):
 def parent_lookup(spark, sf_dir):
     """Parents by a left join, siblings by a join of a table with itself."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    sizes = nation.groupBy(F.col("n_regionkey").alias("s_key")).agg((F.count(F.lit(1)) - 1).alias("siblings"))
-    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").join(sizes, F.col("n_regionkey") == F.col("s_key"), "left")
-    return joined.select("n_nationkey", "n_name", F.col("r_name").alias("parent_name"), "siblings")
+    return relations.lookup(relations.siblings(nation, "n_regionkey"), region, "n_regionkey", "r_regionkey", F.col("r_name").alias("parent_name")).select("n_nationkey", "n_name", "parent_name", "siblings")
 
 
 @query("""SELECT l_orderkey, l_linenumber, o_orderdate, coalesce(p_name, 'none') AS p_name FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN part ON p_partkey = l_partkey AND p_size > 25""")
 def lookup_chain(spark, sf_dir):
     """A chain of left lookups with a fallback."""
     lines, orders, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"), table(spark, sf_dir, "part").filter("p_size > 25")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    joined = relations.lookup(relations.lookup(lines, orders, "l_orderkey", "o_orderkey", "o_orderdate"), parts, "l_partkey", "p_partkey", "p_name")
     return joined.select("l_orderkey", "l_linenumber", "o_orderdate", F.coalesce("p_name", F.lit("none")).alias("p_name"))
 
 
@@ -245,31 +244,33 @@ def mask_overlap(spark, sf_dir):
 @query("""SELECT conv_id, turn, coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), '') AS previous_text FROM conversations""")
 def previous_text(spark, sf_dir):
     """The text before, empty for the first."""
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.lag("text", 1, "").over(Window.partitionBy("conv_id").orderBy("turn")).alias("previous_text"))
+    return relations.previous(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], "text", "previous_text").select("conv_id", "turn", "previous_text")
 
 
 @query("""WITH s AS (SELECT conv_id, turn, text, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS block FROM conversations)
 SELECT conv_id, block::BIGINT AS block, string_agg(text, chr(10) ORDER BY turn) AS text FROM s WHERE block > 0 GROUP BY 1, 2""")
 def islands(spark, sf_dir):
     """Blocks that certain rows open; rows before the first are dropped."""
-    started = F.sum(F.when(F.col("role") == "user", 1).otherwise(0)).over(Window.partitionBy("conv_id").orderBy("turn"))
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", started.alias("block")).filter("block > 0")
-    parts = rows.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("parts"))
-    return parts.select("conv_id", "block", F.array_join(F.transform("parts", lambda x: x["text"]), "\n").alias("text"))
+    return relations.islands(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], F.col("role") == "user", "text")
 
 
 @query("""SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS heading_turn FROM conversations""")
 def carry_forward(spark, sf_dir):
     """The most recent heading."""
-    heading = F.last(F.when(F.col("role") == "user", F.col("turn")), ignorenulls=True).over(Window.partitionBy("conv_id").orderBy("turn"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", heading.alias("heading_turn"))
+    return relations.carried(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], F.when(F.col("role") == "user", F.col("turn")), "heading_turn").select("conv_id", "turn", "heading_turn")
+
+
+@query("""WITH t AS (SELECT conv_id, turn, role, lag(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations) SELECT conv_id, turn, CASE WHEN role <> 'user' OR role IS NULL THEN before END AS heading_turn FROM t""")
+def carry_once(spark, sf_dir):
+    """A heading that belongs to the next row only."""
+    return relations.carried_once(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], F.when(F.col("role") == "user", F.col("turn")), "heading_turn").select("conv_id", "turn", "heading_turn")
 
 
 @query("""SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS ordinal, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) % 2 = 0 AS uses_gold FROM conversations""")
 def renumber(spark, sf_dir):
     """Ordinals from 1, and a choice by their parity."""
-    n = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", n.alias("ordinal"), ((n - 1) % 2 == 0).alias("uses_gold"))
+    rows = relations.renumbered(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"])
+    return rows.select("conv_id", "turn", "ordinal", ((F.col("ordinal") - 1) % 2 == 0).alias("uses_gold"))
 
 
 @query("""SELECT o_orderkey, o_custkey, o_orderstatus = 'F' AND row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus = 'F' DESC, o_orderdate DESC, o_orderkey DESC) = 1 AS is_current FROM orders""")
@@ -475,7 +476,7 @@ def one_hot(spark, sf_dir):
 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
 def prompts(spark, sf_dir):
     """A classifier's input texts."""
-    rows = table(spark, sf_dir, "conversations").withColumn("previous", F.lag("text", 1, "").over(Window.partitionBy("conv_id").orderBy("turn")))
+    rows = relations.previous(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], "text", "previous")
     topics = F.when(F.col("role") == "user", F.array(F.lit("asked"), F.col("role"))).otherwise(F.array().cast("array<string>"))
     return rows.select("conv_id", "turn", labels.prompt(topics, F.col("text"), F.col("previous")).alias("prompt"))
 
