@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,9 +29,25 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+#: Paths of the tables that materialize() has written within scratch().
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """Within it, the paths of tables that operators write on their way; whoever has written the result may remove() them."""
+    token = _MADE.set([])
+    try:
+        yield _MADE.get()
+    finally:
+        _MADE.reset(token)
+
+
 def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Writes df to shared storage and reads it back: cuts lineage, and survives lost executors."""
     spark, path = df.sparkSession, new_path(df.sparkSession, tag)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     before = spark.conf.get(BATCH, None)
     spark.conf.set(BATCH, str(BATCH_BYTES))
     try:

@@ -381,6 +381,50 @@ def test_decontamination_of_names_at_sentence_beginnings(spark):
     assert round(got[3].share * 21) == 18  # the windows that contradict the most frequent pairing don't count
 
 
+def naive_share(item, copy):
+    """The part of an item's windows that a copy of it, word by word, holds: as they are, or with slots whose values agree with most others."""
+    def kind(words, k):
+        return "number" if words[k].isdigit() else "unit" if words[k] in ("km", "kg") and k and words[k - 1].isdigit() else "name" if words[k][0].isupper() else None
+
+    n, exact, shaped, votes = len(item) - 4, set(), {}, Counter()
+    for i in range(n):
+        kinds = [(kind(item, k), kind(copy, k)) for k in range(i, i + 5)]
+        if item[i : i + 5] == copy[i : i + 5]:
+            exact.add(i)
+        if all(a == b for a, b in kinds) and any(a for a, _ in kinds) and sum(not a for a, _ in kinds) >= decontam.PLAIN and all(item[k] == copy[k] for k in range(i, i + 5) if not kind(item, k)):
+            shaped[i] = [((kind(item, k), item[k]), (kind(copy, k), copy[k])) for k in range(i, i + 5) if kind(item, k)]
+            votes.update(shaped[i])
+    best = lambda pair, side: max(c for p, c in votes.items() if p[side] == pair[side])
+    assert all(sum(c == best(p, side) for q, c in votes.items() if q[side] == p[side]) == 1 for p in votes for side in (0, 1)), "a tie"
+    good = {i for i, pairs in shaped.items() if all(votes[p] == best(p, 0) == best(p, 1) for p in pairs)}
+    return len(exact | good) / n
+
+
+def test_slots_against_brute_force(spark):
+    rng = np.random.default_rng(21)
+    names, plain = [f"N{c}{d}" for c in "abcdef" for d in "xyz"], [f"p{k}" for k in range(5000)]
+    items, texts, want = [], [], []
+    while len(texts) < 60:
+        item = [str(rng.choice(plain)) for _ in range(30)]
+        for k in range(3, 30, int(rng.integers(3, 6))):
+            item[k] = str(rng.choice([str(rng.integers(0, 6)), *names[:3]]))
+            if item[k].isdigit() and k < 29 and rng.random() < 0.5:
+                item[k + 1] = "km"
+        change = {x: str(rng.integers(10, 99)) if x.isdigit() else str(rng.choice(names[5:])) if x[0].isupper() else str(rng.choice(["km", "kg"])) for x in set(item) if not x.startswith("p")}
+        copy = [change[x] if x in change and rng.random() < 0.9 else x for x in item]
+        if rng.random() < 0.5:
+            copy[int(rng.integers(0, 30))] = "other"
+        try:
+            want.append(naive_share(item, copy))
+        except AssertionError:  # which of two values counts is then a matter of their hashes
+            continue
+        items.append((len(texts), " ".join(item)))
+        texts.append(" ".join([*rng.choice(plain, 7), *copy, *rng.choice(plain, 9)]))
+    got = {r.doc_id: r for r in decontam.decontaminate(docs(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert [round(got[i].share, 9) for i in range(60)] == [round(x, 9) for x in want]
+    assert [got[i].item_ids for i in range(60)] == [[i] if x >= decontam.SHARE else [] for i, x in enumerate(want)] and 5 < sum(x >= decontam.SHARE for x in want) < 55
+
+
 # 8
 
 
@@ -467,6 +511,53 @@ def test_a_conversation_over_many_tasks(spark):
 # 9
 
 
+def naive_kneser_ney(pairs, name):
+    """Of one class: probabilities of words, of pairs, of backing off, and of an unknown word, from {(v, w): {class: count}}."""
+    def discounts(counts):
+        n = [max(1, sum(c == k for c in counts)) for k in range(5)]
+        y = n[1] / (n[1] + 2 * n[2])
+        return [0.0, *(min(k, max(0.1 * k, k - (k + 1) * y * n[k + 1] / n[k])) for k in (1, 2, 3))]
+
+    vocabulary, mine = sorted({w for _, w in pairs}), {p: c[name] for p, c in pairs.items() if c[name]}
+    room = len(pairs) + 0.5 * (len(vocabulary) + 1)
+    follows = {w: sum(x == w for _, x in mine) for w in vocabulary}
+    e, d = discounts(list(follows.values())), discounts([c[name] for c in pairs.values()])
+    gamma = sum(e[min(3, f)] for f in follows.values()) / len(mine)
+    word = {w: (f - e[min(3, f)]) / len(mine) + gamma * (sum(x == w for _, x in pairs) + 0.5) / room for w, f in follows.items()}
+    total, back = Counter(), {}
+    for (v, _), c in mine.items():
+        total[v] += c
+    for v in {v for v, _ in pairs}:
+        back[v] = sum(d[min(3, c)] for (x, _), c in mine.items() if x == v) / total[v] if total[v] else 1.0
+    pair = {(v, w): ((mine.get((v, w), 0) - d[min(3, mine.get((v, w), 0))]) / total[v] if total[v] else 0.0) + back[v] * word[w] for v, w in pairs}
+    assert abs(sum(word.values()) + gamma * 0.5 / room - 1) < 1e-9
+    return word, pair, back, gamma * 0.5 / room
+
+
+def test_kneser_ney_against_brute_force():
+    rng = np.random.default_rng(13)
+    pairs = {(int(v), int(w)): {"ordinary": int(rng.geometric(0.5)) - int(rng.random() < 0.4), "toxic": int(rng.geometric(0.4)) - 1} for v, w in rng.integers(0, 25, (200, 2))}
+    pairs = {p: c for p, c in pairs.items() if sum(c.values())}
+    table = pa.table({"v": [v for v, _ in pairs], "w": [w for _, w in pairs], "ordinary": [c["ordinary"] for c in pairs.values()], "toxic": [c["toxic"] for c in pairs.values()]})
+    word, pair, back = toxicity.fit_sides(table)
+    o, t = (naive_kneser_ney(pairs, name) for name in ("ordinary", "toxic"))
+    number = lambda *x: np.array(x, np.uint64)
+    assert all(abs(word(number(w))[0] - math.log(t[0][w] / o[0][w])) < 1e-5 for w in o[0])
+    assert abs(word(number(999))[0] - math.log(t[3] / o[3])) < 1e-5
+    assert all(abs(pair(toxicity.pair_keys(number(v), number(w)))[0] - math.log(t[1][v, w] / o[1][v, w])) < 1e-5 for v, w in pairs)
+    assert all(abs(back(number(v))[0] - math.log(t[2][v] / o[2][v])) < 1e-5 for v in o[2]) and np.isnan(pair(number(5))[0])
+
+
+def test_the_model_does_not_depend_on_the_order_of_rows(spark):
+    rows_ = [(i % 50, f"w{i % 7} w{i % 3} {'grub' if i % 2 else 'good'} v{i}") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    scores = []
+    for order in (rows_, rows_[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string")
+        scores.append(rows(toxicity.score(df, toxicity.learn(df, labels))))
+    assert scores[0] == scores[1]
+
+
 def test_toxicity_on_held_out_documents(spark):
     rng = np.random.default_rng(6)
     vocabulary = [f"w{k}" for k in range(400)]

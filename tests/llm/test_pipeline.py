@@ -1,5 +1,6 @@
 """The corpus pipeline, each stage against brute force on its own input."""
 
+import os
 import re
 from collections import Counter
 
@@ -135,3 +136,11 @@ def test_one_tiny_document_and_item(spark, text):
     item = spark.createDataFrame([(5, text)], "item_id long, text string")
     assert [r.item_ids for r in decontam.decontaminate(docs, item).collect()] == [[5]]
     assert [r.contaminated for r in decontam.decontaminate(docs, item.withColumn("text", F.lit("z y x"))).collect()] == [False]
+
+
+def test_run_leaves_results_and_shards_only(spark, steps):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    out = corpus_pipeline.run(spark, FOLDER)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, steps["token_output"].collect()))
+    assert sorted(n.rsplit("-", 1)[0] for n in set(os.listdir(shared)) - before) == ["stage-token_output", "tokens"]
