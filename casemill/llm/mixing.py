@@ -74,7 +74,7 @@ def _filled(rows: DataFrame) -> DataFrame:
         rows = rows.withColumns({"more": F.col("more") | F.col("f_row").isNotNull(), "rest_before": F.coalesce("f_place", "rest_before")}).drop("f_source", "f_row", "f_place")
 
 
-def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = MAX_REPEATS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", fill: bool = True, row_key: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = MAX_REPEATS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_key: Column | None = None) -> DataFrame:
     """Decides how often each document is taken, and at which time of the training first.
 
     Returns a row for each row of docs: doc_id, source, size (words), source_size, target, copies, taken (size
@@ -82,7 +82,7 @@ def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = M
 
     A source of size S and target t takes each document t div S times; the rest goes to documents in the order
     of the MD5 of their ids as far as they fit, and what is then missing to the largest that still fit, FILLS
-    times, then with `fill` in that order again to all that fit, until none does, and at last to the one that comes nearest, if it comes
+    times, then in that order again to all that fit, until none does, and at last to the one that comes nearest, if it comes
     nearer than none. Documents are taken whole. A document's words stand at a place in its source's demand; the
     schedule's integral is inverted there to give its position. Without a schedule that of curriculum() holds.
 
@@ -104,7 +104,7 @@ def mix(docs: DataFrame, schedule: DataFrame | None = None, max_repeats: int = M
     rows = placed.join(small(names), on, "left").drop("t_source").withColumn("more", (F.col("before") + F.col("size") <= F.col("rest")) & (F.col("rest") > 0))
     rows = rows.withColumn("rest_before", F.col("before"))
     for turn in range(FILLS + 1):
-        if turn == FILLS and fill:
+        if turn == FILLS:
             rows = _filled(rows)
         left = _left(rows).drop("got")
         most = F.col("left") if turn < FILLS else 2 * F.col("left") - 1e-6
@@ -165,8 +165,7 @@ def mixed_rows(docs: DataFrame, schedule: DataFrame | None = None, id_col: str =
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
-    # Its SQL ends after FILLS documents and the nearest one.
-    mixed = in_order(mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), fill=False))
+    mixed = in_order(mix(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", F.round("position", 6).alias("position"))
 
 
@@ -182,7 +181,7 @@ m{n} AS (
   FROM m{m} m LEFT JOIN f{n} f ON m.source IS NOT DISTINCT FROM f.source AND m.row_no = f.row_no AND f.best = 1)"""
 
 ORACLE = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(doc_id::VARCHAR) AS lot FROM documents),
 p AS (
   SELECT *, row_number() OVER w AS row_no, coalesce(sum(size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
@@ -198,13 +197,25 @@ t AS (
   SELECT source, source_size, weight, course, CASE WHEN capped THEN cap::DOUBLE ELSE (total - used)::DOUBLE * weight / (weights - gone)::DOUBLE END AS target FROM g),
 q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM t),
 m0 AS (
-  SELECT p.*, source_size, target, weight, course, whole, target - whole * source_size AS rest, before + size <= target - whole * source_size AND target - whole * source_size > 0 AS more
+  SELECT p.*, before AS rest_before, source_size, target, weight, course, whole, target - whole * source_size AS rest, before + size <= target - whole * source_size AND target - whole * source_size > 0 AS more
   FROM p JOIN q ON p.source IS NOT DISTINCT FROM q.source),
-""" + ",".join(_FILL.format(n=n, m=n - 1, most="missing" if n <= FILLS else "2 * missing - 1e-6") for n in range(1, FILLS + 2)) + f"""
-, z AS (SELECT *, CASE WHEN target > 0 THEN whole + more::BIGINT ELSE 0 END AS copies FROM m{FILLS + 1}),
+""" + ",".join(_FILL.format(n=n, m=n - 1, most="missing") for n in range(1, FILLS + 1)) + f""",
+-- Rows again and again, with those taken that fit in their order, until none fits.
+r AS (
+  SELECT * EXCLUDE (more, rest_before), rest_before, more, 0 AS turn FROM m{FILLS}
+  UNION ALL
+  SELECT * EXCLUDE (more, rest_before, turn, got, missing, upto, placed, going), CASE WHEN placed THEN got + upto - size ELSE rest_before END AS rest_before, more OR placed AS more, turn + 1 AS turn
+  FROM (SELECT *, bool_or(placed) OVER () AS going FROM (SELECT *, coalesce(upto <= missing, FALSE) AS placed FROM (
+    SELECT *, CASE WHEN NOT more AND size > 0 AND size <= missing THEN sum(CASE WHEN NOT more AND size > 0 AND size <= missing THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY row_no) END AS upto FROM (
+      SELECT *, max(rest) OVER (PARTITION BY source) - got AS missing FROM (
+        SELECT *, coalesce(sum(CASE WHEN more THEN size END) OVER (PARTITION BY source), 0) AS got FROM r)))))
+  WHERE going),
+m{FILLS + 1} AS (SELECT * EXCLUDE (turn) FROM r WHERE turn = (SELECT max(turn) FROM r)),
+""" + _FILL.format(n=FILLS + 2, m=FILLS + 1, most="2 * missing - 1e-6") + f"""
+, z AS (SELECT *, CASE WHEN target > 0 THEN whole + more::BIGINT ELSE 0 END AS copies FROM m{FILLS + 2}),
 -- The first copy's place in the demand; its half of the curriculum (weights at both ends, demand before it); what is still wanted in it.
 x AS (
-  SELECT *, least(1.0, CASE WHEN whole > 0 THEN before::DOUBLE ELSE whole * source_size + greatest(0.0, least(before::DOUBLE, rest - size)) END / target) * weight AS want,
+  SELECT *, least(1.0, CASE WHEN whole > 0 THEN before::DOUBLE ELSE whole * source_size + greatest(0.0, least(rest_before::DOUBLE, rest - size)) END / target) * weight AS want,
          weight * CASE course WHEN 0 THEN 0.625 ELSE 0.375 END AS half FROM z),
 y AS (
   SELECT *, CASE WHEN want >= half THEN 0.5 ELSE 0.0 END AS t_0, greatest(0.0, want - CASE WHEN want >= half THEN half ELSE 0.0 END) AS still,

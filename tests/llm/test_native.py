@@ -86,6 +86,23 @@ def test_mixing_goes_on_behind_a_long_document(spark):
     assert len(at) == 600 and at.nunique() >= 598 and mixing.mixed_rows(df, schedule).count() == 1200
 
 
+def test_the_sql_of_mixing_fills_up_too(spark, tmp_path):
+    ids = sorted(range(601), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    docs = [(i, "w " * (3000 if i in (ids[100], ids[350]) else 10 + i % 3), "a") for i in ids] + [(1000 + i, "w " * 7, "b") for i in range(900)] + [(5000 + i, "w " * 11, None) for i in range(400)] + [(7000, None, "c")]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    cursor = con.execute(mixing.ORACLE)
+    names = [d[0] for d in cursor.description]
+    want = sorted(cursor.fetchall(), key=repr)
+    assert rows(mixing.op3_mixing(spark, str(tmp_path)), *names) == want
+    got = {}
+    for r in (dict(zip(names, w)) for w in want):
+        x = got.setdefault((r["source_size"], r["target"]), [0])
+        x[0] += r["taken"]
+    assert all(abs(target - taken) <= 11 for (_, target), [taken] in got.items())
+
+
 def test_a_falling_weight_comes_early(spark):
     docs = spark.createDataFrame([(i, "w w w", "ab"[i % 2]) for i in range(2000)], "doc_id long, text string, source string")
     schedule = spark.createDataFrame([("a", [(0.0, 2.0), (1.0, 0.0)]), ("b", [(0.0, 0.0), (1.0, 2.0)])], "source string, knots array<struct<t: double, w: double>>")
