@@ -80,19 +80,29 @@ def canonical(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return begins, hashes[codes], slot, first & start[codes] & (slot == 0), ~first & ~comma[before]
 
 
-def _templates(begins: np.ndarray, plain: np.ndarray, slot: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Windows that have slots, a new one and PLAIN plain words at least: each one's text, first token, hash, values and last token's end.
+def _wanted(hashes: np.ndarray, known: np.ndarray | None) -> np.ndarray:
+    """The places of the hashes that the sorted array `known` has; of all, if it is None."""
+    if known is None:
+        return np.arange(len(hashes))
+    if not len(known):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes)
+
+
+def _templates(begins: np.ndarray, plain: np.ndarray, slot: np.ndarray, real: np.ndarray, known: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    """Windows that are wanted and have slots, a new one and PLAIN plain words at least: each one's text, first token, hash, values and last token's end.
 
     real tells of each token whether a window needs it to be new.
     """
     shaped, counts = words.windows(np.where(slot > 0, _SLOTS[slot], plain), begins, WIDTH)
-    owner = np.repeat(np.arange(len(counts)), counts)
-    first = begins[:-1][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    kept = _wanted(shaped, known)
+    owner = np.repeat(np.arange(len(counts)), counts)[kept]
+    first = begins[:-1][owner] + kept - (np.cumsum(counts) - counts)[owner]
     after = np.minimum(first + WIDTH, begins[1:][owner])
-    filled, new = (np.concatenate([[0], np.cumsum(x)]) for x in (slot > 0, real))
+    filled, new = (np.concatenate([[0], np.cumsum(x, dtype=np.int32)]) for x in (slot > 0, real))
     n_slots = filled[after] - filled[first]
-    kept = np.flatnonzero((n_slots > 0) & (after - first - n_slots >= PLAIN) & (new[after] > new[first]))
-    owner, first, after = owner[kept], first[kept], after[kept]
+    fit = np.flatnonzero((n_slots > 0) & (after - first - n_slots >= PLAIN) & (new[after] > new[first]))
+    kept, owner, first, after = kept[fit], owner[fit], first[fit], after[fit]
     place = first[:, None] + np.arange(WIDTH)
     inside = place < after[:, None]
     place = np.minimum(place, max(0, len(plain) - 1))
@@ -101,8 +111,8 @@ def _templates(begins: np.ndarray, plain: np.ndarray, slot: np.ndarray, real: np
     return owner, first, shaped[kept], values, after
 
 
-def template_windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of all texts: each one's text and first word in it, hash, slot values (0 for plain words), and how many windows of WIDTH words it stands for.
+def template_windows(texts: pa.Array, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of all texts, or those in the sorted array `known`: each one's text and first word in it, hash, slot values (0 for plain words), and how many windows of WIDTH words it stands for.
 
     Every window is given as it is, without slots. One that has slots, and PLAIN plain words at least, is also given as a
     template; once more with a run of name words as one slot, where it has such a run; and so with words at the beginning of
@@ -110,10 +120,11 @@ def template_windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarra
     """
     begins, plain, slot, start, on = canonical(texts)
     exact, counts = words.windows(plain, begins, WIDTH)
-    owner = np.repeat(np.arange(len(counts)), counts)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    found = [(owner, at, exact ^ np.uint64(0x5851F42D4C957F2D), np.zeros((len(exact), WIDTH), np.uint64), np.ones(len(exact), np.int64))]
-    owner, first, hashes, values, _ = _templates(begins, plain, slot, slot > 0)
+    exact ^= np.uint64(0x5851F42D4C957F2D)
+    kept = _wanted(exact, known)
+    owner = np.repeat(np.arange(len(counts)), counts)[kept]
+    found = [(owner, kept - (np.cumsum(counts) - counts)[owner], exact[kept], np.zeros((len(kept), WIDTH), np.uint64), np.ones(len(kept), np.int64))]
+    owner, first, hashes, values, _ = _templates(begins, plain, slot, slot > 0, known)
     found.append((owner, first - begins[:-1][owner], hashes, values, np.ones(len(owner), np.int64)))
     name = slot == 3
     for names in (name, name | start):
@@ -128,7 +139,7 @@ def template_windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarra
         kinds = np.where(names, 3, slot)[heads]
         folded = np.searchsorted(heads, begins)
         new = length > 1 if names is name else start[heads]
-        owner, first, hashes, values, after = _templates(folded, whole, kinds, new)
+        owner, first, hashes, values, after = _templates(folded, whole, kinds, new, known)
         # A window stands for those that begin in its first token, and the last one of a text for the rest.
         begin, end = heads[first], begins[1:][owner]
         rest = np.maximum(begin + 1, end - WIDTH + 1)
@@ -156,16 +167,12 @@ def windows_of(table: DataFrame, id_col: str, text_col: str, known: np.ndarray |
         words.forget()
         number = TaskContext.get().partitionId() << 36
         for batch in words.slices(batches, "text"):
-            owner, at, hashes, values, span = template_windows(batch.column("text"))
+            owner, at, hashes, values, span = template_windows(batch.column("text"), None if shared is None else shared.value)
             uid = number + np.arange(batch.num_rows)
             number += batch.num_rows
             if with_texts:
                 n = batch.num_rows
                 yield _rows(batch.column("id"), uid, np.arange(n), np.full(n, -1), batch.column("text_hash").to_numpy().view(np.uint64), np.zeros((n, WIDTH), np.uint64), np.ones(n, np.int64))
-            if shared is not None:
-                found = np.searchsorted(shared.value, hashes)
-                keep = np.flatnonzero(shared.value[np.minimum(found, len(shared.value) - 1)] == hashes) if len(shared.value) else np.zeros(0, int)
-                owner, at, hashes, values, span = owner[keep], at[keep], hashes[keep], values[keep], span[keep]
             if len(at):
                 yield _rows(batch.column("id"), uid, owner, at, hashes, values, span)
 
