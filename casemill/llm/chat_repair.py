@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -148,8 +147,8 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     ends = parts.groupBy("part_no").agg(F.min(F.struct(F.col("conv_id").isNotNull().alias("x"), "conv_id")).alias("low"), F.max(F.struct(F.col("conv_id").isNotNull().alias("x"), "conv_id")).alias("high"))
     spread = ends.select("part_no", F.explode(F.array_distinct(F.array("low", "high"))).alias("c")).select("part_no", F.col("c.conv_id").alias("conv_id"))
-    several = spread.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").toPandas()  # one for each boundary at most
-    shared = {None if pd.isna(x) else int(x) for x in several["conv_id"]}
+    several = spread.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").collect()  # one for each boundary at most
+    shared = {r["conv_id"] for r in several}
 
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
         def flat() -> Iterator[tuple]:

@@ -205,7 +205,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, i
     items = materialize(items.select(F.col("id").alias("item_id"), F.col("window").alias("key"), F.col("slots").alias("item_slots"), F.col("at").alias("item_at"), "span").distinct(), "items")
     known = None
     if (different := items.select("key").distinct()).limit(KNOWN_WINDOWS + 1).count() <= KNOWN_WINDOWS:
-        known = np.sort(different.toPandas()["key"].to_numpy(np.int64).view(np.uint64))
+        known = np.sort(different.toArrow()["key"].to_numpy().view(np.uint64))
     found = materialize(windows_of(docs, id_col, text_col, known, with_texts=True), "windows")
 
     sizes = items.filter(~F.exists("item_slots", lambda x: x != 0)).groupBy("item_id").agg(F.countDistinct("item_at").alias("item_windows"))

@@ -19,7 +19,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Bytes of one Arrow batch while a table is written: tasks hold one on either side of the Python worker's pipe.
-BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+#: Bytes of a Parquet row group, which a writing task holds in memory.
+ROW_GROUP = 32 << 20
 
 #: Bytes up to which a table may be broadcast; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
@@ -51,7 +53,7 @@ def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFra
     before = spark.conf.get(BATCH, None)
     spark.conf.set(BATCH, str(BATCH_BYTES))
     try:
-        df.write.parquet(path, compression=compression)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path, compression=compression)
     finally:
         spark.conf.set(BATCH, before) if before is not None else spark.conf.unset(BATCH)
     return spark.read.schema(df.schema).parquet(path)

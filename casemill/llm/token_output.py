@@ -24,6 +24,8 @@ END = 2
 SHARD_IDS = 2_000_000
 #: Words whose ids a Python worker keeps at one time (about 60 bytes each).
 CACHED = 1_000_000
+#: Bytes of text that are encoded at one time: fewer slices look up fewer words.
+SLICE_BYTES = 4_000_000
 #: A pair that occurs so often, without overlapping itself, becomes a rule.
 LEAST = 2
 MAGIC = b"GRAMMAR2"
@@ -342,7 +344,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
             shard += 1
             return pa.RecordBatch.from_pylist([{"part_no": part, "shard_no": shard - 1, "path": path, "n_docs": len(doc_ids), "n_ids": len(ids)}], schema=schema)
 
-        for batch in words.slices(batches, "text"):
+        for batch in words.slices(batches, "text", SLICE_BYTES):
             ids, begins = encoder.encode(batch.column("text"))
             sizes = np.diff(begins) + 1
             # Each document's ids move on by the number of ends before it.

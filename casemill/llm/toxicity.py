@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
@@ -226,8 +225,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for stem, hashes in zip((False, True), sequences, strict=True):
                 left = np.concatenate([[np.uint64(0)], hashes[:-1]]).astype(np.uint64)[: len(hashes)]
                 left[begins[:-1][n > 0]] = 0
-                both = pd.DataFrame({"v": left[counts].view(np.int64), "w": hashes[counts].view(np.int64), "ordinary": ~toxic[counts], "toxic": toxic[counts]}).groupby(["v", "w"], sort=False, as_index=False).sum()
-                yield pa.RecordBatch.from_pandas(both.astype(np.int64).assign(stem=stem), preserve_index=False)
+                both = pa.table({"v": left[counts].view(np.int64), "w": hashes[counts].view(np.int64), "ordinary": (~toxic[counts]).astype(np.int64), "toxic": toxic[counts].astype(np.int64)})
+                both = both.group_by(["v", "w"]).aggregate([("ordinary", "sum"), ("toxic", "sum")])
+                columns = [both[c].combine_chunks() for c in ("v", "w", "ordinary_sum", "toxic_sum")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(both), stem))], names=["v", "w", "ordinary", "toxic", "stem"])
 
     counted = texts.filter("NOT fit").select("text", "toxic", "part").mapInArrow(pairs, "v long, w long, ordinary long, toxic long, stem boolean")
     model = fit_model(counted.groupBy("stem", "v", "w").agg(F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")).toArrow())

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that are held as words at one time (a longer single text is taken alone).
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 #: What per_worker() keeps in this Python worker.
 _KEPT: dict = {}
 
