@@ -168,3 +168,42 @@ def test_small_operators(spark):
     c = lambda x: spark.range(1).select(x.alias("x")).first().x
     assert c(scalars.section_number(F.lit("12A. Text"))) == "12A" and c(scalars.without_section_number(F.lit("12A. Text"))) == "Text"
     assert c(scalars.subsection_number(F.lit("—(2) Text"))) == "2" and c(scalars.without_marker(F.lit("—(2) Text"))) == "Text"
+
+
+def test_batches_and_windows(spark, tmp_path):
+    source, check, target = (str(tmp_path / x) for x in ("in", "check", "out"))
+    make = lambda ids: spark.createDataFrame([(i, "a" if i % 2 else "b") for i in ids], "id long, kind string").withColumn("at", F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id") * 3600))
+    make(range(48)).write.parquet(source)
+    stream = lambda: spark.readStream.schema("id long, kind string, at timestamp").parquet(source)
+    write = lambda df, n: df.write.mode("overwrite").parquet(f"{target}/batch={n}")
+    discovery.apply_batches(stream(), check, write)
+    discovery.apply_batches(stream(), check, write)
+    make([100]).write.mode("append").parquet(source)
+    discovery.apply_batches(stream(), check, write)
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [*range(48), 100]
+    got = discovery.counts_by_window(make(range(48)), "at", "kind").collect()
+    assert sum(r.n for r in got) == 48 and {r.kind for r in got} == {"a", "b"} and len({r.start for r in got}) == 3
+
+
+def test_splits_and_texts(spark, tmp_path):
+    for k, name in enumerate(("train", "validation", "test")):
+        spark.range(k + 1).write.parquet(f"{tmp_path}/{name}")
+    assert {r.split: r["count"] for r in landing.splits(spark, str(tmp_path)).groupBy("split").count().collect()} == {"train": 1, "validation": 2, "test": 3}
+    c = lambda x: spark.range(1).select(x.alias("x")).first().x
+    assert c(scalars.title_case(F.lit("fetch_failed"))) == "Fetch Failed"
+    assert c(scalars.render(F.lit("s 1"), F.lit("Aim"), F.lit("Text"))) == "s 1 Aim\nText" and c(scalars.render(F.lit("s 1"), F.lit(None).cast("string"), F.lit(""))) == "s 1"
+
+
+def test_counts_from_levels_of_many_shapes(spark):
+    nodes = spark.createDataFrame([(1, k + 1, level) for k, level in enumerate([1, 2, 3, 3, 2, 1, 3])] + [(2, 1, 1)], "doc long, ordinal long, level int")
+    got = rows(tree.counts_from_levels(nodes, "doc"), "doc", "ordinal", "descendant_count", "parent_ordinal")
+    assert got == [(1, 1, 4, None), (1, 2, 2, 1), (1, 3, 0, 2), (1, 4, 0, 2), (1, 5, 0, 1), (1, 6, 1, None), (1, 7, 0, 6), (2, 1, 0, None)]
+    assert tree.counts_from_levels(nodes.limit(0), "doc").collect() == []
+
+
+def test_overlaps_across_bins(spark):
+    spans = [(1, i, float(a), float(b)) for i, (a, b) in enumerate([(0, 30), (5, 6), (9.5, 10), (10, 20), (30, 31), (29, 45), (7, 7), (-5, 0.5)])] + [(2, 99, 0.0, 50.0), (None, 98, 0.0, 1.0)]
+    table = spark.createDataFrame(spans, "k long, id long, a double, b double")
+    brute = {i: sum(k is not None and k == q and i != j and a < d and b > c and a < b and c < d for q, j, c, d in spans) for k, i, a, b in spans}
+    for width in (1.0, 7.0, 1000.0):
+        assert dict(rows(knowledge.spans_that_overlap(table, "k", "id", "a", "b", width))) == brute
