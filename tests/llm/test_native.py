@@ -96,11 +96,12 @@ def test_the_sql_of_mixing_fills_up_too(spark, tmp_path):
     names = [d[0] for d in cursor.description]
     want = sorted(cursor.fetchall(), key=repr)
     assert rows(mixing.op3_mixing(spark, str(tmp_path)), *names) == want
-    got = {}
+    by = {}
     for r in (dict(zip(names, w)) for w in want):
-        x = got.setdefault((r["source_size"], r["target"]), [0])
-        x[0] += r["taken"]
-    assert all(abs(target - taken) <= 11 for (_, target), [taken] in got.items())
+        by.setdefault(r["target"], []).append(r)
+    for target, mine in by.items():  # a target is met but for a few words, or no document is left that is as small as the gap
+        gap = target - sum(r["taken"] for r in mine)
+        assert abs(gap) <= 11 or not any(0 < r["size"] <= gap and r["copies"] < max(x["copies"] for x in mine) for r in mine)
 
 
 def test_a_falling_weight_comes_early(spark):
