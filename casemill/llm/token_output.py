@@ -20,33 +20,37 @@ from casemill.llm.shared import materialize, n_partitions, new_path, running
 
 #: Appended to each document.
 END = 2
-#: A shard is closed once it holds this many ids; it never splits a document.
-SHARD_IDS = 2_000_000
+#: A shard is closed once it holds this many ids; it never splits a document. Compressing takes about 60 bytes of memory for each id.
+SHARD_IDS = 1_000_000
 #: Words whose ids a Python worker keeps at one time (about 60 bytes each).
-CACHED = 1_000_000
-#: Bytes of text that are encoded at one time: fewer slices look up fewer words.
-SLICE_BYTES = 4_000_000
+CACHED = 600_000
 #: A pair that occurs so often, without overlapping itself, becomes a rule.
 LEAST = 2
 MAGIC = b"GRAMMAR2"
 
 
 NEVER = np.iinfo(np.int32).max
+#: Numbers that are made at one time, to need less memory.
+BLOCK = 1 << 18
 
 
 def _grouped(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different keys (of that many bits), the places of all keys in their order, and how often each key occurs."""
+    """The different keys (of that many bits), the places of all keys in their order, and how often each key occurs. keys is overwritten."""
     low = max(1, len(keys).bit_length())
     if bits + low < 64:  # keys and places fit into one number, which sorts faster than places by keys
-        keys = keys << low
-        keys |= np.arange(len(keys))
+        keys <<= low
+        for a in range(0, len(keys), BLOCK):
+            keys[a : a + BLOCK] |= np.arange(a, min(a + BLOCK, len(keys)))
         keys.sort()
-        order = (keys & ((1 << low) - 1)).astype(np.int32)
+        order = np.empty(len(keys), np.int32)
+        np.bitwise_and(keys, (1 << low) - 1, out=order, casting="unsafe")
         keys >>= low
     else:
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    starts = np.flatnonzero(new)
     return keys[starts], order, np.diff(np.append(starts, len(keys)))
 
 
@@ -59,7 +63,8 @@ def compress(ids: np.ndarray, doc_ends: np.ndarray, first_symbol: int, least: in
     and a later round looks only at pairs that were frequent enough and at the neighbours of new symbols.
     """
     n, kind = len(ids), np.int32
-    symbol = np.append(ids, 0).astype(kind)
+    symbol = np.zeros(n + 1, kind)
+    symbol[:n] = ids
     after, before = np.arange(1, n + 2, dtype=kind), np.arange(-1, n, dtype=kind)  # place n is behind the last one, and before the first
     last, alive, rank = np.zeros(n + 1, bool), np.ones(n + 1, bool), np.full(n + 2, NEVER, kind)
     last[doc_ends - 1] = last[n] = True
@@ -76,14 +81,21 @@ def compress(ids: np.ndarray, doc_ends: np.ndarray, first_symbol: int, least: in
             counted[same[second]] = False
             use, left, right, odd = pairs[counted], left[counted], right[counted], runs[second]
         bits = int(total).bit_length()
-        keys, order, counts = _grouped(left.astype(np.int64) << bits | right, 2 * bits)
+        both = left.astype(np.int64)
+        both <<= bits
+        both |= right
+        del left, right
+        keys, order, counts = _grouped(both, 2 * bits)
+        del both
         often = counts >= least
         if not often.any():
             break
-        order, keys, counts = order[np.repeat(often, counts)], keys[often], counts[often]
+        if not often.all():
+            order, keys, counts = order[np.repeat(often, counts)], keys[often], counts[often]
         by_place, place = np.argsort(-counts, kind="stable"), np.empty(len(keys), kind)
         place[by_place] = np.arange(len(keys), dtype=kind)
         rank[use[order]] = np.repeat(place, counts)
+        del order
         mine = rank[use]
         at, chosen = use[mine < NEVER], (mine < rank[before[use]]) & (mine < rank[after[use]])
         rank[at] = NEVER
@@ -341,10 +353,11 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
             held.clear()
             with files.open_at(path := files.fresh(folder, ".ids"), "w") as f:
                 f.write(pack(doc_ids, ids, np.cumsum(sizes), encoder.vocabulary))
+            words.give_back()
             shard += 1
             return pa.RecordBatch.from_pylist([{"part_no": part, "shard_no": shard - 1, "path": path, "n_docs": len(doc_ids), "n_ids": len(ids)}], schema=schema)
 
-        for batch in words.slices(batches, "text", SLICE_BYTES):
+        for batch in words.slices(batches, "text"):
             ids, begins = encoder.encode(batch.column("text"))
             sizes = np.diff(begins) + 1
             # Each document's ids move on by the number of ends before it.
