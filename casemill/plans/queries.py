@@ -592,13 +592,13 @@ def judgment_layouts(spark, sf_dir):
 
 
 @query(_KINDS + """, m AS (SELECT t.*, c.n AS turns, 'Of ' || role || ' one two three four five six seven eight nine' AS words FROM t JOIN c USING (conv_id))
-SELECT conv_id, n::INT AS ordinal, words || chr(10) || CASE WHEN kind = 0 THEN '2 behind it' ELSE '(7) on' END AS text FROM m WHERE kind = 0 OR kind = 1 AND turns > 1
+SELECT conv_id, n AS ordinal, words || chr(10) || CASE WHEN kind = 0 THEN '2 behind it' ELSE '(7) on' END AS text FROM m WHERE kind = 0 OR kind = 1 AND turns > 1
 UNION ALL SELECT conv_id, n, words FROM m WHERE kind = 2 AND turns > 1 UNION ALL SELECT conv_id, 2 * n - 1, words FROM m WHERE kind = 3 UNION ALL SELECT conv_id, 2 * n, words || ' ten' FROM m WHERE kind = 3""")
 def judgment_paragraphs(spark, sf_dir):
     """Paragraphs of pages of all kinds, also of those that only line breaks divide."""
     pages = _pages_of_kinds(spark, sf_dir)
     rows = written(html.paragraphs(pages, "conv_id", "html"), "paragraphs")
-    return html.blocks(rows, html.layouts(pages, rows, "conv_id", "html"), "conv_id")
+    return html.blocks(rows, html.layouts(pages, rows, "conv_id", "html"), "conv_id").withColumn("ordinal", F.col("ordinal").cast("long"))
 
 
 def _statutes(spark, sf_dir):
@@ -671,13 +671,13 @@ def paragraph_uris(spark, sf_dir):
 
 
 @query("""WITH v AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus = 'F'), p AS (SELECT CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey END AS a, CASE WHEN l_orderkey % 2 = 1 THEN l_orderkey END AS s, l_linenumber FROM lineitem)
-SELECT 1 AS branch, a AS document, row_number() OVER (PARTITION BY a ORDER BY l_linenumber)::INT AS place FROM p JOIN v ON a = id UNION ALL SELECT 2, s, row_number() OVER (PARTITION BY s ORDER BY l_linenumber) FROM p WHERE s IS NOT NULL""")
+SELECT 1 AS branch, a AS document, row_number() OVER (PARTITION BY a ORDER BY l_linenumber) AS place FROM p JOIN v ON a = id UNION ALL SELECT 2, s, row_number() OVER (PARTITION BY s ORDER BY l_linenumber) FROM p WHERE s IS NOT NULL""")
 def current_trees(spark, sf_dir):
     """Current act trees, then those of subsidiary legislation."""
     key = F.col("l_orderkey")
     rows = table(spark, sf_dir, "lineitem").select(F.when(key % 2 == 0, key).alias("act_version_id"), F.when(key % 2 == 1, key).alias("subsidiary_legislation_id"), F.col("l_linenumber").alias("ordinal"))
     versions = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderstatus") == "F").alias("is_current"))
-    return knowledge.current_trees(rows, versions).select("branch", "document", "place")
+    return knowledge.current_trees(rows, versions).select("branch", "document", F.col("place").cast("long").alias("place"))
 
 
 @query("""SELECT r_regionkey::BIGINT AS doc, count(*)::BIGINT AS expected, count(*)::BIGINT AS extracted, 'complete' AS parse_status FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY 1""")
