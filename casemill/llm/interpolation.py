@@ -259,7 +259,7 @@ def learn_weights(encoded: DataFrame, counted: DataFrame, n_train: int, n_seen:
         token, context, bigram = token[use] - 1, context[use] - 1, bigram[use] - 1
         step = lambda p: np.where(p > 0, np.round(np.log2(np.maximum(p, 1e-300) / uniform) * STEPS), -far).astype(np.int64) + far
         # A bucket and both steps in one number, which sorts faster than rows of three.
-        key, n = np.unique((_bucket(context) << 32) | (step(bigram / np.maximum(context, 1)) << 16) | step(token / max(n_train - 1, 1)), return_counts=True)
+        key, n = np.unique((_bucket(context).astype(np.int64) << 32) | (step(bigram / np.maximum(context, 1)) << 16) | step(token / max(n_train - 1, 1)), return_counts=True)
         return pa.table({"bucket": key >> 32, "two": (key >> 16 & 0xFFFF) - far, "one": (key & 0xFFFF) - far, "n": n.astype(np.int64)})
 
     rows = _each(encoded, counted, cells, "bucket long, two long, one long, n long").groupBy("bucket", "two", "one").agg(F.sum("n").alias("n")).toPandas()

@@ -87,6 +87,7 @@ def fit_sides(pairs: pa.Table) -> tuple[Side, Side, Side]:
     In each class a pair's discounted count is interpolated with the class's discounted continuation count of
     its second word (how many different words it follows), and that with the continuation count of both classes together.
     """
+    pairs = pairs.sort_by([("v", "ascending"), ("w", "ascending")])  # sums of fractions then don't depend on the order of rows
     v, w = (pairs[c].to_numpy().view(np.uint64) for c in "vw")
     contexts, v_at = np.unique(v, return_inverse=True)
     vocabulary, w_at = np.unique(w, return_inverse=True)
@@ -244,6 +245,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = texts.groupBy("fit", "toxic").count().collect()
     fit = "fit" if {r["toxic"] for r in known if r["fit"]} == {0, 1} else "true"
     got = texts.filter(fit).select("text", "toxic").mapInArrow(describe, "toxic int, " + ", ".join(f"{n} double" for n in names)).toPandas()
+    got = got.sort_values(["toxic", *names])
     total = max(1, n_ordinary + n_toxic)
     fit_weights(model, got[names].to_numpy(float), got["toxic"].to_numpy(), n_ordinary / total, n_toxic / total)
     shared.destroy()

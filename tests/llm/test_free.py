@@ -554,7 +554,9 @@ def test_the_model_does_not_depend_on_the_order_of_rows(spark):
     scores = []
     for order in (rows_, rows_[::-1]):
         df = spark.createDataFrame(order, "doc_id long, text string")
-        scores.append(rows(toxicity.score(df, toxicity.learn(df, labels))))
+        found = toxicity.score(df, toxicity.learn(df, labels)).collect()
+        # Running sums of other texts round the last digits.
+        scores.append(sorted(((r.doc_id, r.held_out, round(r.score, 9), r.predicted) for r in found), key=repr))
     assert scores[0] == scores[1]
 
 
