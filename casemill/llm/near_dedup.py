@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from casemill.llm import words
 from casemill.llm.components import components
-from casemill.llm.shared import grouped, materialize, once, small, with_key, without
+from casemill.llm.files import remove
+from casemill.llm.shared import grouped, materialize, once, scratch, small, with_key, without
 
 #: Words of a shingle, and the links' similarity as a fraction.
 WIDTH, NUMERATOR, DENOMINATOR = 5, 75, 100
@@ -257,8 +258,11 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Of rows that are equal in id and text any one stays. Null ids and texts, ties and empty tables are taken as near_dedup() does;
     columns of docs may have any names, and very long texts are compared whole.
     """
-    found = near_dedup(docs, id_col, text_col).withColumnsRenamed({"doc_id": "key_id", "text_hash": "key_hash"})
-    found = materialize(found.select("key_id", "key_hash", "kept", "n_shingles"), "kept")
+    with scratch() as made:
+        found = near_dedup(docs, id_col, text_col).withColumnsRenamed({"doc_id": "key_id", "text_hash": "key_hash"})
+        found = materialize(found.select("key_id", "key_hash", "kept", "n_shingles"), "kept")
+    for path in made[:-1]:  # sketches and pairs aren't needed any more
+        remove(path)
     rows = without(with_key(docs, id_col, text_col), found.filter("NOT kept"))
     return once(rows, found.filter("kept AND n_shingles > 0")).select("row.*")
 

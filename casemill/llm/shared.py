@@ -38,11 +38,14 @@ _MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 @contextmanager
 def scratch() -> Iterator[list[str]]:
     """Within it, the paths of tables that operators write on their way; whoever has written the result may remove() them."""
-    token = _MADE.set([])
+    around, made = _MADE.get(), []
+    token = _MADE.set(made)
     try:
-        yield _MADE.get()
+        yield made
     finally:
         _MADE.reset(token)
+        if around is not None:
+            around.extend(made)
 
 
 def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
