@@ -23,7 +23,7 @@ END = 2
 #: A shard is closed once it holds this many ids; it never splits a document. Compressing takes about 60 bytes of memory for each id.
 SHARD_IDS = 1_000_000
 #: Words whose ids a Python worker keeps at one time (about 60 bytes each).
-CACHED = 600_000
+CACHED = 1_000_000
 #: A pair that occurs so often, without overlapping itself, becomes a rule.
 LEAST = 2
 MAGIC = b"GRAMMAR2"
