@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,8 +13,6 @@ import xxhash
 
 #: Bytes of text that are held as words at one time (a longer single text is taken alone).
 SLICE_BYTES = 2_000_000
-#: What per_worker() keeps in this Python worker.
-_KEPT: dict = {}
 
 
 def slices(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -39,7 +38,7 @@ def give_back() -> None:
 
 def forget() -> None:
     """Drops what per_worker() keeps: for tasks that need the memory for something else."""
-    _KEPT.clear()
+    sys.__dict__.pop("_casemill_kept", None)
 
 
 def compact(texts: pa.Array) -> pa.Array:
@@ -83,9 +82,11 @@ def hashes(words: pa.Array) -> np.ndarray:
 
 def per_worker(key: str, make):
     """What make() gave the first time that a task of this Python worker asked for that key."""
-    if key not in _KEPT:
-        _KEPT[key] = make()
-    return _KEPT[key]
+    # Kept beside sys, as a module's own names were seen to be lost between the tasks of a worker.
+    kept = sys.__dict__.setdefault("_casemill_kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
