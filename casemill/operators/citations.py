@@ -7,8 +7,11 @@ act or rules a bare reference means) is a running value over a case's spans, and
 from __future__ import annotations
 
 import re
+import string
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,21 +20,23 @@ from casemill.operators.storage import spread
 
 #: The grammar of citations.
 YEAR = r"\[[12]\d{3}\]"
-NEUTRAL = YEAR + r"\s+SG(?:HC(?:R|F|\([A-Z]+\))?|CA(?:\([A-Z]+\))?|DC|FC)\s+\d+"
+NEUTRAL = YEAR + r"\s+SG(?:HC(?:[RF]|\([A-Z]+\))?|CA(?:\([A-Z]+\))?|DC|FC)\s+\d+"
 SLR = YEAR + r"\s+\d+\s+SLR(?:\(R\))?\s+\d+"
 REPORTER = YEAR + r"\s+\d+\s+[A-Z][A-Za-z.]+\s+\d+"
-PIN = r"\[\d+\](?:\s*[-–—]\s*\[\d+\])?"
+PIN = r"\[[0-9]+\](?:\s*[-–—]\s*\[[0-9]+\])?"
 PINS = rf"{PIN}(?:\s+and\s+{PIN})*"
 QUOTED = r"[\"“]\s*([^\"”]+?)\s*[\"”]"
 ALIAS = rf"\((?:the\s+)?{QUOTED}(?:\s+or\s+(?:the\s+)?{QUOTED})?\)"
-CAPITAL = r"[A-Z][\w'’,\-]*"
-INSTRUMENT = rf"{CAPITAL}(?:\s+(?:{CAPITAL}|and|of|the|for|\([^)]+\)))*?\s+(?:Act|Rules|Regulations|Code|Order)(?:\s+\d{{4}})?"
+CAPITAL = r"[A-Z][\w'’\-,]"
+JOINED = rf"(?:\s+{CAPITAL}+|\s+and|\s+of|\s+the|\s+for|\s+\([^)]+\))*"
+INSTRUMENT = rf"{CAPITAL}*{JOINED}\s+(?:Act|Rules|Regulations|Code|Order)(?:\s+\d{{4}})?"
 EDITION = r"\((Cap\.?\s+[^)]+|[^)]*Rev Ed)\)"
-REF = r"\d+[A-Za-z]?(?:\(\s*[a-z0-9]+\s*\))*"
-#: How far before a citation its title may begin, and how much of the text stands for an alias without one.
-TITLE_REACH, TEXT_REACH = 220, 80
-#: How far before an alias what it stands for may begin.
-ALIAS_REACH = 400
+REF = r"[0-9]+[A-Z]?(?:\(\s*[a-z0-9]+\s*\))*"
+TITLE_DELIMITER = r"(?i:see(?:,\s*e\.?g\.?,?)?)\s+|(?i:in the decision of(?: the [^.]+)? in)\s+|(?i:in)\s+(?=[A-Z])"
+BOOK = r"([A-Z][^()]{8,120}?)\s+\(([^)]*\d+(?:st|nd|rd|th)\s+Ed\.?[^)]*\d{4})\)(?:\s+at\s+pp?\s+\d+(?:\s*[–\-—]\s*\d+)?)?"
+RE_CASE = r"\bRe\s+[A-Z][A-Za-z0-9'’\-]+(?:\s+[A-Z][A-Za-z0-9'’\-]+){0,6}"
+#: How far before a citation its title may begin, how many words an expansion has, and how much of the text stands for an alias without one.
+TITLE_REACH, PHRASE_WORDS, TEXT_REACH = 220, 13, 80
 #: A range of pins that is wider is dropped.
 WIDEST = 80
 #: Order of families: it decides between spans with one start and length.
@@ -41,19 +46,19 @@ TEXTS = ("family", "kind", "quoted", "name", "neutral", "slr", "edition", "alias
 SPAN_SCHEMA = "case_id long, paragraph_id long, ordinal int, start int, end int, family string, kind string, quoted string, name string, neutral string, slr string, edition string, alias string, provisions array<string>, pins array<int>"
 
 
-_NEUTRAL, _ALIAS, _CITATIONS = re.compile(NEUTRAL), re.compile(ALIAS), tuple(re.compile(p) for p in (REPORTER, SLR, NEUTRAL))
-_SLR, _PIN_RANGE, _RANGES = re.compile(SLR), re.compile(r"\[(\d+)\](?:\s*[-–—]\s*\[(\d+)\])?"), re.compile(r",|\band\b", re.IGNORECASE)
-_KINDS = (("rules", re.compile(r"\bRules\b|\bR\d+")), ("act", re.compile(r"\bAct\b|Rev Ed|\bCap\b")), ("case", re.compile(r"\[[12]\d{3}\]|\sv\s|^Re\s")))
-_TITLE_CUTS = (*_CITATIONS, re.compile(r"(?i:\bsee(?:,?\s*e\.?g\.?,?)?)\s+"), re.compile(r"\b(?i:in)\s+(?=[A-Z])"), re.compile(r"[.;]\s+(?=[A-Z])(?<!\b[A-Z]\. )"))
-_TITLE = re.compile(r"\bRe\s+[A-Z]|[A-Z]")
-_ACT_END, _PHRASE_END = re.compile(rf"({INSTRUMENT})(?:\s+{EDITION})?\s*$"), re.compile(r"([A-Z][\w'’\-]*(?:\s+[\w'’\-]+){0,12})$")
-_AFTER_CASE = re.compile(rf"(?:\s*{ALIAS})?(?:\s+(?i:at)\s+({PINS}))?")
-_PROVISION = re.compile(rf"\b(ss?|sections?|rules?|rr?)\s+({REF}(?:\s*(?:,|\band\b)\s*{REF})*)", re.IGNORECASE)
-_OF_INSTRUMENT, _OF = re.compile(rf"\s+of\s+(?:the\s+)?({INSTRUMENT})(?:\s+{EDITION})?(?:\s*{ALIAS})?"), re.compile(r"\s+of\s+(?:the\s+)?")
-_SELF = re.compile(rf"(?i:\babove\s+\(?at\s+|\b(?:described|set out|outlined|mentioned)\s+at\s+)({PINS})\)?")
-_BOOK = re.compile(r"([A-Z][^()]{8,120}?)\s+\(([^)]*\d+(?:st|nd|rd|th)\s+Ed\.?[^)]*\d{4})\)(?:\s+at\s+pp?\s+\d+(?:\s*[–\-—]\s*\d+)?)?")
-_RE = re.compile(rf"\bRe\s+[A-Z][\w'’\-]+(?:\s+[A-Z][\w'’\-]+){{0,6}}(?:\s+at\s+({PINS}))?")
-_RE_PINS, _AT_PINS, _BARE = re.compile(r"\s+at\s+\["), re.compile(rf"\s+(?i:at)\s+({PINS})"), re.compile(rf"(?i:\(at\s+|\bat\s+)({PINS})\)?")
+_NEUTRAL, _SLR, _ALIAS, _CITATIONS = re.compile(NEUTRAL), re.compile(SLR), re.compile(ALIAS), tuple(re.compile(p) for p in (NEUTRAL, SLR, REPORTER))
+_PIN_RANGE, _JOINTS = re.compile(r"\[(\d+)\](?:\s*[-–—]\s*\[(\d+)\])?"), re.compile(r"\s*(?:,|and)\s*")
+_KINDS = (("rules", re.compile(r"\bRules\b|\bR\d+\b")), ("act", re.compile(r"\bAct\b|Rev Ed|\bCap\b")), ("case", re.compile(r"\[[12]\d{3}\]|\sv\s|^Re\s")))
+_DELIMITER, _TITLE = re.compile(TITLE_DELIMITER), re.compile(r"(?:Re\s+)?[A-Z]")
+#: A run of words that an instrument's name may have, however it ends; runs are found in one pass.
+_RUN, _INSTRUMENT_END = re.compile(rf"{CAPITAL}*{JOINED}"), re.compile(rf"({INSTRUMENT})(?:\s+{EDITION})?\s*")
+_RUN_REST = re.compile(rf"(?:\s+\d{{4}})?(?:\s+{EDITION})?\s*")
+_PHRASE, _CAPITAL = string.ascii_letters + string.digits + "'’-", re.compile("[A-Z]")
+_AFTER_CASE = re.compile(rf"(\s*{ALIAS})?(?:\s+at\s+({PINS}))?", re.IGNORECASE)
+_PROVISION = re.compile(rf"\b(ss?|sections?|rules?|rr?)\s+({REF}(?:\s*(?:,|and)\s*{REF})*)", re.IGNORECASE)
+_OF_INSTRUMENT, _THEN_ALIAS, _OF = re.compile(rf"\s+of\s+(?:the\s+)?({INSTRUMENT})(?:\s+{EDITION})?\s*"), re.compile(ALIAS), re.compile(r"\s+of\s+(?:the\s+)?")
+_ABOVE, _DESCRIBED = (re.compile(p, re.IGNORECASE) for p in (rf"\babove\s+\(?at\s+({PINS})\)?", rf"\b(?:described|set out|outlined|mentioned)\s+at\s+({PINS})"))
+_BOOK, _RE, _AT_PINS, _BARE = re.compile(BOOK), re.compile(RE_CASE), re.compile(rf"\s+at\s+({PINS})", re.IGNORECASE), re.compile(rf"(?:\(at\s+|\bat\s+)({PINS})\)?", re.IGNORECASE)
 
 
 def expand_pins(text: str | None) -> list[int]:
@@ -71,98 +76,184 @@ def alias_kind(expanded: str) -> str:
     return next((kind for kind, pattern in _KINDS if pattern.search(expanded)), "fact")
 
 
+def short_names(found: re.Match) -> list[str]:
+    """The names in a definition, white space collapsed; blank ones are none."""
+    return [n for n in (" ".join(x.split()) for x in found.groups() if x) if n]
+
+
+def cited(text: str) -> list[tuple[int, int]]:
+    """Where citations begin and end, in order of their ends."""
+    return sorted({m.span() for p in _CITATIONS for m in p.finditer(text)}, key=lambda s: s[::-1]) if "[" in text else []
+
+
+def _opened(text: str) -> int:
+    """Behind the last bracket that isn't closed, else 0."""
+    depth = 0
+    for k in range(len(text) - 1, -1, -1):
+        depth += text[k] == ")"
+        if text[k] == "(":
+            if not depth:
+                return k + 1
+            depth -= 1
+    return 0
+
+
 def title_before(text: str, at: int) -> str:
-    """The title that leads up to a citation: behind earlier citations, open brackets and words like "see" and "in"."""
+    """The title that leads up to a citation: behind earlier citations, then open brackets, then words like "see" and "in"."""
     piece = text[max(0, at - TITLE_REACH) : at]
-    cuts = [m.end() for p in _TITLE_CUTS for m in p.finditer(piece)]
-    opened = piece.rfind("(")
-    if opened > piece.rfind(")"):
-        cuts.append(opened + 1)
-    piece = piece[max(cuts, default=0) :]
+    if earlier := cited(piece):
+        piece = piece[earlier[-1][1] :]
+    piece = piece[_opened(piece) :]
+    piece = piece[max((m.end() for m in _DELIMITER.finditer(piece)), default=0) :]
     begin = _TITLE.search(piece)
-    return piece[begin.start() :].strip(" ,;(") if begin else ""
+    return piece[begin.start() if begin else 0 :].strip(" ,;(")
+
+
+class _Ends:
+    """What a text could end with at each place: found once for a text, however many aliases it defines."""
+
+    def __init__(self, text: str):
+        self.text, self.cites = text, cited(text)
+        self.ends = [end for _, end in self.cites]
+        self.runs = [m.span() for m in _RUN.finditer(text)] if _ALIAS.search(text) else []
+        self.begins = [begin for begin, _ in self.runs]
+
+    def instrument(self, before: str) -> re.Match | None:
+        """The longest name of an instrument that the text before an alias ends with. Its words are one run of `runs`."""
+        best, closed = None, before.rfind(")", 0, max(0, len(before) - 1))
+        for k in range(bisect_right(self.begins, len(before)) - 1, -1, -1):
+            begin, end = self.runs[k]
+            if end < closed:  # an edition has no closed bracket within
+                break
+            run = _RUN.match(before, begin)
+            if run and (run.end() == len(before) or _RUN_REST.fullmatch(before, run.end())):
+                best = _INSTRUMENT_END.fullmatch(before, begin) or best
+        return best
+
+    def phrase(self, before: str) -> str | None:
+        """The last words, at most PHRASE_WORDS, from a capital letter on."""
+        before = before.rstrip(" ,;")
+        begin = len(before)
+        for word in reversed(before.rsplit(None, PHRASE_WORDS)[-PHRASE_WORDS:]):
+            size = len(word) - len(word.rstrip(_PHRASE))
+            if size:
+                begin = before.rfind(word, 0, begin) + len(word) - size
+            if size < len(word):
+                break
+        found = _CAPITAL.search(before, begin)
+        return before[found.start() :].strip() if found else None
+
+    def expansion(self, at: int) -> str:
+        """What an alias that is defined there stands for."""
+        before = self.text[:at].rstrip()
+        k = bisect_right(self.ends, len(before)) - 1
+        if k >= 0 and self.ends[k] >= len(before) - 1:
+            begin, end = self.cites[k]
+            return f"{title_before(before, begin)} {before[begin:end]}".strip()
+        if found := self.instrument(before):
+            return found[1].strip() if found[2] is None else f"{found[1].strip()} ({found[2]})"
+        return self.phrase(before) or before[-TEXT_REACH:].strip(" ,;(") or before
 
 
 def alias_definitions(text: str) -> list[tuple[str, str, str, int]]:
-    """(short name, expansion, kind, place) of each definition like (the "X" or the "Y"). What it stands for begins at most ALIAS_REACH before it."""
-    out = []
+    """(short name, expansion, kind, place) of each definition like (the "X" or the "Y")."""
+    out, ends = [], _Ends(text)
     for m in _ALIAS.finditer(text):
-        before = text[max(0, m.start() - ALIAS_REACH) : m.start()].rstrip()
-        cites = [c for p in _CITATIONS[::-1] for c in p.finditer(before) if c.end() == len(before)]
-        if cites:
-            expanded = f"{title_before(before, cites[0].start())} {cites[0][0]}".strip()
-        elif found := _ACT_END.search(before) or _PHRASE_END.search(before):
-            expanded = found[0].strip()
-        else:
-            expanded = before[-TEXT_REACH:].strip()
-        out += [(" ".join(n.split()), expanded, alias_kind(expanded), m.start()) for n in m.groups() if n]
+        expanded = ends.expansion(m.start())
+        out += [(n, expanded, alias_kind(expanded), m.start()) for n in short_names(m)]
     return out
 
 
 def _case_spans(text: str) -> Iterator[dict]:
-    seen = {}
-    for p in _CITATIONS:
-        for m in p.finditer(text) if "[" in text else ():
-            seen[m.span()] = p  # of equal spans the later, more exact pattern counts
-    for (start, end), p in seen.items():
+    for start, end in sorted(cited(text)):
         title = title_before(text, start)
         begin = text.rfind(title, max(0, start - TITLE_REACH), start) if title else start
         tail = _AFTER_CASE.match(text, end)
-        yield {"start": begin, "end": tail.end(), "family": "case", "kind": "case", "name": title or None, "neutral": text[start:end] if p is _CITATIONS[2] else None, "slr": text[start:end] if p is _CITATIONS[1] else None, "alias": tail[1], "pins": expand_pins(tail[3])}
+        named = _ALIAS.search(tail[1]) if tail[1] else None
+        citation = text[start:end]
+        yield {
+            "start": begin, "end": tail.end(), "family": "case", "kind": "case", "name": text[begin:start].strip(" ,;(") or None, "neutral": citation if _NEUTRAL.fullmatch(citation) else None,
+            "slr": citation if _SLR.fullmatch(citation) else None, "alias": next(iter(short_names(named)), None) if named else None, "pins": expand_pins(tail[4]),
+        }
 
 
-def _goes_on(text: str, at: int) -> bool:
+def _word_at(text: str, at: int) -> bool:
     """Whether a word character stands there."""
-    return at < len(text) and (text[at].isalnum() or text[at] == "_")
-
-
-def _provision_spans(text: str, aliases: list[tuple[str, str, str]]) -> Iterator[dict]:
+    return 0 <= at < len(text) and (text[at].isalnum() or text[at] == "_")
+
+
+class Aliases:
+    """The short names of a case, in one automaton: a paragraph is read once, however many names there are."""
+
+    def __init__(self, known: dict[str, tuple[str, str]]):
+        self.known = {short: what for short, what in known.items() if short}
+        self.longest = sorted((short for short, (_, kind) in self.known.items() if kind in ("act", "rules")), key=len, reverse=True)
+        self.automaton = ahocorasick.Automaton()
+        for short, (expanded, kind) in self.known.items():
+            if kind != "fact":
+                self.automaton.add_word(short, (short, {"rules": "rule", "act": "act"}.get(kind, "case"), _NEUTRAL.search(expanded), _SLR.search(expanded)))
+        self.automaton.make_automaton()
+
+    def mentions(self, text: str) -> Iterator[tuple[int, int, tuple]]:
+        """Begin, end and name of each occurrence as a word of its own; those of one name don't overlap."""
+        if not len(self.automaton):
+            return
+        ended: dict[str, int] = {}
+        for last, what in self.automaton.iter(text):
+            end = last + 1
+            at = end - len(what[0])
+            if at >= ended.get(what[0], 0) and not _word_at(text, end) and not _word_at(text, at - 1):
+                ended[what[0]] = end
+                yield at, end, what
+
+
+def _provision_spans(text: str, aliases: Aliases) -> Iterator[dict]:
     for m in _PROVISION.finditer(text):
         rule = m[1][0] in "rR"
-        refs = ["".join(x.split()) for x in _RANGES.split(m[2])]
+        refs = ["".join(x.split()) for x in _JOINTS.split(m[2])]
         out = {"start": m.start(), "end": m.end(), "family": "provision", "kind": "rule" if rule else "provision", "provisions": [f"{'r' if rule else 's'} {x}" for x in refs if x]}
         if found := _OF_INSTRUMENT.match(text, m.end()):
-            out |= {"end": found.end(), "name": found[1], "edition": found[2], "alias": found[3]}
+            name = found[1].strip()
+            then = _THEN_ALIAS.match(text, found.end())
+            short = next(iter(short_names(then)), None) if then else None
+            out |= {"end": then.end() if then else found.end(), "name": name, "edition": found[2], "alias": short or (name if name in aliases.known else None)}
         elif found := _OF.match(text, m.end()):
-            for short, _, _ in aliases:
-                if text.startswith(short, found.end()) and not _goes_on(text, found.end() + len(short)):
-                    out |= {"end": found.end() + len(short), "name": short, "alias": short}
+            for short in aliases.longest:
+                if text.startswith(short, found.end()) and not _word_at(text, found.end() + len(short)):
+                    out |= {"end": found.end() + len(short), "alias": short}
                     break
         yield out
 
 
-def _alias_spans(text: str, aliases: list[tuple[str, str, str]]) -> Iterator[dict]:
+def _alias_spans(text: str, aliases: Aliases) -> Iterator[dict]:
     """Mentions of short names outside of their definitions, each with the pins behind it."""
     defined = [m.span() for m in _ALIAS.finditer(text)]
-    for short, expanded, kind in aliases:
-        at = -1 if kind == "fact" else text.find(short)
-        while at >= 0:
-            end = at + len(short)
-            alone = not _goes_on(text, end) and not (at and _goes_on(text, at - 1))
-            if alone and not any(a <= at < b for a, b in defined):
-                pins = _AT_PINS.match(text, end)
-                neutral, slr = (p.search(expanded) for p in (_NEUTRAL, _SLR))
-                yield {
-                    "start": at, "end": pins.end() if pins else end, "family": "alias", "kind": {"rules": "rule", "act": "act"}.get(kind, "case"), "name": short, "alias": short,
-                    "neutral": neutral and neutral[0], "slr": slr and slr[0], "pins": expand_pins(pins and pins[1]),
-                }
-            at = text.find(short, end if alone else at + 1)
-
-
-def find_spans(text: str, aliases: dict[str, tuple[str, str]]) -> list[dict]:
+    begins = [a for a, _ in defined]
+    for at, end, (short, kind, neutral, slr) in aliases.mentions(text):
+        k = bisect_right(begins, end - 1) - 1
+        if k >= 0 and at < defined[k][1]:
+            continue
+        pins = _AT_PINS.match(text, end)
+        yield {"start": at, "end": pins.end() if pins else end, "family": "alias", "kind": kind, "alias": short, "neutral": neutral and neutral[0], "slr": slr and slr[0], "pins": expand_pins(pins and pins[1])}
+
+
+def find_spans(text: str, aliases: Aliases | dict[str, tuple[str, str]]) -> list[dict]:
     """A paragraph's references in order, none overlapping another; bare pins only where nothing else is.
 
-    aliases: expansion and kind by short name. Earlier spans win, then longer ones, then by FAMILIES.
+    aliases: expansion and kind by short name. Earlier spans win, then longer ones, then by FAMILIES. name is a title as the text
+    has it; what a short name stands for is left to the alias.
     """
-    longest = sorted(((short, *what) for short, what in aliases.items() if short), key=lambda a: -len(a[0]))
-    found = [*_case_spans(text), *_provision_spans(text, longest), *_alias_spans(text, longest)]
+    known = aliases if isinstance(aliases, Aliases) else Aliases(aliases)
+    found = [*_case_spans(text), *_provision_spans(text, known), *_alias_spans(text, known)]
     pinned = "[" in text
-    for m in _SELF.finditer(text) if pinned else ():
-        found.append({"start": m.start(), "end": m.end(), "family": "self", "kind": "self", "pins": expand_pins(m[1])})
+    for pattern in (_ABOVE, _DESCRIBED):
+        for m in pattern.finditer(text) if pinned else ():
+            found.append({"start": m.start(), "end": m.end(), "family": "self", "kind": "self", "pins": expand_pins(m[1])})
     for m in _BOOK.finditer(text) if " Ed" in text else ():
-        found.append({"start": m.start(), "end": m.end(), "family": "book", "kind": "book", "name": m[1], "edition": m[2]})
+        found.append({"start": m.start(), "end": m.end(), "family": "book", "kind": "book", "name": m[1].strip()})
     for m in _RE.finditer(text) if "Re" in text else ():
-        found.append({"start": m.start(), "end": m.end(), "family": "re", "kind": "case", "name": _RE_PINS.split(m[0])[0], "pins": expand_pins(m[1])})
+        pins = _AT_PINS.match(text, m.end())
+        found.append({"start": m.start(), "end": pins.end() if pins else m.end(), "family": "re", "kind": "case", "name": m[0], "pins": expand_pins(pins and pins[1])})
     found.sort(key=lambda s: (s["start"], s["start"] - s["end"], FAMILIES.index(s["family"])))
     kept: list[dict] = []
     for s in found:
@@ -202,7 +293,9 @@ def extract_spans(paragraphs: DataFrame, aliases: DataFrame) -> DataFrame:
     """The references of each paragraph (SPAN_SCHEMA), with what bare ones mean by the state of their case.
 
     A provision without an instrument takes the last act of the case, a rule the last rules; bare pins take the last case, or
-    the judgment itself if there was none, as of the end of their paragraph's other references.
+    the judgment itself if there was none, as of the end of their paragraph's other references. What is taken is the short name,
+    or else the title, and stands in the column alias: it resolves only if the case defines such a name. References with
+    neither, like citations without a title, change nothing.
     """
     known = aliases.groupBy(F.col("case_id").alias("a_case")).agg(F.map_from_entries(F.collect_list(F.struct("short_name", F.struct("expanded", "kind")))).alias("aliases"))
     # Dealt by case before the join, to as many tasks as there are: Spark would put so few bytes into one.
@@ -212,29 +305,45 @@ def extract_spans(paragraphs: DataFrame, aliases: DataFrame) -> DataFrame:
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        case, known = None, None
         for b in batches:
             columns = {n: [] for n in schema.names}
             for c, i, o, t, al in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                for s in find_spans(t, {k: (v["expanded"], v["kind"]) for k, v in al or ()}):
+                if known is None or c != case:  # the join leaves a case's paragraphs together
+                    case, known = c, Aliases({k: (v["expanded"], v["kind"]) for k, v in al or ()})
+                for s in find_spans(t, known):
                     row = {"case_id": c, "paragraph_id": i, "ordinal": o, "quoted": t[s["start"] : s["end"]], "provisions": [], "pins": []} | s
                     for n, values in columns.items():
                         values.append(row.get(n))
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
     spans = joined.select("case_id", "id", "ordinal", "content", "aliases").mapInArrow(run, SPAN_SCHEMA)
+    return in_context(spans)
+
+
+def in_context(spans: DataFrame) -> DataFrame:
+    """Gives bare provisions, rules and pins the short name or title that their case has come to."""
     phase = (F.col("family") == "pin").cast("int")
     before = Window.partitionBy("case_id").orderBy("ordinal", phase, "start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    state = lambda c: F.last(F.when(c, F.struct("name", "neutral", "slr", "alias")), ignorenulls=True).over(before)
-    rules = F.coalesce(F.col("name").rlike("Rules|Regulations|Order"), F.lit(False)) | (F.col("kind") == "rule")
-    named = F.col("name").isNotNull()
-    spans = spans.withColumns({
-        "last_case": state((F.col("kind") == "case")), "last_act": state(named & F.col("kind").isin("provision", "act") & ~rules),
-        "last_rules": state(named & F.col("kind").isin("rule", "provision") & rules),
-    })
+    said = F.coalesce("alias", "name")
+    last = lambda *kinds: F.last(F.when(F.col("kind").isin(*kinds), said), ignorenulls=True).over(before)
+    spans = spans.withColumns({"last_case": last("case"), "last_act": last("provision", "act"), "last_rules": last("rule")})
     pin = F.col("family") == "pin"
     bare = F.when(F.col("kind") == "rule", F.col("last_rules")).when(F.col("kind") == "provision", F.col("last_act")).when(pin, F.col("last_case"))
-    filled = {c: F.coalesce(c, bare[c]) for c in ("name", "neutral", "slr", "alias")}
-    return spans.withColumns(filled | {"kind": F.when(pin & F.col("last_case").isNotNull(), "case").otherwise(F.col("kind"))}).drop("last_case", "last_act", "last_rules")
+    filled = {"alias": F.when(said.isNull(), bare).otherwise(F.col("alias")), "kind": F.when(pin & F.col("last_case").isNotNull(), "case").otherwise(F.col("kind"))}
+    return spans.withColumns(filled).drop("last_case", "last_act", "last_rules")
+
+
+def sought(spans: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Adds what a reference looks for: wanted, the neutral citation of a case (its own, or the first in its alias's expansion), and pin, the place of a paragraph.
+
+    Of a case one pin names a paragraph, several name none; a reference to the judgment itself means its first.
+    """
+    shorts = aliases.select(F.col("case_id").alias("s_case"), F.col("short_name").alias("s_name"), F.col("expanded").alias("s_expanded"))
+    rows = spans.join(shorts, (F.col("case_id") == F.col("s_case")) & (F.col("alias") == F.col("s_name")), "left")
+    wanted = F.when(F.col("kind") == "case", F.coalesce("neutral", F.nullif(F.regexp_extract("s_expanded", NEUTRAL, 0), F.lit(""))))
+    pin = F.when((F.col("kind") == "self") | (F.size("pins") == 1), F.try_element_at("pins", F.lit(1)))
+    return rows.withColumns({"wanted": wanted, "pin": pin}).drop("s_case", "s_name", "s_expanded")
 
 
 def resolve(spans: DataFrame, cases: DataFrame, paragraphs: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -244,15 +353,10 @@ def resolve(spans: DataFrame, cases: DataFrame, paragraphs: DataFrame, aliases:
     that paragraph. A reference to the judgment itself means the paragraph of its first pin. Acts, provisions, rules and books
     aren't resolved. Of cases with one citation the first by id is meant. cases: case_id, neutral_citation. paragraphs: case_id, id, ordinal.
     """
-    shorts = aliases.select(F.col("case_id").alias("s_case"), F.col("short_name").alias("s_name"), F.col("expanded").alias("s_expanded"))
-    rows = spans.join(shorts, (F.col("case_id") == F.col("s_case")) & (F.col("alias") == F.col("s_name")), "left")
-    wanted = F.when(F.col("kind") == "case", F.coalesce("neutral", F.nullif(F.regexp_extract("s_expanded", NEUTRAL, 0), F.lit(""))))
-    rows = rows.withColumn("wanted", wanted).drop("s_case", "s_name", "s_expanded")
     targets = cases.filter("neutral_citation IS NOT NULL").groupBy(F.col("neutral_citation").alias("t_citation")).agg(F.min("case_id").alias("t_case"))
-    rows = rows.join(targets, F.col("wanted") == F.col("t_citation"), "left")
+    rows = sought(spans, aliases).join(targets, F.col("wanted") == F.col("t_citation"), "left")
     home = F.when(F.col("kind") == "self", F.col("case_id")).otherwise(F.col("t_case"))
-    pin = F.when((F.col("kind") == "self") | (F.size("pins") == 1), F.try_element_at("pins", F.lit(1)))
     places = paragraphs.groupBy(F.col("case_id").alias("p_case"), F.col("ordinal").alias("p_ordinal")).agg(F.max("id").alias("target_paragraph"))
-    rows = rows.withColumns({"home": home, "pin": pin}).join(places, (F.col("home") == F.col("p_case")) & (F.col("pin") == F.col("p_ordinal")), "left")
+    rows = rows.withColumn("home", home).join(places, (F.col("home") == F.col("p_case")) & (F.col("pin") == F.col("p_ordinal")), "left")
     target_case = F.when(F.col("target_paragraph").isNull() & (F.col("kind") == "case"), F.col("t_case"))
     return rows.select(*spans.columns, target_case.alias("target_case"), "target_paragraph")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -24,7 +25,8 @@ BLOCKS = {"div", "table", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "artic
 SCOPES = {"table", "div", "ul", "ol", "article", "section", "body"}
 HIDDEN = {"script", "style"}
 #: Classes of the statutes' markup.
-SECTIONS, POINTS = ("prov1", "prov1Rep"), re.compile(r"p[1-5]No$")
+SECTIONS, SUBSECTIONS, NOTE = ("prov1", "prov1Rep"), ("prov2Txt", "prov2TxtIL"), "amendNote"
+MARKERS, POINT_TEXTS = ("p1No", "p2No", "p3No", "p1DefNo", "sProvP1No"), ("pTxt", "p2Txt", "p3Txt", "pDefTxt", "sProvP1")
 CONNECTIVES = ("means", "mean", "includes", "include", "has the meaning", "have the meaning", "shall mean", "shall include", "does not include", "do not include")
 CONNECTIVE = rf"(?i)\b(?:{'|'.join(CONNECTIVES)})\b"
 #: Classes of numbered paragraphs, and how those of headings begin.
@@ -47,11 +49,28 @@ class Node:
             yield node
             stack += [x for x in reversed(node.inside) if isinstance(x, Node)]
 
-    def having(self, *names: str) -> list[Node]:
-        return [n for n in self.walk() if n is not self and set(names) & set(n.classes())]
+    def has(self, *names: str) -> bool:
+        return not set(names).isdisjoint(self.classes())
 
-    def text(self, without: tuple[str, ...] = (), breaks: str = " ", apart: bool = False) -> str:
-        """Visible text, white space collapsed around `breaks`, which stand for line breaks. With apart, elements part words."""
+    def elements(self) -> list[Node]:
+        return [x for x in self.inside if isinstance(x, Node)]
+
+    def below(self, *names: str, tag: str | None = None, without: frozenset[int] = frozenset()) -> list[Node]:
+        """Elements inside of this one that have one of these classes, in order; nothing inside of those in `without`."""
+        out, stack = [], self.elements()[::-1]
+        while stack:
+            node = stack.pop()
+            if id(node) not in without:
+                if (tag is None or node.tag == tag) and (not names or node.has(*names)):
+                    out.append(node)
+                stack += node.elements()[::-1]
+        return out
+
+    def text(self, without: tuple[str, ...] = (), breaks: str = " ", apart: bool = False, dropped: frozenset[int] = frozenset()) -> str:
+        """Visible text, white space collapsed around `breaks`, which stand for line breaks. With apart, elements part words.
+
+        Elements inside are left out if they have a class of `without` or are in `dropped`.
+        """
         out, stack = [], [self]
         while stack:
             node = stack.pop()
@@ -59,9 +78,11 @@ class Node:
                 out.append(node)
             elif node.tag == "br":
                 out.append("\0")
-            elif node.tag not in HIDDEN and not (node is not self and set(without) & set(node.classes())):
+            elif node.tag not in HIDDEN and not (node is not self and (node.has(*without) or id(node) in dropped)):
                 stack += reversed([" ", *node.inside, " "] if apart else [*node.inside, " "] if node.tag in BLOCKS | {"p", "td", "tr"} else node.inside)
-        return breaks.join(" ".join(x.split()) for x in "".join(out).split("\0")).strip()
+        # Breaks with white space between them stay apart by a blank.
+        pieces = "".join(out).split("\0")
+        return breaks.join(" ".join(x.split()) or " " * (bool(x) and breaks != " ") for x in pieces).strip()
 
 
 class _Builder(HTMLParser):
@@ -192,92 +213,187 @@ def blocks(rows: DataFrame, states: DataFrame, key: str) -> DataFrame:
 TREE = "ordinal int, level int, parent_ordinal int, descendant_count int, kind string, number string, citation string, heading string, content string, anchor string, note string"
 
 
-def provision_rows(html: str | None) -> list[dict]:
-    """The provisions of a statute in pre-order, each with its level, parent and number of descendants."""
-    if not html or not html.strip():
-        return []
-    page = parse(html)
-    root = next((n for n in page.walk() if "legis" in n.classes()), page)
-    out: list[dict] = []
-    open_at: list[int] = []
-
-    def add(level: int, **what) -> None:
-        while open_at and out[open_at[-1]]["level"] >= level:
-            open_at.pop()
-        out.append({"ordinal": len(out) + 1, "level": len(open_at) + 1, "parent_ordinal": out[open_at[-1]]["ordinal"] if open_at else None, "descendant_count": 0, "depth": level} | what)
-        for k in open_at:
-            out[k]["descendant_count"] += 1
-        open_at.append(len(out) - 1)
-        out[-1]["level"] = level
-
-    def heading(node: Node, default: str) -> str:
-        return next((n.text() for n in node.having("partHdr", "divHdr", "prov1Hdr")), default)
-
-    def schedule_rows(node: Node) -> None:
-        """A schedule, and its paragraphs; a heading of its own row belongs to the next paragraph only."""
-        first = lambda name: next(iter(node.having(name)), None)
-        header, subject = first("sHdr"), first("scHdr")
-        title, about = (n.text(("amendNote",)) if n else None for n in (header, subject))
-        citation = short_schedule(title)
-        note = "\n".join(n.text() for n in header.having("amendNote")) or None if header else None
-        number = citation.removeprefix("Sch").strip() or None if citation else None
-        add(1, kind="schedule", number=number, citation=citation, heading=title or about or None, content=about if about != title else None, anchor=(header or node).attrs.get("id"), note=note)
-        carried = None
-        for table in (n for n in node.inside if isinstance(n, Node) and n.tag == "table"):
-            if table.having("sHdr", "scHdr", "SbodyRefs"):
-                continue
-            if lead := table.having("sProvHdr"):
-                carried = lead[0].text(("amendNote",)) or None
-                continue
-            for body in table.having("tailSTxt")[:1]:
-                text = body.text(("amendNote", "prov2Txt", "prov2TxtIL", "pTable"))
-                mark = re.match(r"(\d+[A-Z]?)\.", body.text())
-                own = f"{citation} para {mark[1]}" if citation and mark else citation
-                remark = "\n".join(n.text() for n in body.having("amendNote")) or None
-                add(2, kind="section", number=mark[1] if mark else None, citation=own, heading=carried, content=re.sub(r"^\d+[A-Z]*\.\s*", "", text) or None, anchor=body.attrs.get("id"), note=remark)
-                section_parts(body, own)
-                carried = None
+def _plain(node: Node, dropped: frozenset[int] = frozenset()) -> str:
+    """Text without notes on amendments and without what is told apart."""
+    return node.text((NOTE,), apart=True, dropped=dropped)
 
-    def section_parts(node: Node, citation: str | None) -> None:
-        """Subsections with their points, or the points of a section without any."""
-        bodies = node.having("prov2Txt", "prov2TxtIL")
-        for sub in bodies:
-            mark = re.match(r"—?\s*\((\d+[A-Z]?)\)\s*", sub.text())
+
+def _notes(node: Node, dropped: frozenset[int] = frozenset()) -> str | None:
+    """The notes on amendments inside, each on a line; those within others belong to them."""
+    outer = node.below(NOTE, tag="div", without=dropped)
+    inner = {id(x) for n in outer for x in n.below(NOTE, tag="div")}
+    return "\n".join(t for t in (n.text(apart=True) for n in outer if id(n) not in inner) if t) or None
+
+
+def _first(found: list[Node]) -> Node | None:
+    return found[0] if found else None
+
+
+def _cell(node: Node, name: str) -> Node | None:
+    return _first(node.below(name, tag="td"))
+
+
+class _Tree:
+    """Collects the provisions of a statute in pre-order, as a walk opens and closes them."""
+
+    def __init__(self):
+        self.rows: list[dict] = []
+        self.open: list[int] = []
+        self.in_schedule, self.extracted = False, 0
+
+    @contextmanager
+    def at(self, kind: str, **what) -> Iterator[None]:
+        """A provision; what is added within it lies below it."""
+        self.extracted += kind == "schedule" or (kind == "section" and not self.in_schedule)
+        parent = self.open[-1] if self.open else None
+        self.rows.append({"ordinal": len(self.rows) + 1, "level": len(self.open) + 1, "parent_ordinal": None if parent is None else parent + 1, "kind": kind} | {k: v or None for k, v in what.items()})
+        self.open.append(len(self.rows) - 1)
+        yield
+        mine = self.open.pop()
+        self.rows[mine]["descendant_count"] = len(self.rows) - mine - 1
+
+    def add(self, kind: str, **what) -> None:
+        with self.at(kind, **what):
+            pass
+
+
+def _group(tree: _Tree, cell: Node, kind: str, short: str) -> None:
+    """A part or a division: number, heading, and what lies directly in its cell."""
+    number = heading = None
+    for child in cell.elements():
+        if child.has("partNo" if kind == "part" else "divNo"):
+            number = _plain(child)
+        elif child.tag == "table" and not child.has(*SECTIONS) and not (kind == "part" and _cell(child, "div")) and not child.below("prov1", tag="div"):
+            heading = _plain(child) or heading
+    mark = re.match(rf"{kind}\s+(\S+)", number or "", re.IGNORECASE)
+    with tree.at(kind, number=mark and mark[1], citation=mark and f"{short} {mark[1]}", heading=heading, anchor=cell.attrs.get("id")):
+        for child in cell.elements():
+            if child.has(*SECTIONS):
+                _section(tree, child)
+            elif kind == "part" and child.tag == "table" and not child.has("partNo") and (inner := _cell(child, "div")):
+                _group(tree, inner, "division", "Div")
+
+
+def _section(tree: _Tree, node: Node) -> None:
+    header, body = _cell(node, "prov1Hdr"), _cell(node, "prov1Txt") or _cell(node, "prov1RepText")
+    strong = _first([x for x in body.elements() if x.tag == "strong"]) if body else None
+    mark = re.match(r"\d+[A-Z]*", _plain(strong)) if strong else None
+    anchor = (header.attrs.get("id") if header else None) or node.attrs.get("id")
+    _container(tree, body, "section", mark and f"s {mark[0]}", number=mark and mark[0], heading=header and _plain(header), anchor=anchor)
+
+
+def _container(tree: _Tree, body: Node | None, kind: str, citation: str | None, **what) -> None:
+    """A section or a schedule's paragraph: subsections, each with its points, or else points of its own. Subsections within others stand behind them."""
+    subsections = body.below(*SUBSECTIONS) if body else []
+    if not subsections:
+        _points(tree, body, kind, citation, r"\d+[A-Z]*\.\s*", frozenset(), **what)
+        return
+    apart = frozenset(map(id, subsections))
+    with tree.at(kind, citation=citation, content=_unmarked(_plain(body, apart), r"\d+[A-Z]*\.\s*"), note=_notes(body, apart), **what):
+        for sub in subsections:
+            dropped = frozenset(id(x) for x in sub.below(*SUBSECTIONS))
+            mark = re.match(r"—?\s*\((\d+[A-Z]?)\)", _plain(sub, dropped))
+            named = _first([x for x in sub.below(tag="a") if x.attrs.get("name")])
             own = f"{citation}({mark[1]})" if citation and mark else citation
-            add(4, kind="subsection", number=mark[1] if mark else None, citation=own, content=re.sub(r"^—?\s*\(\d+[A-Z]?\)\s*", "", sub.text(("amendNote", "pTable"))) or None)
-            _points(sub, own, add)
-        if not bodies:
-            _points(node, citation, add)
-
-    inside: set[int] = set()
-    for node in root.walk():
-        names = node.classes()
-        if id(node) in inside:
+            _points(tree, sub, "subsection", own, r"—?\s*\(\d+[A-Z]?\)\s*", dropped, number=mark and mark[1], anchor=named.attrs["name"] if named else sub.attrs.get("id"))
+
+
+def _unmarked(text: str, mark: str) -> str:
+    return re.sub(f"^(?:{mark})", "", text).strip()
+
+
+def _points(tree: _Tree, node: Node | None, kind: str, citation: str | None, mark: str, dropped: frozenset[int], **what) -> None:
+    """A provision with the points of the tables in it. A table is one of points if some cell in it is a marker; those within definitions are text."""
+    tables = _point_tables(node, dropped) if node else []
+    apart = dropped | {id(t) for t in tables}
+    with tree.at(kind, citation=citation, content=_unmarked(_plain(node, apart), mark) if node else None, note=_notes(node, apart) if node else None, **what):
+        for table in tables:
+            for row in (_first(table.below(tag="tbody", without=dropped)) or table).elements():
+                cells = [c for c in row.elements() if c.tag == "td" and id(c) not in dropped] if row.tag == "tr" else []
+                marker = next((c for c in reversed(cells) if c.has(*MARKERS)), None)
+                text = next((c for c in reversed(cells) if c.has(*POINT_TEXTS) and not c.has(*MARKERS)), None)
+                if marker and text:
+                    sign = "".join(_plain(marker).split())
+                    own = f"{citation}{sign}" if citation and sign else sign or None
+                    _points(tree, text, "point", own, "", dropped, number=sign.strip("()"), anchor=text.attrs.get("id"))
+
+
+def _point_tables(node: Node, dropped: frozenset[int]) -> list[Node]:
+    """The outermost tables of points."""
+    out, stack = [], node.elements()[::-1]
+    while stack:
+        x = stack.pop()
+        if id(x) in dropped or x.has("def"):
             continue
-        if "front" in names and (opening := node.text()).startswith("An Act"):
-            add(1, kind="opening", content=opening)
-        elif node.tag == "td" and ("part" in names or "div" in names):
-            kind = "part" if "part" in names else "division"
-            number = re.match(r"(?i)(?:part|division)\s+(\w+)\s*(.*)", node.text())
-            short = "Pt" if kind == "part" else "Div"
-            add(1 if kind == "part" else 2, kind=kind, number=number[1] if number else None, citation=f"{short} {number[1]}" if number else None, heading=(number[2] if number else node.text()) or None, anchor=node.attrs.get("id"))
-        elif node.tag == "div" and "schedule" in names:
-            inside |= {id(n) for n in node.walk()}
-            schedule_rows(node)
-        elif node.tag == "div" and set(names) & set(SECTIONS):
-            text = next((n for n in node.having("prov1Txt", "prov1RepText")), node)
-            number = re.match(r"(\d+[A-Z]*)\.?", text.text())
-            note = "\n".join(n.text() for n in node.having("amendNote")) or None
-            content = re.sub(r"^\d+[A-Z]*\.\s*", "", text.text(("amendNote", "prov2Txt", "prov2TxtIL", "pTable")))
-            section = number[1] if number else None
-            add(3, kind="section", number=section, citation=f"s {section}" if section else None, heading=heading(node, "") or None, content=content or None, anchor=node.attrs.get("id"), note=note)
-            section_parts(node, f"s {section}" if section else None)
-    # Levels by nesting: a section in no part stands at the top.
-    for row in out:
-        row["level"] = 1 if row["parent_ordinal"] is None else out[row["parent_ordinal"] - 1]["level"] + 1
+        if x.tag == "table" and x.below(*MARKERS, tag="td", without=dropped):
+            out.append(x)
+        else:
+            stack += x.elements()[::-1]
     return out
 
 
+def _schedule(tree: _Tree, node: Node) -> None:
+    """A schedule and its paragraphs; a heading in a table of its own belongs to the next paragraph only."""
+    header, subject = _cell(node, "sHdr"), _cell(node, "scHdr")
+    title, about = (_plain(n) if n else None for n in (header, subject))
+    citation = short_schedule(title)
+    number = citation.removeprefix("Sch").strip() if citation else None
+    tree.in_schedule = True
+    with tree.at("schedule", number=number, citation=citation, heading=title or about, content=about if about != title else None, anchor=header and header.attrs.get("id"), note=header and _notes(header)):
+        carried = None
+        for table in node.elements():
+            if table.tag != "table" or any(_cell(table, c) for c in ("sHdr", "scHdr", "SbodyRefs")):
+                continue
+            if lead := _cell(table, "sProvHdr"):
+                carried = _plain(lead) or None
+            elif body := _cell(table, "tailSTxt"):
+                mark = re.match(r"(\d+[A-Z]?)\.", _plain(body))
+                _container(tree, body, "section", f"{citation} para {mark[1]}" if citation and mark else citation, number=mark and mark[1], heading=carried, anchor=body.attrs.get("id"))
+                carried = None
+    tree.in_schedule = False
+
+
+def _statute(page: Node) -> _Tree:
+    """Opening words, the body's parts, divisions and sections, and the tail's schedules."""
+    tree, area = _Tree(), lambda name: _first(page.below(name, tag="div"))
+    if front := area("front"):
+        opening = next((t for t in front.below(tag="table") if _plain(t).startswith("An Act ")), None)
+        if opening:
+            tree.add("opening", content=_plain(opening), note=_notes(opening), anchor=opening.attrs.get("id") or "opening")
+    for child in body.elements() if (body := area("body")) else ():
+        if part := _cell(child, "part"):
+            _group(tree, part, "part", "Pt")
+        elif division := _cell(child, "div"):
+            _group(tree, division, "division", "Div")
+        elif child.has(*SECTIONS):
+            _section(tree, child)
+    for schedule in tail.below("schedule", tag="div") if (tail := area("tail")) else ():
+        _schedule(tree, schedule)
+    return tree
+
+
+def _legis(html: str) -> Node:
+    page = parse(html)
+    return _first(page.below("legis", tag="div")) or page
+
+
+def statute_rows(html: str | None) -> list[dict]:
+    """All rows of a statute: its provisions in pre-order, its definitions, and one row with what the markup holds and what was taken from it."""
+    if not html or not html.strip():
+        return [{"what": "state"}]
+    root = _legis(html)
+    tree = _statute(root)
+    marked = sum(len(root.below(name, tag="div")) for name in (*SECTIONS, "schedule"))
+    return [
+        *({"what": "provision"} | r for r in tree.rows), *({"what": "definition", "ordinal": i, "term": t, "content": d} for i, (t, d) in enumerate(_definitions(root))), {"what": "state", "expected": marked, "extracted": tree.extracted},
+    ]
+
+
+def provision_rows(html: str | None) -> list[dict]:
+    """The provisions of a statute in pre-order, each with its level, parent and number of descendants."""
+    return [r for r in statute_rows(html) if r["what"] == "provision"]
+
+
 def short_schedule(title: str | None) -> str | None:
     """Like "Sch 3" for THIRD SCHEDULE, and "Sch" for a schedule without a number; null for other titles."""
     title = (title or "").upper()
@@ -286,48 +402,57 @@ def short_schedule(title: str | None) -> str | None:
     return "Sch" if re.match(r"SCHEDULE\b", title) else None
 
 
-def _points(node: Node, citation: str | None, add) -> None:
-    stack = {0: citation or ""}
-    for n in node.walk():
-        found = next((c for c in n.classes() if POINTS.match(c)), None)
-        if found:
-            depth, mark = int(found[1]), n.text()
-            cells = [x for x in n.parent.inside if isinstance(x, Node) and "pTxt" in x.classes()]
-            stack[depth] = stack.get(depth - 1, citation) + mark
-            add(4 + depth, kind="point", number=mark.strip("()"), citation=stack[depth], content=(cells[0].text(("amendNote", "pTable")) if cells else "") or None)
+def _definitions(root: Node) -> list[tuple[str, str]]:
+    out = []
+    for cell in root.below("def", tag="td"):
+        text = _plain(cell)
+        stop = re.search(CONNECTIVE, text)
+        quoted = list(re.finditer(r"[“\"]([^”\"]+)[”\"]", text))
+        terms = [" ".join(t[1].split()) for t in quoted if not stop or t.start() <= stop.start()]
+        meaning = text[quoted[0].end() :].strip() if quoted else ""
+        out += [(t, meaning) for t in terms if t and meaning]
+    return out
 
 
 def definition_rows(html: str | None) -> list[tuple[str, str]]:
     """term and definition of each defined term; several terms before the connective share one."""
-    if not html or not html.strip():
-        return []
-    out = []
-    for cell in (n for n in parse(html).walk() if n.tag == "td" and "def" in n.classes()):
-        text = cell.text(("amendNote",))
-        stop = re.search(CONNECTIVE, text)
-        terms = list(re.finditer(r"[“\"]([^”\"]+)[”\"]", text[: stop.start()] if stop else text))
-        if terms:
-            out += [(" ".join(t[1].split()), text[terms[0].end() :].strip(" ,")) for t in terms]
-    return out
+    return [(r["term"], r["content"]) for r in statute_rows(html) if r["what"] == "definition"]
+
+
+STATUTE = f"what string, {TREE}, term string, expected int, extracted int"
+
+
+def statutes(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """All rows of statutes by one parse, told apart by `what`: see provisions_of, definitions_of and states_of. Write it before more than one is read."""
+    names = [c.split()[0] for c in STATUTE.split(", ")]
+    kinds = [(n, pa.int32() if c.endswith(" int") else pa.string()) for n, c in zip(names, STATUTE.split(", "), strict=True)]
+    return mapped(pages, key, html, lambda h: [tuple(r.get(n) for n in names) for r in statute_rows(h)], kinds, STATUTE)
+
+
+def provisions_of(parsed: DataFrame, key: str) -> DataFrame:
+    """The provision trees among the rows of statutes()."""
+    return parsed.filter("what = 'provision'").select(key, *(c.split()[0] for c in TREE.split(", ")))
+
+
+def definitions_of(parsed: DataFrame, key: str) -> DataFrame:
+    """term and definition; of equal terms of a statute the first counts."""
+    return parsed.filter("what = 'definition'").groupBy(key, "term").agg(F.min_by("content", "ordinal").alias("definition"))
+
+
+def states_of(parsed: DataFrame, key: str) -> DataFrame:
+    """expected (sections and schedules in the markup), extracted (schedules, and sections outside of them), and parse_status: failed for a blank page, unknown without any."""
+    status = F.when(F.col("expected").isNull(), "failed").when(F.col("expected") == 0, "unknown").when(F.col("expected") == F.col("extracted"), "complete").otherwise("incomplete")
+    return parsed.filter("what = 'state'").select(key, "expected", F.coalesce("extracted", F.lit(0)).alias("extracted"), status.alias("parse_status"))
 
 
 def provisions(pages: DataFrame, key: str, html: str) -> DataFrame:
     """The provision trees of statutes as nested sets. A blank page has no rows."""
-    names = [c.split()[0] for c in TREE.split(", ")]
-    kinds = [(n, pa.int32() if c.endswith(" int") else pa.string()) for n, c in zip(names, TREE.split(", "), strict=True)]
-    return mapped(pages, key, html, lambda h: [tuple(r.get(n) for n in names) for r in provision_rows(h)], kinds, TREE)
+    return provisions_of(statutes(pages, key, html), key)
 
 
 def definitions(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """term and definition; of equal terms of a page the first counts."""
-    columns = [("pos", pa.int32()), ("term", pa.string()), ("definition", pa.string())]
-    rows = mapped(pages, key, html, lambda h: [(i, *r) for i, r in enumerate(definition_rows(h))], columns, "pos int, term string, definition string")
-    return rows.groupBy(key, "term").agg(F.min_by("definition", "pos").alias("definition"))
-
-
-def legislation_status(pages: DataFrame, tree: DataFrame, key: str, html: str) -> DataFrame:
-    """expected (sections and schedules in the markup), extracted (those in the tree), and parse_status of each statute."""
-    expected = F.regexp_count(F.coalesce(F.col(html), F.lit("")), F.lit(r'<div[^>]*class="(?:[^"]*\s)?(?:prov1|prov1Rep|schedule)(?:\s[^"]*)?"'))
-    got = tree.filter(F.col("kind").isin("section", "schedule")).groupBy(key).agg(F.count(F.lit(1)).alias("extracted"))
-    joined = pages.select(key, expected.alias("expected")).join(got, key, "left").fillna(0, ["extracted"])
-    return joined.withColumn("parse_status", F.when(F.col("expected") == 0, "unknown").when(F.col("expected") == F.col("extracted"), "complete").otherwise("incomplete"))
+    return definitions_of(statutes(pages, key, html), key)
+
+
+def legislation_status(pages: DataFrame, key: str, html: str) -> DataFrame:
+    return states_of(statutes(pages, key, html), key)

@@ -87,8 +87,8 @@ def discover_acts(acts: DataFrame, versions: DataFrame, browsed: DataFrame, time
 
 def parse_acts(documents: DataFrame) -> dict[str, DataFrame]:
     """Trees, definitions and states of landed statutes: documents has id and html."""
-    tree = written(html.provisions(documents, "id", "html"), "tree")
-    return {"tree": tree, "definitions": html.definitions(documents, "id", "html"), "states": html.legislation_status(documents, tree, "id", "html")}
+    rows = written(html.statutes(documents, "id", "html"), "statutes")
+    return {"tree": html.provisions_of(rows, "id"), "definitions": html.definitions_of(rows, "id"), "states": html.states_of(rows, "id")}
 
 
 def promote_acts(versions: DataFrame, parsed: dict[str, DataFrame], provisions: DataFrame, definitions: DataFrame) -> dict[str, DataFrame]:

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casemill.functions import people, scalars
-from casemill.operators import citations, html, knowledge, labels, queue, relations, snapshots, tree
-from casemill.operators.storage import written
+from casemill.operators import citations, html, knowledge, labels, queue, references, relations, snapshots, tree
+from casemill.operators.storage import new_folder, written
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -602,30 +602,76 @@ def judgment_paragraphs(spark, sf_dir):
 
 
 def _statutes(spark, sf_dir):
-    """Each region as a statute: nations are sections, their customers' segments subsections."""
+    """Each region as a statute of one part: its first three nations are the part's sections, the fourth that of a division within, others stand behind the part.
+
+    Customers' segments are subsections, each with two points and a note; the first has another subsection within.
+    """
     customers = table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment").distinct()
     subs = customers.groupBy("c_nationkey").agg(F.array_sort(F.collect_list("c_mktsegment")).alias("segments"))
-    nation = table(spark, sf_dir, "nation").join(subs, F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    each = F.array_join(F.transform(F.coalesce("segments", F.array().cast("array<string>")), lambda s, i: F.concat(F.lit('<div class="prov2Txt">('), (i + 1).cast("string"), F.lit(") For "), s, F.lit("</div>"))), "")
+    nth = F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey"))
+    nation = table(spark, sf_dir, "nation").withColumn("nth", nth).join(subs, F.col("n_nationkey") == F.col("c_nationkey"), "left")
     key = F.col("n_nationkey").cast("string")
-    section = F.concat(F.lit('<div class="prov1" id="pr'), key, F.lit('-"><table><tr><td class="prov1Hdr">Of '), F.col("n_name"), F.lit('</td></tr></table><div class="prov1Txt"><strong>'), key, F.lit('.</strong> Text</div>'), each, F.lit("</div>"))
-    parts = nation.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", section.alias("s")))).alias("parts"))
+
+    def subsection(segment, i):
+        n = (i + 1).cast("string")
+        return F.concat(
+            F.lit('<div class="prov2Txt"><a name="a'), key, F.lit("-"), n, F.lit('-"></a>('), n, F.lit(") For "), segment, F.lit('<div class="amendNote">['), n, F.lit('/2002]</div><table><tr><td class="p1No">(a)</td><td class="pTxt" id="x'), key, F.lit("-"), n,
+            F.lit('">one<table><tr><td class="p2No">(i)</td><td class="p2Txt">deep</td></tr></table></td></tr></table>'), F.when(i == 0, F.lit('<div class="prov2TxtIL">(9) Inner</div>')).otherwise(""), F.lit("</div>"),
+        )
+
+    each = F.array_join(F.transform(F.coalesce("segments", F.array().cast("array<string>")), subsection), "")
+    section = F.concat(
+        F.lit('<div class="prov1" id="pr'), key, F.lit('-"><table><tr><td class="prov1Hdr" id="h'), key, F.lit('-">Of '), F.col("n_name"), F.lit('</td></tr><tr><td class="prov1Txt"><strong>'), key, F.lit('.</strong>—(1) Lead<div class="amendNote">['), key, F.lit("/2001]</div>"),
+        each, F.lit("</td></tr></table></div>"),
+    )
+    division = F.concat(F.lit('<table><tr><td class="div" id="d1"><div class="divNo">Division 2</div><table><tr><td>SOME</td></tr></table>'), section, F.lit("</td></tr></table>"))
+    html_of = F.when(F.col("nth") == 4, division).otherwise(section)
+    parts = nation.groupBy("n_regionkey").agg(*(F.array_sort(F.collect_list(F.when(which, F.struct("n_nationkey", html_of.alias("s"))))).alias(name) for name, which in (("inner", F.col("nth") <= 4), ("outer", F.col("nth") > 4))))
     region = table(spark, sf_dir, "region").join(parts, F.col("r_regionkey") == F.col("n_regionkey"))
-    body = F.concat(F.lit('<div class="legis"><div class="front">An Act of '), F.col("r_name"), F.lit('</div><div class="body"><table><tr><td class="part">PART 1 GENERAL</td></tr></table>'), F.array_join(F.transform("parts", lambda x: x["s"]), ""), F.lit("</div></div>"))
+    joined = lambda c: F.array_join(F.transform(c, lambda x: x["s"]), "")
+    body = F.concat(
+        F.lit('<div class="legis"><div class="front"><table><tr><td>Chapter</td></tr></table><table id="f"><tr><td>An Act of '), F.col("r_name"), F.lit('<div class="amendNote">[1/1]</div></td></tr></table></div><div class="body"><table><tr><td class="part" id="P1-"><div class="partNo">PART 1</div><table><tr><td>GENERAL</td></tr></table>'),
+        joined("inner"), F.lit("</td></tr></table>"), joined("outer"), F.lit("</div></div>"),
+    )
     return region.select(F.col("r_regionkey").cast("long").alias("doc"), body.alias("html"))
 
 
-@query("""WITH s AS (SELECT DISTINCT n_regionkey, n_nationkey, n_name, c_mktsegment FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey),
-u AS (SELECT r_regionkey AS doc, -2 AS a, '' AS b, 'opening' AS kind, NULL AS citation, 1 AS level FROM region UNION ALL SELECT r_regionkey, -1, '', 'part', 'Pt 1', 1 FROM region
-UNION ALL SELECT DISTINCT n_regionkey, n_nationkey, '', 'section', 's ' || n_nationkey, 2 FROM s
-UNION ALL SELECT n_regionkey, n_nationkey, c_mktsegment, 'subsection', 's ' || n_nationkey || '(' || row_number() OVER (PARTITION BY n_nationkey ORDER BY c_mktsegment) || ')', 3 FROM s WHERE c_mktsegment IS NOT NULL),
-o AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY a, b) AS ordinal, max(CASE WHEN kind = 'part' THEN 2 END) OVER (PARTITION BY doc) AS p FROM u)
-SELECT doc::BIGINT AS doc, ordinal::INT AS ordinal, level, kind, citation,
-CASE kind WHEN 'opening' THEN NULL WHEN 'part' THEN NULL WHEN 'section' THEN 2 ELSE max(CASE WHEN kind = 'section' THEN ordinal END) OVER (PARTITION BY doc ORDER BY ordinal) END::INT AS parent_ordinal,
-CASE kind WHEN 'part' THEN count(*) OVER (PARTITION BY doc) - 2 WHEN 'section' THEN count(*) OVER (PARTITION BY doc, a) - 1 ELSE 0 END::INT AS descendant_count FROM o""")
+#: Pre-order by path: opening, part, sections by their place (the division before the fourth), subsections, points; the subsection within the first stands behind its points.
+_STATUTES = """WITH n AS (SELECT n_regionkey AS doc, n_nationkey AS k, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS nth FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region)),
+g AS (SELECT n.*, c_mktsegment AS seg, row_number() OVER (PARTITION BY k ORDER BY c_mktsegment) AS i, CASE WHEN nth <= 3 THEN 2 WHEN nth = 4 THEN 3 ELSE 1 END AS lvl FROM n JOIN (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer) ON c_nationkey = k),
+u AS (SELECT r_regionkey AS doc, 0 AS p, 0.0 AS q, 0 AS r, 1 AS level, 'opening' AS kind, NULL AS citation, NULL AS heading, 'An Act of ' || r_name AS content, 'f' AS anchor, '[1/1]' AS note FROM region WHERE r_regionkey IN (SELECT doc FROM n)
+  UNION ALL SELECT DISTINCT doc, 1, 0, 0, 1, 'part', 'Pt 1', 'GENERAL', NULL, 'P1-', NULL FROM n
+  UNION ALL SELECT doc, 39, 0, 0, 2, 'division', 'Div 2', 'SOME', NULL, 'd1', NULL FROM n WHERE nth = 4
+  UNION ALL SELECT doc, 10 * nth, 0, 0, CASE WHEN nth <= 3 THEN 2 WHEN nth = 4 THEN 3 ELSE 1 END, 'section', 's ' || k, 'Of ' || n_name, '—(1) Lead', 'h' || k || '-', '[' || k || '/2001]' FROM n
+  UNION ALL SELECT doc, 10 * nth, i, 0, lvl + 1, 'subsection', 's ' || k || '(' || i || ')', NULL, 'For ' || seg, 'a' || k || '-' || i || '-', '[' || i || '/2002]' FROM g
+  UNION ALL SELECT doc, 10 * nth, i, 1, lvl + 2, 'point', 's ' || k || '(' || i || ')(a)', NULL, 'one', 'x' || k || '-' || i, NULL FROM g
+  UNION ALL SELECT doc, 10 * nth, i, 2, lvl + 3, 'point', 's ' || k || '(' || i || ')(a)(i)', NULL, 'deep', NULL, NULL FROM g
+  UNION ALL SELECT doc, 10 * nth, 1.5, 0, lvl + 1, 'subsection', 's ' || k || '(9)', NULL, 'Inner', NULL, NULL FROM g WHERE i = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY p, q, r) AS ordinal FROM u),
+e AS (SELECT o.doc, o.ordinal, min(x.ordinal) AS stop FROM o JOIN o x ON o.doc = x.doc AND x.ordinal > o.ordinal AND x.level <= o.level GROUP BY 1, 2),
+a AS (SELECT o.doc, o.ordinal, max(x.ordinal) AS parent FROM o JOIN o x ON o.doc = x.doc AND x.ordinal < o.ordinal AND x.level = o.level - 1 GROUP BY 1, 2),
+t AS (SELECT o.*, parent, coalesce(stop, max(o.ordinal) OVER (PARTITION BY o.doc) + 1) - o.ordinal - 1 AS below FROM o LEFT JOIN e ON o.doc = e.doc AND o.ordinal = e.ordinal LEFT JOIN a ON o.doc = a.doc AND o.ordinal = a.ordinal) """
+
+
+@query(_STATUTES + """SELECT doc::BIGINT AS doc, ordinal::INT AS ordinal, level::INT AS level, kind, citation, heading, content, anchor, note, parent::INT AS parent_ordinal, below::INT AS descendant_count FROM t""")
 def provision_tree(spark, sf_dir):
     """Provision trees of statutes as nested sets."""
-    return html.provisions(_statutes(spark, sf_dir), "doc", "html").select("doc", "ordinal", "level", "kind", "citation", "parent_ordinal", "descendant_count")
+    tree_rows = html.provisions(_statutes(spark, sf_dir), "doc", "html")
+    return tree_rows.select("doc", "ordinal", "level", "kind", "citation", "heading", "content", "anchor", "note", "parent_ordinal", "descendant_count")
+
+
+@query("""SELECT p_partkey, unnest([2, 3, 6]) AS ordinal, unnest([2, 3, 3]) AS level, unnest(['s ' || p_partkey || '(a)', 's ' || p_partkey || '(a)(i)', 'Sch para 1(z)']) AS citation, unnest([p_name, p_brand, p_type]) AS content,
+unnest([NULL, 't' || p_partkey, NULL]) AS anchor, unnest([NULL, '[1/2]', NULL]) AS note FROM part""")
+def provision_points(spark, sf_dir):
+    """Points of sections and of schedules, by all kinds of markers; rows without a marker and tables of definitions give none."""
+    c = F.col
+    body = F.concat(
+        F.lit('<div class="body"><div class="prov1"><table><tr><td class="prov1Txt"><strong>'), c("p_partkey").cast("string"), F.lit('.</strong> Of<table><tbody><tr><td class="p1No"> ( a ) </td><td class="pTxt">'), c("p_name"), F.lit('<table><tbody><tr><td class="p2No">(i)</td><td class="p2Txt" id="t'), c("p_partkey").cast("string"),
+        F.lit('">'), c("p_brand"), F.lit('<div class="amendNote">[1/2]</div></td></tr></tbody></table></td></tr><tr><td>no</td><td class="pTxt">lost</td></tr></tbody></table> tail<table><tr><td class="def">“x” means<table><tr><td class="p1DefNo">(b)</td><td class="pDefTxt">inner</td></tr></table></td></tr></table></td></tr></table></div></div>'),
+        F.lit('<div class="tail"><div class="schedule"><table><tr><td class="sHdr">SCHEDULE</td></tr></table><table><tr><td class="tailSTxt">1. Let<table><tr><td class="sProvP1No">(z)</td><td class="sProvP1">'), c("p_type"), F.lit("</td></tr></table></td></tr></table></div></div>"),
+    )
+    tree_rows = html.provisions(table(spark, sf_dir, "part").select("p_partkey", body.alias("html")), "p_partkey", "html")
+    return tree_rows.filter("kind = 'point'").select("p_partkey", "ordinal", "level", "citation", "content", "anchor", "note")
 
 
 def _schedules(spark, sf_dir):
@@ -680,11 +726,18 @@ def current_trees(spark, sf_dir):
     return knowledge.current_trees(rows, versions).select("branch", "document", F.col("place").cast("long").alias("place"))
 
 
-@query("""SELECT r_regionkey::BIGINT AS doc, count(*)::BIGINT AS expected, count(*)::BIGINT AS extracted, 'complete' AS parse_status FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY 1""")
+@query("""SELECT o_orderkey AS doc, CASE WHEN kind = 4 THEN NULL ELSE sections + schedules + stray END::BIGINT AS expected, (sections + schedules)::BIGINT AS extracted,
+CASE WHEN kind = 4 THEN 'failed' WHEN sections + schedules + stray = 0 THEN 'unknown' WHEN stray = 0 THEN 'complete' ELSE 'incomplete' END AS parse_status
+FROM (SELECT o_orderkey, o_orderkey % 5 AS kind, CASE WHEN o_orderkey % 5 IN (3, 4) THEN 0 ELSE 2 END AS sections, CASE WHEN o_orderkey % 5 IN (1, 2) THEN 1 ELSE 0 END AS schedules, CASE WHEN o_orderkey % 5 = 2 THEN 1 ELSE 0 END AS stray FROM orders)""")
 def legislation_status(spark, sf_dir):
-    """Expected and extracted provisions."""
-    statutes = _statutes(spark, sf_dir)
-    return html.legislation_status(statutes, html.provisions(statutes, "doc", "html"), "doc", "html").withColumn("expected", F.col("expected").cast("long"))
+    """Expected and extracted provisions: of statutes, of those with schedules, of such with a section outside of the body, of pages without any, and of blank ones."""
+    key, kind = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 5
+    section = lambda n: F.concat(F.lit('<div class="prov1"><table><tr><td class="prov1Txt"><strong>'), key, F.lit(f'{n}.</strong> Text<div class="prov2Txt">(2) More</div></td></tr></table></div>'))
+    schedule = F.lit('<div class="tail"><div class="schedule"><table><tr><td class="sHdr">FIRST SCHEDULE</td></tr></table><table><tr><td class="tailSTxt">1. One<div class="prov2Txt">(1) Sub</div></td></tr></table><table><tr><td class="tailSTxt">2. Two</td></tr></table></div></div>')
+    body = F.concat(F.lit('<div class="legis"><div class="body">'), section("A"), section("B"), F.lit("</div>"), F.when(kind.isin(1, 2), schedule).otherwise(""), F.when(kind == 2, section("C")).otherwise(""), F.lit("</div>"))
+    page = F.when(kind == 4, F.lit(" \n ")).when(kind == 3, F.concat(F.lit("<p>Nothing of "), key)).otherwise(body)
+    found = html.legislation_status(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc"), page.alias("html")), "doc", "html")
+    return found.withColumns({c: F.col(c).cast("long") for c in ("expected", "extracted")})
 
 
 @query("""SELECT p_partkey, p_brand AS term, 'means ' || p_name AS definition FROM part""")
@@ -695,52 +748,111 @@ def definition_rows(spark, sf_dir):
 
 
 def _paragraphs(spark, sf_dir):
-    """Each order as a case with a paragraph for each line: the first names a case and an act, others refer back."""
+    """Each order as a case with a paragraph for each line: the first names a case and an act, the others define more, refer back, or name nothing."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
     n, key = F.col("l_linenumber").cast("string"), F.col("l_orderkey").cast("string")
     first = F.concat(F.lit("See Re Alpha [2001] SGHC "), (F.col("l_orderkey") + 1).cast("string"), F.lit(" (“Alpha”) at [1]–[3], and s "), n, F.lit("(2)(a), 13A and 14 of the Sale of Goods Act 1999 (Cap 393) (the “SGA”)."))
+    third = F.lit("The firm Ong Works Pte (“Company”) won; see Beta v Gamma [2002] SGHC 7, (“Beta”). See s 3 of the Company and s 4. Later (at [3]).")
+    fourth = F.lit("Under r 4 of the Rules of Court 2014 (“Rules”), then rule 5; Re Delta Co at [1]. It holds (at [4]).")
+    fifth = F.lit("Set out at [5] and described at [1]. Alpha at [5] agrees. The Evidence Act 1893 (Cap 97, 1997 Rev Ed) (the “EA” or the “Act”), s 6; EA.")
     rest = F.concat(F.lit("As held (at ["), n, F.lit("]), s "), n, F.lit(" applies; see [1999] 2 SLR(R) "), key, F.lit(" and above at [1]. Alpha at [2] agrees."))
-    text = F.when(F.col("l_linenumber") == 1, first).otherwise(rest)
-    return lines.select(F.col("l_orderkey").alias("case_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_linenumber").cast("int").alias("ordinal"), text.alias("content"))
+    number = F.col("l_linenumber")
+    text = F.when(number == 1, first).when(number == 3, third).when(number == 4, fourth).when(number == 5, fifth).otherwise(rest)
+    return lines.select(F.col("l_orderkey").alias("case_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), number.cast("int").alias("ordinal"), text.alias("content"))
+
 
+#: Short names by the paragraph that defines them, and what they stand for.
+_NAMES = """WITH p AS (SELECT DISTINCT l_orderkey AS c, l_linenumber AS n FROM lineitem),
+names AS (
+  SELECT c, 'Alpha' AS short_name, 'Re Alpha [2001] SGHC ' || (c + 1) AS expanded, 'case' AS kind, '[2001] SGHC ' || (c + 1) AS cited FROM p WHERE n = 1
+  UNION ALL SELECT c, 'SGA', 'Sale of Goods Act 1999 (Cap 393)', 'act', NULL FROM p WHERE n = 1
+  UNION ALL SELECT c, 'Company', 'The firm Ong Works Pte', 'fact', NULL FROM p WHERE n = 3
+  UNION ALL SELECT c, 'Beta', 'Beta v Gamma [2002] SGHC 7', 'case', '[2002] SGHC 7' FROM p WHERE n = 3
+  UNION ALL SELECT c, 'Rules', 'Under r 4 of the Rules of Court 2014', 'rules', NULL FROM p WHERE n = 4
+  UNION ALL SELECT c, unnest(['EA', 'Act']), 'The Evidence Act 1893 (Cap 97, 1997 Rev Ed)', 'act', NULL FROM p WHERE n = 5) """
 
-@query("""WITH k AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linenumber = 1)
-SELECT l_orderkey AS case_id, 'Alpha' AS short_name, 'Re Alpha [2001] SGHC ' || (l_orderkey + 1) AS expanded, 'case' AS kind FROM k UNION ALL SELECT l_orderkey, 'SGA', 'Sale of Goods Act 1999 (Cap 393)', 'act' FROM k""")
+
+@query(_NAMES + """SELECT c AS case_id, short_name, expanded, kind FROM names""")
 def aliases(spark, sf_dir):
     """Short names that cases define."""
     return citations.extract_aliases(_paragraphs(spark, sf_dir))
 
 
-_SPANS = """WITH p AS (SELECT DISTINCT l_orderkey AS c, l_linenumber AS n FROM lineitem), h AS (SELECT DISTINCT c FROM p WHERE n = 1), q AS (SELECT p.*, h.c IS NOT NULL AS named FROM p LEFT JOIN h USING (c)),
-x AS (
-  SELECT c, n, 1 AS pos, 'case' AS kind, 'Re Alpha' AS name, '[2001] SGHC ' || (c + 1) AS neutral, '1,2,3' AS pins, '' AS provisions FROM q WHERE n = 1
-  UNION ALL SELECT c, n, 2, 'provision', 'Sale of Goods Act 1999', NULL, '', 's ' || n || '(2)(a),s 13A,s 14' FROM q WHERE n = 1
-  UNION ALL SELECT c, n, 1, 'provision', CASE WHEN named THEN 'Sale of Goods Act 1999' END, NULL, '', 's ' || n FROM q WHERE n > 1
-  UNION ALL SELECT c, n, 2, 'case', NULL, NULL, '', '' FROM q WHERE n > 1
-  UNION ALL SELECT c, n, 3, 'self', NULL, NULL, '1', '' FROM q WHERE n > 1
-  UNION ALL SELECT c, n, 4, 'case', 'Alpha', '[2001] SGHC ' || (c + 1), '2', '' FROM q WHERE n > 1 AND named
-  UNION ALL SELECT c, n, 9, 'case', CASE WHEN named THEN 'Alpha' END, CASE WHEN named THEN '[2001] SGHC ' || (c + 1) END, n::VARCHAR, '' FROM q WHERE n > 1
-  UNION ALL SELECT c, n, 10, 'case', NULL, NULL, '2', '' FROM q WHERE n > 1 AND NOT named) """
-
-
-@query(_SPANS + """SELECT c AS case_id, (c * 10 + n)::BIGINT AS paragraph_id, kind, name, neutral, pins, provisions FROM x""")
+#: The references of each paragraph as its text has them (bare ones as kind pin, or without name and alias), then what a case
+#: has come to at each: the last short name, or else title, of a case, act or rules, pins behind a paragraph's other references.
+_SPANS = _NAMES + """, h AS (SELECT c, bool_or(n = 1) AS named FROM p GROUP BY c), q AS (SELECT p.*, named FROM p JOIN h USING (c)),
+r AS (
+  SELECT c, n, 1 AS pos, 'case' AS kind, 'Re Alpha' AS name, 'Alpha' AS alias, '[2001] SGHC ' || (c + 1) AS neutral, '1,2,3' AS pins, '' AS provisions FROM q WHERE n = 1
+  UNION ALL SELECT c, n, 2, 'provision', 'Sale of Goods Act 1999', 'SGA', NULL, '', 's 1(2)(a),s 13A,s 14' FROM q WHERE n = 1
+  UNION ALL SELECT c, n, 1, 'pin', NULL, NULL, NULL, n::VARCHAR, '' FROM q WHERE n = 2 OR n > 5
+  UNION ALL SELECT c, n, 2, 'provision', NULL, NULL, NULL, '', 's ' || n FROM q WHERE n = 2 OR n > 5
+  UNION ALL SELECT c, n, 3, 'case', NULL, NULL, NULL, '', '' FROM q WHERE n = 2 OR n > 5
+  UNION ALL SELECT c, n, 4, 'self', NULL, NULL, NULL, '1', '' FROM q WHERE n = 2 OR n > 5
+  UNION ALL SELECT c, n, 5, CASE WHEN named THEN 'case' ELSE 'pin' END, NULL, CASE WHEN named THEN 'Alpha' END, CASE WHEN named THEN '[2001] SGHC ' || (c + 1) END, '2', '' FROM q WHERE n = 2 OR n > 5
+  UNION ALL SELECT c, n, 1, 'case', 'Beta v Gamma', NULL, '[2002] SGHC 7', '', '' FROM q WHERE n = 3
+  UNION ALL SELECT c, n, 2, 'provision', NULL, NULL, NULL, '', unnest(['s 3', 's 4']) FROM q WHERE n = 3
+  UNION ALL SELECT c, n, 4, 'pin', NULL, NULL, NULL, '3', '' FROM q WHERE n = 3
+  UNION ALL SELECT c, n, 1, 'rule', NULL, 'Rules', NULL, '', 'r 4' FROM q WHERE n = 4
+  UNION ALL SELECT c, n, 2, 'rule', NULL, NULL, NULL, '', 'r 5' FROM q WHERE n = 4
+  UNION ALL SELECT c, n, 3, 'case', 'Re Delta Co', NULL, NULL, '1', '' FROM q WHERE n = 4
+  UNION ALL SELECT c, n, 4, 'pin', NULL, NULL, NULL, '4', '' FROM q WHERE n = 4
+  UNION ALL SELECT c, n, 1, 'self', NULL, NULL, NULL, unnest(['5', '1']), '' FROM q WHERE n = 5
+  UNION ALL SELECT c, n, 3, CASE WHEN named THEN 'case' ELSE 'pin' END, NULL, CASE WHEN named THEN 'Alpha' END, CASE WHEN named THEN '[2001] SGHC ' || (c + 1) END, '5', '' FROM q WHERE n = 5
+  UNION ALL SELECT c, n, 4, 'act', NULL, 'Act', NULL, '', '' FROM q WHERE n = 5
+  UNION ALL SELECT c, n, 5, 'provision', NULL, NULL, NULL, '', 's 6' FROM q WHERE n = 5
+  UNION ALL SELECT c, n, 6, 'act', NULL, 'EA', NULL, '', '' FROM q WHERE n = 5),
+s AS (SELECT *, coalesce(alias, name) AS said,
+  last_value(CASE WHEN kind = 'case' THEN coalesce(alias, name) END IGNORE NULLS) OVER w AS last_case,
+  last_value(CASE WHEN kind IN ('provision', 'act') THEN coalesce(alias, name) END IGNORE NULLS) OVER w AS last_act,
+  last_value(CASE WHEN kind = 'rule' THEN coalesce(alias, name) END IGNORE NULLS) OVER w AS last_rules
+  FROM r WINDOW w AS (PARTITION BY c ORDER BY n, kind = 'pin', pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+x AS (SELECT c, n, CASE WHEN kind <> 'pin' THEN kind WHEN last_case IS NULL THEN 'self' ELSE 'case' END AS kind, name, neutral, pins, provisions,
+  CASE WHEN said IS NOT NULL THEN alias WHEN kind = 'pin' THEN last_case WHEN kind = 'provision' THEN last_act WHEN kind = 'rule' THEN last_rules END AS alias FROM s) """
+
+
+def _listed(spans):
+    """Spans with their lists as texts."""
+    return spans.withColumns({"pins": F.array_join(F.col("pins").cast("array<string>"), ","), "provisions": F.array_join("provisions", ",")})
+
+
+@query(_SPANS + """SELECT c AS case_id, (c * 10 + n)::BIGINT AS paragraph_id, kind, name, alias, neutral, pins, provisions FROM x""")
 def citation_spans(spark, sf_dir):
     """References of paragraphs, with what bare ones mean."""
     paragraphs = _paragraphs(spark, sf_dir)
     spans = citations.extract_spans(paragraphs, written(citations.extract_aliases(paragraphs), "aliases"))
-    return spans.select("case_id", "paragraph_id", "kind", "name", "neutral", F.array_join(F.col("pins").cast("array<string>"), ",").alias("pins"), F.array_join("provisions", ",").alias("provisions"))
+    return _listed(spans).select("case_id", "paragraph_id", "kind", "name", "alias", "neutral", "pins", "provisions")
+
+
+_RESOLVED = _SPANS + """, k AS (SELECT DISTINCT c FROM p),
+w AS (SELECT x.*, CASE WHEN x.kind = 'case' THEN coalesce(x.neutral, names.cited) END AS wanted FROM x LEFT JOIN names ON x.c = names.c AND x.alias = names.short_name),
+t AS (SELECT w.*, k.c AS t FROM w LEFT JOIN k ON w.wanted = '[2001] SGHC ' || k.c),
+y AS (SELECT t.*, m.n AS hit FROM t LEFT JOIN p m ON m.c = CASE WHEN kind = 'self' THEN t.c ELSE t END AND m.n::VARCHAR = t.pins) """
+
+
+def _cases(paragraphs):
+    return paragraphs.select("case_id").distinct().withColumn("neutral_citation", F.concat(F.lit("[2001] SGHC "), F.col("case_id").cast("string")))
 
 
-@query(_SPANS + """, k AS (SELECT DISTINCT c FROM p), r AS (SELECT x.*, k.c AS t FROM x LEFT JOIN k ON x.kind = 'case' AND x.neutral = '[2001] SGHC ' || k.c),
-y AS (SELECT r.*, m.n AS hit FROM r LEFT JOIN p m ON m.c = CASE WHEN kind = 'self' THEN r.c ELSE t END AND m.n::VARCHAR = r.pins)
-SELECT c AS case_id, (c * 10 + n)::BIGINT AS paragraph_id, kind, pins, CASE WHEN hit IS NULL AND kind = 'case' THEN t END AS target_case, CASE WHEN hit IS NOT NULL THEN CASE WHEN kind = 'self' THEN c ELSE t END * 10 + hit END::BIGINT AS target_paragraph FROM y""")
+@query(_RESOLVED + """SELECT c AS case_id, (c * 10 + n)::BIGINT AS paragraph_id, kind, pins, CASE WHEN hit IS NULL AND kind = 'case' THEN t END AS target_case, CASE WHEN hit IS NOT NULL THEN CASE WHEN kind = 'self' THEN c ELSE t END * 10 + hit END::BIGINT AS target_paragraph FROM y""")
 def resolved_references(spark, sf_dir):
     """What references refer to: a case, or a paragraph of one."""
     paragraphs = _paragraphs(spark, sf_dir)
     known = written(citations.extract_aliases(paragraphs), "aliases")  # spans and resolving both need them
-    cases = paragraphs.select("case_id").distinct().withColumn("neutral_citation", F.concat(F.lit("[2001] SGHC "), F.col("case_id").cast("string")))
-    done = citations.resolve(citations.extract_spans(paragraphs, known), cases, paragraphs, known)
-    return done.select("case_id", "paragraph_id", "kind", F.array_join(F.col("pins").cast("array<string>"), ",").alias("pins"), "target_case", "target_paragraph")
+    done = citations.resolve(citations.extract_spans(paragraphs, known), _cases(paragraphs), paragraphs, known)
+    return _listed(done).select("case_id", "paragraph_id", "kind", "pins", "target_case", "target_paragraph")
+
+
+@query(_RESOLVED + """SELECT c AS case_id, (c * 10 + n)::BIGINT AS paragraph_id, kind, pins, CASE WHEN hit IS NULL AND kind = 'case' THEN t END AS target_case, CASE WHEN hit IS NOT NULL THEN CASE WHEN kind = 'self' THEN c ELSE t END * 10 + hit END::BIGINT AS target_paragraph FROM y""")
+def late_references(spark, sf_dir):
+    """References resolved as their targets arrive, cases of even numbers first: in the end they refer to what one batch finds."""
+    paragraphs = written(_paragraphs(spark, sf_dir), "paragraphs")
+    known = written(citations.extract_aliases(paragraphs), "aliases")
+    spans = written(citations.extract_spans(paragraphs, known), "spans")
+    store = references.ReferenceStore(spark, new_folder(spark, "references"))
+    for number, odd in ((1, 0), (2, 1)):
+        some = lambda rows: rows.filter(F.col("case_id") % 2 == odd)  # noqa: B023, E731
+        store.add(number, some(spans), some(known), _cases(some(paragraphs)), some(paragraphs))
+    return _listed(store.references()).select("case_id", "paragraph_id", "kind", "pins", "target_case", "target_paragraph")
 
 
 @query("""SELECT c_custkey, 'Person A' || c_custkey AS name, CASE WHEN c_custkey % 2 = 0 THEN 'plaintiff' END AS role FROM customer UNION ALL SELECT c_custkey, 'Company B', CASE WHEN c_custkey % 2 = 0 THEN 'plaintiff' END FROM customer WHERE c_custkey % 2 = 0""")
