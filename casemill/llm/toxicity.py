@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.llm import words
@@ -18,11 +18,9 @@ from casemill.llm.shared import materialize, with_key, without
 #: Documents whose crc32 of the id modulo FOLDS is HELD_OUT are never learnt from; of the others those with
 #: FIT fit the last step, and the rest give the counts.
 FOLDS, HELD_OUT, FIT = 4, 2, 3
-#: The bound of the sample: at most so many labelled documents of each class and use, and of each class so many bytes of
-#: their texts give counts. It bounds the model, which the tasks hold in memory (about 25 MB).
-SAMPLE_DOCS, SAMPLE_BYTES = 1_500, 5_000_000
-#: Of a text that is too long for its share of these bytes, stretches of so many words give counts.
-COUNTED = 64
+#: The bound of the sample: at most so many labelled documents of each class and use. Their whole texts give counts, so that the
+#: model, which the tasks hold in memory, is bounded by the different pairs of words in twice so many documents.
+SAMPLE_DOCS = 1_500
 #: Lengths of the stretches of words whose likeliest is looked for, besides the whole text.
 STRETCHES = (1, 6, 24)
 FEATURES = 3 * (1 + len(STRETCHES))
@@ -62,6 +60,17 @@ class Model:
     prior: float = 0.0
 
 
+def packed(model: Model) -> tuple:
+    """The model as plain arrays and numbers, which workers can read without this module at hand."""
+    sides = tuple((side.keys, side.values, side.rest) for side in (model.word, model.pair, model.back, model.stem))
+    return sides, model.means, model.spreads, model.weights, model.prior
+
+
+def unpacked(plain: tuple) -> Model:
+    sides, *rest = plain
+    return Model(*(Side(*side) for side in sides), *rest)
+
+
 def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return words.mix(left * np.uint64(0x9E3779B97F4A7C15) + right)
 
@@ -178,10 +187,9 @@ def fit_weights(model: Model, x: np.ndarray, y: np.ndarray, ordinary_share: floa
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, int]:
-    """The bounded sample of labelled documents: doc_id, text, toxic, fit, part; and how many labels of each class there are.
+    """The bounded sample of labelled documents: doc_id, whole text, toxic, fit; and how many labels of each class there are.
 
-    Of each class and use the first by a hash of the id are taken, SAMPLE_DOCS at most. part is how much of a text gives
-    counts: all of it, or its share of SAMPLE_BYTES if the class's texts are longer than that together.
+    Of each class and use the first by a hash of the id are taken, SAMPLE_DOCS at most.
     """
     fold = F.crc32(F.col("doc_id").cast("string")) % FOLDS
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -199,46 +207,34 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tu
     found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "toxic", "fit")
     # Of several texts with one id the one with the smallest digest counts, in whatever order rows are read.
     found = materialize(found.groupBy("doc_id", "toxic", "fit").agg(F.min_by("text", F.struct(F.sha2("text", 256).alias("d"))).alias("text")).select("doc_id", "text", "toxic", "fit"), "sample")
-    # Shares are filled up from the shortest text on, so that one long text takes no other's place.
-    group = Window.partitionBy("toxic", "fit")
-    ahead = group.orderBy("size", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = found.select("doc_id", "toxic", "fit", F.greatest(F.lit(1), F.octet_length("text")).cast("long").alias("size"))
-    sizes = sizes.withColumns({"before": F.coalesce(F.sum("size").over(ahead), F.lit(0)), "others": F.count(F.lit(1)).over(group) - F.count(F.lit(1)).over(ahead)})
-    fair = (F.lit(SAMPLE_BYTES) - F.col("before")) / F.col("others")
-    most = F.max(F.when(F.col("size") > fair, fair)).over(group)
-    parts = sizes.select(F.col("doc_id").alias("p_id"), F.when(F.col("fit"), 1.0).otherwise(F.least(F.lit(1.0), F.coalesce(most / F.col("size"), F.lit(1.0)))).alias("part"))
-    return found.join(F.broadcast(parts), F.col("doc_id").eqNullSafe(F.col("p_id"))).drop("p_id"), counts.get(0, 0), counts.get(1, 0)
+    return found, counts.get(0, 0), counts.get(1, 0)
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Learns from the sample's words alone: neither ids nor labels nor other columns are inputs of a score."""
     texts, n_ordinary, n_toxic = sample(docs, labels, id_col, text_col)
-    texts = materialize(texts, "texts")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches, "text"):
             begins, *sequences = tokens(batch.column("text"))
             n = np.diff(begins)
             toxic = np.repeat(batch.column("toxic").to_numpy(zero_copy_only=False), n) == 1
-            part = np.repeat(batch.column("part").to_numpy(zero_copy_only=False), n)
-            stretch = (np.arange(len(part)) - np.repeat(begins[:-1], n)) // COUNTED
-            counts = np.ceil((stretch + 1) * part) > np.ceil(stretch * part)  # stretches of the whole text, evenly
             for stem, hashes in zip((False, True), sequences, strict=True):
                 left = np.concatenate([[np.uint64(0)], hashes[:-1]]).astype(np.uint64)[: len(hashes)]
                 left[begins[:-1][n > 0]] = 0
-                both = pa.table({"v": left[counts].view(np.int64), "w": hashes[counts].view(np.int64), "ordinary": (~toxic[counts]).astype(np.int64), "toxic": toxic[counts].astype(np.int64)})
+                both = pa.table({"v": left.view(np.int64), "w": hashes.view(np.int64), "ordinary": (~toxic).astype(np.int64), "toxic": toxic.astype(np.int64)})
                 both = both.group_by(["v", "w"]).aggregate([("ordinary", "sum"), ("toxic", "sum")])
                 columns = [both[c].combine_chunks() for c in ("v", "w", "ordinary_sum", "toxic_sum")]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(both), stem))], names=["v", "w", "ordinary", "toxic", "stem"])
 
-    counted = texts.filter("NOT fit").select("text", "toxic", "part").mapInArrow(pairs, "v long, w long, ordinary long, toxic long, stem boolean")
+    counted = texts.filter("NOT fit").select("text", "toxic").mapInArrow(pairs, "v long, w long, ordinary long, toxic long, stem boolean")
     model = fit_model(counted.groupBy("stem", "v", "w").agg(F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")).toArrow())
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(packed(model))
     names = [f"x{k}" for k in range(FEATURES)]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches, "text"):
-            x = features(shared.value, *tokens(batch.column("text")))
+            x = features(unpacked(shared.value), *tokens(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), *(pa.array(c) for c in x.T)], names=["toxic", *names])
 
     # Where too few labels are left for fitting, the documents that gave the counts serve for that too.
@@ -259,7 +255,7 @@ def score(docs: DataFrame, model: Model | Broadcast, id_col: str = "doc_id", tex
     likeliest stretches, by single words, by pairs and by stems. A null or empty text, and one without words, scores the
     share of toxic labels. Null ids aren't held out. Repeated rows are scored each. An empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model) if isinstance(model, Model) else model
+    shared = docs.sparkSession.sparkContext.broadcast(packed(model)) if isinstance(model, Model) else model
     others = [c for c in keep if c not in (id_col, text_col)]
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"own_{c}") for c in others))
     back = ["doc_id", *["text"] * (text_col in keep), *(f"own_{c}" for c in others)]
@@ -267,9 +263,10 @@ def score(docs: DataFrame, model: Model | Broadcast, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words.forget()
+        known = unpacked(shared.value)
         for batch in words.slices(batches, "text"):
             begins, *sequences = tokens(batch.column("text"))
-            got = probability(shared.value, features(shared.value, begins, *sequences), np.diff(begins) == 0)
+            got = probability(known, features(known, begins, *sequences), np.diff(begins) == 0)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in back), pa.array(got)], names=[*back, "score"])
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD_OUT, F.lit(False))
@@ -284,7 +281,7 @@ def ordinary_of(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     Null, empty and very long texts, null ids and repeated rows are scored as score() does: equal rows stay or go together. An empty
     table stays empty; columns of docs may have any names.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(packed(model))
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{text_col}`")).alias("key_hash"))
     scored = materialize(score(slim, shared, keep=("key_hash",)).select(F.col("doc_id").alias("key_id"), "key_hash", "predicted"), "scores")
     shared.destroy()

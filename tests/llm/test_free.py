@@ -586,8 +586,7 @@ def test_toxicity_on_held_out_documents(spark):
     assert toxicity.score(df, none).filter("score <> 0").count() == 0 and toxicity.score(df.limit(0), none).collect() == []
 
 
-def test_toxicity_of_a_class_with_huge_texts(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 100_000)
+def test_toxicity_of_a_class_with_huge_texts(spark):
     rng = np.random.default_rng(8)
     ordinary, texts = [f"w{k}" for k in range(300)], []
     for i in range(300):
@@ -598,8 +597,6 @@ def test_toxicity_of_a_class_with_huge_texts(spark, monkeypatch):
     df = docs(spark, texts)
     labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
     found, *_ = toxicity.sample(df, labels, "doc_id", "text")
-    kept = found.selectExpr("doc_id", "fit", "length(text) AS size", "toxic", *(["part"] if "part" in found.columns else [])).toPandas()
-    assert sorted(kept.doc_id) == [i for i in range(300) if zlib.crc32(str(i).encode()) % 4 != 2]
-    assert (kept.part * kept["size"])[~kept.fit].groupby(kept.toxic).sum().max() <= 100_001 and (kept.part[kept["size"] < 500] == 1).all()
+    assert sorted((r.doc_id, r.text) for r in found.collect()) == [(i, texts[i]) for i in range(300) if zlib.crc32(str(i).encode()) % 4 != 2]
     right = [r.predicted == r.doc_id % 2 for r in toxicity.score(df, toxicity.learn(df, labels)).collect() if r.held_out]
     assert sum(right) / len(right) > 0.9
