@@ -11,7 +11,7 @@ from casemill.llm.shared import SPACES, grouped, materialize
 BLOCK = 32_768
 #: The filter has this many bits for each row, and each hash sets two of them.
 BITS_PER_ROW = 16
-#: A filter of at most this many blocks (64 MB) is broadcast; a larger one is joined by a shuffle of hashes.
+#: So many blocks of the filter (64 MB) are broadcast at one time; rows meet a larger filter slice by slice, and still aren't shuffled.
 BROADCAST_BLOCKS = 16_384
 
 
@@ -38,25 +38,28 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     straight through, never shuffled. The others are grouped by the full digest, which sorts out false
     positives; a digest that many rows share is split over all tasks. Digests, lengths and ids are written to shared storage once; texts are never shuffled.
 
-    Null and empty texts are equal. Repeated rows with one id form a group, and all of them that equal
+    A filter of more than BROADCAST_BLOCKS blocks is met in as many passes over the digests as it has slices of that size: each
+    pass reads the rows whose blocks are in its slice, which tasks have written in the order of their blocks.
+
+    Very long texts are digested whole. Null and empty texts are equal. Repeated rows with one id form a group, and all of them that equal
     the kept id are marked kept. An empty table gives an empty result. Other columns are not read.
     """
-    slim = materialize(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("n_points"), text_digest(F.col(text_col)).alias("text_sha256")),
-        "digests",
-    )
-    rows = slim.count()
-    blocks = max(1, -(-rows * BITS_PER_ROW // BLOCK))
+    blocks = max(1, -(-docs.count() * BITS_PER_ROW // BLOCK))  # a table of Parquet files is counted by their footers
     number = lambda at, n: F.conv(F.substring("text_sha256", at, n), 16, 10).cast("long")
-    hashed = slim.withColumns({"block": number(1, 12) % blocks, "bit_a": number(13, 4) % BLOCK, "bit_b": number(17, 4) % BLOCK})
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("n_points"), text_digest(F.col(text_col)).alias("text_sha256"))
+    slim = slim.withColumns({"block": number(1, 12) % blocks, "bit_a": number(13, 4) % BLOCK, "bit_b": number(17, 4) % BLOCK})
+    hashed = materialize(slim if blocks <= BROADCAST_BLOCKS else slim.sortWithinPartitions("block"), "digests")
 
     hit = hashed.select("block", F.explode(F.array("bit_a", "bit_b")).alias("bit")).groupBy("block", "bit").agg(F.count(F.lit(1)).alias("n"))
     repeated = hit.filter("n > 1").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap")).withColumnRenamed("block", "filter_block")
-    if blocks <= BROADCAST_BLOCKS:
-        repeated = F.broadcast(repeated)
-    tested = hashed.join(repeated, F.col("block") == F.col("filter_block"), "left").withColumn(
-        "maybe", F.coalesce(_bit(F.col("bitmap"), F.col("bit_a")) & _bit(F.col("bitmap"), F.col("bit_b")), F.lit(False))
-    )
+    if blocks > BROADCAST_BLOCKS:
+        repeated = materialize(repeated, "filter")
+    tested = None
+    for low in range(0, blocks, BROADCAST_BLOCKS):
+        mine = lambda rows, block: rows if blocks <= BROADCAST_BLOCKS else rows.filter((F.col(block) >= low) & (F.col(block) < low + BROADCAST_BLOCKS))  # noqa: B023, E731
+        met = mine(hashed, "block").join(F.broadcast(mine(repeated, "filter_block")), F.col("block") == F.col("filter_block"), "left")
+        tested = met if tested is None else tested.unionByName(met)
+    tested = tested.withColumn("maybe", F.coalesce(_bit(F.col("bitmap"), F.col("bit_a")) & _bit(F.col("bitmap"), F.col("bit_b")), F.lit(False)))
     # A digest whose two bits coincide hits that bit twice by itself: it is merely tested in vain.
     maybe = tested.filter("maybe").select("doc_id", "n_points", "text_sha256")
     best = F.struct((-F.col("n_points")).alias("order_1"), F.col("doc_id").isNull().alias("order_2"), F.col("doc_id").alias("id"))

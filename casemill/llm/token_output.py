@@ -29,6 +29,18 @@ LEAST = 2
 MAGIC = b"GRAMMAR2"
 
 
+#: How a tokenizer changes and splits texts that may be encoded word by word.
+KIND = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "model": "BPE",
+}
 NEVER = np.iinfo(np.int32).max
 #: Numbers that are made at one time, to need less memory.
 BLOCK = 1 << 18
@@ -54,6 +66,13 @@ def _grouped(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return keys[starts], order, np.diff(np.append(starts, len(keys)))
 
 
+def _most_first(counts: np.ndarray) -> np.ndarray:
+    """Places of counts in descending order, equal ones as they stand: by 16 bits at a time, which numpy sorts in one pass each."""
+    below = (counts.max() - counts).astype(np.uint32)
+    order = np.argsort(below.astype(np.uint16), kind="stable")
+    return order if below.max(initial=0) < 1 << 16 else order[np.argsort((below >> np.uint32(16)).astype(np.uint16)[order], kind="stable")]
+
+
 def compress(ids: np.ndarray, doc_ends: np.ndarray, first_symbol: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair: symbols, the places where documents end in them, and rules (left, right) from first_symbol on.
 
@@ -92,14 +111,18 @@ def compress(ids: np.ndarray, doc_ends: np.ndarray, first_symbol: int, least: in
             break
         if not often.all():
             order, keys, counts = order[np.repeat(often, counts)], keys[often], counts[often]
-        by_place, place = np.argsort(-counts, kind="stable"), np.empty(len(keys), kind)
+        by_place, place = _most_first(counts), np.empty(len(keys), kind)
         place[by_place] = np.arange(len(keys), dtype=kind)
-        rank[use[order]] = np.repeat(place, counts)
+        mine = np.full(len(use), NEVER, kind)
+        mine[order] = np.repeat(place, counts)
         del order
-        mine = rank[use]
-        at, chosen = use[mine < NEVER], (mine < rank[before[use]]) & (mine < rank[after[use]])
+        rank[use] = mine
+        ranked = mine < NEVER
+        at, mine = use[ranked], mine[ranked]
+        chosen = mine < rank[before[at]]
+        chosen &= mine < rank[after[at]]
         rank[at] = NEVER
-        here, mine = use[chosen], mine[chosen]
+        here, mine = at[chosen], mine[chosen]
         got = np.bincount(mine, minlength=len(keys))
         new = (got >= least) & (2 * got >= counts[by_place])
         here, mine = here[new[mine]], mine[new[mine]]
@@ -150,12 +173,32 @@ def in_bits(numbers: np.ndarray, width: int) -> bytes:
 
 
 def from_bits(data: bytes, width: int, begin: int, end: int) -> np.ndarray:
-    """The numbers from `begin` to `end` of those that in_bits() gave."""
-    first, stop = begin * width // 8, -(-end * width // 8)
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, stop - first, first), bitorder="little")[begin * width - 8 * first :][: (end - begin) * width]
-    whole = np.zeros((end - begin, 32), np.uint8)
-    whole[:, :width] = bits.reshape(-1, width)
-    return np.packbits(whole, axis=1, bitorder="little").reshape(-1).view("<u4").astype(np.int64)
+    """The numbers from `begin` to `end` of those that in_bits() gave: each is within the 8 bytes from its first one on."""
+    if begin >= end:
+        return np.zeros(0, np.int64)
+    at = np.arange(begin, end, dtype=np.int64) * width
+    first = int(at[0] >> 3)
+    held = np.zeros(int(at[-1] >> 3) - first + 8, np.uint8)
+    there = np.frombuffer(data, np.uint8)[first : first + len(held)]
+    held[: len(there)] = there
+    windows = np.ndarray((len(held) - 7,), "<u8", held, 0, (1,))
+    return ((windows[(at >> 3) - first] >> (at & 7).astype(np.uint64)) & np.uint64((1 << width) - 1)).astype(np.int64)
+
+
+def expansions(rules: np.ndarray, lengths: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids in a row, first all ids themselves, then what each rule stands for; and where those of each rule begin. A rule is copied from its sides, once both are there."""
+    begins = first_symbol + np.cumsum(lengths) - lengths
+    pool = np.empty(first_symbol + int(lengths.sum()), np.int32)
+    pool[:first_symbol] = np.arange(first_symbol)
+    plain, inner = rules < first_symbol, np.maximum(rules - first_symbol, 0)
+    start, size = np.where(plain, rules, begins[inner]), np.where(plain, 1, lengths[inner])
+    done, todo = np.zeros(len(rules), bool), np.arange(len(rules))
+    while len(todo):
+        ready = (plain[todo] | done[inner[todo]]).all(1)
+        now, todo = todo[ready], todo[~ready]
+        pool[_runs(begins[now], lengths[now])] = pool[_runs(start[now].reshape(-1), size[now].reshape(-1))]
+        done[now] = True
+    return pool, begins
 
 
 def pack(doc_ids: list[int | None], ids: np.ndarray, doc_ends: np.ndarray, vocabulary: int) -> bytes:
@@ -205,15 +248,11 @@ class Shard:
         seq, first = from_bits(self.symbols, self.head["bits"], 0, self.head["symbols"]), self.head["vocabulary"]
         if not len(self.rules) or int(self.lengths.sum()) > 4 * self.head["ids"]:
             return expand(seq, self.rules, first)
-        flat = expand(self.rules.reshape(-1), self.rules, first)
+        pool, begins = expansions(self.rules, self.lengths, first)
         high = seq >= first
-        size = np.ones(len(seq), np.int64)
-        size[high] = self.lengths[seq[high] - first]
-        begin = np.cumsum(size) - size
-        out = np.empty(self.head["ids"], np.int64)
-        out[begin[~high]] = seq[~high]
-        out[_runs(begin[high], size[high])] = flat[_runs((np.cumsum(self.lengths) - self.lengths)[seq[high] - first], size[high])]
-        return out
+        start, size = seq.copy(), np.ones(len(seq), np.int64)
+        start[high], size[high] = begins[seq[high] - first], self.lengths[seq[high] - first]
+        return pool[_runs(start, size)].astype(np.int64)
 
     def document(self, k: int) -> np.ndarray:
         return expand(self._symbols(k), self.rules, self.head["vocabulary"])
@@ -246,12 +285,20 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.refuse_other_kinds(json.loads(self.tokenizer.to_str()))
         self.vocabulary = self.tokenizer.get_vocab_size()
         # Byte-level models spell each byte as a character: printable ones as themselves, the others from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.spelt = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in shown)}
         self.forget()
 
+    @staticmethod
+    def refuse_other_kinds(made: dict) -> None:
+        """Raises an error for a tokenizer that may not be taken word by word as PARTS does: other normalisers, other ways to split, or another model."""
+        found = {"normalizer": made.get("normalizer"), "pre_tokenizer": made.get("pre_tokenizer"), "model": made["model"]["type"]}
+        if found != KIND:
+            raise ValueError(f"its ids can't be found word by word: {found}")
+
     def forget(self) -> None:
         self.words, self.flat, self.starts, self.met = pa.array([], pa.large_string()), np.empty(0, np.int32), np.zeros(1, np.int32), np.empty(0, np.int32)
         self.keys, self.rows = np.empty(0, np.uint64), np.empty(0, np.int64)  # hashes of the words, ascending, and their places

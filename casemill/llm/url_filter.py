@@ -9,8 +9,6 @@ from casemill.llm.shared import LOWER, UPPER, materialize, n_partitions, small
 
 #: Hex digits of the digest that the join uses; the full digest is compared after it.
 PREFIX = 8
-#: The longest path that a rule may have: it bounds the number of path lengths that are tried.
-RULE_PATH = 2_048
 #: What a url that no rule fits gets.
 DEFAULT = "allow"
 
@@ -40,16 +38,19 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     their first hex digits; equal prefixes are then confirmed on the full digests. Rules are broadcast
     if they are few, else the short digests are shuffled.
 
-    A null url, and one without "://", has an empty host and path, which no rule fits. Rules with a null
-    field or a path of more than RULE_PATH characters are refused. Rules given twice count once. Columns
-    of pages other than the two aren't read.
+    A null url, and one without "://", has an empty host and path, which no rule fits. Very long urls and rules are
+    compared whole. Rules with a null field are refused. Rules given twice count once, and without rules every url gets
+    the default. Repeated pages are judged each, and an empty table gives an empty result. Columns of pages
+    other than the two aren't read.
     """
     digest = lambda host, path: F.sha2(F.concat(host, F.lit("\n"), path), 256)
-    fails = F.col("host").isNull() | F.col("path").isNull() | F.col("verdict").isNull() | (F.length("path") > RULE_PATH)
+    fails = F.col("host").isNull() | F.col("path").isNull() | F.col("verdict").isNull()
     rules = rules.select(
-        F.when(fails, F.raise_error(F.lit("a rule lacks a field or its path is too long"))).otherwise(F.translate("host", UPPER, LOWER)).alias("rule_host"), F.col("path").alias("rule_path"), "verdict"
+        F.when(fails, F.raise_error(F.lit("a rule lacks a field"))).otherwise(F.translate("host", UPPER, LOWER)).alias("rule_host"), F.col("path").alias("rule_path"), "verdict"
     ).distinct()
-    lengths = sorted(r[0] for r in rules.select(F.length("rule_path")).distinct().collect())  # RULE_PATH + 1 values at most
+    # So many different lengths need rules of half their square of characters: a gigabyte of rules has 45,000 at most.
+    lengths = sorted(r[0] for r in rules.select(F.length("rule_path")).distinct().collect())
+    tried = F.split(F.lit(",".join(map(str, lengths))), ",").cast("array<int>") if lengths else F.array().cast("array<int>")
     table = materialize(rules.withColumn("rule_digest", digest(F.col("rule_host"), F.col("rule_path"))).withColumn("key", F.substring("rule_digest", 1, PREFIX)), "rules")
 
     host, path = url_parts(F.col(url_col))
@@ -61,7 +62,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     different = asked.select("host", "path").repartition(n, "host", "path").distinct()
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
-    prefixes = F.transform(F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
+    prefixes = F.transform(F.filter(tried, lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
     expressions = (
         different.select("host", "path", F.explode(suffixes).alias("suffix"))
         .select("host", "path", "suffix", F.explode(prefixes).alias("prefix"))
