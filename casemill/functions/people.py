@@ -71,6 +71,14 @@ def judges(metadata: Column) -> Column:
     return _texts(_inside(F.try_parse_json(metadata), "$.Corams.Coram"))
 
 
+def coram(metadata: Column, hit: Column) -> Column:
+    """The judges' names, by the metadata or else by the search hit's list of texts."""
+    listed = F.try_variant_get(F.try_parse_json(hit), "$.corams", "array<variant>")
+    found = F.filter(F.transform(listed, lambda x: F.when(_kind(x) == "STRING", F.try_variant_get(x, "$", "string"))), lambda x: x.isNotNull())
+    named = judges(metadata)
+    return F.when(F.size(named) > 0, named).otherwise(F.coalesce(found, F.array().cast("array<string>")))
+
+
 def parties(metadata: Column) -> Column:
     """name and role of each party."""
 

@@ -10,6 +10,7 @@ import re
 import string
 from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import ahocorasick
 import pyarrow as pa
@@ -269,6 +270,47 @@ def find_spans(text: str, aliases: Aliases | dict[str, tuple[str, str]]) -> list
     return sorted(kept + pins, key=lambda s: s["start"])
 
 
+@dataclass
+class Said:
+    """The last case, act and rules that a case has come to: short names, or else titles."""
+
+    case: str | None = None
+    act: str | None = None
+    rules: str | None = None
+
+    def read(self, spans: list[dict]) -> list[dict]:
+        """One paragraph's spans in order, bare ones filled in. Pins take what the paragraph's other references end with."""
+        for s in sorted(spans, key=lambda s: (s["family"] == "pin", s["start"])):
+            said = s.get("alias") or s.get("name")
+            if s["family"] == "pin":
+                if self.case is not None:
+                    s |= {"kind": "case", "alias": self.case}
+            elif said is None:
+                if s["kind"] in ("provision", "rule"):
+                    s["alias"] = self.rules if s["kind"] == "rule" else self.act
+            elif s["kind"] == "case":
+                self.case = said
+            elif s["kind"] in ("act", "provision"):
+                self.act = said
+            elif s["kind"] == "rule":
+                self.rules = said
+        return spans
+
+
+SPANS = pa.schema([
+    ("case_id", pa.int64()), ("paragraph_id", pa.int64()), ("ordinal", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), *((c, pa.string()) for c in TEXTS), ("provisions", pa.list_(pa.string())), ("pins", pa.list_(pa.int32())),
+])
+
+
+def span_rows(case: int | None, paragraph: int | None, ordinal: int | None, text: str, spans: list[dict]) -> list[dict]:
+    """The spans of a paragraph as rows of SPAN_SCHEMA."""
+    return [{"case_id": case, "paragraph_id": paragraph, "ordinal": ordinal, "quoted": text[s["start"] : s["end"]].strip(), "provisions": [], "pins": []} | s for s in spans]
+
+
+def span_batch(rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in SPANS], schema=SPANS)
+
+
 def extract_aliases(paragraphs: DataFrame) -> DataFrame:
     """case_id, short_name, expanded, kind: of each case the first definition of a name. paragraphs: case_id, id, ordinal, content.
 
@@ -289,36 +331,44 @@ def extract_aliases(paragraphs: DataFrame) -> DataFrame:
     return found.groupBy("case_id", "short_name").agg(first).select("case_id", "short_name", "f.expanded", "f.kind")
 
 
-def extract_spans(paragraphs: DataFrame, aliases: DataFrame) -> DataFrame:
-    """The references of each paragraph (SPAN_SCHEMA), with what bare ones mean by the state of their case.
-
-    A provision without an instrument takes the last act of the case, a rule the last rules; bare pins take the last case, or
-    the judgment itself if there was none, as of the end of their paragraph's other references. What is taken is the short name,
-    or else the title, and stands in the column alias: it resolves only if the case defines such a name. References with
-    neither, like citations without a title, change nothing.
-    """
+def find_in(paragraphs: DataFrame, aliases: DataFrame) -> DataFrame:
+    """The references of each paragraph (SPAN_SCHEMA) as its text has them, for tables and streams of paragraphs."""
     known = aliases.groupBy(F.col("case_id").alias("a_case")).agg(F.map_from_entries(F.collect_list(F.struct("short_name", F.struct("expanded", "kind")))).alias("aliases"))
     # Dealt by case before the join, to as many tasks as there are: Spark would put so few bytes into one.
     joined = spread(paragraphs.filter("content IS NOT NULL").select("case_id", "id", "ordinal", "content"), "case_id").join(known, F.col("case_id") == F.col("a_case"), "left")
-    schema = pa.schema([
-        ("case_id", pa.int64()), ("paragraph_id", pa.int64()), ("ordinal", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), *((c, pa.string()) for c in TEXTS), ("provisions", pa.list_(pa.string())), ("pins", pa.list_(pa.int32())),
-    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         case, known = None, None
         for b in batches:
-            columns = {n: [] for n in schema.names}
+            rows: list[dict] = []
             for c, i, o, t, al in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                if known is None or c != case:  # the join leaves a case's paragraphs together
+                if known is None or c != case:  # a case's paragraphs come together
                     case, known = c, Aliases({k: (v["expanded"], v["kind"]) for k, v in al or ()})
-                for s in find_spans(t, known):
-                    row = {"case_id": c, "paragraph_id": i, "ordinal": o, "quoted": t[s["start"] : s["end"]], "provisions": [], "pins": []} | s
-                    for n, values in columns.items():
-                        values.append(row.get(n))
-            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
-
-    spans = joined.select("case_id", "id", "ordinal", "content", "aliases").mapInArrow(run, SPAN_SCHEMA)
-    return in_context(spans)
+                rows += span_rows(c, i, o, t, find_spans(t, known))
+            yield span_batch(rows)
+
+    return joined.select("case_id", "id", "ordinal", "content", "aliases").mapInArrow(run, SPAN_SCHEMA)
+
+
+def extract_spans(paragraphs: DataFrame, aliases: DataFrame) -> DataFrame:
+    """The references of each paragraph (SPAN_SCHEMA), with what bare ones mean by the state of their case.
+
+    A provision without an instrument takes the last act of the case, a rule the last rules; bare pins take the last case, or
+    the judgment itself if there was none, as of the end of their paragraph's other references. What is taken is the short name,
+    or else the title, and stands in the column alias: it resolves only if the case defines such a name. References with
+    neither, like citations without a title, change nothing.
+    """
+    return in_context(find_in(paragraphs, aliases))
+
+
+def case_spans(case: int | None, paragraphs: list[tuple[int | None, int | None, str | None]]) -> list[dict]:
+    """The references of one whole case, whose paragraphs (id, ordinal, content) are in order: aliases, spans and state in one walk."""
+    known: dict[str, tuple[str, str]] = {}
+    for _, _, text in paragraphs:
+        for short, expanded, kind, _ in alias_definitions(text or ""):
+            known.setdefault(short, (expanded, kind))
+    aliases, said = Aliases(known), Said()
+    return [row for i, o, text in paragraphs if text is not None for row in span_rows(case, i, o, text, said.read(find_spans(text, aliases)))]
 
 
 def in_context(spans: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casemill.operators.storage import written
+
 
 def ordered(rows: DataFrame, order: list[Column], limit: int | None = None) -> DataFrame:
     """In that order; without a limit, all rows."""
@@ -103,3 +105,12 @@ def status_text(status: Column, expected: Column, extracted: Column) -> Column:
 def filled_of_first(rows: DataFrame, order: list[Column], limit: int, text: str) -> DataFrame:
     """Rows with a text among the first ones in order: blank ones use up the limit."""
     return rows.orderBy(*order).limit(limit).filter(not_blank(text))
+
+
+def first_rows(rows: DataFrame, order: list[Column], limit: int) -> DataFrame:
+    """The first rows in an order, as many as the limit says, however large it is: rows are counted by range partitions with offsets."""
+    ranged = written(rows.repartitionByRange(*order).withColumn("part_no", F.spark_partition_id()), "ranged")
+    nth = F.row_number().over(Window.partitionBy("part_no").orderBy(*order))
+    sizes = ranged.groupBy("part_no").agg(F.count(F.lit(1)).alias("size"))
+    before = sizes.select("part_no", F.coalesce(F.sum("size").over(Window.orderBy("part_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return ranged.withColumn("nth", nth).join(before, "part_no").filter(F.col("nth") + F.col("before") <= limit).select(*rows.columns)

@@ -62,3 +62,9 @@ def islands(rows: DataFrame, keys: list[str], order: list[str], opens: Column, t
 def renumbered(rows: DataFrame, keys: list[str], order: list[str], name: str = "ordinal") -> DataFrame:
     """Ordinals from 1 without gaps."""
     return rows.withColumn(name, F.row_number().over(_before(keys, order)))
+
+
+def report_counts(state: str, states: tuple[str, ...]) -> dict[str, Column]:
+    """A stage's counters as aggregates: total, one for each state, and other for what is none of them. For storage.observed()."""
+    counts = {"total": F.count(F.lit(1))} | {s: F.count_if(F.coalesce(F.col(state) == s, F.lit(False))) for s in states}
+    return counts | {"other": F.count_if(~F.coalesce(F.col(state).isin(*states), F.lit(False)))}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 #: Spark's estimate of what it knows nothing about is beyond this.
@@ -35,6 +35,13 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, tag: str, **counts: Column) -> tuple[DataFrame, dict]:
+    """df as a table in shared storage, and named aggregates of its rows that were taken while it was written: no second pass, and one job."""
+    seen, path = Observation(), new_folder(df.sparkSession, tag)
+    df.observe(seen, *(c.alias(n) for n, c in counts.items())).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), dict(seen.get)
+
+
 def n_tasks(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
@@ -53,7 +60,10 @@ def spread(rows: DataFrame, *keys: str) -> DataFrame:
 
     Without keys nothing is shuffled if the input has as many splits as there are tasks already; with keys there are as many parts as the input has splits, or more.
     """
-    splits, tasks = n_splits(rows), n_tasks(rows.sparkSession)
+    tasks = n_tasks(rows.sparkSession)
+    if rows.isStreaming:
+        return rows.repartition(tasks, *keys)
+    splits = n_splits(rows)
     if not keys and splits >= tasks:
         return rows
     return rows.repartition(max(splits, tasks), *keys)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casemill.operators.queue import first_rows
+from casemill.operators.storage import written
+
 TOKENS = 8_000
 
 
@@ -63,18 +66,74 @@ def counts_from_levels(nodes: DataFrame, document: str) -> DataFrame:
     return slim.groupBy("d").applyInArrow(run, f"{document} long, ordinal long, level int, descendant_count long, parent_ordinal long")
 
 
+def _covered(nodes: DataFrame, document: str, tops: DataFrame) -> DataFrame:
+    """The nodes of the subtrees of tops (document, top, last), which don't overlap, with top: the last top at or before a node, if its subtree reaches that far."""
+    marks = tops.select(F.col(document).alias("m_doc"), F.col("top").alias("m_top"), F.col("last").alias("m_last"))
+    joined = nodes.join(tops.select(F.col(document).alias("d_doc")).distinct(), F.col(document) == F.col("d_doc"), "left_semi")
+    joined = joined.join(marks, (F.col(document) == F.col("m_doc")) & (F.col("ordinal") == F.col("m_top")), "left")
+    before = Window.partitionBy(document).orderBy("ordinal").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = F.last(F.when(F.col("m_top").isNotNull(), F.struct("m_top", "m_last")), ignorenulls=True).over(before)
+    return joined.withColumn("near", near).filter(F.col("ordinal") <= F.col("near.m_last")).withColumn("top", F.col("near.m_top")).drop("m_doc", "m_top", "m_last", "near")
+
+
+def covered_text(nodes: DataFrame, document: str, tops: DataFrame, text: str = "text", joint: str = "\n\n") -> DataFrame:
+    """document, top, text: the texts of subtrees that don't overlap, each node's text moved once."""
+    ordered = F.array_sort(F.collect_list(F.when(F.col(text).isNotNull(), F.struct("ordinal", F.col(text).alias("t")))))
+    return _covered(nodes, document, tops).groupBy(document, "top").agg(F.array_join(F.transform(ordered, lambda x: x["t"]), joint).alias("text"))
+
+
 def token_units(nodes: DataFrame, document: str, tokens: Column, budget: int = TOKENS) -> DataFrame:
     """The units of each section root that fit the budget: a subtree that is too large gives way to its children's.
 
     A node is a unit if its subtree fits, has text and no vector yet, and all nodes above it, up to the root, don't fit and
     have text and no vector. tokens counts those of a column text.
+
+    Sections don't stand within sections. The descent goes level by level, from the roots to the children of what doesn't fit, so that a text is made for nodes that are
+    reached only, and no node's text moves more than once a level. There are as many rounds as what is too large is deep;
+    each round's nodes are written.
+    """
+    fresh = nodes.filter(~F.coalesce(F.col("embedded"), F.lit(False)))
+    reach = lambda rows, root: rows.select(document, root.alias("root"), F.col("ordinal").alias("top"), (F.col("ordinal") + F.col("descendant_count")).alias("last"))
+    tops = written(reach(section_roots(nodes, document).filter(~F.coalesce(F.col("embedded"), F.lit(False))), F.col("ordinal")), "tops")
+    units = None
+    while units is None or not tops.isEmpty():
+        texts = covered_text(nodes, document, tops).withColumnsRenamed({document: "t_doc", "top": "t_top"})
+        sized = tops.join(texts, (F.col(document) == F.col("t_doc")) & (F.col("top") == F.col("t_top"))).filter(F.length(F.trim("text")) > 0)
+        sized = written(sized.withColumn("n_tokens", tokens).select(document, "root", "top", "n_tokens", F.when(F.col("n_tokens") <= budget, F.col("text")).alias("text")), "units")
+        fitting = sized.filter("text IS NOT NULL").select(document, "root", F.col("top").alias("ordinal"), "n_tokens", "text")
+        units = fitting if units is None else units.unionByName(fitting)
+        split = sized.filter("text IS NULL").select(F.col(document).alias("s_doc"), "root", F.col("top").alias("s_top"))
+        inner = fresh.join(split, (F.col(document) == F.col("s_doc")) & (F.col("parent_ordinal") == F.col("s_top")))
+        tops = written(reach(inner, F.col("root")), "tops")
+    return units
+
+
+def with_vectors(nodes: DataFrame, document: str, units: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Nodes with the vectors of their units (document, ordinal, embedding) and the texts that these were made of; other nodes keep what they have.
+
+    units: of token_units. A vector without a unit changes nothing.
+    """
+    made = units.select(document, "ordinal", F.col("text").alias("u_text")).join(vectors.select(document, "ordinal", F.col("embedding").alias("u_vector")), [document, "ordinal"])
+    made = made.withColumnsRenamed({document: "u_doc", "ordinal": "u_ordinal"})
+    joined = nodes.join(made, (F.col(document) == F.col("u_doc")) & (F.col("ordinal") == F.col("u_ordinal")), "left")
+    return joined.withColumns({"embedding": F.coalesce("u_vector", "embedding"), "embedding_text": F.coalesce("u_text", "embedding_text")}).select(*nodes.columns)
+
+
+def sections_to_classify(nodes: DataFrame, document: str, order: list[Column], limit: int | None = None) -> DataFrame:
+    """The sections that a classifier is to see: document, ordinal, text, previous_text.
+
+    nodes: the trees of current versions, with role (null if there is none yet) and text. A section is a section root; its text is that of its subtree, and
+    previous_text that of the section before it in its document, whether that one is classified or not, empty for the first. Those with a role, and those
+    without text, are left out. With a limit the first ones stay, documents being in the given order (of columns that each document has
+    one value of) and sections by ordinal: the limit may end within a document.
+
+    Sections are counted by range partitions with offsets, so that no task sees all of them.
     """
-    roots = section_roots(nodes, document).select(F.col(document).alias("s_doc"), F.col("ordinal").alias("root"), (F.col("ordinal") + F.col("descendant_count")).alias("root_last"))
-    inside = nodes.join(roots, (nodes[document] == roots["s_doc"]) & nodes["ordinal"].between(roots["root"], roots["root_last"])).drop("s_doc", "root_last")
-    texts = subtree_text(nodes, document).withColumnsRenamed({document: "t_doc", "root_ordinal": "t_ordinal", "text": "unit_text"})
-    sized = inside.join(texts, (F.col(document) == F.col("t_doc")) & (F.col("ordinal") == F.col("t_ordinal"))).drop("t_doc", "t_ordinal", "text").withColumnRenamed("unit_text", "text")
-    sized = sized.withColumn("n_tokens", tokens).withColumn("open", (F.length(F.trim("text")) > 0) & ~F.coalesce(F.col("embedded"), F.lit(False)))
-    above = sized.select(F.col(document).alias("a_doc"), F.col("root").alias("a_root"), F.col("ordinal").alias("a_ordinal"), (F.col("ordinal") + F.col("descendant_count")).alias("a_last"), (F.col("open") & (F.col("n_tokens") > budget)).alias("split"))
-    joined = sized.join(above, (F.col(document) == F.col("a_doc")) & (F.col("root") == F.col("a_root")) & (F.col("a_ordinal") < F.col("ordinal")) & (F.col("ordinal") <= F.col("a_last")), "left")
-    kept = joined.groupBy(document, "root", "ordinal").agg(F.first("text").alias("text"), F.first("n_tokens").alias("n_tokens"), F.first("open").alias("open"), F.bool_and("split").alias("reached"))
-    return kept.filter(F.col("open") & (F.col("n_tokens") <= budget) & F.coalesce("reached", F.lit(True))).select(document, "root", "ordinal", "n_tokens", "text")
+    roots = section_roots(nodes, document)
+    texts = covered_text(nodes, document, roots.select(document, F.col("ordinal").alias("top"), (F.col("ordinal") + F.col("descendant_count")).alias("last"))).withColumnsRenamed({document: "x_doc", "text": "x_text"})
+    rows = roots.drop("text").join(texts, (F.col(document) == F.col("x_doc")) & (F.col("ordinal") == F.col("top"))).withColumnRenamed("x_text", "text").drop("x_doc", "top")
+    before = F.lag("text", 1, "").over(Window.partitionBy(document).orderBy("ordinal"))
+    due = rows.withColumn("previous_text", before).filter(F.col("role").isNull() & F.col("text").rlike(r"\S"))
+    if limit is not None:
+        due = first_rows(due, [*order, F.col(document), F.col("ordinal")], limit)
+    return due.select(document, "ordinal", "text", "previous_text")

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from casemill.functions import people, scalars
+from casemill.functions import people, scalars, tables, urls
 from casemill.operators import citations, html, knowledge, labels, queue, references, relations, snapshots, tree
-from casemill.operators.storage import new_folder, written
+from casemill.operators.storage import new_folder, observed, written
+from casemill.plans import pipelines
+from casemill.streaming import discourse, stores
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -194,6 +196,34 @@ def subtree_text(spark, sf_dir):
     return tree.subtree_text(_turns(spark, sf_dir), "conv_id", F.col("level") == 1)
 
 
+def _sections(spark, sf_dir):
+    """The same as sections, each with the turns that follow it as subsections."""
+    turns = _turns(spark, sf_dir)
+    last = F.max(F.when(F.col("level") == 1, F.col("ordinal"))).over(Window.partitionBy("conv_id").orderBy("ordinal"))
+    return turns.withColumns({"parent_ordinal": F.when(F.col("level") == 2, last), "kind": F.when(F.col("level") == 1, "section").otherwise("subsection")})
+
+
+_SECTIONS = _TREE + """, s AS (SELECT *, max(CASE WHEN level = 1 THEN ordinal END) OVER (PARTITION BY conv_id ORDER BY ordinal) AS root FROM n),
+x AS (SELECT conv_id, root AS ordinal, string_agg(text, chr(10) || chr(10) ORDER BY ordinal) AS text FROM s WHERE root IS NOT NULL GROUP BY 1, 2) """
+
+
+@query(_SECTIONS + """, y AS (SELECT *, len(regexp_extract_all(text, '\\S+')) AS words, ordinal % 5 = 0 AS embedded FROM x),
+z AS (SELECT s.conv_id, s.root, s.ordinal, s.text, len(regexp_extract_all(s.text, '\\S+')) AS words FROM s JOIN y ON s.conv_id = y.conv_id AND s.root = y.ordinal AND s.level = 2 WHERE y.words > 40 AND NOT y.embedded AND s.ordinal % 5 <> 0)
+SELECT conv_id, ordinal AS root, ordinal, words AS n_tokens, text FROM y WHERE words <= 40 AND NOT embedded AND trim(text) <> '' UNION ALL SELECT conv_id, root, ordinal, words, text FROM z WHERE words <= 40 AND trim(text) <> ''""")
+def embedding_units(spark, sf_dir):
+    """The largest subtrees of sections that fit a budget of words, by a descent that makes only the texts it reaches."""
+    nodes = _sections(spark, sf_dir).withColumn("embedded", F.col("ordinal") % 5 == 0)
+    return tree.token_units(nodes, "conv_id", F.regexp_count("text", F.lit(r"\S+")), 40).withColumn("n_tokens", F.col("n_tokens").cast("long"))
+
+
+@query(_SECTIONS + """, y AS (SELECT *, lag(text, 1, '') OVER (PARTITION BY conv_id ORDER BY ordinal) AS previous_text FROM x)
+SELECT conv_id, ordinal, text, previous_text FROM y WHERE ordinal % 3 <> 0 AND trim(text) <> '' QUALIFY row_number() OVER (ORDER BY conv_id % 7, conv_id, ordinal) <= 33""")
+def section_job(spark, sf_dir):
+    """Sections that a classifier is to see, each with the text of the one before, up to a limit over all documents."""
+    nodes = _sections(spark, sf_dir).withColumn("role", F.when(F.col("ordinal") % 3 == 0, 1))
+    return tree.sections_to_classify(nodes, "conv_id", [F.col("conv_id") % 7], 33)
+
+
 @query(_TREE + """SELECT conv_id, ordinal, level, descendant_count, CASE WHEN level = 2 THEN max(CASE WHEN level = 1 THEN ordinal END) OVER (PARTITION BY conv_id ORDER BY ordinal) END AS parent_ordinal FROM n""")
 def nested_set(spark, sf_dir):
     """Descendant counts and parents by levels alone."""
@@ -855,6 +885,34 @@ def late_references(spark, sf_dir):
     return _listed(store.references()).select("case_id", "paragraph_id", "kind", "pins", "target_case", "target_paragraph")
 
 
+@query(_SPANS + """SELECT c AS case_id, (c * 10 + n)::BIGINT AS paragraph_id, kind, name, alias, neutral, pins, provisions FROM x""")
+def streamed_spans(spark, sf_dir):
+    """References of paragraphs that arrive in three parts: each part is a run of the stream, which goes on with the state of the last."""
+    paragraphs = written(_paragraphs(spark, sf_dir), "paragraphs")
+    folder = new_folder(spark, "stream")
+    citations.extract_aliases(paragraphs).write.parquet(f"{folder}/aliases")
+    for low, high in ((1, 2), (3, 4), (5, 1_000_000)):
+        paragraphs.filter(F.col("ordinal").between(low, high)).write.mode("append").parquet(f"{folder}/paragraphs")
+        discourse.stream_spans(spark, f"{folder}/paragraphs", f"{folder}/aliases", f"{folder}/spans", f"{folder}/checkpoint")
+    return _listed(spark.read.schema(citations.SPAN_SCHEMA).parquet(f"{folder}/spans")).select("case_id", "paragraph_id", "kind", "name", "alias", "neutral", "pins", "provisions")
+
+
+@query(_SPANS + """SELECT c AS case_id, (c * 10 + n)::BIGINT AS paragraph_id, kind, name, alias, neutral, pins, provisions FROM x""")
+def table_function_spans(spark, sf_dir):
+    """The same by a table function in SQL text: aliases, spans and state of a case in one walk, with one shuffle."""
+    tables.register(spark)
+    _paragraphs(spark, sf_dir).createOrReplaceTempView("case_paragraphs")
+    return _listed(spark.sql("SELECT * FROM citation_spans(TABLE(case_paragraphs) PARTITION BY case_id ORDER BY ordinal)")).select("case_id", "paragraph_id", "kind", "name", "alias", "neutral", "pins", "provisions")
+
+
+@query(_STATUTES + """SELECT doc::BIGINT AS doc, ordinal::INT AS ordinal, level::INT AS level, kind, citation, content, parent::INT AS parent_ordinal FROM t""")
+def table_function_tree(spark, sf_dir):
+    """Provision trees by a table function in SQL text."""
+    tables.register(spark)
+    _statutes(spark, sf_dir).createOrReplaceTempView("statute_pages")
+    return spark.sql("SELECT key AS doc, ordinal, level, kind, citation, content, parent_ordinal FROM provision_tree(TABLE(statute_pages))")
+
+
 @query("""SELECT c_custkey, 'Person A' || c_custkey AS name, CASE WHEN c_custkey % 2 = 0 THEN 'plaintiff' END AS role FROM customer UNION ALL SELECT c_custkey, 'Company B', CASE WHEN c_custkey % 2 = 0 THEN 'plaintiff' END FROM customer WHERE c_custkey % 2 = 0""")
 def party_rows(spark, sf_dir):
     """Parties in metadata of two shapes."""
@@ -950,3 +1008,87 @@ def review_flags(spark, sf_dir):
     some = lambda c: F.when(F.col(c) % 3 > 0, F.col(c) % 3)
     rows = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "success").otherwise("error").alias("fetch"), some("o_orderkey").alias("expected"), some("o_custkey").alias("extracted"))
     return knowledge.fetch_state(rows, "fetch", "expected", "extracted").select("o_orderkey", "needs_review")
+
+
+@query("""WITH c AS (SELECT *, c_custkey % 4 AS k, c_custkey % 7 = 0 AS had FROM customer),
+j AS (SELECT c_custkey AS id, unnest(CASE k WHEN 0 THEN ['Tay', 'Lim Bo'] WHEN 1 THEN ['Ang ' || c_nationkey] ELSE ['Ong'] END) AS name, unnest(CASE k WHEN 0 THEN ['CJ', NULL] WHEN 1 THEN ['J'] ELSE ['JC'] END) AS title FROM c WHERE k < 3),
+p AS (SELECT c_custkey AS id, c_name AS name, 'plaintiff' AS role FROM c UNION ALL SELECT c_custkey, 'Bank ' || c_nationkey, 'defendant' FROM c),
+n AS (SELECT c_custkey AS id, 'Ann Lee SC' AS name, 'plaintiff' AS represents FROM c WHERE k = 2),
+js AS (SELECT *, row_number() OVER (ORDER BY name, title NULLS FIRST) + 1 AS key FROM (SELECT DISTINCT name, title FROM j WHERE name <> 'Ong')), ps AS (SELECT *, row_number() OVER (ORDER BY name) AS key FROM (SELECT DISTINCT name FROM p))
+SELECT 'judge' AS who, id, CASE WHEN j.name = 'Ong' THEN 1 ELSE js.key END::BIGINT AS key, j.title AS what FROM j LEFT JOIN js ON j.name = js.name AND j.title IS NOT DISTINCT FROM js.title
+UNION ALL SELECT 'party', id, ps.key, role FROM p JOIN ps USING (name) UNION ALL SELECT 'counsel', id, 1, represents FROM n""")
+def promoted_people(spark, sf_dir):
+    """Judges, parties and counsel of promoted cases, with the next keys for new names: judges of the metadata, or else of the search hit; one judge and one case of theirs are stored already."""
+    customers = table(spark, sf_dir, "customer")
+    k, nation = F.col("c_custkey") % 4, F.col("c_nationkey").cast("string")
+    corams = F.when(k == 0, F.lit('"Corams": {"Coram": [{"content": "Tay  CJ"}, "Lim Bo", ["x"], "Tay CJ"]}, ')).otherwise("")
+    sides = F.when(k == 2, F.lit('"Counsels": {"Counsel": "Ann Lee SC (Lee LLP) for the plaintiff. The defendant absent."}, ')).otherwise("")
+    metadata = F.concat(F.lit("{"), corams, sides, F.lit('"Parties": {"Party": [{"Role": "plaintiff", "Name": "'), F.col("c_name"), F.lit('"}, {"Role": "defendant", "Party": ["Bank '), nation, F.lit('", "Bank '), nation, F.lit('"]}]}}'))
+    hit = F.when(k == 1, F.concat(F.lit('{"corams": ["Ang '), nation, F.lit(' J", 7, {"content": "no"}]}'))).when(k == 2, F.lit('{"corams": ["Ong JC"]}')).otherwise(F.lit('{"corams": []}'))
+    cases = customers.select(F.col("c_custkey").alias("id"), F.lit("SGHC").alias("court"), metadata.alias("metadata"), hit.alias("hit"))
+    stored = {name: spark.createDataFrame([], schema) for name, schema in pipelines.PEOPLE.items()}
+    stored["judges"] = spark.createDataFrame([(1, "Ong", "JC")], pipelines.PEOPLE["judges"])
+    stored["case_judges"] = cases.filter("id % 4 = 2 AND id % 7 = 0").select(F.col("id").alias("case_id"), F.lit(1).cast("long").alias("judge_id"))
+    found = pipelines.promote_people(cases, stored)
+    titles = found["judges"].select(F.col("id").alias("judge_id"), F.col("title").alias("what"))
+    parts = [found["case_judges"].join(titles, "judge_id").select(F.lit("judge").alias("who"), F.col("case_id").alias("id"), F.col("judge_id").alias("key"), "what"), found["case_parties"].select(F.lit("party"), "case_id", "party_id", "role"), found["case_counsel"].select(F.lit("counsel"), "case_id", "counsel_id", "represents")]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("""WITH n AS (SELECT p_partkey AS id, p_size, p_partkey % 5 = 0 AS old, p_partkey % 4 <> 1 AS cur, p_partkey % 7 = 3 AS stray, p_partkey % 9 = 4 AS fewer FROM part),
+d AS (SELECT *, row_number() OVER (ORDER BY 'http://sl/' || id) + (SELECT count(*) FROM n WHERE old) AS key FROM n WHERE cur AND NOT old AND NOT stray AND NOT fewer),
+a AS (SELECT p_size, row_number() OVER (ORDER BY 'http://act/' || p_size) + 1 AS act FROM (SELECT DISTINCT p_size FROM d WHERE p_size <> 1))
+SELECT d.key::BIGINT AS id, CASE WHEN d.p_size = 1 THEN 1 ELSE a.act END::BIGINT AS act_id, 'S ' || d.id AS number, unnest(['http://sl/' || d.id || '#q', 'http://sl/' || d.id || '#n2', 'http://sl/' || d.id || '#n3']) AS uri,
+unnest([NULL, 'http://sl/' || d.id || '#q', NULL]) AS parent_uri, unnest(['s ' || d.id, 's ' || d.id || '(a)', 'Sch']) AS citation FROM d LEFT JOIN a USING (p_size)""")
+def subsidiary_promotion(spark, sf_dir):
+    """Subsidiary legislation from its pages to provisions with addresses: current, complete and unchanged versions of instruments that aren't stored yet."""
+    key, number = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    stray = F.when(key % 7 == 3, F.lit('<div class="prov1"></div>')).otherwise("")
+    page = F.concat(
+        F.lit('<div class="legis"><div class="body"><div class="prov1" id="q"><table><tr><td class="prov1Txt"><strong>'), number, F.lit('.</strong> These Rules<table><tr><td class="p1No">(a)</td><td class="pTxt">apply</td></tr></table></td></tr></table></div></div>'), stray,
+        F.lit('<div class="tail"><div class="schedule"><table><tr><td class="sHdr">SCHEDULE</td></tr></table></div></div></div>'),
+    )
+    parts = table(spark, sf_dir, "part").select(
+        key.alias("id"), F.concat(F.lit("http://sl/"), number).alias("uri"), F.col("p_name").alias("title"), F.concat(F.lit("S "), number).alias("number"), F.to_date(F.lit("2001-02-03")).alias("valid_from"), F.concat(F.lit("http://act/"), F.col("p_size").cast("string")).alias("act_uri"),
+        F.lit("An Act").alias("act_title"), (key % 4 != 1).alias("is_current"), F.when(key % 9 == 4, 1).otherwise(2).alias("extracted"), F.lit(False).alias("promoted"), page.alias("html"),
+    )
+    before = labels.scheme(parts.filter("id % 5 = 0"), "uri").select((F.col("index") + 1).cast("long").alias("id"), F.lit(1).cast("long").alias("act_id"), "uri", F.lit("old").alias("title"), F.lit("S 0").alias("number"), F.to_date(F.lit("2000-01-01")).alias("date"))
+    acts = spark.createDataFrame([(1, "http://act/1", "Known")], "id long, uri string, title string")
+    none = spark.createDataFrame([], "subsidiary_legislation_id long, ordinal int, kind string, citation string, content string, uri string, parent_uri string")
+    done = pipelines.promote_subsidiary(parts.drop("html"), pipelines.parse_acts(parts.select("id", "html")), acts, before, none)
+    rows = done["provisions"].join(done["subsidiary"].select(F.col("id").alias("subsidiary_legislation_id"), "act_id", "number"), "subsidiary_legislation_id")
+    return rows.select(F.col("subsidiary_legislation_id").alias("id"), "act_id", "number", "uri", "parent_uri", "citation")
+
+
+@query("""SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'http://h/x/' || page_id WHEN 1 THEN 'http://h/a/c' || page_id || '?q=1' WHEN 2 THEN 'http://h/a/b/d?x=' || page_id WHEN 3 THEN 'http://h/a/b/d?k=v#f' || page_id WHEN 4 THEN 'http://o/p' || page_id ELSE 'http://h/' || page_id || '/' END AS address,
+'http://h/a/b/d?k=' || page_id || '%2F%C3%A9+x&m=' AS merged FROM pages""")
+def addresses(spark, sf_dir):
+    """What relative references mean, and parameters merged and encoded."""
+    key = F.col("page_id").cast("string")
+    kinds = ["/y/.././x/", "../c", "?x=", "#f", "//o/p", "../../../"]
+    reference = F.concat(F.element_at(F.array(*map(F.lit, kinds)), (F.col("page_id") % 6 + 1).cast("int")), key, F.when(F.col("page_id") % 6 == 1, "?q=1").when(F.col("page_id") % 6 == 5, "/x/..").otherwise(""))
+    base = F.lit("http://h/a/b/d?k=v")
+    return table(spark, sf_dir, "pages").select("page_id", urls.joined(base, reference).alias("address"), urls.with_query(base, {"m": F.lit(""), "k": F.concat(key, F.lit("/é x"))}).alias("merged"))
+
+
+@query("""SELECT conv_id, role, count(*) AS turns, sum(coalesce(length(text), 0))::BIGINT AS points FROM conversations GROUP BY 1, 2""")
+def two_stores(spark, sf_dir):
+    """Micro-batches into two stores: turns into the first, what each batch adds to its conversations into the second. A stop between the stores is repaired."""
+    folder = new_folder(spark, "stores")
+    first = stores.Store(spark, f"{folder}/turns", {"turns": "conv_id long, role string, points long"})
+    second = stores.Store(spark, f"{folder}/sums", {"sums": "conv_id long, role string, turns long, points long"})
+    to_first = lambda batch: {"turns": batch.select(F.col("conv_id").cast("long").alias("conv_id"), "role", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("points"))}
+    to_second = lambda t: {"sums": t["turns"].groupBy("conv_id", "role").agg(F.count(F.lit(1)).alias("turns"), F.sum("points").alias("points"))}
+    turns = table(spark, sf_dir, "conversations")
+    for k in (0, 1):
+        turns.filter(F.col("turn") % 2 == k).write.mode("append").parquet(f"{folder}/in")
+        stores.apply_to_both(spark.readStream.schema(turns.schema).parquet(f"{folder}/in"), f"{folder}/checkpoint", first, second, to_first, to_second)
+    return second.table("sums").groupBy("conv_id", "role").agg(F.sum("turns").alias("turns"), F.sum("points").alias("points"))
+
+
+@query("""SELECT 'total' AS state, count(*) AS n FROM orders UNION ALL SELECT 'F', count(*) FILTER (o_orderstatus = 'F') FROM orders UNION ALL SELECT 'O', count(*) FILTER (o_orderstatus = 'O') FROM orders
+UNION ALL SELECT 'other', count(*) FILTER (o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O')) FROM orders""")
+def observed_counts(spark, sf_dir):
+    """A stage's counters, taken while its table is written."""
+    _, counts = observed(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "orders", **relations.report_counts("o_orderstatus", ("F", "O")))
+    return spark.createDataFrame(list(counts.items()), "state string, n long")

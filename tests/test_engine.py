@@ -1,6 +1,7 @@
 """Sources, snapshots, model jobs, streams and pipelines on small tables."""
 
 import json
+import random
 
 import pandas as pd
 import pytest
@@ -57,6 +58,43 @@ def test_token_units(spark):
     assert [r[2] for r in rows(tree.token_units(table, "doc", n, 6))] == [2, 4]
 
 
+def test_units_of_deep_trees_against_recursion(spark):
+    rng = random.Random(3)
+    nodes = []
+    for doc in range(12):
+        stack, size = [], rng.randint(1, 25)
+        for ordinal in range(1, size + 1):
+            level = rng.randint(1, min(len(stack) + 1, 4)) if stack else 1
+            stack = [*stack[: level - 1], ordinal]
+            kind = "section" if level == 1 and rng.random() < 0.9 else "schedule" if level == 1 else "point"
+            nodes.append([doc, ordinal, level, stack[-2] if level > 1 else None, 0, kind, rng.choice(["a", "b b b", "c " * 9, " ", "d d"]), rng.random() < 0.1])
+    for n in nodes:
+        later = [m for m in nodes if m[0] == n[0] and m[1] > n[1]]
+        n[4] = next((m[1] for m in later if m[2] <= n[2]), n[1] + len(later) + 1) - n[1] - 1
+    words = lambda t: len(t.split())
+
+    def units(n):
+        text = "\n\n".join(m[6] for m in nodes if m[0] == n[0] and n[1] <= m[1] <= n[1] + n[4])
+        if n[7] or not text.strip(" "):
+            return []
+        return [(n[0], n[1], words(text), text)] if words(text) <= 8 else [u for m in nodes if m[0] == n[0] and m[3] == n[1] for u in units(m)]
+
+    table = spark.createDataFrame(nodes, "doc long, ordinal int, level int, parent_ordinal int, descendant_count int, kind string, text string, embedded boolean")
+    got = tree.token_units(table, "doc", F.regexp_count("text", F.lit(r"\S+")), 8)
+    assert rows(got, "doc", "ordinal", "n_tokens", "text") == sorted((u for n in nodes if n[2] == 1 and n[5] == "section" for u in units(n)), key=repr)
+    vectors = got.select("doc", "ordinal", F.array(F.lit(1.0)).alias("embedding"))
+    kept = tree.with_vectors(table.withColumns({"embedding": F.lit(None).cast("array<double>"), "embedding_text": F.lit("old")}), "doc", got, vectors)
+    assert kept.count() == len(nodes) and rows(kept.filter("embedding IS NOT NULL"), "doc", "ordinal", "embedding_text") == rows(got, "doc", "ordinal", "text")
+
+
+def test_the_first_sections_over_all_documents(spark):
+    nodes = [(d, o, None, 0, "section", None if o == 3 else f"t{d}{o}", 1 if o == 2 else None) for d in (1, 2, 3) for o in (1, 2, 3, 4)]
+    table = spark.createDataFrame(nodes, "doc long, ordinal int, parent_ordinal int, descendant_count int, kind string, text string, role int")
+    got = tree.sections_to_classify(table, "doc", [F.desc("doc")], 3)
+    assert rows(got) == [(2, 1, "t21", ""), (3, 1, "t31", ""), (3, 4, "t34", "")]
+    assert tree.sections_to_classify(table, "doc", []).count() == 6 and tree.sections_to_classify(table, "doc", [], 0).count() == 0
+
+
 def test_models(spark):
     table = spark.createDataFrame([(1, "aa"), (2, " "), (3, "b")], "id long, text string")
     size = lambda: lambda texts: pd.Series([[float(len(t)), 1.0] for t in texts])
