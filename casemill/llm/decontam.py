@@ -199,7 +199,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, i
     A null or empty text has no windows: such documents are clean, and such items are never found. An item
     with fewer than WIDTH words is found in documents of just those words. Null ids are allowed; items without an id aren't
     listed, but found. Repeated rows are judged each; repeated items are one. Empty tables give all documents as clean, or no
-    rows. Other columns aren't read.
+    rows. Very long texts are searched whole. Other columns aren't read, and may have any names.
     """
     items = materialize(windows_of(benchmark, item_id_col, item_text_col), "items")
     items = materialize(items.select(F.col("id").alias("item_id"), F.col("window").alias("key"), F.col("slots").alias("item_slots"), F.col("at").alias("item_at"), "span").distinct(), "items")

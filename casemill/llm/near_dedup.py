@@ -201,7 +201,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     between components is missed, and a large group of copies costs a comparison for each, not for each pair.
     Registers are compared first, then the sets.
 
-    Null and empty texts, and texts of white space, have an empty set: they are linked with nothing. A null doc_id
+    Very long texts are taken whole, slice by slice of their words. Null and empty texts, and texts of white space, have an empty set: they are linked with nothing. A null doc_id
     can't be the smallest, unless the whole component has none; it is kept if it stands alone. Repeated rows
     are a class; all that carry the component's id are marked kept. An empty table gives an empty result.
     Other columns aren't read.

@@ -22,7 +22,7 @@ from casemill.llm.shared import materialize, n_partitions, new_path, running
 END = 2
 #: A shard is closed once it holds this many ids; it never splits a document. Compressing takes about 60 bytes of memory for each id.
 SHARD_IDS = 1_000_000
-#: Words whose ids a Python worker keeps at one time (about 60 bytes each).
+#: Words whose ids a Python worker keeps at one time (about 150 bytes each).
 CACHED = 1_000_000
 #: A pair that occurs so often, without overlapping itself, becomes a rule.
 LEAST = 2
@@ -300,20 +300,18 @@ class Encoder:
             raise ValueError(f"its ids can't be found word by word: {found}")
 
     def forget(self) -> None:
-        self.words, self.flat, self.starts, self.met = pa.array([], pa.large_string()), np.empty(0, np.int32), np.zeros(1, np.int32), np.empty(0, np.int32)
-        self.keys, self.rows = np.empty(0, np.uint64), np.empty(0, np.int64)  # hashes of the words, ascending, and their places
+        #: Known words, in the order of their places in the table of ids.
+        self.places: dict[str, int] = {}
+        self.flat, self.starts, self.met = np.empty(0, np.int32), np.zeros(1, np.int32), np.empty(0, np.int32)
 
-    def learn(self, missing: pa.Array, keys: np.ndarray, plain: list[bool]) -> None:
+    def learn(self, missing: list[str], plain: list[bool]) -> None:
         model, whole, spelt = self.tokenizer.model.tokenize, self.tokenizer.encode, self.spelt
         found = [
             [t.id for t in model(w if w.isascii() else w.encode().decode("latin-1").translate(spelt))] if p else whole(w, add_special_tokens=False).ids
-            for w, p in zip(words.strings(missing), plain, strict=True)
+            for w, p in zip(missing, plain, strict=True)
         ]
         ends = np.cumsum(np.fromiter(map(len, found), np.int32, len(found)), dtype=np.int32)
-        order = np.argsort(keys)
-        places = np.searchsorted(self.keys, keys[order])
-        self.keys, self.rows = np.insert(self.keys, places, keys[order]), np.insert(self.rows, places, len(self.words) + order)
-        self.words = pa.concat_arrays([self.words, missing])
+        self.places.update(zip(missing, range(len(self.places), len(self.places) + len(missing)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.flat) + ends])
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(ends[-1]))])
         self.met = np.concatenate([self.met, np.zeros(len(missing), np.int32)])
@@ -322,36 +320,27 @@ class Encoder:
         """Keeps the words that most slices met, CACHED / 2 at most."""
         kept = np.sort(np.argsort(-self.met, kind="stable")[: CACHED // 2])
         kept = kept[self.met[kept] > 1]
-        number = np.full(len(self.words), -1)
-        number[kept] = np.arange(len(kept))
-        still = number[self.rows] >= 0
-        self.keys, self.rows = self.keys[still], number[self.rows[still]]
-        ids = self.ids().take(pa.array(kept))
-        self.words, self.flat, self.starts, self.met = self.words.take(pa.array(kept)), ids.flatten().to_numpy(), ids.offsets.to_numpy(), self.met[kept] // 2
+        names, ids = list(self.places), self.ids().take(pa.array(kept))
+        self.places = {names[k]: place for place, k in enumerate(kept.tolist())}
+        self.flat, self.starts, self.met = ids.flatten().to_numpy(), ids.offsets.to_numpy(), self.met[kept] // 2
 
     def ids(self) -> pa.ListArray:
         """The ids of all known words."""
         return pa.ListArray.from_arrays(pa.array(self.starts), pa.array(self.flat))
 
     def look_up(self, different: pa.Array, plain: np.ndarray) -> np.ndarray:
-        """Places in the table of known words, to which new ones are added. Words are found by their hashes and compared."""
-        keys = words.hashes(different)
-        at = np.full(len(keys), -1)
-        if len(self.keys):
-            places = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            at = np.where(self.keys[places] == keys, self.rows[places], -1)
-            hit = np.flatnonzero(at >= 0)
-            other = pc.not_equal(self.words.take(pa.array(at[hit])), different.take(pa.array(hit))).to_numpy(zero_copy_only=False)
-            at[hit[other]] = -1
+        """Places in the table of known words, to which new ones are added."""
+        found = words.strings(different)
+        at = np.fromiter(map(self.places.get, found, repeat(-1)), np.int64, len(found))
         if len(new := np.flatnonzero(at < 0)):
-            at[new] = np.arange(len(self.words), len(self.words) + len(new))
-            self.learn(different.take(pa.array(new)), keys[new], plain[new].tolist())
+            at[new] = np.arange(len(self.places), len(self.places) + len(new))
+            self.learn([found[k] for k in new.tolist()], plain[new].tolist())
         self.met[at] += 1
         return at
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin."""
-        if len(self.words) > CACHED:
+        if len(self.places) > CACHED:
             self.shrink()
         begins, codes, different = words.split(texts, lower=False)
         parts = pc.extract_regex(different, self.PARTS)
@@ -381,7 +370,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
 
     Columns: part_no, shard_no (their order is that of the ids), path, n_docs, n_ids, start (ids in all
     earlier shards). Rows are range-partitioned by id, so each task writes its own run of documents.
-    A null text counts as empty: it has the end id only. Null ids come first. Rows with one id follow each
+    A null text counts as empty: it has the end id only. A very long text is encoded whole, and is one document of one shard. Null ids come first. Rows with one id follow each
     other, by the hash of their text. An empty table has no shards. Other columns aren't read. A task
     that runs twice writes files of other names; only those of the attempt that Spark accepts are listed.
     """

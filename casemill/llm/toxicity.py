@@ -211,7 +211,11 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tu
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Learns from the sample's words alone: neither ids nor labels nor other columns are inputs of a score."""
+    """Learns from the sample's words alone: neither ids nor labels nor other columns are inputs of a score.
+
+    Whole texts give counts, very long ones too; null texts give none. Of several texts of one id the one with the smallest digest counts, of
+    several labels the toxic one. Without labels nothing is learnt: every text then scores 0.
+    """
     texts, n_ordinary, n_toxic = sample(docs, labels, id_col, text_col)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +257,8 @@ def score(docs: DataFrame, model: Model | Broadcast, id_col: str = "doc_id", tex
 
     Features of a text are length-normalised log-likelihood ratios of both classes: of the whole text and of its
     likeliest stretches, by single words, by pairs and by stems. A null or empty text, and one without words, scores the
-    share of toxic labels. Null ids aren't held out. Repeated rows are scored each. An empty table gives an empty result.
+    share of toxic labels. Very long texts are scored whole. Null ids aren't held out. Repeated rows and ties are scored each alike. An empty
+    table gives an empty result. Other columns are returned if they are named in `keep`, and may have any names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(packed(model)) if isinstance(model, Model) else model
     others = [c for c in keep if c not in (id_col, text_col)]

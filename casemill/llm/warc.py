@@ -53,7 +53,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     Of rows with equal payloads of least_bytes or more, those with the smallest id are responses, the
     others revisits of it. A null payload is empty. A null id is larger than all others, and such rows are
     responses if no other row has their payload. Repeated rows with the smallest id are all responses. A null
-    url is left out; white space and control characters in urls are percent-encoded. An empty table gives no
+    url is left out; white space and control characters in urls are percent-encoded. A very long payload is one record, written whole. An empty table gives no
     archive. Other columns aren't read. A task that runs twice writes files of other names, and only those
     of the attempt that Spark accepts are listed.
 

@@ -1,6 +1,7 @@
 """The operators in DataFrame functions: exact dedup, URL filters, mixing."""
 
 import hashlib
+import re
 
 import duckdb
 import pytest
@@ -41,6 +42,25 @@ def test_exact_dedup_finds_all_among_many(spark):
     assert got.filter("kept").count() == len(first)
 
 
+def test_exact_dedup_meets_a_large_filter_slice_by_slice(spark, monkeypatch):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'hot', concat('t', id % 9000)) AS text")
+    whole = rows(exact_dedup.exact_dedup(docs))
+    monkeypatch.setattr(exact_dedup, "BROADCAST_BLOCKS", 3)  # the filter has 10 blocks
+    got = exact_dedup.exact_dedup(docs)
+    assert rows(got) == whole
+    plan = got._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("BroadcastHashJoin") >= 4 and "block" not in " ".join(re.findall(r"hashpartitioning\(([^)]*)", plan))
+
+
+def test_url_filter_with_rules_of_any_length(spark):
+    path = "/" + "d/" * 5_000
+    pages = spark.createDataFrame([(1, f"http://a.com{path}x"), (2, "http://a.com/d/"), (3, None)], "page_id long, url string")
+    rules = url_filter.rule_table(spark, [("block", "a.com", path), ("allow", "com", "/")])
+    assert rows(url_filter.filter_urls(pages, rules), "page_id", "verdict", "rule") == [(1, "block", f"a.com{path}"), (2, "allow", "com/"), (3, "allow", None)]
+    none = url_filter.filter_urls(pages, rules.limit(0), default="block")
+    assert rows(none, "page_id", "verdict", "rule") == [(1, "block", None), (2, "block", None), (3, "block", None)]
+
+
 def test_url_filter(spark):
     pages = [(1, "HTTP://www.Example.COM/en/x?q"), (2, "http://example.com/en"), (3, "http://a.b.net/es/"), (4, "http://net/fr/#x"), (5, None), (6, "no url"), (7, "http://com"), (8, "http://xcom/"), (8, "http://xcom/"), (None, "x://y.net/fr/z"), (10, "a://" + "l." * 40 + "com/" + "p" * 100_000), (11, "http://example.com/en/a://b.net/es/")]
     df = spark.createDataFrame([(*p, "h", "r") for p in pages], "page_id long, url string, host string, rule string")
