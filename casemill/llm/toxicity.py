@@ -125,9 +125,14 @@ def fit_sides(pairs: pa.Table) -> tuple[Side, Side, Side]:
     return (Side(vocabulary, ratio(word_t, word_o), float(np.log(max(rest_t, 1e-300) / max(rest_o, 1e-300)))), Side(keys[order], ratio(pair_t, pair_o)[order], np.nan), Side(contexts, ratio(back_t, back_o), 0.0))
 
 
-def fit_model(pairs: pa.Table) -> Model:
-    """The model of counted pairs of words, and of their stems (rows whose column stem is true)."""
-    return Model(*fit_sides(pairs.filter(pc.invert(pairs["stem"]))), fit_sides(pairs.filter(pairs["stem"]))[0])
+def fit_model(counted: DataFrame) -> Model:
+    """The model of counted pairs of words, and of their stems (rows whose column stem is true). The driver holds the pairs of one kind at a time."""
+    of = lambda stem: counted.filter(F.col("stem") == stem).select("v", "w", "ordinary", "toxic").toArrow()
+    sides = fit_sides(of(False))
+    words.give_back()
+    stems = fit_sides(of(True))[0]
+    words.give_back()
+    return Model(*sides, stems)
 
 
 def features(model: Model, begins: np.ndarray, hashes: np.ndarray, stems: np.ndarray) -> np.ndarray:
@@ -232,7 +237,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(both), stem))], names=["v", "w", "ordinary", "toxic", "stem"])
 
     counted = texts.filter("NOT fit").select("text", "toxic").mapInArrow(pairs, "v long, w long, ordinary long, toxic long, stem boolean")
-    model = fit_model(counted.groupBy("stem", "v", "w").agg(F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")).toArrow())
+    model = fit_model(materialize(counted.groupBy("stem", "v", "w").agg(F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")), "counts"))
     shared = docs.sparkSession.sparkContext.broadcast(packed(model))
     names = [f"x{k}" for k in range(FEATURES)]
 
