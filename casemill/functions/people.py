@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: What marks a bracket as a firm, what says that nobody appeared, and words that aren't people.
-FIRM_WORDS = ("LLP", "LLC", "Pte", "Ltd", "Partners", "Partnership", "Chambers", "Law Corporation", "Attorney-General", "AttorneyGeneral", "Attorney General", "Solicitor-General", "SolicitorGeneral", "Solicitor General", "Director of", "instructed", "instructing")
+#: Fixed values (a mark or a blank may be left out): what marks a bracket as a firm, what says that nobody appeared, and words that aren't people.
+FIRM_WORDS = ("LLP", "LLC", "Pte", "Ltd", "Partners", "Partnership", "Chambers", "Law Corporation", "Attorney[- ]?General", "Solicitor[- ]?General", "Director of", "instructed", "instructing")
 FIRM_PARTS = ("&", "and Co")
 ABSENT_WORDS = ("absent", "unrepresented", "in person")
 POST_NOMINALS = ("SC", "QC", "PC")

@@ -119,8 +119,24 @@ def iso_date(x: Column) -> Column:
     return F.try_to_date(F.substring(x, 1, 10), "yyyy-MM-dd")
 
 
-def compact_date(x: Column) -> Column:
-    return F.when(x.rlike(r"^[0-9]{8}$"), F.try_to_date(x, "yyyyMMdd"))
+def compact_date(x: Column, strict: bool = False) -> Column:
+    """The date of eight digits, null for other texts. Eight digits that are no date give null too, or an error if strict."""
+    found = F.when(x.rlike(r"^[0-9]{8}$"), F.try_to_date(x, "yyyyMMdd"))
+    if not strict:
+        return found
+    return F.when(x.rlike(r"^[0-9]{8}$") & found.isNull(), F.raise_error(F.concat(F.lit("no such date: "), x)).cast("date")).otherwise(found)
+
+
+def strings(text: Column, strict: bool = False) -> Column:
+    """The texts in a list in JSON; other elements, and values that are no list, are left out, or an error if strict."""
+    value = F.try_parse_json(text)
+    listed = F.try_variant_get(value, "$", "array<variant>")
+    plain = lambda v: F.schema_of_variant(v) == "STRING"
+    found = F.transform(F.filter(listed, plain), lambda v: F.try_variant_get(v, "$", "string"))
+    if strict:
+        wrong = listed.isNull() | (F.size(found) < F.size(listed))
+        return F.when(wrong, F.raise_error(F.concat(F.lit("no list of texts: "), F.coalesce(text, F.lit("null")))).cast("array<string>")).otherwise(found)
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def version_uri(url: Column, valid_from: Column) -> Column:

@@ -80,4 +80,5 @@ def joined(base: Column, reference: Column) -> Column:
     query = F.when((path == "") & (part(reference, 4) == ""), part(base, 4)).otherwise(part(reference, 4))
     inside = built(part(base, 1), part(base, 2), F.when(path == "", part(base, 3)).otherwise(resolved), query, part(reference, 5))
     other = built(part(base, 1), part(reference, 2), path, part(reference, 4), part(reference, 5))
-    return F.when(reference == "", base).when(part(reference, 1) != "", reference).when(part(reference, 2) != "", other).otherwise(inside)
+    whole = F.when(reference == "", base).when(part(reference, 1) != "", reference).when(part(reference, 2) != "", other).otherwise(inside)
+    return F.when(base.isNotNull() & reference.isNotNull(), whole)

@@ -52,6 +52,26 @@ def fetch_state(versions: DataFrame, fetch: str, expected: str, extracted: str)
     return versions.withColumn("needs_review", (F.col(fetch) != "success") | differ)
 
 
+def store_fetches(versions: DataFrame, parents: DataFrame, fetched: DataFrame, parent: str) -> tuple[DataFrame, DataFrame]:
+    """Versions and their parents after fetches.
+
+    versions: id, the parent's id, and fetch, html, parse, expected, extracted, needs_review, promoted. parents: id, status. fetched: id, nth (the order of fetches),
+    fetch, html, expected, extracted. A fetched version takes what was fetched, and is parsed and promoted anew; of several fetches the last counts. Each
+    fetch in turn sets its parent's status: fetch_failed if it failed, needs_review if the provisions are fewer or more than expected, and leaves it
+    if all is well; so the last that sets it counts. A fetch of an unknown version changes nothing.
+    """
+    last = fetched.groupBy(F.col("id").alias("f_id")).agg(F.max_by(F.struct(*(F.col(c) for c in ("fetch", "html", "expected", "extracted"))), "nth").alias("f"))
+    new = fetch_state(last.select(F.col("f_id"), *(F.col(f"f.{c}").alias(c) for c in ("fetch", "html", "expected", "extracted"))), "fetch", "expected", "extracted")
+    new = new.withColumns({"parse": F.lit("not_parsed"), "promoted": F.lit(False)}).withColumn("n", F.struct("fetch", "html", "parse", "expected", "extracted", "needs_review", "promoted")).select("f_id", "n")
+    joined = versions.join(new, F.col("id") == F.col("f_id"), "left")
+    changed = ("fetch", "html", "parse", "expected", "extracted", "needs_review", "promoted")
+    kept = joined.select(*(F.when(F.col("f_id").isNotNull(), F.col(f"n.{c}")).otherwise(F.col(c)).alias(c) if c in changed else F.col(c) for c in versions.columns))
+    status = F.when(F.col("fetch") != "success", "fetch_failed").when(~F.col("expected").eqNullSafe(F.col("extracted")), "needs_review")
+    of = versions.select(F.col("id").alias("v_id"), F.col(parent).alias("p_id"))
+    marks = fetched.join(of, F.col("id") == F.col("v_id")).withColumn("s", status).filter("s IS NOT NULL").groupBy("p_id").agg(F.max_by("s", "nth").alias("s"))
+    return kept, parents.join(marks, F.col("id") == F.col("p_id"), "left").withColumn("status", F.coalesce("s", "status")).select(*parents.columns)
+
+
 def spans_that_overlap(spans: DataFrame, key: str, id_col: str, start: str, end: str, width: float) -> DataFrame:
     """id and how many other spans of the same key overlap it: start < other end and end > other start.
 

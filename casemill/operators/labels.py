@@ -98,6 +98,35 @@ def one_hot(names: Column, labels: list[str]) -> Column:
     return F.array(*(F.coalesce(F.array_contains(names, x), F.lit(False)).cast("int") for x in labels))
 
 
+def concept_mask(topics: Column, homes: dict[str, list[str]]) -> Column:
+    """0 or 1 for each concept, in the order given: 1 if one of its topics is among a row's. A concept without topics has 0, a null list no topics."""
+    active = F.coalesce(topics, F.array().cast("array<string>"))
+    return F.array(*(allowed(F.array(*map(F.lit, t)).cast("array<string>"), active).cast("int") for t in homes.values())).cast("array<int>")
+
+
+def given_topics(split: Column, ordinal: Column, gold: Column, predicted: Column) -> Column:
+    """The topics that stand before a concept's text: the gold ones for every second row of the training split, from the first, and the predicted ones for all others."""
+    return F.when((split == "train") & (ordinal % 2 == 0), F.coalesce(gold, F.array().cast("array<string>"))).otherwise(predicted)
+
+
+def features(rows: DataFrame, task: str, roles: list[str], topics: list[str], homes: dict[str, list[str]]) -> DataFrame:
+    """What a task's trainer gets, beside the columns of rows: input, and role_id, or label_targets, for concepts with label_mask.
+
+    rows: text, previous_text, role, topics, concepts, and concept_topics (see given_topics) or null. An unknown or missing role has -100; names that
+    aren't labels don't count. Concepts are masked by a row's own topics, but read the topics that were given to it.
+    """
+    none, nothing = F.array().cast("array<string>"), F.lit("")
+    if task == "role":
+        known = F.array_position(F.array(*map(F.lit, roles)), F.col("role"))
+        return rows.withColumns({"input": prompt(none, F.col("text"), F.coalesce("previous_text", nothing)), "role_id": F.when(known > 0, known - 1).otherwise(-100).cast("int")})
+    if task == "topics":
+        return rows.withColumns({"input": F.col("text"), "label_targets": one_hot(F.col("topics"), topics)})
+    if task == "concepts":
+        given = F.coalesce("concept_topics", "topics", none)
+        return rows.withColumns({"input": prompt(given, F.col("text"), nothing), "label_targets": one_hot(F.col("concepts"), list(homes)), "label_mask": concept_mask(F.filter(F.coalesce("topics", none), lambda t: t.isin(*topics)), homes)})
+    raise ValueError(f"no such task: {task}")
+
+
 def decode(flags: Column, labels: list[str]) -> Column:
     """The names of the labels whose flag is set."""
     pairs = F.zip_with(flags, F.array(*map(F.lit, labels)), lambda f, n: F.when(f > 0, n))

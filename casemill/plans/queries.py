@@ -13,6 +13,7 @@ from casemill.functions import people, scalars, tables, urls
 from casemill.operators import citations, html, knowledge, labels, queue, references, relations, snapshots, tree
 from casemill.operators.storage import new_folder, observed, written
 from casemill.plans import pipelines
+from casemill.sources import walk
 from casemill.streaming import discourse, stores
 
 QUERIES = {}
@@ -1092,3 +1093,50 @@ def observed_counts(spark, sf_dir):
     """A stage's counters, taken while its table is written."""
     _, counts = observed(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "orders", **relations.report_counts("o_orderstatus", ("F", "O")))
     return spark.createDataFrame(list(counts.items()), "state string, n long")
+
+
+@query("""WITH c AS (SELECT c_custkey // 20 + 1 AS page, c_custkey % 20 AS pos, c_custkey, DATE '2024-01-01' - c_custkey::INT AS day, c_name FROM customer), s AS (SELECT min(page) AS stop FROM c WHERE day < DATE '2022-05-01')
+SELECT page::BIGINT AS page, pos::INT AS pos, '[2001] SGHC ' || c_custkey AS citation, day::VARCHAR AS day, c_name AS title FROM c, s WHERE c_custkey % 9 <> 5 AND (stop IS NULL OR page <= stop)""")
+def landed_walk(spark, sf_dir):
+    """Landed search pages as a stream of the engine's own data source: two runs, the second of which finds the pages that came meanwhile, up to the page where the walk stops."""
+    walk.register(spark)
+    folder, key = new_folder(spark, "walk"), F.col("c_custkey").cast("string")
+    day = F.date_sub(F.to_date(F.lit("2024-01-01")), F.col("c_custkey").cast("int")).cast("string")
+    item = F.to_json(F.struct(F.when(F.col("c_custkey") % 9 == 5, F.lit(" ")).otherwise(F.concat(F.lit(" [2001]  SGHC "), key)).alias("ncitation"), F.array(F.concat(day, F.lit("T00:00"))).alias("dates"), F.array("c_name").alias("titles")))
+    pages = table(spark, sf_dir, "customer").select((F.floor(F.col("c_custkey") / 20) + 1).alias("page"), (F.col("c_custkey") % 20).alias("pos"), item.alias("item"))
+    pages = pages.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("items"))
+    pages = pages.select("page", F.concat(F.lit('{"data": {"results": ['), F.array_join(F.transform("items", lambda x: x["item"]), ","), F.lit("]}}")).alias("value"))
+    for part in ("page <= 4", "page > 4"):
+        pages.filter(part).repartition("page").write.mode("append").partitionBy("page").text(f"{folder}/pages")
+        stream = spark.readStream.format("landed_search").option("mark", "2022-05-01").load(f"{folder}/pages")
+        stream.writeStream.format("parquet").option("path", f"{folder}/hits").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(walk.SCHEMA).parquet(f"{folder}/hits").select("page", "pos", "citation", F.col("date").cast("string").alias("day"), "title")
+
+
+@query("""SELECT o_custkey AS id, coalesce(arg_max(s, o_orderkey) FILTER (s IS NOT NULL), 'discovered') AS status, count(*) FILTER (review) AS reviews FROM (
+SELECT *, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 5 = 0 THEN 'fetch_failed' WHEN o_orderkey % 3 = 0 AND o_orderkey % 4 <> o_orderkey % 2 THEN 'needs_review' END AS s,
+  o_orderkey % 3 = 0 AND (o_orderkey % 5 = 0 OR o_orderkey % 4 <> o_orderkey % 2) AS review FROM orders) GROUP BY 1""")
+def fetched_parents(spark, sf_dir):
+    """Versions and their parents' states after a round of fetches, some of which fail or find other numbers of provisions than expected."""
+    orders = table(spark, sf_dir, "orders")
+    versions = orders.select(F.col("o_orderkey").alias("id"), "o_custkey", F.lit("success").alias("fetch"), F.lit("old").alias("html"), F.lit("complete").alias("parse"), F.lit(1).alias("expected"), F.lit(1).alias("extracted"), F.lit(False).alias("needs_review"), F.lit(True).alias("promoted"))
+    parents = orders.select(F.col("o_custkey").alias("id")).distinct().withColumn("status", F.lit("discovered"))
+    key = F.col("o_orderkey")
+    fetched = orders.filter(key % 3 == 0).select(key.alias("id"), key.alias("nth"), F.when(key % 5 == 0, "error").otherwise("success").alias("fetch"), F.lit("new").alias("html"), (key % 4).cast("int").alias("expected"), (key % 2).cast("int").alias("extracted"))
+    kept, states = knowledge.store_fetches(versions, parents, fetched, "o_custkey")
+    counts = kept.groupBy(F.col("o_custkey").alias("c_id")).agg(F.count_if("needs_review").alias("reviews"))
+    return states.join(counts, F.col("id") == F.col("c_id")).select("id", "status", "reviews")
+
+
+@query("""WITH u AS (SELECT user_id, list_sort(list_distinct(array_agg(event_type) FILTER (event_type IS NOT NULL))) AS topics FROM events GROUP BY 1)
+SELECT user_id, CASE WHEN user_id % 2 = 0 AND user_id % 3 > 0 THEN 'Topics: ' || array_to_string(topics, '; ') || chr(10) || chr(10) ELSE 'Topics: click' || chr(10) || chr(10) END || 'Text' AS input,
+'1,0,0' AS targets, (list_contains(topics, 'click') OR list_contains(topics, 'view'))::INT || ',' || list_contains(topics, 'purchase')::INT || ',0' AS mask FROM u""")
+def label_features(spark, sf_dir):
+    """What a trainer of concepts gets: topics given before the text, targets, and the mask of concepts that a row's own topics allow."""
+    users = table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("topics"))
+    split = F.when(F.col("user_id") % 3 > 0, "train").otherwise("test")
+    rows = users.withColumns({"text": F.lit("Text"), "concepts": F.array(F.lit("a"), F.lit("unknown")), "concept_topics": labels.given_topics(split, F.col("user_id"), F.col("topics"), F.array(F.lit("click")))})
+    names = [r[0] for r in table(spark, sf_dir, "events").select("event_type").distinct().dropna().collect()]
+    found = labels.features(rows, "concepts", [], names, {"a": ["click", "view"], "b": ["purchase"], "c": []})
+    listed = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
+    return found.select("user_id", "input", listed("label_targets").alias("targets"), listed("label_mask").alias("mask"))

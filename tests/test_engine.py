@@ -245,3 +245,34 @@ def test_overlaps_across_bins(spark):
     brute = {i: sum(k is not None and k == q and i != j and a < d and b > c and a < b and c < d for q, j, c, d in spans) for k, i, a, b in spans}
     for width in (1.0, 7.0, 1000.0):
         assert dict(rows(knowledge.spans_that_overlap(table, "k", "id", "a", "b", width))) == brute
+
+
+def test_parents_take_the_last_state_that_a_fetch_sets(spark):
+    versions = spark.createDataFrame([(1, 9, "success", "h", "complete", 1, 1, False, True), (2, 9, None, None, "not_parsed", None, None, False, False), (3, 8, None, None, "not_parsed", None, None, False, False)], "id long, act long, fetch string, html string, parse string, expected int, extracted int, needs_review boolean, promoted boolean")
+    parents = spark.createDataFrame([(9, "complete"), (8, "discovered"), (7, "discovered")], "id long, status string")
+    fetched = [(1, 1, "error", None, None, None), (1, 2, "success", "n", 3, 3), (2, 3, "success", "m", 2, 1), (99, 4, "error", None, None, None)]
+    kept, states = knowledge.store_fetches(versions, parents, spark.createDataFrame(fetched, "id long, nth int, fetch string, html string, expected int, extracted int"), "act")
+    assert rows(kept, "id", "fetch", "html", "parse", "needs_review", "promoted") == [(1, "success", "n", "not_parsed", False, False), (2, "success", "m", "not_parsed", True, False), (3, None, None, "not_parsed", False, False)]
+    assert rows(states) == [(7, "discovered"), (8, "discovered"), (9, "needs_review")]
+
+
+def test_features_of_tasks(spark):
+    table = spark.createDataFrame([("t", "p", "r2", ["x", "odd"], ["a"], None), ("u", None, "none", None, None, ["y"])], "text string, previous_text string, role string, topics array<string>, concepts array<string>, concept_topics array<string>")
+    of = lambda task, *names: [tuple(r) for r in labels.features(table, task, ["r1", "r2"], ["x", "y"], {"a": ["x"], "b": ["y", "odd"], "c": []}).select("text", *names).orderBy("text").collect()]
+    assert of("role", "input", "role_id") == [("t", "t\n\nPrevious: p", 1), ("u", "u", -100)]
+    assert of("topics", "input", "label_targets") == [("t", "t", [1, 0]), ("u", "u", [0, 0])]
+    assert of("concepts", "input", "label_targets", "label_mask") == [("t", "Topics: x; odd\n\nt", [1, 0, 0], [1, 0, 0]), ("u", "Topics: y\n\nu", [0, 0, 0], [0, 0, 0])]
+    with pytest.raises(ValueError, match="no such task"):
+        labels.features(table, "other", [], [], {})
+
+
+def test_strict_dates_and_lists(spark):
+    c = lambda x: spark.range(1).select(x.alias("x")).first().x
+    assert c(scalars.compact_date(F.lit("20230230"))) is None and c(scalars.compact_date(F.lit("x"), strict=True)) is None and str(c(scalars.compact_date(F.lit("20230228"), strict=True))) == "2023-02-28"
+    with pytest.raises(Exception, match="no such date: 20230230"):
+        c(scalars.compact_date(F.lit("20230230"), strict=True))
+    assert c(scalars.strings(F.lit('["a", 1, null, "b", ["c"]]'))) == ["a", "b"] and c(scalars.strings(F.lit("7"))) == c(scalars.strings(F.lit(None).cast("string"))) == []
+    assert c(scalars.strings(F.lit('["a"]'), strict=True)) == ["a"] and c(scalars.strings(F.lit("[]"), strict=True)) == []
+    for odd in ('["a", 1]', '{"a": 1}', None):
+        with pytest.raises(Exception, match="no list of texts"):
+            c(scalars.strings(F.lit(odd).cast("string"), strict=True))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from casemill.functions import tables
 from casemill.operators import citations, html, relations, storage
 from casemill.plans import pipelines
+from casemill.sources import landing, walk
 from casemill.streaming import discourse, stores
 
 TEXTS = [
@@ -170,3 +171,33 @@ def test_counters_of_a_stage_are_those_of_its_rows(spark):
     got, counts = storage.observed(table, "stage", **relations.report_counts("state", ("a", "b")))
     assert counts == {"total": 5, "a": 2, "b": 1, "other": 2} and got.count() == 5
     assert storage.observed(table.limit(0), "stage", **relations.report_counts("state", ("a",)))[1] == {"total": 0, "a": 0, "other": 0}
+
+
+def test_landed_pages_as_a_data_source(spark, tmp_path):
+    walk.register(spark)
+    hit = lambda n, day, **more: {"ncitation": f"[2001]  SGHC {n} ", "dates": [day], "titles": ["T"], "casenumber": "S 1", "corams": ["Tay J", 3]} | more
+    pages = {1: [hit(1, "2024-03-01"), 7, hit(2, "bad")], 2: [hit(3, "2024-02-01"), hit(4, "2024-01-05T10:00", ncitation=" ")], 3: [hit(5, "2023-12-31"), hit(6, "2024-01-02")], 4: [hit(7, "2023-01-01")]}
+
+    def land(*numbers):
+        for n in numbers:
+            (tmp_path / "in").mkdir(exist_ok=True)
+            (tmp_path / "in" / f"page-{n:03}.json").write_text(json.dumps({"page": n, "data": {"results": pages[n]}}))
+
+    def run():
+        stream = spark.readStream.format("landed_search").option("mark", "2024-01-01").load(str(tmp_path / "in"))
+        query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress)
+
+    land(1, 2, 3, 4)
+    whole = spark.read.format("landed_search").option("pagesPerTask", "2").load(str(tmp_path / "in"))
+    assert whole.rdd.getNumPartitions() == 2
+    names = ["page", "pos", "citation", "date", "title", "case_number"]
+    assert rows(whole, *names) == rows(landing.search_hits(spark, str(tmp_path / "in")), *names)
+    assert whole.filter("page = 1").first().judges == ["Tay J"]
+    # The third page has a hit older than the mark: the walk ends with it.
+    assert run() == 5 and {r.page for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {1, 2, 3}
+    assert run() == 0
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "page-1.json").write_text("no json")
+    assert spark.read.format("landed_search").load(str(tmp_path / "other")).collect() == spark.read.format("landed_search").load(str(tmp_path / "none")).collect() == []
