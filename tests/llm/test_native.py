@@ -136,7 +136,7 @@ def test_a_falling_weight_comes_early(spark):
 def test_oracle(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     df = queries.QUERIES[name](spark, folder)
     names = sorted(df.columns)
