@@ -92,24 +92,27 @@ def running(df: DataFrame, order: list[Column], sums: dict[str, str], within: tu
 
     "Earlier" is by `order`, within the columns `within` (which must lead the order, ascending, nulls
     first). Rows are range-partitioned by `order`, so that one group may span many tasks; only the
-    totals of each partition, one row per partition and group, meet to give the partitions' offsets.
+    totals of each partition, one row per partition and group, meet to give the partitions' offsets. Columns of df may have any
+    names but range_no, row_no and those that begin with off_.
     """
+    if taken := [c for c in df.columns if c in ("range_no", "row_no") or c.startswith("off_")]:
+        raise ValueError(f"columns that running sums use themselves: {taken}")
     spark = df.sparkSession
     leading = [F.col(c).asc_nulls_first() for c in within]
-    ranged = materialize(df.repartitionByRange(n_partitions(spark), *leading, *order).withColumn("part_no", F.spark_partition_id()), "running")
-    before = Window.partitionBy("part_no", *within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranged = materialize(df.repartitionByRange(n_partitions(spark), *leading, *order).withColumn("range_no", F.spark_partition_id()), "running")
+    before = Window.partitionBy("range_no", *within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = ranged.withColumns(
-        {"row_no": F.row_number().over(Window.partitionBy("part_no", *within).orderBy(*order)).cast("long")}
+        {"row_no": F.row_number().over(Window.partitionBy("range_no", *within).orderBy(*order)).cast("long")}
         | {name: F.coalesce(F.sum(source).over(before), F.lit(0)) for name, source in sums.items()}
     )
-    earlier = Window.partitionBy(*(within or [F.lit(0)])).orderBy("part_no").rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy("part_no", *within).agg(F.count(F.lit(1)).alias("n_all"), *(F.sum(source).alias(f"{name}_all") for name, source in sums.items()))
+    earlier = Window.partitionBy(*(within or [F.lit(0)])).orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("range_no", *within).agg(F.count(F.lit(1)).alias("n_all"), *(F.sum(source).alias(f"{name}_all") for name, source in sums.items()))
     offsets = totals.select(
-        F.col("part_no").alias("off_part"), *(F.col(c).alias(f"off_{c}") for c in within),
+        F.col("range_no").alias("off_part"), *(F.col(c).alias(f"off_{c}") for c in within),
         F.coalesce(F.sum("n_all").over(earlier), F.lit(0)).alias("off_n"),
         *(F.coalesce(F.sum(f"{name}_all").over(earlier), F.lit(0)).alias(f"off_{name}") for name in sums),
     )
-    on = (F.col("part_no") == F.col("off_part"))
+    on = (F.col("range_no") == F.col("off_part"))
     for c in within:
         on = on & F.col(c).eqNullSafe(F.col(f"off_{c}"))
     joined = rows.join(small(offsets), on, "left")

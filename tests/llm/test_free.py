@@ -199,6 +199,21 @@ def test_token_output_round_trip(spark):
         token_output.Shard(f.read()[:-1])
 
 
+def test_token_output_starts_over_more_shards_than_partitions(spark):
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "5")
+    try:
+        df = spark.createDataFrame([(i, "word " * (i % 7)) for i in range(200)], "doc_id long, text string")
+        shards = token_output.write_shards(df, token_output.tokenizer_path(), new_path(spark, "t"), shard_ids=20).collect()
+        got = token_output.read_shards(spark.createDataFrame(shards)).orderBy("doc_id").collect()
+    finally:
+        spark.conf.set(batch, before)
+    assert len(shards) > 4 and len({s.part_no for s in shards}) > 1
+    sizes = [i % 7 + 1 for i in range(200)]
+    assert [(r.doc_id, r.start, r.n_tokens) for r in got] == [(i, sum(sizes[:i]), n) for i, n in enumerate(sizes)]
+
+
 def test_grammar_and_random_access():
     rng = np.random.default_rng(3)
     parts = [np.concatenate([rng.integers(0, 9, int(rng.integers(1, 60))), [2]]) for _ in range(200)] + [np.full(500, 4), np.array([2])]
