@@ -1,7 +1,8 @@
 """Table functions for SQL text, over Arrow batches: SELECT * FROM name(TABLE(...)).
 
-Spark joins no Arrow table function laterally, so that each takes a table: a key and a text for functions of a text, and a case's paragraphs, by
-PARTITION BY case_id ORDER BY ordinal, for the references of cases.
+Spark joins no Arrow table function laterally, so that each takes a table: a key and a text for functions of a text, and cases' paragraphs for their references:
+by PARTITION BY case_id ORDER BY ordinal, or with many cases in each part, PARTITION BY pmod(xxhash64(case_id), 4096) ORDER BY (case_id, ordinal), as
+Spark takes some tenths of a millisecond for each part.
 """
 
 from __future__ import annotations
@@ -33,27 +34,37 @@ def _tree(text: str | None) -> list[tuple]:
     return [tuple(r.get(c.split()[0]) for c in html.TREE.split(", ")) for r in html.provision_rows(text)]
 
 
-class _Case:
-    """The references of a case, once all of its paragraphs (case_id, id, ordinal, content) are there. It holds one case."""
+class _Cases:
+    """The references of each case, once all of its paragraphs (case_id, id, ordinal, content) are there. It holds one case, and a batch of rows."""
+
+    shapes = citations.Shapes()
 
     def __init__(self):
-        self.case, self.paragraphs = None, []
+        self.held: list[tuple] = []
 
     def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
-        case, *columns = (rows.column(c).to_pylist() for c in ("case_id", "id", "ordinal", "content"))
-        self.case = case[0] if case else self.case
-        self.paragraphs += zip(*columns, strict=True)
-        yield from ()
+        new = list(zip(*(rows.column(c).to_pylist() for c in ("case_id", "id", "ordinal", "content")), strict=True))
+        begin = len(new)  # of the last case, which may go on
+        while begin and new[begin - 1][0] == new[-1][0]:
+            begin -= 1
+        if begin or self.held and self.held[-1][0] != new[0][0]:
+            yield from self._read(self.held + new[:begin])
+            self.held = []
+        self.held += new[begin:]
 
     def terminate(self) -> Iterator[pa.Table]:
-        yield pa.Table.from_batches([citations.span_batch(citations.case_spans(self.case, self.paragraphs))])
+        yield from self._read(self.held)
+
+    def _read(self, rows: list[tuple]) -> Iterator[pa.Table]:
+        for found in citations.walked(iter(rows), self.shapes):
+            yield pa.Table.from_batches([citations.span_batch(found)])
 
 
 def register(spark: SparkSession) -> None:
-    """Registers html_paragraphs, provision_tree, statute_definitions and alias_defs (of a key and a text), and citation_spans (of a case)."""
+    """Registers html_paragraphs, provision_tree, statute_definitions and alias_defs (of a key and a text), and citation_spans (of cases)."""
     found = {
         "html_paragraphs": _of_text(html.paragraph_rows, "pos int, text string, classes string, lines string"), "provision_tree": _of_text(_tree, html.TREE), "statute_definitions": _of_text(html.definition_rows, "term string, definition string"),
-        "alias_defs": _of_text(lambda t: citations.alias_definitions(t or ""), "short_name string, expanded string, kind string, place int"), "citation_spans": arrow_udtf(_Case, returnType=citations.SPAN_SCHEMA),
+        "alias_defs": _of_text(lambda t: citations.alias_definitions(t or ""), "short_name string, expanded string, kind string, place int"), "citation_spans": arrow_udtf(_Cases, returnType=citations.SPAN_SCHEMA),
     }
     for name, function in found.items():
         spark.udtf.register(name, function)

@@ -53,10 +53,10 @@ class ReferenceStore:
         """The buckets of the citations, BUCKETS at most."""
         return sorted(r[0] for r in rows.select(F.pmod(F.xxhash64(citation), F.lit(BUCKETS)).alias("b")).distinct().collect())
 
-    def add(self, number: int, spans: DataFrame, aliases: DataFrame, cases: DataFrame, paragraphs: DataFrame) -> None:
+    def add(self, number: int, spans: DataFrame, aliases: DataFrame | None, cases: DataFrame, paragraphs: DataFrame) -> None:
         """Adds batch `number` (from 1): the spans and aliases of its cases, its cases (case_id, neutral_citation) and their paragraphs (case_id, id, ordinal).
 
-        Any of them may be empty. A citation that an earlier batch has brought stays with that case; within a batch the first case by id has it. Spans
+        Any of them may be empty. Without aliases, spans are those of citations.case_references(). A citation that an earlier batch has brought stays with that case; within a batch the first case by id has it. Spans
         of a case that an earlier batch had take the place of the earlier ones.
         """
         references = self._write("references", number, spans)

@@ -849,9 +849,7 @@ def _listed(spans):
 @query(_SPANS + """SELECT c AS case_id, (c * 10 + n)::BIGINT AS paragraph_id, kind, name, alias, neutral, pins, provisions FROM x""")
 def citation_spans(spark, sf_dir):
     """References of paragraphs, with what bare ones mean."""
-    paragraphs = _paragraphs(spark, sf_dir)
-    spans = citations.extract_spans(paragraphs, written(citations.extract_aliases(paragraphs), "aliases"))
-    return _listed(spans).select("case_id", "paragraph_id", "kind", "name", "alias", "neutral", "pins", "provisions")
+    return _listed(citations.case_references(_paragraphs(spark, sf_dir))).select("case_id", "paragraph_id", "kind", "name", "alias", "neutral", "pins", "provisions")
 
 
 _RESOLVED = _SPANS + """, k AS (SELECT DISTINCT c FROM p),
@@ -868,8 +866,7 @@ def _cases(paragraphs):
 def resolved_references(spark, sf_dir):
     """What references refer to: a case, or a paragraph of one."""
     paragraphs = _paragraphs(spark, sf_dir)
-    known = written(citations.extract_aliases(paragraphs), "aliases")  # spans and resolving both need them
-    done = citations.resolve(citations.extract_spans(paragraphs, known), _cases(paragraphs), paragraphs, known)
+    done = citations.resolve(citations.case_references(paragraphs), _cases(paragraphs), paragraphs)
     return _listed(done).select("case_id", "paragraph_id", "kind", "pins", "target_case", "target_paragraph")
 
 
@@ -877,12 +874,11 @@ def resolved_references(spark, sf_dir):
 def late_references(spark, sf_dir):
     """References resolved as their targets arrive, cases of even numbers first: in the end they refer to what one batch finds."""
     paragraphs = written(_paragraphs(spark, sf_dir), "paragraphs")
-    known = written(citations.extract_aliases(paragraphs), "aliases")
-    spans = written(citations.extract_spans(paragraphs, known), "spans")
+    spans = written(citations.case_references(paragraphs), "spans")
     store = references.ReferenceStore(spark, new_folder(spark, "references"))
     for number, odd in ((1, 0), (2, 1)):
         some = lambda rows: rows.filter(F.col("case_id") % 2 == odd)  # noqa: B023, E731
-        store.add(number, some(spans), some(known), _cases(some(paragraphs)), some(paragraphs))
+        store.add(number, some(spans), None, _cases(some(paragraphs)), some(paragraphs))
     return _listed(store.references()).select("case_id", "paragraph_id", "kind", "pins", "target_case", "target_paragraph")
 
 
@@ -903,7 +899,7 @@ def table_function_spans(spark, sf_dir):
     """The same by a table function in SQL text: aliases, spans and state of a case in one walk, with one shuffle."""
     tables.register(spark)
     _paragraphs(spark, sf_dir).createOrReplaceTempView("case_paragraphs")
-    return _listed(spark.sql("SELECT * FROM citation_spans(TABLE(case_paragraphs) PARTITION BY case_id ORDER BY ordinal)")).select("case_id", "paragraph_id", "kind", "name", "alias", "neutral", "pins", "provisions")
+    return _listed(spark.sql("SELECT * FROM citation_spans(TABLE(case_paragraphs) PARTITION BY pmod(xxhash64(case_id), 4096) ORDER BY (case_id, ordinal))")).select("case_id", "paragraph_id", "kind", "name", "alias", "neutral", "pins", "provisions")
 
 
 @query(_STATUTES + """SELECT doc::BIGINT AS doc, ordinal::INT AS ordinal, level::INT AS level, kind, citation, content, parent::INT AS parent_ordinal FROM t""")

@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from casemill.operators import citations, references
 
@@ -51,3 +52,20 @@ def test_a_case_that_comes_again_replaces_its_references(spark, tmp_path):
     empty = [df.limit(0) for df in (spans, aliases, cases, paragraphs)]
     store.add(3, *empty)
     assert store.references().filter("case_id = 2").count() == 2
+
+
+def test_walk_of_cases_equals_aliases_and_spans_apart(spark):
+    texts = ["See Re Alpha [2001] SGHC {n} (“Alpha”) at [1]–[3] and s {n}(2) of the Sale of Goods Act 1999 (the “SGA”).", "Alpha at [{n}] agrees; s 4 of the SGA, then s 5.", "", None, "Beta v Gamma [3001] SGHC {n} (“B{n}”). B{n} at [2]; B1 at [{n}]. It holds (at [4])."]
+    given = [(c, c * 10 + i, i, t and t.format(n=c)) for c in (1, 2, 17, 19, 30) for i, t in enumerate(texts[: 1 + c % 5] if c < 19 else texts)]
+    paragraphs = spark.createDataFrame(given, "case_id long, id long, ordinal int, content string")
+    aliases = citations.extract_aliases(paragraphs)
+    cases = paragraphs.select("case_id").distinct().withColumn("neutral_citation", F.concat(F.lit("[2001] SGHC "), F.col("case_id").cast("string")))
+    apart, walk = citations.extract_spans(paragraphs, aliases), citations.case_references(paragraphs)
+    assert len(rows(walk)) > 20 and rows(walk.drop("sought")) == rows(apart)
+    assert rows(citations.resolve(walk, cases, paragraphs)) == rows(citations.resolve(apart, cases, paragraphs, aliases))
+
+
+def test_texts_of_one_shape_are_read_once():
+    shapes, texts = citations.Shapes(), [f"As held (at [{k}]), s {k} applies; see [1999] 2 SLR(R) {k} (“X”)." for k in range(3, 10)]
+    found = [[row for spans in citations.case_spans(k, [(k, 1, t)], shapes) for row in spans] for k, t in enumerate(texts)]
+    assert len(shapes.definitions) == 1 and [f[2]["slr"] for f in found] == [f"[1999] 2 SLR(R) {k}" for k in range(3, 10)] and [f[0]["pins"] for f in found] == [[k] for k in range(3, 10)]
