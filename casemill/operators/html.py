@@ -38,6 +38,7 @@ LEAST_WORDS = 10
 class Node:
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.parent, self.inside = tag, attrs, parent, []
+        self.names = frozenset((attrs.get("class") or "").split())
 
     def classes(self) -> list[str]:
         return (self.attrs.get("class") or "").split()
@@ -50,7 +51,7 @@ class Node:
             stack += [x for x in reversed(node.inside) if isinstance(x, Node)]
 
     def has(self, *names: str) -> bool:
-        return not set(names).isdisjoint(self.classes())
+        return not self.names.isdisjoint(names)
 
     def elements(self) -> list[Node]:
         return [x for x in self.inside if isinstance(x, Node)]
@@ -60,10 +61,11 @@ class Node:
         out, stack = [], self.elements()[::-1]
         while stack:
             node = stack.pop()
-            if id(node) not in without:
-                if (tag is None or node.tag == tag) and (not names or node.has(*names)):
+            if not without or id(node) not in without:
+                if (tag is None or node.tag == tag) and (not names or not node.names.isdisjoint(names)):
                     out.append(node)
-                stack += node.elements()[::-1]
+                if node.inside:
+                    stack += [x for x in reversed(node.inside) if isinstance(x, Node)]
         return out
 
     def text(self, without: tuple[str, ...] = (), breaks: str = " ", apart: bool = False, dropped: frozenset[int] = frozenset()) -> str:
@@ -391,7 +393,35 @@ def statute_rows(html: str | None) -> list[dict]:
 
 def provision_rows(html: str | None) -> list[dict]:
     """The provisions of a statute in pre-order, each with its level, parent and number of descendants."""
-    return [r for r in statute_rows(html) if r["what"] == "provision"]
+    return _statute(_legis(html)).rows if html and html.strip() else []
+
+
+def state_rows(html: str | None) -> list[tuple[int | None, int | None]]:
+    """What the markup of a statute holds and what is taken from it, counted without reading any text."""
+    if not html or not html.strip():
+        return [(None, None)]
+    root = _legis(html)
+    body, tail = (_first(root.below(name, tag="div")) for name in ("body", "tail"))
+    taken = len(tail.below("schedule", tag="div")) if tail else 0
+    for child in body.elements() if body else ():
+        if part := _cell(child, "part"):
+            taken += _sections(part, True)
+        elif division := _cell(child, "div"):
+            taken += _sections(division, False)
+        else:
+            taken += child.has(*SECTIONS)
+    return [(sum(len(root.below(name, tag="div")) for name in (*SECTIONS, "schedule")), taken)]
+
+
+def _sections(cell: Node, part: bool) -> int:
+    """How many sections _group() finds in a part or a division."""
+    taken = 0
+    for child in cell.elements():
+        if child.has(*SECTIONS):
+            taken += 1
+        elif part and child.tag == "table" and not child.has("partNo") and (inner := _cell(child, "div")):
+            taken += _sections(inner, False)
+    return taken
 
 
 def short_schedule(title: str | None) -> str | None:
@@ -419,14 +449,18 @@ def definition_rows(html: str | None) -> list[tuple[str, str]]:
     return [(r["term"], r["content"]) for r in statute_rows(html) if r["what"] == "definition"]
 
 
+STATE = "expected int, extracted int"
 STATUTE = f"what string, {TREE}, term string, expected int, extracted int"
 
 
+def _kinds(sql: str) -> list[tuple[str, pa.DataType]]:
+    return [(c.split()[0], pa.int32() if c.endswith(" int") else pa.string()) for c in sql.split(", ")]
+
+
 def statutes(pages: DataFrame, key: str, html: str) -> DataFrame:
     """All rows of statutes by one parse, told apart by `what`: see provisions_of, definitions_of and states_of. Write it before more than one is read."""
-    names = [c.split()[0] for c in STATUTE.split(", ")]
-    kinds = [(n, pa.int32() if c.endswith(" int") else pa.string()) for n, c in zip(names, STATUTE.split(", "), strict=True)]
-    return mapped(pages, key, html, lambda h: [tuple(r.get(n) for n in names) for r in statute_rows(h)], kinds, STATUTE)
+    kinds = _kinds(STATUTE)
+    return mapped(pages, key, html, lambda h: [tuple(r.get(n) for n, _ in kinds) for r in statute_rows(h)], kinds, STATUTE)
 
 
 def provisions_of(parsed: DataFrame, key: str) -> DataFrame:
@@ -440,14 +474,20 @@ def definitions_of(parsed: DataFrame, key: str) -> DataFrame:
 
 
 def states_of(parsed: DataFrame, key: str) -> DataFrame:
+    """The states among the rows of statutes(), as _states() gives them."""
+    return _states(parsed.filter("what = 'state'"), key)
+
+
+def _states(rows: DataFrame, key: str) -> DataFrame:
     """expected (sections and schedules in the markup), extracted (schedules, and sections outside of them), and parse_status: failed for a blank page, unknown without any."""
     status = F.when(F.col("expected").isNull(), "failed").when(F.col("expected") == 0, "unknown").when(F.col("expected") == F.col("extracted"), "complete").otherwise("incomplete")
-    return parsed.filter("what = 'state'").select(key, "expected", F.coalesce("extracted", F.lit(0)).alias("extracted"), status.alias("parse_status"))
+    return rows.select(key, "expected", F.coalesce("extracted", F.lit(0)).alias("extracted"), status.alias("parse_status"))
 
 
 def provisions(pages: DataFrame, key: str, html: str) -> DataFrame:
     """The provision trees of statutes as nested sets. A blank page has no rows."""
-    return provisions_of(statutes(pages, key, html), key)
+    kinds = _kinds(TREE)
+    return mapped(pages, key, html, lambda h: [tuple(r.get(n) for n, _ in kinds) for r in provision_rows(h)], kinds, TREE)
 
 
 def definitions(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -455,4 +495,4 @@ def definitions(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 
 def legislation_status(pages: DataFrame, key: str, html: str) -> DataFrame:
-    return states_of(statutes(pages, key, html), key)
+    return _states(mapped(pages, key, html, state_rows, _kinds(STATE), STATE), key)

@@ -222,3 +222,13 @@ def test_cases_with_one_citation_resolve_once(spark):
     cases = spark.createDataFrame([(1, "[2001] SGHC 1"), (2, "[2001] SGHC 2"), (3, "[2001] SGHC 2"), (4, None)], "case_id long, neutral_citation string")
     aliases = citations.extract_aliases(paragraphs)
     assert [(r.target_case, r.target_paragraph) for r in citations.resolve(citations.extract_spans(paragraphs, aliases), cases, paragraphs, aliases).collect()] == [(2, None)]
+
+
+def test_states_are_counted_as_the_whole_parse_counts_them(monkeypatch):
+    section, both = '<div class="prov1"><table><tr><td class="prov1Txt"><strong>1.</strong> A</td></tr></table></div>', '<div class="prov1 prov1Rep"></div>'
+    part = f'<table><tr><td class="part"><div class="partNo">PART 1</div>{section}<table><tr><td class="div">{section}</td></tr></table></td></tr></table>'
+    pages = [None, " ", "<p>x", f'<div class="legis"><div class="body">{part}{section}{both}</div>{section}<div class="tail"><div class="schedule"></div></div></div>', f'<div class="body"><table><tr><td class="div">{section}</td></tr></table></div>']
+    want = [[(r.get("expected"), r.get("extracted")) for r in html.statute_rows(p) if r["what"] == "state"] for p in pages]
+    assert want[3] == [(7, 5)]
+    monkeypatch.setattr(html, "_plain", None)  # no text is read
+    assert [html.state_rows(p) for p in pages] == want
