@@ -1,36 +1,42 @@
-"""What bare references mean, over micro-batches: a case's last case, act and rules are kept in a state store."""
+"""What bare references mean, over micro-batches: a case's last case, act and rules are kept in a state store.
+
+Cases are kept in BUCKETS groups by the hash of their ids, so that the calls of the state store are bounded: a micro-batch reads and writes the states
+of the groups that its cases fall in, once each, and a task holds the spans of one group. Checkpoints of earlier versions, by case, can't be gone on with.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from casemill.operators import citations
 
 PROVIDER, ROCKSDB = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE = "last_case string, last_act string, last_rules string"
+STATE = "cases array<long>, last_case array<string>, last_act array<string>, last_rules array<string>"
+BUCKETS = 1 << 10
 PARAGRAPHS = "case_id long, id long, ordinal int, content string"
 
 
 class CaseState(StatefulProcessor):
-    """Fills in a case's bare spans, paragraph by paragraph, from where the micro-batch before left off."""
+    """Fills in the bare spans of a bucket's cases, paragraph by paragraph, from where the micro-batch before left off."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.said = handle.getValueState("said", STATE)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        said = citations.Said(*(self.said.get() if self.said.exists() else ()))
+        kept = self.said.get()
+        states = {case: citations.Said(*said) for case, *said in zip(*kept, strict=True)} if kept else {}
         names = citations.SPANS.names
-        # Spans of the case in this micro-batch only.
-        spans = sorted((dict(zip(names, r, strict=True)) for r in rows), key=lambda s: (s["ordinal"], s["start"]))
-        begin = 0
-        for end in range(1, len(spans) + 1):
-            if end == len(spans) or spans[end]["ordinal"] != spans[begin]["ordinal"]:
-                yield from (Row(**s) for s in said.read(spans[begin:end]))
-                begin = end
-        self.said.update((said.case, said.act, said.rules))
+        # Spans of the bucket in this micro-batch only.
+        of_paragraph = lambda s: (s["case_id"] is not None, s["case_id"], s["ordinal"])
+        spans = sorted((dict(zip(names, r, strict=False)) for r in rows), key=lambda s: (s["case_id"] is not None, s["case_id"] or 0, s["ordinal"], s["start"]))
+        for (_, case, _), some in groupby(spans, key=of_paragraph):
+            yield from (Row(**s) for s in states.setdefault(case, citations.Said()).read(list(some)))
+        self.said.update((list(states), *([getattr(s, c) for s in states.values()] for c in ("case", "act", "rules"))))
 
     def close(self) -> None:
         pass
@@ -38,7 +44,8 @@ class CaseState(StatefulProcessor):
 
 def in_context(spans: DataFrame) -> DataFrame:
     """A stream of spans (of citations.find_in) with bare ones filled in. The state store must be RocksDB's."""
-    return spans.groupBy("case_id").transformWithState(CaseState(), citations.SPAN_SCHEMA, "Append", "None")
+    bucketed = spans.withColumn("bucket", F.pmod(F.xxhash64("case_id"), F.lit(BUCKETS)))
+    return bucketed.groupBy("bucket").transformWithState(CaseState(), citations.SPAN_SCHEMA, "Append", "None")
 
 
 def stream_spans(spark: SparkSession, source: str, aliases: str, target: str, checkpoint: str) -> None:
