@@ -176,7 +176,7 @@ def windows_of(table: DataFrame, id_col: str, text_col: str, known: np.ndarray |
             if len(at):
                 yield _rows(batch.column("id"), uid, owner, at, hashes, values, span)
 
-    return table.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")).mapInArrow(run, SCHEMA)
+    return table.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")).mapInArrow(words.lean(run), SCHEMA)
 
 
 def _meet(left: DataFrame, right: DataFrame, how: str, *names: str) -> DataFrame:

@@ -98,7 +98,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             yield pa.RecordBatch.from_arrays(columns, names=["uid", "doc_id", "text_hash", "n", "set_key", "regs", "bands", "hashes"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
-    return rows.mapInArrow(run, "uid long, doc_id long, text_hash long, n long, set_key binary, regs binary, bands array<long>, hashes binary")
+    return rows.mapInArrow(words.lean(run), "uid long, doc_id long, text_hash long, n long, set_key binary, regs binary, bands array<long>, hashes binary")
 
 
 def _with_both(pairs: DataFrame, table: DataFrame, names: list[str]) -> DataFrame:
@@ -135,9 +135,9 @@ def verify(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
                 keep.append(DENOMINATOR * both >= NUMERATOR * (len(s) + len(t) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    by_registers = _with_both(pairs, sketched, ["regs", "n"]).mapInArrow(likely, "a long, b long")
+    by_registers = _with_both(pairs, sketched, ["regs", "n"]).mapInArrow(words.lean(likely), "a long, b long")
     candidates = materialize(by_registers, "likely")
-    return materialize(_with_both(candidates, sketched, ["hashes"]).mapInArrow(linked, "a long, b long"), "links")
+    return materialize(_with_both(candidates, sketched, ["hashes"]).mapInArrow(words.lean(linked), "a long, b long"), "links")
 
 
 #: A code tells apart how many of a set's elements fall into each of CELLS cells, up to two.
@@ -180,7 +180,7 @@ def _bounds(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
                 columns = [pa.array(np.full(n, a)), pa.array(np.full(n, b)), pa.array(np.full(n, there.sum())), pa.array(np.append(t[~there].view(np.int64), 0)), pa.array(np.arange(n) < n - 1)]
                 yield pa.RecordBatch.from_arrays([*columns, *codes], names=names)
 
-    rows = materialize(_with_both(materialize(pairs, "pairs"), sketched, ["hashes"]).mapInArrow(run, "a long, b long, inside long, shingle long, other boolean, " + ", ".join(f"{c} long" for c in CODES)), "outside")
+    rows = materialize(_with_both(materialize(pairs, "pairs"), sketched, ["hashes"]).mapInArrow(words.lean(run), "a long, b long, inside long, shingle long, other boolean, " + ", ".join(f"{c} long" for c in CODES)), "outside")
     shared = rows.filter("other").groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "shingle")
     common = rows.filter("other").join(shared, ["a", "shingle"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
     return materialize(rows.filter("NOT other").select("a", "b", "inside", *CODES).join(common, ["a", "b"], "left").fillna(0, ["common"]), "bounds")

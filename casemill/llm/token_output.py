@@ -20,10 +20,10 @@ from casemill.llm.shared import materialize, n_partitions, new_path, running
 
 #: Appended to each document.
 END = 2
-#: A shard is closed once it holds this many ids; it never splits a document. Compressing takes about 60 bytes of memory for each id.
+#: A shard is closed once it holds this many ids; it never splits a document. Compressing takes about 80 bytes of memory for each id.
 SHARD_IDS = 1_000_000
-#: Words whose ids a Python worker keeps at one time (about 150 bytes each).
-CACHED = 1_000_000
+#: Words whose ids a Python worker keeps at one time (about 260 bytes each).
+CACHED = 300_000
 #: A pair that occurs so often, without overlapping itself, becomes a rule.
 LEAST = 2
 MAGIC = b"GRAMMAR2"
@@ -380,13 +380,14 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
 
         encoder, part = words.per_worker(f"encoder {tokenizer_path}", lambda: Encoder(tokenizer_path)), TaskContext.get().partitionId()
         held: list[tuple[list, np.ndarray, np.ndarray]] = []
-        shard = 0
+        shard = n_held = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal shard
+            nonlocal shard, n_held
             doc_ids = list(chain.from_iterable(x[0] for x in held))
             ids, sizes = np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held])
             held.clear()
+            n_held = 0
             with files.open_at(path := files.fresh(folder, ".ids"), "w") as f:
                 f.write(pack(doc_ids, ids, np.cumsum(sizes), encoder.vocabulary))
             words.give_back()
@@ -401,16 +402,23 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
             keep = np.ones(len(out), bool)
             keep[np.cumsum(sizes) - 1] = False
             out[keep] = ids
-            held.append((batch.column("doc_id").to_pylist(), out, sizes))
-            if sum(len(x[1]) for x in held) >= shard_ids:
-                yield flush()
+            del ids, keep
+            # The shard ends with the document that fills it, not with the slice, which may hold many more.
+            doc_ids, ends, k = batch.column("doc_id").to_pylist(), np.cumsum(sizes), 0
+            while k < len(sizes):
+                done = int(ends[k - 1]) if k else 0
+                end = min(len(sizes), int(np.searchsorted(ends, done + shard_ids - n_held)) + 1)
+                held.append((doc_ids[k:end], out[done : ends[end - 1]], sizes[k:end]))
+                n_held, k = n_held + int(ends[end - 1]) - done, end
+                if n_held >= shard_ids:
+                    yield flush()
         if held:
             yield flush()
 
     schema = pa.schema([("part_no", pa.int32()), ("shard_no", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(n_partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
-    shards = materialize(ordered.mapInArrow(write, "part_no int, shard_no int, path string, n_docs long, n_ids long"), "shards")
+    shards = materialize(ordered.mapInArrow(words.lean(write), "part_no int, shard_no int, path string, n_docs long, n_ids long"), "shards")
     placed = running(shards, [F.col("part_no"), F.col("shard_no")], {"start": "n_ids"})
     return placed.select("part_no", "shard_no", "path", "n_docs", "n_ids", F.col("start").cast("long").alias("start"))
 
@@ -436,7 +444,7 @@ def read_shards(shards: DataFrame, with_ids: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(columns)])
 
     spread = shards.select("path", "start").repartition(n_partitions(shards.sparkSession), "path")
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
+    return spread.mapInArrow(words.lean(read), "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
 
 def tokenizer_path() -> str:

@@ -236,7 +236,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 columns = [both[c].combine_chunks() for c in ("v", "w", "ordinary_sum", "toxic_sum")]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(both), stem))], names=["v", "w", "ordinary", "toxic", "stem"])
 
-    counted = texts.filter("NOT fit").select("text", "toxic").mapInArrow(pairs, "v long, w long, ordinary long, toxic long, stem boolean")
+    counted = texts.filter("NOT fit").select("text", "toxic").mapInArrow(words.lean(pairs), "v long, w long, ordinary long, toxic long, stem boolean")
     model = fit_model(materialize(counted.groupBy("stem", "v", "w").agg(F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")), "counts"))
     shared = docs.sparkSession.sparkContext.broadcast(packed(model))
     names = [f"x{k}" for k in range(FEATURES)]
@@ -249,7 +249,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # Where too few labels are left for fitting, the documents that gave the counts serve for that too.
     known = texts.groupBy("fit", "toxic").count().collect()
     fit = "fit" if {r["toxic"] for r in known if r["fit"]} == {0, 1} else "true"
-    got = texts.filter(fit).select("text", "toxic").mapInArrow(describe, "toxic int, " + ", ".join(f"{n} double" for n in names)).toPandas()
+    got = texts.filter(fit).select("text", "toxic").mapInArrow(words.lean(describe), "toxic int, " + ", ".join(f"{n} double" for n in names)).toPandas()
     got = got.sort_values(["toxic", *names])
     total = max(1, n_ordinary + n_toxic)
     fit_weights(model, got[names].to_numpy(float), got["toxic"].to_numpy(), n_ordinary / total, n_toxic / total)
@@ -280,7 +280,7 @@ def score(docs: DataFrame, model: Model | Broadcast, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in back), pa.array(got)], names=[*back, "score"])
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == HELD_OUT, F.lit(False))
-    scored = own.mapInArrow(run, schema)
+    scored = own.mapInArrow(words.lean(run), schema)
     kept = [F.col("text" if c == text_col else f"own_{c}").alias(c) for c in keep if c != id_col]
     return scored.select("doc_id", *kept, held.alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 

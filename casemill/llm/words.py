@@ -36,6 +36,16 @@ def give_back() -> None:
         trim(0)
 
 
+def lean(run):
+    """run, a function of batches, which gives back what it held when its task ends: a worker that waits for other tasks, or takes one of another stage, keeps nothing of it."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def forget() -> None:
     """Drops what per_worker() keeps: for tasks that need the memory for something else."""
     sys.__dict__.pop("_casemill_kept", None)

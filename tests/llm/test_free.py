@@ -199,6 +199,23 @@ def test_token_output_round_trip(spark):
         token_output.Shard(f.read()[:-1])
 
 
+def test_token_output_ends_a_shard_with_the_document_that_fills_it(spark):
+    sizes = [i % 7 + 1 for i in range(300)]
+    df = spark.createDataFrame([(i, "word " * (n - 1)) for i, n in enumerate(sizes)], "doc_id long, text string").coalesce(1)
+    shards = token_output.write_shards(df, token_output.tokenizer_path(), new_path(spark, "t"), shard_ids=20)
+    rows = sorted(map(tuple, shards.select("part_no", "shard_no", "n_ids").collect()))
+    last = {part: no for part, no, _ in rows}
+    assert all(20 <= n < 20 + 7 for part, no, n in rows if no < last[part]) and all(n < 20 + 7 for _, _, n in rows)
+    got = token_output.read_shards(shards).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.start, r.n_tokens) for r in got] == [(i, sum(sizes[:i]), n) for i, n in enumerate(sizes)]
+
+
+def test_a_task_gives_back_its_memory_at_its_end(monkeypatch):
+    done = []
+    monkeypatch.setattr(words, "give_back", lambda: done.append("given"))
+    assert list(words.lean(lambda batches: (b + 1 for b in batches))([1, 2])) == [2, 3] and done == ["given"]
+
+
 def test_token_output_starts_over_more_shards_than_partitions(spark):
     batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(batch)
