@@ -1101,9 +1101,11 @@ def landed_walk(spark, sf_dir):
     item = F.to_json(F.struct(F.when(F.col("c_custkey") % 9 == 5, F.lit(" ")).otherwise(F.concat(F.lit(" [2001]  SGHC "), key)).alias("ncitation"), F.array(F.concat(day, F.lit("T00:00"))).alias("dates"), F.array("c_name").alias("titles")))
     pages = table(spark, sf_dir, "customer").select((F.floor(F.col("c_custkey") / 20) + 1).alias("page"), (F.col("c_custkey") % 20).alias("pos"), item.alias("item"))
     pages = pages.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("items"))
-    pages = pages.select("page", F.concat(F.lit('{"data": {"results": ['), F.array_join(F.transform("items", lambda x: x["item"]), ","), F.lit("]}}")).alias("value"))
+    first = F.floor((F.col("page") - 1) / 1000) * 1000
+    pages = pages.select("page", F.concat_ws("-", first + 1, first + 1000).alias("pages"), F.concat(F.lit('{"page": '), F.col("page").cast("string"), F.lit(', "data": {"results": ['), F.array_join(F.transform("items", lambda x: x["item"]), ","), F.lit("]}}")).alias("value"))
+    pages = written(pages, "landed")
     for part in ("page <= 4", "page > 4"):
-        pages.filter(part).repartition("page").write.mode("append").partitionBy("page").text(f"{folder}/pages")
+        pages.filter(part).drop("page").repartition("pages").write.mode("append").partitionBy("pages").text(f"{folder}/pages")
         stream = spark.readStream.format("landed_search").option("mark", "2022-05-01").load(f"{folder}/pages")
         stream.writeStream.format("parquet").option("path", f"{folder}/hits").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(walk.SCHEMA).parquet(f"{folder}/hits").select("page", "pos", "citation", F.col("date").cast("string").alias("day"), "title")

@@ -201,3 +201,29 @@ def test_landed_pages_as_a_data_source(spark, tmp_path):
     (tmp_path / "other").mkdir()
     (tmp_path / "other" / "page-1.json").write_text("no json")
     assert spark.read.format("landed_search").load(str(tmp_path / "other")).collect() == spark.read.format("landed_search").load(str(tmp_path / "none")).collect() == []
+
+
+def test_landed_pages_many_in_a_file(spark, tmp_path):
+    walk.register(spark)
+    day = {n: f"2024-03-{28 - n:02}" for n in range(1, 28)}
+    line = lambda n: json.dumps({"page": n, "data": {"results": [{"ncitation": f"[2001] SGHC {n}", "dates": [day[n]]}]}})
+
+    def land(name, *numbers):
+        (tmp_path / "in" / "pages=1-10").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / "pages=11-20").mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_text("\n".join(map(line, numbers)) + "\n")
+
+    def run(out, mark):
+        stream = spark.readStream.format("landed_search").option("mark", mark).load(str(tmp_path / "in"))
+        stream.writeStream.format("parquet").option("path", str(tmp_path / out)).option("checkpointLocation", str(tmp_path / f"{out}-check")).trigger(availableNow=True).start().awaitTermination()
+        return sorted(r.page for r in spark.read.parquet(str(tmp_path / out)).collect())
+
+    land("pages=1-10/a.txt", 3, 1, 2)
+    assert run("all", "") == [1, 2, 3] == run("some", day[14])
+    # Pages that come later stand in another file of the same range; ones out of a file's range are none.
+    land("pages=1-10/b.txt", 10, 4, 6, 5, 9, 8, 7, 15)
+    land("pages=11-20/c.txt", *range(11, 18))
+    (tmp_path / "in" / "page-21.json").write_text(line(21))
+    assert run("all", "") == [*range(1, 18), 21] and run("some", day[14]) == [*range(1, 16)]
+    whole = spark.read.format("landed_search").load(str(tmp_path / "in"))
+    assert whole.rdd.getNumPartitions() == 4 and sorted(r.page for r in whole.collect()) == [*range(1, 18), 21]
