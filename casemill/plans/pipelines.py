@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casemill.functions import people, scalars
 from casemill.operators import citations, html, knowledge, queue, snapshots
-from casemill.operators.storage import written
+from casemill.operators.storage import spread, written
 
 RAW_CASES = "citation string, date date, title string, hit string, status string, promoted boolean"
 
@@ -43,11 +43,14 @@ def reasons(cases: DataFrame) -> DataFrame:
 def case_people(cases: DataFrame) -> dict[str, DataFrame]:
     """Judges, parties and counsel of cases (id, metadata, hit), as rows with the case's id and the place in its metadata.
 
-    Of several rows of a case with one name, the first counts. Judges come from the search hit if the metadata has none.
+    Of several rows of a case with one name, the first counts. Judges come from the search hit if the metadata has none. Cases
+    are dealt over all tasks, and their metadata is read once: the lists are written.
     """
-    judge = cases.select("id", F.posexplode(people.coram(F.col("metadata"), F.col("hit"))).alias("pos", "j")).select("id", "pos", scalars.judge(F.col("j")).alias("j"))
-    party = cases.select("id", F.posexplode(people.parties(F.col("metadata"))).alias("pos", "p"))
-    counsel = cases.select("id", F.posexplode(people.counsel(F.col("metadata"))).alias("pos", "c"))
+    listed = spread(cases.select("id", "metadata", "hit")).select("id", people.coram(F.col("metadata"), F.col("hit")).alias("judges"), people.parties(F.col("metadata")).alias("parties"), people.counsel(F.col("metadata")).alias("counsel"))
+    listed = written(listed, "people")
+    judge = listed.select("id", F.posexplode("judges").alias("pos", "j")).select("id", "pos", scalars.judge(F.col("j")).alias("j"))
+    party = listed.select("id", F.posexplode("parties").alias("pos", "p"))
+    counsel = listed.select("id", F.posexplode("counsel").alias("pos", "c"))
     first = lambda rows, *keys: snapshots.first_of(rows, ["id", *keys], [F.col("pos")])
     return {
         "judges": first(judge.select("id", "pos", "j.name", "j.title"), "name", "title"), "parties": first(party.select("id", "pos", "p.name", "p.role"), "name"),

@@ -227,3 +227,12 @@ def test_landed_pages_many_in_a_file(spark, tmp_path):
     assert run("all", "") == [*range(1, 18), 21] and run("some", day[14]) == [*range(1, 16)]
     whole = spark.read.format("landed_search").load(str(tmp_path / "in"))
     assert whole.rdd.getNumPartitions() == 4 and sorted(r.page for r in whole.collect()) == [*range(1, 18), 21]
+
+
+def test_people_of_cases_in_one_split_are_read_by_all_tasks(spark, tmp_path, monkeypatch):
+    path, seen, write = str(tmp_path / "cases"), {}, pipelines.written
+    monkeypatch.setattr(pipelines, "written", lambda df, tag: seen.setdefault(tag, df.rdd.getNumPartitions()) and write(df, tag))
+    spark.range(40).selectExpr("id", """'{"Parties": {"Party": [{"Role": "plaintiff", "Name": "A"}]}}' AS metadata""", """'{"corams": ["Tay J"]}' AS hit""").coalesce(1).write.parquet(path)
+    found = pipelines.case_people(spark.read.parquet(path))
+    assert seen["people"] >= 4 and found["judges"].count() == found["parties"].count() == 40 and found["counsel"].count() == 0
+    assert {tuple(r)[2:] for r in found["judges"].collect()} == {("Tay", "J")}
