@@ -232,3 +232,21 @@ def test_states_are_counted_as_the_whole_parse_counts_them(monkeypatch):
     assert want[3] == [(7, 5)]
     monkeypatch.setattr(html, "_plain", None)  # no text is read
     assert [html.state_rows(p) for p in pages] == want
+
+
+def test_plain_markup_gives_the_tree_of_the_tolerant_parser():
+    def shape(node):
+        return node if isinstance(node, str) else (node.tag, node.attrs, [shape(x) for x in node.inside])
+
+    def tolerant(page):
+        builder = html._Builder()
+        builder.feed(page)
+        builder.close()
+        return shape(builder.root)
+
+    plain = ['<p>a<p class="x y">b<br>c</div>', '<table><tr><td id="1">a<td id="1" id="2">b<tr><th>c</table> d', "<ul><li>a<li><ul><li>b</ul><li>c", 'a > b "c"\r\n\x00', '<div class="">x</p></div></div>', ""]
+    other = ["<P>a</P>", "a &amp; b", "<script>'<p>'</script>", "a < b", "<p/>x", "<a href=x>y</a>", "<!-- <p> --><p>z", "<title><p>t</title>", "</div >", "<p\n>x"]
+    for page in plain:
+        assert shape(html._plain_tree(page)) == tolerant(page) == shape(html.parse(page))
+    for page in other:
+        assert html._plain_tree(page) is None and shape(html.parse(page)) == tolerant(page)
