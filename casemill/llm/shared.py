@@ -20,6 +20,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Bytes of one Arrow batch while a table is written: tasks hold one on either side of the Python worker's pipe.
 BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+#: Parquet's reading of many ranges at once. On local disks each thread that serves it keeps a buffer outside the heap as large as the longest
+#: range that it ever read, up to a row group, until the executor ends; ranges are read one after the other instead.
+RANGES = "parquet.hadoop.vectored.io.enabled"
 #: Bytes of a Parquet row group, which a writing task holds in memory.
 ROW_GROUP = 32 << 20
 
@@ -48,18 +51,27 @@ def scratch() -> Iterator[list[str]]:
             around.extend(made)
 
 
+@contextmanager
+def configured(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Within it the session has these settings; afterwards those that it had."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
 def materialize(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Writes df to shared storage and reads it back: cuts lineage, and survives lost executors."""
     spark, path = df.sparkSession, new_path(df.sparkSession, tag)
     if (made := _MADE.get()) is not None:
         made.append(path)
-    before = spark.conf.get(BATCH, None)
-    spark.conf.set(BATCH, str(BATCH_BYTES))
-    try:
+    with configured(spark, {BATCH: str(BATCH_BYTES), RANGES: "false"}):
         df.write.option("parquet.block.size", ROW_GROUP).parquet(path, compression=compression)
-    finally:
-        spark.conf.set(BATCH, before) if before is not None else spark.conf.unset(BATCH)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).option(RANGES, "false").parquet(path)
 
 
 def n_bytes(df: DataFrame) -> int:

@@ -388,6 +388,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
             ids, sizes = np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held])
             held.clear()
             n_held = 0
+            words.give_back()  # what the last slice took, before compressing takes its own
             with files.open_at(path := files.fresh(folder, ".ids"), "w") as f:
                 f.write(pack(doc_ids, ids, np.cumsum(sizes), encoder.vocabulary))
             words.give_back()

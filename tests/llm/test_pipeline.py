@@ -144,3 +144,18 @@ def test_run_leaves_results_and_shards_only(spark, steps):
     out = corpus_pipeline.run(spark, FOLDER)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, steps["token_output"].collect()))
     assert sorted(n.rsplit("-", 1)[0] for n in set(os.listdir(shared)) - before) == ["stage-token_output", "tokens"]
+
+
+def test_reading_stored_tables_keeps_no_buffers_outside_the_heap(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getPlatformMXBeans(spark._jvm.java.lang.Class.forName("java.lang.management.BufferPoolMXBean"))
+    direct = next(b for b in beans if b.getName() == "direct")
+    noise = F.unhex(F.concat(*(F.sha2(F.concat("id", F.lit(f" {k}")), 512) for k in range(8))))
+    long = spark.range(0, 48_000, 1, 1).select("id", noise.alias("noise"))
+    stored = materialize(long, "noise", compression="uncompressed")
+    before = direct.getMemoryUsed()
+    for _ in range(2):
+        assert stored.agg(F.sum(F.octet_length("noise"))).first()[0] == 48_000 * 512
+        again = materialize(stored.filter("length(noise) > 0"), "noise", compression="uncompressed")
+        assert again.agg(F.sum(F.octet_length("noise"))).first()[0] == 48_000 * 512
+    assert direct.getMemoryUsed() - before < 10 << 20
+    assert spark.conf.get("parquet.hadoop.vectored.io.enabled", None) is None
