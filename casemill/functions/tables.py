@@ -57,7 +57,7 @@ class _Cases:
 
     def _read(self, rows: list[tuple]) -> Iterator[pa.Table]:
         for found in citations.walked(iter(rows), self.shapes):
-            yield pa.Table.from_batches([citations.span_batch(found)])
+            yield pa.Table.from_batches([found.batch()])
 
 
 def register(spark: SparkSession) -> None:

@@ -369,7 +369,7 @@ def find_spans(text: str, aliases: Aliases | dict[str, tuple[str, str]]) -> list
 
 
 class Shapes:
-    """Finds what is in paragraphs, and keeps it for texts of the same shape: those that differ in digits only, and where there are 1 and 2 and where others.
+    """Finds what is in paragraphs, and keeps it for texts of the same shape: those that differ in digits only, behind "[" not in whether it is 1 or 2.
 
     The grammar tells no more of digits than that, so that places within texts of one shape are the same; strings and numbers are
     read from each text. Short names are compared as they are, so that cases whose names have digits are read without. What is
@@ -377,12 +377,13 @@ class Shapes:
     """
 
     KEPT = 16 << 20
-    DIGITS = bytes.maketrans(b"23456789", b"10000000")
+    # No text in UTF-8 has the byte that stands for 1 or 2 behind "[" until all other digits are gone.
+    YEARS, DIGITS = re.compile(rb"\[[12]"), bytes.maketrans(b"123456789\xff", b"0000000001")
 
     def __init__(self):
-        self.size = 0
+        self.size, self.pins = 0, Pins()
         self.definitions: dict[bytes, list] = {}
-        self.names: dict[tuple, tuple[Aliases, dict[bytes, list[Found]]]] = {}
+        self.names: dict[tuple, tuple[Aliases, dict[bytes, Reader]]] = {}
 
     def _room(self, size: int) -> None:
         self.size += size
@@ -392,7 +393,7 @@ class Shapes:
             self.names.clear()
 
     def key(self, text: str) -> bytes:
-        return text.encode("utf-8", "surrogatepass").translate(self.DIGITS)
+        return self.YEARS.sub(b"[\xff", text.encode("utf-8", "surrogatepass")).translate(self.DIGITS)
 
     def defined(self, text: str, key: bytes) -> list[tuple[str, str, str, int]]:
         """As alias_definitions()."""
@@ -402,7 +403,7 @@ class Shapes:
             found = self.definitions[key] = _definition_places(key.decode("utf-8", "surrogatepass"))
         return [(_short(text, n), _said(text, form, places), kind, at) for n, form, places, kind, at in found]
 
-    def aliases(self, known: dict[str, tuple[str, str]]) -> tuple[Aliases, dict[bytes, list[Found]] | None]:
+    def aliases(self, known: dict[str, tuple[str, str]]) -> tuple[Aliases, dict[bytes, Reader] | None]:
         """The names of a case, and what is kept for them: nothing if they have digits."""
         if any(_DIGIT.search(short) for short in known):
             return Aliases(known), None
@@ -412,13 +413,79 @@ class Shapes:
             found = self.names[which] = Aliases(known), {}
         return found
 
-    def places(self, text: str, key: bytes, names: Aliases, kept: dict[bytes, list[Found]] | None) -> list[Found]:
+    def reader(self, text: str, key: bytes, names: Aliases, kept: dict[bytes, Reader] | None) -> Reader:
+        """What reads the references of this text, and of others of its shape if names have no digits."""
         if kept is None:
-            return find_places(text, names)
+            return Reader(text, find_places(text, names), shared=False)
         found = kept.get(key)
         if found is None:
-            self._room(8 * len(key) + 400)
-            found = kept[key] = find_places(key.decode("utf-8", "surrogatepass"), names)
+            shape = key.decode("utf-8", "surrogatepass")
+            found = kept[key] = Reader(shape, find_places(shape, names))
+            self._room(8 * len(key) + 1000 + 800 * found.size)
+        return found
+
+
+class Reader:
+    """Reads the references of texts of one shape by columns. What has no digits is the same in all of them, and is made once.
+
+    steps: the references, in the order in which a paragraph is heard (pins behind the others), that take something from what the case has come to or change it.
+    """
+
+    def __init__(self, text: str, places: list[Found], shared: bool = True):
+        rows = _read(text, places, lambda short: (None, None))
+        self.size, self.columns = len(places), [[r[c] for r in rows] for c in COLUMNS]
+        varies = lambda place: shared and place is not None and _DIGIT.search(text, *place) is not None
+        self.cut: list[tuple[int, int, int, int]] = []
+        self.shorts: list[tuple[int, tuple[int, int]]] = []
+        self.provisions: list[tuple[int, str, list[tuple[int, int]]]] = []
+        self.pins: list[tuple[int, int, int]] = []
+        self.cited = [(k, s.short) for k, s in enumerate(places) if s.family == "alias"]
+        for k, s in enumerate(places):
+            parts = {QUOTED_TEXT: _trimmed(text, s.start, s.end), NAME: s.name, EDITION: s.edition, **({} if s.family == "alias" else {NEUTRALS: s.neutral, SLRS: s.slr})}
+            self.cut += [(c, k, *place) for c, place in parts.items() if varies(place)]
+            self.shorts += [(k, s.alias)] if varies(s.alias) else []
+            self.provisions += [(k, *s.provisions)] if any(map(varies, s.provisions[1])) else []
+            self.pins += [(k, *s.pins)] if varies(s.pins) else []
+        steps = ((s.family == "pin", s.start, k, self._step(k, s)) for k, s in enumerate(places))
+        self.steps = sorted((s for s in steps if s[3]), key=lambda s: s[:2])
+        changed = {c for c, *_ in self.cut} | {ALIASES for _ in self.shorts} | {PROVISIONS for _ in self.provisions} | {PIN_LISTS for _ in self.pins}
+        changed |= {c for _ in self.cited for c in (NEUTRALS, SLRS)} | {c for s in self.steps if s[3] in BARE for c in (KIND, ALIASES)}
+        self.changed = sorted(changed)
+
+    def _step(self, k: int, s: Found) -> str | None:
+        if s.family == "pin":
+            return "pin"
+        if not (self.columns[ALIASES][k] or self.columns[NAME][k] is not None):
+            return {"provision": "bare provision", "rule": "bare rule"}.get(s.kind)
+        return {"case": "case", "act": "act", "provision": "act", "rule": "rules"}.get(s.kind)
+
+    def read(self, text: str, cites: Cites, pins: Pins) -> list[list]:
+        """COLUMNS of this text, as they are before it is heard. Lists of equal values are shared."""
+        out = self.columns[:]
+        for c in self.changed:
+            out[c] = out[c][:]
+        for c, k, a, b in self.cut:
+            out[c][k] = text[a:b]
+        for k, place in self.shorts:
+            out[ALIASES][k] = _short(text, place)
+        for k, prefix, refs in self.provisions:
+            out[PROVISIONS][k] = [prefix + "".join(text[a:b].split()) for a, b in refs]
+        for k, a, b in self.pins:
+            out[PIN_LISTS][k] = pins[text[a:b]]
+        for k, short in self.cited:
+            out[NEUTRALS][k], out[SLRS][k] = cites(short)
+        return out
+
+
+class Pins(dict):
+    """Pins by their text, of which few are different."""
+
+    MOST = 1 << 12
+
+    def __missing__(self, text: str) -> list[int]:
+        if len(self) >= self.MOST:
+            self.clear()
+        self[text] = found = expand_pins(text)
         return found
 
 
@@ -430,23 +497,19 @@ class Said:
     act: str | None = None
     rules: str | None = None
 
-    def read(self, spans: list[dict]) -> list[dict]:
-        """One paragraph's spans in order, bare ones filled in. Pins take what the paragraph's other references end with."""
-        for s in sorted(spans, key=lambda s: (s["family"] == "pin", s["start"])):
-            said = s.get("alias") or s.get("name")
-            if s["family"] == "pin":
+    def hear(self, read: list[tuple[Reader, list[list]]]) -> None:
+        """Fills in the bare references of one paragraph, or of several that count as one. Pins take what the paragraph's other references end with."""
+        steps = ((columns, step) for reader, columns in read for step in reader.steps)
+        for columns, (_, _, k, what) in sorted(steps, key=lambda s: s[1][:2]) if len(read) > 1 else steps:
+            if what == "pin":
                 if self.case is not None:
-                    s |= {"kind": "case", "alias": self.case}
-            elif said is None:
-                if s["kind"] in ("provision", "rule"):
-                    s["alias"] = self.rules if s["kind"] == "rule" else self.act
-            elif s["kind"] == "case":
-                self.case = said
-            elif s["kind"] in ("act", "provision"):
-                self.act = said
-            elif s["kind"] == "rule":
-                self.rules = said
-        return spans
+                    columns[KIND][k], columns[ALIASES][k] = "case", self.case
+            elif what == "bare provision":
+                columns[ALIASES][k] = self.act
+            elif what == "bare rule":
+                columns[ALIASES][k] = self.rules
+            else:
+                setattr(self, what, columns[ALIASES][k] or columns[NAME][k])
 
 
 SPANS = pa.schema([
@@ -458,13 +521,37 @@ SPANS = pa.schema([
 SOUGHT = SPANS.append(pa.field("sought", pa.string()))
 #: Spans of one Arrow batch.
 BATCH = 2_000
+#: What a text tells of each of its references, and where some of it is.
+COLUMNS = SPANS.names[3:]
+KIND, QUOTED_TEXT, NAME, NEUTRALS, SLRS, EDITION, ALIASES, PROVISIONS, PIN_LISTS = map(COLUMNS.index, ("kind", "quoted", "name", "neutral", "slr", "edition", "alias", "provisions", "pins"))
+#: Steps that fill in a reference.
+BARE = ("pin", "bare provision", "bare rule")
+
+
+class Spans:
+    """References by columns, those of SOUGHT, as they are gathered."""
+
+    def __init__(self):
+        self.size, self.columns = 0, [[] for _ in SOUGHT]
+
+    def add(self, case: int | None, paragraph: int | None, ordinal: int | None, found: list[list], sought: list) -> None:
+        n = len(sought)
+        self.size += n
+        for column, more in zip(self.columns, ([case] * n, [paragraph] * n, [ordinal] * n, *found, sought), strict=True):
+            column += more
+
+    def taken(self) -> Spans:
+        """What was gathered; here nothing of it is left."""
+        found = Spans()
+        found.size, found.columns, self.size, self.columns = self.size, self.columns, 0, found.columns
+        return found
 
+    def rows(self) -> list[dict]:
+        return [dict(zip(SOUGHT.names, r, strict=True)) for r in zip(*self.columns, strict=True)]
 
-def span_rows(case: int | None, paragraph: int | None, ordinal: int | None, spans: list[dict]) -> list[dict]:
-    """The spans of a paragraph as rows of SPAN_SCHEMA."""
-    for s in spans:
-        s["case_id"], s["paragraph_id"], s["ordinal"] = case, paragraph, ordinal
-    return spans
+    def batch(self, schema: pa.Schema = SPANS) -> pa.RecordBatch:
+        """As Arrow's: with SOUGHT or without what is sought."""
+        return pa.RecordBatch.from_arrays([_lists(c, f.type) if pa.types.is_list(f.type) else pa.array(c, f.type) for c, f in zip(self.columns, schema, strict=False)], schema=schema)
 
 
 def _lists(values: list[list], kind: pa.DataType) -> pa.Array:
@@ -472,11 +559,6 @@ def _lists(values: list[list], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(list(chain.from_iterable(values)), kind.value_type))
 
 
-def span_batch(rows: list[dict], schema: pa.Schema = SPANS) -> pa.RecordBatch:
-    columns = ([r[f.name] for r in rows] for f in schema)
-    return pa.RecordBatch.from_arrays([_lists(c, f.type) if pa.types.is_list(f.type) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
 def extract_aliases(paragraphs: DataFrame) -> DataFrame:
     """case_id, short_name, expanded, kind: of each case the first definition of a name. paragraphs: case_id, id, ordinal, content.
 
@@ -507,13 +589,14 @@ def find_in(paragraphs: DataFrame, aliases: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         case, cites, shapes = None, None, Shapes()
         for b in batches:
-            rows: list[dict] = []
+            out = Spans()
             for c, i, o, t, al in zip(*(x.to_pylist() for x in b.columns), strict=True):
                 if cites is None or c != case:  # a case's paragraphs come together
                     case, cites = c, Cites({k: (v["expanded"], v["kind"]) for k, v in al or ()})
                     names = shapes.aliases(cites.known)
-                rows += span_rows(c, i, o, _read(t, shapes.places(t, shapes.key(t), *names), cites))
-            yield span_batch(rows)
+                reader = shapes.reader(t, shapes.key(t), *names)
+                out.add(c, i, o, reader.read(t, cites, shapes.pins), [None] * reader.size)
+            yield out.batch()
 
     return joined.select("case_id", "id", "ordinal", "content", "aliases").mapInArrow(run, SPAN_SCHEMA)
 
@@ -529,34 +612,44 @@ def extract_spans(paragraphs: DataFrame, aliases: DataFrame) -> DataFrame:
     return in_context(find_in(paragraphs, aliases))
 
 
-def case_spans(case: int | None, paragraphs: list[tuple[int | None, int | None, str | None]], shapes: Shapes | None = None) -> Iterator[list[dict]]:
-    """The references of one whole case, whose paragraphs (id, ordinal, content) are in order: aliases, spans and state in one walk. Rows of SOUGHT, by paragraph.
+def told(case: int | None, read: list[tuple[int | None, int | None, str, bytes]], known: dict[str, tuple[str, str]], said: Said, shapes: Shapes, out: Spans) -> Iterator[Spans]:
+    """Adds to out the references of a case's paragraphs (id, ordinal, content, shape) in order, by these names and from the state `said` on, which goes on with them.
 
-    Paragraphs of one ordinal count as one: their pins come behind their other references.
+    out is handed on behind each paragraph. Paragraphs of one ordinal count as one: their pins come behind their other references.
     """
-    shapes = shapes or Shapes()
+    cites, names = Cites(known), shapes.aliases(known)
+    for _, together in groupby(read, key=lambda p: p[1]):
+        some = list(together)
+        readers = [shapes.reader(t, key, *names) for _, _, t, key in some]
+        found = [(reader, reader.read(t, cites, shapes.pins)) for reader, (_, _, t, _) in zip(readers, some, strict=True)]
+        said.hear(found)
+        for (i, o, _, _), (_, columns) in zip(some, found, strict=True):
+            out.add(case, i, o, columns, [cites(a)[0] if k == "case" and a in known else None for k, a in zip(columns[KIND], columns[ALIASES], strict=True)])
+        yield out
+
+
+def _by_own_names(case: int | None, paragraphs: list[tuple[int | None, int | None, str | None]], shapes: Shapes, out: Spans) -> Iterator[Spans]:
     read = [(i, o, t, shapes.key(t)) for i, o, t in paragraphs if t is not None]
-    cites = Cites({})
+    known: dict[str, tuple[str, str]] = {}
     for _, _, text, key in read:
         for short, expanded, kind, _ in shapes.defined(text, key):
-            cites.known.setdefault(short, (expanded, kind))
-    names, said = shapes.aliases(cites.known), Said()
-    for _, together in groupby(read, key=lambda p: p[1]):
-        rows = [row for i, o, text, key in together for row in span_rows(case, i, o, _read(text, shapes.places(text, key, *names), cites))]
-        for row in said.read(rows):
-            row["sought"] = cites(row["alias"])[0] if row["kind"] == "case" and row["alias"] in cites.known else None
-        yield rows
+            known.setdefault(short, (expanded, kind))
+    return told(case, read, known, Said(), shapes, out)
+
+
+def case_spans(case: int | None, paragraphs: list[tuple[int | None, int | None, str | None]], shapes: Shapes | None = None) -> Iterator[list[dict]]:
+    """The references of one whole case, whose paragraphs (id, ordinal, content) are in order: aliases, spans and state in one walk. Rows of SOUGHT, by paragraph."""
+    for out in _by_own_names(case, paragraphs, shapes or Shapes(), Spans()):
+        yield out.taken().rows()
 
 
-def walked(rows: Iterator[tuple], shapes: Shapes) -> Iterator[list[dict]]:
+def walked(rows: Iterator[tuple], shapes: Shapes) -> Iterator[Spans]:
     """The references of paragraphs (case_id, id, ordinal, content) in the order of their cases and ordinals, a case held at a time: BATCH rows or a few more at once."""
-    out: list[dict] = []
+    out = Spans()
     for case, group in groupby(rows, key=lambda r: r[0]):
-        for found in case_spans(case, [r[1:] for r in group], shapes):
-            out += found
-            if len(out) >= BATCH:
-                yield out
-                out = []
+        for _ in _by_own_names(case, [r[1:] for r in group], shapes, out):
+            if out.size >= BATCH:
+                yield out.taken()
     yield out
 
 
@@ -569,7 +662,7 @@ def case_references(paragraphs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for b in batches for r in zip(*(x.to_pylist() for x in b.columns), strict=True))
         for found in walked(rows, Shapes()):
-            yield span_batch(found, SOUGHT)
+            yield found.batch(SOUGHT)
 
     likely = paragraphs.filter("content IS NOT NULL").select("case_id", "id", "ordinal", "content")
     return spread(likely, "case_id").sortWithinPartitions("case_id", "ordinal", "id").mapInArrow(run, SPAN_SCHEMA + ", sought string")

@@ -236,3 +236,29 @@ def test_people_of_cases_in_one_split_are_read_by_all_tasks(spark, tmp_path, mon
     found = pipelines.case_people(spark.read.parquet(path))
     assert seen["people"] >= 4 and found["judges"].count() == found["parties"].count() == 40 and found["counsel"].count() == 0
     assert {tuple(r)[2:] for r in found["judges"].collect()} == {("Tay", "J")}
+
+
+def test_streamed_paragraphs_are_walked_where_their_state_is(spark, tmp_path):
+    """One stateful step reads paragraphs by case; what used to go through it were spans, row by row. Paragraphs without an ordinal come first, and long ids beside nulls stay whole."""
+    long = (1 << 60) + 1
+    first = [(long, long + 1, None, "See Re Alpha [2001] SGHC 2 (“Alpha”)."), (long, long + 2, None, "It holds (at [3])."), (None, long, 1, "Under r 4 of the Court Rules 2014.")]
+    then = [(long, long + 3, 1, "By s 4 (at [5])."), (None, 7, 2, "And rule 5.")]
+    known = citations.extract_aliases(spark.createDataFrame(first + then, discourse.PARAGRAPHS))
+    known.write.parquet(f"{tmp_path}/aliases")
+    stream = spark.readStream.schema(discourse.PARAGRAPHS).parquet(str(tmp_path))
+    plan = discourse.in_context(stream, spark.read.parquet(f"{tmp_path}/aliases"))._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" in plan and "MapIn" not in plan
+    for part in (first, then):
+        spark.createDataFrame(part, discourse.PARAGRAPHS).write.mode("append").parquet(f"{tmp_path}/in")
+        discourse.stream_spans(spark, f"{tmp_path}/in", f"{tmp_path}/aliases", f"{tmp_path}/out", f"{tmp_path}/check")
+    got = spark.read.schema(citations.SPAN_SCHEMA).parquet(f"{tmp_path}/out")
+    assert rows(got, "case_id", "paragraph_id", "ordinal", "kind", "alias", "pins") == sorted([
+        (long, long + 1, None, "case", "Alpha", []), (long, long + 2, None, "case", "Alpha", [3]), (long, long + 3, 1, "provision", None, []), (long, long + 3, 1, "case", "Alpha", [5]),
+        (None, long, 1, "rule", None, []), (None, 7, 2, "rule", "Court Rules 2014", []),
+    ], key=repr)
+
+
+def test_numbers_of_one_length_have_one_shape():
+    shapes = citations.Shapes()
+    assert len({shapes.key(f"[1999] 2 SLR(R) {k} and s {k}") for k in range(100, 1000)}) == 1
+    assert shapes.key("[3001] SGHC 1") != shapes.key("[2001] SGHC 1") == shapes.key("[1001] SGHC 2")
