@@ -10,6 +10,8 @@ from casemill.operators.storage import written
 
 #: Tables are divided by the hash of a citation into so many parts; a batch reads those that its citations fall in.
 BUCKETS = 16
+#: So many tasks at most write a bucket: a citation that is wanted very often would leave a bucket's rows to one.
+SHARES = 8
 KEY = ("case_id", "paragraph_id", "start")
 TARGETS = "citation string, ordinal int, target_case long, target_paragraph long"
 WAITING = "ref_batch long, case_id long, paragraph_id long, start int, wanted string, pin int"
@@ -43,7 +45,8 @@ class ReferenceStore:
         path = f"{self.folder}/{name}/batch={number}"
         if citation:
             bucket = F.pmod(F.xxhash64(citation), F.lit(BUCKETS))
-            rows.withColumn("bucket", bucket).repartition(F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(path)
+            share = F.pmod(F.xxhash64(*rows.columns), F.lit(SHARES))
+            rows.withColumn("bucket", bucket).repartition(F.col("bucket"), share).write.mode("overwrite").partitionBy("bucket").parquet(path)
             return self.spark.read.schema(f"{self.schemas[name]}, bucket long").parquet(path)
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
@@ -60,7 +63,8 @@ class ReferenceStore:
         of a case that an earlier batch had take the place of the earlier ones.
         """
         references = self._write("references", number, spans)
-        sought = written(citations.sought(references, aliases).select(*KEY, "kind", "wanted", "pin"), "sought")
+        looking = (F.col("kind") == "self") & F.col("pin").isNotNull() | (F.col("kind") == "case") & F.col("wanted").isNotNull()
+        sought = written(citations.sought(references, aliases).select(*KEY, "kind", "wanted", "pin").filter(looking), "sought")
         places = paragraphs.groupBy("case_id", "ordinal").agg(F.max("id").alias("target_paragraph"))
         first = cases.filter("neutral_citation IS NOT NULL").groupBy(F.col("neutral_citation").alias("citation")).agg(F.min("case_id").alias("target_case"))
         first = written(first, "cited")
@@ -71,19 +75,25 @@ class ReferenceStore:
         targets = self._write("targets", number, whole.unionByName(parts), "citation").drop("bucket")
         mine = sought.withColumn("ref_batch", F.lit(number).cast("long"))
         own = mine.filter("kind = 'self'").join(places, ["case_id"]).filter(F.col("pin") == F.col("ordinal")).withColumn("target_case", F.lit(None).cast("long"))
-        seeking = mine.filter("kind = 'case' AND wanted IS NOT NULL")
+        seeking = mine.filter("kind = 'case'")
         known = self._read("targets", number + 1, self._buckets(seeking, "wanted")).drop("batch", "bucket")
         late = self._read("waiting", number, arrived).drop("batch", "bucket")
         names = [c.split()[0] for c in FOUND.split(", ")]
         found = own.select(names).unionByName(_met(seeking, known).select(names)).unionByName(_met(late, targets).select(names))
-        found = self._write("found", number, found)
-        self._write("waiting", number, snapshots.absent(seeking, found.filter(F.col("ref_batch") == number), list(KEY)).select(*(c.split()[0] for c in WAITING.split(", "))), "wanted")
+        self._write("found", number, found)
+        there = known.filter("ordinal IS NULL").select("citation")
+        waiting = seeking.join(there, F.col("wanted") == F.col("citation"), "left_anti")
+        self._write("waiting", number, waiting.select(*(c.split()[0] for c in WAITING.split(", "))), "wanted")
 
     def references(self) -> DataFrame:
-        """All references with target_case and target_paragraph; of a case that several batches had, those of the last."""
+        """All references with target_case and target_paragraph; of a case that several batches had, those of the last.
+
+        Whether there is such a case is looked up at once: most stores have none, and then references needn't meet their cases.
+        """
         rows = self._read("references")
-        last = rows.groupBy(F.col("case_id").alias("l_case")).agg(F.max("batch").alias("l_batch"))
-        rows = rows.join(last, (F.col("case_id") == F.col("l_case")) & (F.col("batch") == F.col("l_batch"))).drop("l_case", "l_batch")
+        again = rows.groupBy(F.col("case_id").alias("l_case")).agg(F.min("batch").alias("l_first"), F.max("batch").alias("l_batch")).filter("l_first < l_batch").drop("l_first")
+        if not again.isEmpty():
+            rows = rows.join(again, (F.col("case_id") == F.col("l_case")) & (F.col("batch") < F.col("l_batch")), "left_anti")
         found = self._read("found").drop("batch").withColumnRenamed("ref_batch", "batch")
         return rows.join(found, ["batch", *KEY], "left").select(*(c.split()[0] for c in citations.SPAN_SCHEMA.split(", ")), "target_case", "target_paragraph")
 

@@ -874,11 +874,10 @@ def resolved_references(spark, sf_dir):
 def late_references(spark, sf_dir):
     """References resolved as their targets arrive, cases of even numbers first: in the end they refer to what one batch finds."""
     paragraphs = written(_paragraphs(spark, sf_dir), "paragraphs")
-    spans = written(citations.case_references(paragraphs), "spans")
     store = references.ReferenceStore(spark, new_folder(spark, "references"))
     for number, odd in ((1, 0), (2, 1)):
         some = lambda rows: rows.filter(F.col("case_id") % 2 == odd)  # noqa: B023, E731
-        store.add(number, some(spans), None, _cases(some(paragraphs)), some(paragraphs))
+        store.add(number, citations.case_references(some(paragraphs)), None, _cases(some(paragraphs)), some(paragraphs))
     return _listed(store.references()).select("case_id", "paragraph_id", "kind", "pins", "target_case", "target_paragraph")
 
 

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from casemill.operators import citations, references
+from casemill.operators import citations, references, snapshots
 
 TEXTS = {
     1: ["See Re B [2001] SGHC 2 (“B”) at [2]. As described at [1].", "B at [9] and Re C [2001] SGHC 3."],
@@ -69,3 +69,31 @@ def test_texts_of_one_shape_are_read_once():
     shapes, texts = citations.Shapes(), [f"As held (at [{k}]), s {k} applies; see [1999] 2 SLR(R) {k} (“X”)." for k in range(3, 10)]
     found = [[row for spans in citations.case_spans(k, [(k, 1, t)], shapes) for row in spans] for k, t in enumerate(texts)]
     assert len(shapes.definitions) == 1 and [f[2]["slr"] for f in found] == [f"[1999] 2 SLR(R) {k}" for k in range(3, 10)] and [f[0]["pins"] for f in found] == [[k] for k in range(3, 10)]
+
+
+def test_a_batch_costs_no_anti_join_by_reference_and_no_second_table_of_spans(spark, tmp_path, monkeypatch):
+    """Spans are written once, from the walk on; what waits is found by citation; and references meet their cases only if one has come twice."""
+    spans, aliases, cases, paragraphs = tables(spark, 1, 2, 3)
+    store = references.ReferenceStore(spark, str(tmp_path))
+    asked, absent = [], snapshots.absent
+    monkeypatch.setattr(references.snapshots, "absent", lambda rows, there, keys: asked.append(tuple(keys)) or absent(rows, there, keys))
+    store.add(1, citations.case_references(paragraphs.filter("case_id = 1")), None, cases.filter("case_id = 1"), paragraphs.filter("case_id = 1"))
+    store.add(2, citations.case_references(paragraphs.filter("case_id > 1")), None, cases.filter("case_id > 1"), paragraphs.filter("case_id > 1"))
+    assert references.KEY not in asked
+    plan = store.references()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+    assert of(store.references()) == of(citations.resolve(spans, cases, paragraphs, aliases))
+    store.add(3, *tables(spark, 2))
+    assert store.references()._jdf.queryExecution().optimizedPlan().toString().count("Join") == 2
+    assert of(store.references()) == of(citations.resolve(spans, cases, paragraphs, aliases))
+
+
+def test_a_citation_wanted_very_often_is_written_by_several_tasks(spark, tmp_path):
+    store = references.ReferenceStore(spark, str(tmp_path))
+    waiting = spark.range(40).select(F.lit(1).cast("long").alias("ref_batch"), F.col("id").alias("case_id"), F.col("id").alias("paragraph_id"), F.lit(0).alias("start"), F.lit("[2002] SGHC 7").alias("wanted"), F.lit(None).cast("int").alias("pin"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store._write("waiting", 1, waiting, "wanted")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list(tmp_path.glob("waiting/batch=1/bucket=*/*.parquet"))) > 1
